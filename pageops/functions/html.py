@@ -144,17 +144,20 @@ def first_within(items: Column, cand_pos: Column, strict: bool) -> Column:
     cand_rank = 0 if strict else 1
 
     def body(v):
+        # Items need not be in position order (missing ones are NULL): rank them first.
+        ranked = F.sort_array(F.transform(v["items"], lambda x, k: F.struct(
+            F.coalesce(x["open"], F.lit(-1)).alias("pos"), k.alias("k"))))
         merged = F.sort_array(F.concat(
-            F.transform(v["items"], lambda x, k: F.struct(
-                F.coalesce(x["open"], F.lit(-1)).alias("pos"), F.lit(item_rank).alias("tie"),
-                k.alias("k"), F.lit(True).alias("is_item"))),
-            F.transform(v["cands"], lambda p, k: F.struct(
-                p.alias("pos"), F.lit(cand_rank).alias("tie"),
-                k.alias("k"), F.lit(False).alias("is_item"))),
+            F.transform(ranked, lambda x, r: F.struct(
+                x["pos"].alias("pos"), F.lit(item_rank).alias("tie"), r.alias("r"),
+                x["k"].alias("k"), F.lit(True).alias("is_item"))),
+            F.transform(v["cands"], lambda p, j: F.struct(
+                p.alias("pos"), F.lit(cand_rank).alias("tie"), j.alias("r"),
+                j.alias("k"), F.lit(False).alias("is_item"))),
         ))
         firsts = F.sort_array(F.transform(
             F.filter(F.transform(merged, lambda m, i: F.struct(
-                m["k"].alias("k"), (i - m["k"]).alias("c"), m["is_item"].alias("is_item"))),
+                m["k"].alias("k"), (i - m["r"]).alias("c"), m["is_item"].alias("is_item"))),
                 lambda r: r["is_item"]),
             lambda r: F.struct(r["k"], r["c"]),
         ))

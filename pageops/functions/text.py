@@ -27,9 +27,15 @@ def strip_non_text(html: Column) -> Column:
     return F.regexp_replace(html, F.lit(NON_TEXT_RE), F.lit(""))
 
 
-def extract_all(text: Column, pattern: str, group: int = 0) -> Column:
-    """All non-overlapping matches, left to right; NULL text gives NULL."""
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+def extract_all(text: Column, pattern: str, group: int = 0, needs: str | None = None) -> Column:
+    """All non-overlapping matches, left to right; NULL text gives NULL.
+    ``needs`` is a literal every match contains: texts without it skip the
+    regex and give an empty array (same result, less work)."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    if needs is None:
+        return found
+    return F.when(F.contains(text, F.lit(needs)), found).otherwise(
+        F.when(text.isNotNull(), F.array().cast("array<string>")))
 
 
 def contains_any(col: Column, words) -> Column:

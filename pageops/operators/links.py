@@ -154,11 +154,11 @@ def link_audit(pages: DataFrame, item: Selector = ("li", None), title: Selector
     items = page_items(pages, item, title, keywords, id_col=id_col, html_col=html_col)
 
     def n(reason):
-        return F.size(F.filter("items", lambda x: x["reason"] == reason)).cast("long")
+        return F.coalesce(F.size(F.filter("items", lambda x: x["reason"] == reason)), F.lit(0)).cast("long")
 
     return items.select(
         id_col,
-        F.size("items").cast("long").alias("total"),
+        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("total"),
         n("kept").alias("kept"),
         n("no_title").alias("dropped_no_title"),
         n("no_link").alias("dropped_no_link"),

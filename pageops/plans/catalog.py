@@ -17,7 +17,7 @@ from ..operators import entities as E
 from ..operators import links as L
 from ..operators import numbers as N
 from ..operators import records as R
-from ..sources.tables import read_table
+from ..sources.tables import read_table, spread
 
 # Selectors and words used on the corpus pages: items are list entries, each
 # is its own title element; titles holding either word are dropped.
@@ -28,6 +28,14 @@ TARGET_SEED = 7
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _pages(spark, root):
+    return spread(read_table(spark, root, "pages"))
+
+
+def _documents(spark, root):
+    return spread(read_table(spark, root, "documents"))
+
+
 def attempts_from_events(events: DataFrame) -> DataFrame:
     """Attempts per user: an error event's value as text (never an integer),
     otherwise ``props.k``; the user's target is drawn per user (D6)."""
@@ -38,31 +46,31 @@ def attempts_from_events(events: DataFrame) -> DataFrame:
 
 
 def q_page_items(spark, root):
-    return L.select_elements(read_table(spark, root, "pages"), ITEM)
+    return L.select_elements(_pages(spark, root), ITEM)
 
 
 def q_page_links(spark, root):
-    return L.extract_links(read_table(spark, root, "pages"), ITEM, None, WORDS).drop("reason")
+    return L.extract_links(_pages(spark, root), ITEM, None, WORDS).drop("reason")
 
 
 def q_links_filtered(spark, root):
-    return L.filter_links(L.extract_links(read_table(spark, root, "pages"), ITEM, None, WORDS))
+    return L.filter_links(L.extract_links(_pages(spark, root), ITEM, None, WORDS))
 
 
 def q_index_links(spark, root):
-    return L.index_links(read_table(spark, root, "pages"), ITEM, None, WORDS)
+    return L.index_links(_pages(spark, root), ITEM, None, WORDS)
 
 
 def q_links_absolute(spark, root):
-    return L.absolute_links(read_table(spark, root, "pages"), ITEM, None, WORDS)
+    return L.absolute_links(_pages(spark, root), ITEM, None, WORDS)
 
 
 def q_link_audit(spark, root):
-    return L.link_audit(read_table(spark, root, "pages"), ITEM, None, WORDS)
+    return L.link_audit(_pages(spark, root), ITEM, None, WORDS)
 
 
 def q_distinct_links(spark, root):
-    return L.distinct_links(read_table(spark, root, "pages"), ITEM, None, WORDS, kept_only=False)
+    return L.distinct_links(_pages(spark, root), ITEM, None, WORDS, kept_only=False)
 
 
 def q_keyed_flatten(spark, root):
@@ -79,27 +87,27 @@ def q_records_json(spark, root):
 
 
 def q_distinct_addresses(spark, root):
-    return E.distinct_addresses(read_table(spark, root, "documents"))
+    return E.distinct_addresses(_documents(spark, root))
 
 
 def q_extract_emails(spark, root):
-    return E.extract_emails(read_table(spark, root, "documents"))
+    return E.extract_emails(_documents(spark, root))
 
 
 def q_extract_phones(spark, root):
-    return E.extract_phones(read_table(spark, root, "documents"))
+    return E.extract_phones(_documents(spark, root))
 
 
 def q_extract_extensions(spark, root):
-    return E.extract_extensions(read_table(spark, root, "documents"))
+    return E.extract_extensions(_documents(spark, root))
 
 
 def q_contact_entities(spark, root):
-    return E.extract_entities(read_table(spark, root, "documents"))
+    return E.extract_entities(_documents(spark, root))
 
 
 def q_entity_index(spark, root):
-    return E.entity_index(read_table(spark, root, "documents"))
+    return E.entity_index(_documents(spark, root))
 
 
 def q_validated_numbers(spark, root):

@@ -36,6 +36,18 @@ SCANS = T.StructType([
 SCHEMAS = {"pages": PAGES, "documents": DOCUMENTS, "events": EVENTS, "scans": SCANS}
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over at least ``min_partitions`` tasks (default:
+    the session's parallelism) when the input has fewer splits, so CPU-heavy
+    per-row work (regexes over whole pages and texts) uses every core.  A large
+    corpus already has more splits than cores, and then this is a no-op: no
+    shuffle is added."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}.parquet"
 
