@@ -81,7 +81,8 @@ def bracket_history(attempts: DataFrame, key: str, order: list[str], raw_col: st
     run = scan.running(with_v, key, order, {
         "below": ("max", F.when(val < t, val)),
         "above": ("min", F.when(val > t, val)),
-        "hits": ("sum", F.when(val == t, F.lit(1)).otherwise(F.lit(0))),
+        # A guess equal to a target on the bounds is out of range, never a hit.
+        "hits": ("sum", F.when((val == t) & (t > lo) & (t < hi), F.lit(1)).otherwise(F.lit(0))),
         "before": ("sum", F.lit(1)),
     }, partitions=partitions)
     lo_c = F.greatest(F.lit(lo).cast(_INT), F.col("below"))
