@@ -12,7 +12,8 @@ cut into consecutive slices across many partitions:
    into ``spark.checkpoint.dir``): the steps below read it twice, and two
    separately planned range exchanges could number slices differently.
 3. One summary row per slice (first key, last key, running total of its last
-   key) - as many rows as partitions, a proven bound.  Only a slice's first key
+   key) - as many rows as partitions, a proven bound - from hash aggregates
+   over the last row of each (slice, key) group.  Only a slice's first key
    can continue from earlier slices, and then its carry is the running total
    of the previous slice's last key.
 4. The carry table is broadcast (its size is the partition count) and folded
@@ -64,21 +65,24 @@ def running(df: DataFrame, key: str, order: Sequence[str],
         "*",
         *[_FN[kind](F.col(tmp[name])).over(w_local).alias(f"_l_{name}") for name, (kind, _) in aggs.items()],
         *[_FN[kind](F.col(tmp[name])).over(w_all).alias(f"_t_{name}") for name, (kind, _) in aggs.items()],
+        F.lead(F.lit(1)).over(w).isNull().alias("_is_last"),
     )
     checkpoint_root(spark)
     local = local.checkpoint(eager=True)
 
-    # One row per slice: its first key, its last key and that key's total so far in the slice.
-    last_struct = F.struct(F.col(key).alias("k"), *[F.col(f"_t_{name}").alias(name) for name in aggs])
-    summary = local.groupBy("_slice").agg(
-        F.min(key).alias("_first"),
-        F.max_by(last_struct, F.struct(key, *order)).alias("_last"),
-    )
+    # Last row of each (slice, key) group holds that group's total.  Per slice:
+    # first key, last key (hash aggregates over those rows), then the last
+    # key's total via a broadcast of the per-slice bounds (N rows).
+    ends = local.where(F.col("_is_last")).select("_slice", key, *[f"_t_{name}" for name in aggs])
+    bounds = ends.groupBy("_slice").agg(F.min(key).alias("_first"), F.max(key).alias("_lk"))
+    lasts = (ends.join(F.broadcast(bounds), "_slice")
+             .where(F.col(key) == F.col("_lk"))
+             .select("_slice", "_first", "_lk", *[f"_t_{name}" for name in aggs]))
     # Running total of each slice's last key across earlier slices (N rows).
-    by_last = Window.partitionBy(F.col("_last")["k"]).orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
-    chained = summary.select(
-        "_slice", "_first", F.col("_last")["k"].alias("_lk"),
-        *[_FN[kind](F.col("_last")[name]).over(by_last).alias(f"_r_{name}") for name, (kind, _) in aggs.items()],
+    by_last = Window.partitionBy("_lk").orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
+    chained = lasts.select(
+        "_slice", "_first", "_lk",
+        *[_FN[kind](F.col(f"_t_{name}")).over(by_last).alias(f"_r_{name}") for name, (kind, _) in aggs.items()],
     )
     prev = Window.orderBy("_slice")
     carry = chained.select(

@@ -118,7 +118,7 @@ def q_validated_numbers(spark, root):
 
 def q_rejected_attempts(spark, root):
     att = attempts_from_events(read_table(spark, root, "events"))
-    _, rejected = N.quarantine(N.validate(att, "raw"))
+    _, rejected = N.quarantine(att, "raw")
     return rejected.select("event_id", "user_id", "raw", "reason")
 
 
