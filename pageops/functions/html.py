@@ -1,18 +1,15 @@
 """Element selection over HTML held in one column, without a parser.
 
-A page is split into its tags and the text runs between them, as two aligned
-arrays in the same row::
-
-    clean = text[0] tag[0] text[1] tag[1] ... tag[n-1] text[n]
-
-Elements of one tag name are found by bracket matching over the positions of
-its open and close tags.  The depth of each tag is a prefix count; instead of a
-running window over exploded tokens (a shuffle of every token by page), the
-prefix count is read off one native sort of the merged open/close positions:
-for the i-th tag of the merged order that is the k-th open, ``k + 1`` opens and
-``i - k`` closes are at or before it.  Sorting again by (level, position) puts
-each open right before its close.  Everything is O(n log n) per page, stays in
-the row, and needs no exchange.
+One regex pass splits a page into tokens that tile it exactly: a tag, a run of
+text, a lone ``<`` (text), or a whole comment / script / style element (not
+text, not selectable).  Elements of one tag name are found by bracket matching
+over the positions of its open and close tags.  The depth of each tag is a
+prefix count; instead of a running window over exploded tokens (a shuffle of
+every token by page), the prefix count is read off one native sort of the
+merged open/close positions: for the i-th tag of the merged order that is the
+k-th open, ``k + 1`` opens and ``i - k`` closes are at or before it.  Sorting
+again by (level, position) puts each open right before its close.  Everything
+is O(n log n) per page, stays in the row, and needs no exchange.
 
 Every array that a lambda body reads by index is bound with ``let`` first, so
 it is computed once per row (Catalyst would otherwise inline a column that is
@@ -21,7 +18,7 @@ referenced once into the lambda body and recompute it per element).
 Limits (pinned by tests): a ``>`` inside a quoted attribute value ends the tag;
 an unclosed element of the selected name nests whatever follows rather than
 being closed implicitly as an HTML5 tree builder would; ``<x/>`` counts as an
-open tag.
+open tag; ``script`` and ``style`` elements cannot be selected.
 """
 
 from __future__ import annotations
@@ -31,9 +28,11 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .patterns import TAG_RE
+from .patterns import TOKEN_RE
 
 _NAME_RE = r"^<(/?[A-Za-z][^\s/>]*)"
+# Same, but '' for script/style (those tokens are whole elements, never selected).
+_ELEMENT_NAME_RE = r"^<(/?(?!(?i:script|style)\b)[A-Za-z][^\s/>]*)"
 _ATTR_RE = r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?"""
 _CLASS_SPLIT_RE = r"[ \t\n\f\r]+"
 
@@ -45,18 +44,21 @@ def let(body: Callable[[Column], Column], **bound: Column) -> Column:
     return F.get(F.transform(packed, body), 0)
 
 
-def tag_tokens(clean: Column) -> Column:
-    return F.regexp_extract_all(clean, F.lit(TAG_RE), F.lit(0))
+def page_tokens(html: Column) -> Column:
+    """The page as tokens (tags, text runs, whole comment/script/style)."""
+    return F.regexp_extract_all(html, F.lit(TOKEN_RE), F.lit(0))
 
 
-def text_runs(clean: Column) -> Column:
-    """Text between tags; always one more element than ``tag_tokens``."""
-    return F.split(clean, TAG_RE, -1)
+def token_names(tokens: Column) -> Column:
+    """Lower-cased tag name per token, '/'-prefixed for a close tag; '' for
+    text, comments, declarations and whole script/style elements.  One regex
+    call per tag token, none per text token."""
+    return F.transform(tokens, lambda t: F.when(
+        F.startswith(t, F.lit("<")), F.lower(F.regexp_extract(t, _ELEMENT_NAME_RE, 1))).otherwise(F.lit("")))
 
 
-def tag_names(tags: Column) -> Column:
-    """Lower-cased name per tag, '/'-prefixed for a close tag, '' for others."""
-    return F.transform(tags, lambda t: F.lower(F.regexp_extract(t, _NAME_RE, 1)))
+def is_text(token: Column) -> Column:
+    return ~F.startswith(token, F.lit("<")) | (token == F.lit("<"))
 
 
 def positions_of(names: Column, name: str) -> Column:
@@ -87,9 +89,9 @@ def has_class(tag: Column, cls: str) -> Column:
 
 def elements(names: Column, n_tags: Column, tag: str) -> Column:
     """All ``tag`` elements as ``array<struct<open:int, close:int, closed:boolean>>``
-    sorted by ``open``; ``open``/``close`` index the tag tokens.  An element
-    with no matching close runs to the end (``close = n_tags``).  ``names``
-    must be cheap to reference (an attribute or a bound variable)."""
+    sorted by ``open``; ``open``/``close`` index the tokens.  An element with
+    no matching close runs to the end (``close = n_tags``, the token count).
+    ``names`` must be cheap to reference (an attribute or a bound variable)."""
     tag = tag.lower()
     opens = positions_of(names, tag)
     closes = positions_of(names, "/" + tag)
@@ -172,6 +174,6 @@ def first_within(items: Column, cand_pos: Column, strict: bool) -> Column:
     return let(body, items=items, cands=cand_pos)
 
 
-def inner_text(texts: Column, open_: Column, close: Column) -> Column:
-    """Concatenated text runs between tag ``open`` and tag ``close``."""
-    return F.array_join(F.slice(texts, open_ + 2, close - open_), "")
+def inner_text(tokens: Column, open_: Column, close: Column) -> Column:
+    """Concatenated text tokens strictly between token ``open`` and ``close``."""
+    return F.array_join(F.filter(F.slice(tokens, open_ + 2, close - open_ - 1), is_text), "")

@@ -15,17 +15,15 @@ FORUM_EXCLUDED = ("[公告]", "[協尋]")
 FORUM_BASE = "https://www.ptt.cc"
 
 # --- fixed values: markup -------------------------------------------------
-# Comments, script and style bodies are not text; an unclosed one runs to the end.
-NON_TEXT_RE = (
-    r"(?is)<!--.*?(?:-->|\z)"
-    r"|<script\b[^>]*>.*?(?:</script\s*>|\z)"
-    r"|<style\b[^>]*>.*?(?:</style\s*>|\z)"
+# One pass over a page: a whole comment / script / style element, a tag, a run
+# of text, or a lone '<' (text).  The tokens tile the page exactly.
+TOKEN_RE = (
+    r"(?is)<(?:!--.*?(?:-->|\z)"
+    r"|script\b[^>]*>.*?(?:</script\s*>|\z)"
+    r"|style\b[^>]*>.*?(?:</style\s*>|\z)"
+    r"|/?[a-z][^>]*>|[!?][^>]*>)"
+    r"|[^<]+|<"
 )
-# A tag: '<' then a letter, '/', '!' or '?', up to the next '>'.  A '<' followed
-# by anything else is text.
-TAG_RE = r"<(?:/?[A-Za-z][^>]*|[!?][^>]*)>"
-# Tag name of an open or close tag (group 2); group 1 is '/' on a close tag.
-TAG_NAME_RE = r"^<(/?)([A-Za-z][^\s/>]*)"
 # Entities decoded in titles and links, in this order; '&amp;' comes last so
 # that '&amp;lt;' becomes '&lt;' and not '<'.
 ENTITIES = (

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .patterns import ENTITIES, NON_TEXT_RE, STRIP_RE
+from .patterns import ENTITIES, STRIP_RE
 
 
 def py_strip(col: Column) -> Column:
@@ -22,11 +22,6 @@ def unescape_entities(col: Column) -> Column:
     return col
 
 
-def strip_non_text(html: Column) -> Column:
-    """Remove comments and the bodies of script and style elements."""
-    return F.regexp_replace(html, F.lit(NON_TEXT_RE), F.lit(""))
-
-
 def extract_all(text: Column, pattern: str, group: int = 0, needs: str | None = None) -> Column:
     """All non-overlapping matches, left to right; NULL text gives NULL.
     ``needs`` is a literal every match contains: texts without it skip the

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions.patterns import FORUM_EXCLUDED
-from ..functions.text import contains_any, py_strip, strip_non_text, unescape_entities
+from ..functions.text import contains_any, py_strip, unescape_entities
 
 Selector = tuple[str, str | None]
 
@@ -23,13 +23,10 @@ REASONS = ("kept", "no_title", "no_link", "excluded")
 
 
 def _with_page(html, body):
-    """Bind the page's tag tokens, text runs, tag names and tag count once and
-    pass them to ``body`` as fields of one struct."""
-    def tokens(c):
-        return H.let(lambda v: H.let(lambda w: body(v, w),
-                                     names=H.tag_names(v["tags"]), n=F.size(v["tags"])),
-                     tags=H.tag_tokens(c["clean"]), texts=H.text_runs(c["clean"]))
-    return H.let(tokens, clean=strip_non_text(html))
+    """Bind the page's tokens, their tag names and the token count once and
+    pass them to ``body`` as fields of two structs."""
+    return H.let(lambda v: H.let(lambda w: body(v, w), names=H.token_names(v["tags"]), n=F.size(v["tags"])),
+                 tags=H.page_tokens(html))
 
 
 def element_open_tags(html, item: Selector = ("li", None)):
@@ -71,7 +68,7 @@ def items_column(html, item: Selector = ("li", None), title: Selector | None = N
             def extract(z):
                 def one(it, j):
                     tl = F.get(x["titles"], j)
-                    text = H.inner_text(v["texts"], tl["open"], tl["close"])
+                    text = H.inner_text(v["tags"], tl["open"], tl["close"])
                     a_pos = F.get(x["anchors"], F.get(z["aidx"], j))
                     href = H.attr(F.get(v["tags"], a_pos), "href")
                     return F.struct(
