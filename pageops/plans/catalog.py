@@ -36,6 +36,10 @@ def _documents(spark, root):
     return spread(read_table(spark, root, "documents"))
 
 
+def _events(spark, root):
+    return spread(read_table(spark, root, "events"))
+
+
 def attempts_from_events(events: DataFrame) -> DataFrame:
     """Attempts per user: an error event's value as text (never an integer),
     otherwise ``props.k``; the user's target is drawn per user (D6)."""
@@ -74,13 +78,13 @@ def q_distinct_links(spark, root):
 
 
 def q_keyed_flatten(spark, root):
-    ev = read_table(spark, root, "events")
+    ev = _events(spark, root)
     parsed = ev.select("event_id", R.parse_keyed(F.col("props"), "string").alias("m"))
     return R.flatten_keyed(parsed, "event_id", "m", key_name="key")
 
 
 def q_records_json(spark, root):
-    ev = read_table(spark, root, "events")
+    ev = _events(spark, root)
     rec = F.struct("event_id", "user_id", "event_type",
                    R.parse_keyed(F.col("props"), "bigint").alias("props"))
     return ev.select("event_id", R.to_json_text(rec).alias("json"))
@@ -111,30 +115,30 @@ def q_entity_index(spark, root):
 
 
 def q_validated_numbers(spark, root):
-    att = attempts_from_events(read_table(spark, root, "events"))
+    att = attempts_from_events(_events(spark, root))
     v = N.validate(att, "raw")
     return v.select("event_id", "raw", F.col("value").cast("string").alias("value"), "reason")
 
 
 def q_rejected_attempts(spark, root):
-    att = attempts_from_events(read_table(spark, root, "events"))
+    att = attempts_from_events(_events(spark, root))
     _, rejected = N.quarantine(att, "raw")
     return rejected.select("event_id", "user_id", "raw", "reason")
 
 
 def q_user_targets(spark, root):
-    ev = read_table(spark, root, "events").select("user_id").distinct()
+    ev = _events(spark, root).select("user_id").distinct()
     return ev.select("user_id", N.draw_in_range(F.col("user_id"), LOWEST, HIGHEST, TARGET_SEED).alias("target"))
 
 
 def q_bracket_history(spark, root):
-    att = attempts_from_events(read_table(spark, root, "events"))
+    att = attempts_from_events(_events(spark, root))
     h = N.bracket_history(att, "user_id", ["ts", "event_id"])
     return h.select("user_id", "event_id", "seq", "lo", "hi", "outcome")
 
 
 def q_bracket_summary(spark, root):
-    att = attempts_from_events(read_table(spark, root, "events"))
+    att = attempts_from_events(_events(spark, root))
     return N.bracket_summary(N.bracket_history(att, "user_id", ["ts", "event_id"]), "user_id")
 
 

@@ -137,7 +137,8 @@ def test_running_equals_window_under_skew(spark):
     a = sorted(tuple(r) for r in got.select("k", "o", "mx", "mn", "s").collect())
     b = sorted(tuple(r) for r in ref.collect())
     assert a == b
-    incl = scan.running(df, "k", ["o"], {"s": ("sum", F.col("v"))}, inclusive=True, partitions=5)
+    incl = scan.running(df, "k", ["o"], {"s": ("sum", F.col("v"))}, inclusive=True, partitions=5,
+                        plain_if_fits=False)
     wi = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
     ref2 = sorted(tuple(r) for r in df.select("k", "o", F.sum("v").over(wi).alias("s")).collect())
     assert sorted(tuple(r) for r in incl.select("k", "o", "s").collect()) == ref2
@@ -148,3 +149,25 @@ def test_quarantine_split(spark):
     ok, bad = N.quarantine(df, "raw")
     assert sorted(r["id"] for r in ok.collect()) == [1, 5]
     assert sorted((r["id"], r["reason"]) for r in bad.collect()) == [(2, "format"), (3, "range"), (4, "range")]
+
+
+def test_running_paths_agree_without_hot_key(spark):
+    rng = random.Random(4)
+    rows = [(rng.randint(1, 200), i, rng.randint(-50, 50)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k long, o long, v long")
+    assert scan._largest_key_fits(df, "k", 9)
+    aggs = {"mx": ("max", F.col("v")), "s": ("sum", F.col("v"))}
+    plain = sorted(tuple(r) for r in scan.running(df, "k", ["o"], aggs, partitions=9).collect())
+    sliced = sorted(tuple(r) for r in scan.running(df, "k", ["o"], aggs, partitions=9,
+                                                   plain_if_fits=False).collect())
+    assert plain == sliced
+
+
+def test_hot_key_takes_sliced_path(spark):
+    rows = [(0 if i % 3 == 0 else i, i, 1) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, o long, v long")
+    assert not scan._largest_key_fits(df, "k", 8)
+    out = scan.running(df, "k", ["o"], {"s": ("sum", F.col("v"))}, partitions=8)
+    assert "_slice" not in out.columns
+    hot = sorted(r["s"] or 0 for r in out.where("k = 0").collect())
+    assert hot == list(range(1000))
