@@ -57,8 +57,10 @@ IPV4_NEEDS = "."
 # --- fixed values: validated numbers --------------------------------------
 # What Python int() accepts: optional Unicode space, a sign, decimal digits of
 # any script with single underscores between them, optional Unicode space.
-INT_GUARD_RE = r"(?U)^[\s\x1c-\x1f]*[+-]?\p{Nd}+(?:_\p{Nd}+)*[\s\x1c-\x1f]*$"
-INT_NOISE_RE = r"(?U)[_\s\x1c-\x1f]"
+# int() spaces are Unicode White_Space, which is Java's (?U)\s; unlike
+# str.strip() it does not take U+001C..U+001F.
+INT_GUARD_RE = r"(?U)^\s*[+-]?\p{Nd}+(?:_\p{Nd}+)*\s*$"
+INT_NOISE_RE = r"(?U)[_\s]"
 # The game's closed range; a guess must lie strictly inside the live bracket.
 LOWEST = 1
 HIGHEST = 100

@@ -171,3 +171,30 @@ def test_hot_key_takes_sliced_path(spark):
     assert "_slice" not in out.columns
     hot = sorted(r["s"] or 0 for r in out.where("k = 0").collect())
     assert hot == list(range(1000))
+
+
+def test_parse_int_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    pieces = st.sampled_from(
+        list("0123456789") + ["٣", "４", "७", "০", "_", "+", "-", " ", "\t", "\n", "　", "\xa0",
+                              "\x1c", ".", "e", "x", "9" * 39])
+    texts = st.lists(pieces, min_size=0, max_size=8).map("".join)
+
+    @settings(max_examples=4, deadline=None)
+    @given(st.lists(texts, min_size=50, max_size=120))
+    def check(batch):
+        df = spark.createDataFrame([(i, s) for i, s in enumerate(batch)], "i int, raw string")
+        got = {r["i"]: (r["v"], r["ok"]) for r in df.select(
+            "i", N.parse_int(F.col("raw")).alias("v"), N.format_ok(F.col("raw")).alias("ok")).collect()}
+        for i, s in enumerate(batch):
+            want = _py_int(s)
+            v, ok = got[i]
+            assert ok == (want is not None), repr(s)
+            if want is not None and abs(want) < 10 ** 38:
+                assert int(v) == want, s
+            elif want is not None:
+                assert v is None, s
+
+    check()
