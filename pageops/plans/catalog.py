@@ -77,6 +77,16 @@ def q_distinct_links(spark, root):
     return L.distinct_links(_pages(spark, root), ITEM, None, WORDS, kept_only=False)
 
 
+def q_class_items(spark, root):
+    """Class-token selection on the corpus: each ``div.ad`` is its own title."""
+    return L.extract_links(_pages(spark, root), ("div", "ad"), None, ())
+
+
+def q_nav_first_links(spark, root):
+    """Distinct item and title selectors: per list, its first entry's text and link."""
+    return L.extract_links(_pages(spark, root), ("ul", None), ("li", None), ())
+
+
 def q_keyed_flatten(spark, root):
     ev = _events(spark, root)
     parsed = ev.select("event_id", R.parse_keyed(F.col("props"), "string").alias("m"))
@@ -150,6 +160,8 @@ QUERIES: dict[str, Query] = {
     "links_absolute": q_links_absolute,
     "link_audit": q_link_audit,
     "distinct_links": q_distinct_links,
+    "class_items": q_class_items,
+    "nav_first_links": q_nav_first_links,
     "keyed_flatten": q_keyed_flatten,
     "records_json": q_records_json,
     "distinct_addresses": q_distinct_addresses,
@@ -351,3 +363,36 @@ SELECT user_id, CAST(count(*) AS BIGINT) AS attempts,
   CAST(least({HIGHEST}, min(CASE WHEN outcome = 'high' THEN val END)) AS BIGINT) AS final_hi
 FROM fold GROUP BY user_id""",
 }
+
+
+def _clean_sql(body: str) -> str:
+    return f"WITH cleaned AS (SELECT page_id, regexp_replace(html, {_sql_str(_CLEAN)}, '', 'g') AS c FROM pages)\n{body}"
+
+
+_AD_RE = r'<div\s[^>]*class="([^"]*\s)?ad(\s[^"]*)?"[^>]*>([^<]*)</div>'
+_FIRST_LI_RE = r"(?s)<ul(\s[^>]*)?>\s*<li(\s[^>]*)?>(.*?)</li\s*>"
+_HREF_TEST = r'<a\s[^>]*href\s*=\s*"'
+_HREF_RE = r'<a\s[^>]*?href\s*=\s*"([^"]*)"'
+
+
+def _strip_sql(expr: str) -> str:
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'")):
+        expr = f"replace({expr}, {_sql_str(ent)}, {_sql_str(ch)})"
+    expr = f"replace(replace({expr}, '&nbsp;', chr(160)), '&amp;', '&')"
+    return f"regexp_replace({expr}, {_sql_str(r'^\s+|\s+$')}, '', 'g')"
+
+
+ORACLES["class_items"] = _clean_sql(f"""
+SELECT page_id, CAST(i AS INTEGER) AS item_pos, {_strip_sql("m[i]")} AS title,
+       CAST(NULL AS VARCHAR) AS link, 'no_link' AS reason
+FROM (SELECT page_id, m, unnest(range(1, len(m) + 1)) AS i
+      FROM (SELECT page_id, regexp_extract_all(c, {_sql_str(_AD_RE)}, 3) AS m FROM cleaned))""")
+
+ORACLES["nav_first_links"] = _clean_sql(f"""
+SELECT page_id, CAST(i AS INTEGER) AS item_pos,
+  {_strip_sql("regexp_replace(m[i], '<[^>]*>', '', 'g')")} AS title,
+  CASE WHEN regexp_matches(m[i], {_sql_str(_HREF_TEST)})
+       THEN {_strip_sql(f"regexp_extract(m[i], {_sql_str(_HREF_RE)}, 1)")} END AS link,
+  CASE WHEN regexp_matches(m[i], {_sql_str(_HREF_TEST)}) THEN 'kept' ELSE 'no_link' END AS reason
+FROM (SELECT page_id, m, unnest(range(1, len(m) + 1)) AS i
+      FROM (SELECT page_id, regexp_extract_all(c, {_sql_str(_FIRST_LI_RE)}, 3) AS m FROM cleaned))""")
