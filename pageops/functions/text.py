@@ -34,10 +34,14 @@ def extract_all(text: Column, pattern: str, group: int = 0, needs: str | None =
 
 
 def contains_any(col: Column, words) -> Column:
-    """Unanchored, case-sensitive substring test against a fixed word list."""
+    """Unanchored, case-sensitive substring test against a fixed word list.
+    A short list is an OR of ``contains``; a long one is one ``exists`` over a
+    literal array (the plan stays small)."""
     words = list(words)
     if not words:
         return F.lit(False)
+    if len(words) > 8:
+        return F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(col, w))
     cond = None
     for w in words:
         c = F.contains(col, F.lit(w))

@@ -191,3 +191,17 @@ def test_link_plan_is_narrow_and_python_free(spark):
     # the items expression is evaluated once: no inferred filter repeats it
     assert "Filter (size(" not in plan and "Filter size(" not in plan
     assert F is not None
+
+
+def test_filter_on_output_reaches_scan(spark, sf_small):
+    from __spark_entry__ import queries
+    df = queries()["index_links"](spark, sf_small).where(F.col("page_id") < 10)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(page_id,10)" in plan
+
+
+def test_many_excluded_words(spark):
+    words = [f"w{i}x" for i in range(40)] + ["[公告]"]
+    df = L.index_links(index_pages(spark), FORUM_ITEM, FORUM_TITLE, words)
+    titles = {r["title"] for r in df.collect()}
+    assert "[公告] board rules" not in titles and "[問卦] plain item" in titles
