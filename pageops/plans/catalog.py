@@ -396,3 +396,34 @@ SELECT page_id, CAST(i AS INTEGER) AS item_pos,
   CASE WHEN regexp_matches(m[i], {_sql_str(_HREF_TEST)}) THEN 'kept' ELSE 'no_link' END AS reason
 FROM (SELECT page_id, m, unnest(range(1, len(m) + 1)) AS i
       FROM (SELECT page_id, regexp_extract_all(c, {_sql_str(_FIRST_LI_RE)}, 3) AS m FROM cleaned))""")
+
+
+def q_bracket_by_type(spark, root):
+    """The bracket game keyed by event type: five keys of ~20% of all rows each,
+    so the prefix scan takes its sliced (hot key) path on the corpus."""
+    ev = _events(spark, root)
+    raw = (F.when(F.col("event_type") == "error", F.col("value").cast("string"))
+           .otherwise(F.get_json_object("props", "$.k")))
+    att = ev.select("event_type", "ts", "event_id", raw.alias("raw"),
+                    (F.lit(50) + F.length("event_type")).cast("long").alias("target"))
+    h = N.bracket_history(att, "event_type", ["ts", "event_id"])
+    return h.select("event_type", "event_id", "seq", "lo", "hi", "outcome")
+
+
+QUERIES["bracket_by_type"] = q_bracket_by_type
+
+_TYPE_FOLD = _FOLD_CTE.replace("user_id", "event_type")
+ORACLES["bracket_by_type"] = f"""WITH RECURSIVE attempts AS (
+  SELECT event_type, ts, event_id,
+    CASE WHEN event_type = 'error' THEN CAST(value AS VARCHAR) ELSE json_extract_string(props, '$.k') END AS raw,
+    CAST(50 + length(event_type) AS BIGINT) AS target
+  FROM events
+),
+checked AS (
+  SELECT *, coalesce(regexp_full_match(raw, '\\s*[+-]?[0-9]+(_[0-9]+)*\\s*'), false) AS fmt_ok,
+    CASE WHEN regexp_full_match(raw, '\\s*[+-]?[0-9]+(_[0-9]+)*\\s*')
+      THEN TRY_CAST(replace(trim(raw), '_', '') AS DECIMAL(38,0)) END AS val,
+    row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS seq
+  FROM attempts
+), {_TYPE_FOLD}
+SELECT event_type, event_id, CAST(seq AS BIGINT) AS seq, lo, hi, outcome FROM fold"""
