@@ -87,10 +87,10 @@ def has_class(tag: Column, cls: str) -> Column:
     return F.array_contains(F.split(F.btrim(value, F.lit(" \t\n\f\r")), _CLASS_SPLIT_RE), F.lit(cls))
 
 
-def elements(names: Column, n_tags: Column, tag: str) -> Column:
+def elements(names: Column, n_tokens: Column, tag: str) -> Column:
     """All ``tag`` elements as ``array<struct<open:int, close:int, closed:boolean>>``
     sorted by ``open``; ``open``/``close`` index the tokens.  An element with
-    no matching close runs to the end (``close = n_tags``, the token count).
+    no matching close runs to the end (``close = n_tokens``).
     ``names`` must be cheap to reference (an attribute or a bound variable)."""
     tag = tag.lower()
     opens = positions_of(names, tag)
@@ -122,16 +122,16 @@ def elements(names: Column, n_tags: Column, tag: str) -> Column:
         paired = F.filter(F.transform(lv, pair), lambda e: e["kind"] == 1)
         return F.sort_array(F.transform(paired, lambda e: F.struct(e["open"], e["close"], e["closed"])))
 
-    return let(body, lv=by_level, n=n_tags)
+    return let(body, lv=by_level, n=n_tokens)
 
 
-def select(names: Column, tags: Column, n_tags: Column, tag: str, cls: str | None) -> Column:
+def select(names: Column, tokens: Column, n_tokens: Column, tag: str, cls: str | None) -> Column:
     """Elements matching ``tag`` and, when given, class token ``cls``.
-    ``names`` and ``tags`` must be cheap to reference."""
-    els = elements(names, n_tags, tag)
+    ``names`` and ``tokens`` must be cheap to reference."""
+    els = elements(names, n_tokens, tag)
     if cls is None:
         return els
-    return F.filter(els, lambda e: has_class(F.get(tags, e["open"]), cls))
+    return F.filter(els, lambda e: has_class(F.get(tokens, e["open"]), cls))
 
 
 def first_within(items: Column, cand_pos: Column, strict: bool) -> Column:

@@ -11,8 +11,6 @@ FORUM_ITEM = ("div", "r-ent")
 FORUM_TITLE = ("div", "title")
 # Titles holding either tag are dropped (announcements, search requests).
 FORUM_EXCLUDED = ("[公告]", "[協尋]")
-# Base of the forum; links on its index pages are root-relative.
-FORUM_BASE = "https://www.ptt.cc"
 
 # --- fixed values: markup -------------------------------------------------
 # One pass over a page: a whole comment / script / style element, a tag, a run

@@ -25,15 +25,15 @@ REASONS = ("kept", "no_title", "no_link", "excluded")
 def _with_page(html, body):
     """Bind the page's tokens, their tag names and the token count once and
     pass them to ``body`` as fields of two structs."""
-    return H.let(lambda v: H.let(lambda w: body(v, w), names=H.token_names(v["tags"]), n=F.size(v["tags"])),
-                 tags=H.page_tokens(html))
+    return H.let(lambda v: H.let(lambda w: body(v, w), names=H.token_names(v["tokens"]), n=F.size(v["tokens"])),
+                 tokens=H.page_tokens(html))
 
 
 def element_open_tags(html, item: Selector = ("li", None)):
     """Column: the open tag of every element matching ``item``, in document order."""
     def body(v, w):
-        els = H.select(w["names"], v["tags"], w["n"], item[0], item[1])
-        return F.transform(els, lambda e: F.get(v["tags"], e["open"]))
+        els = H.select(w["names"], v["tokens"], w["n"], item[0], item[1])
+        return F.transform(els, lambda e: F.get(v["tokens"], e["open"]))
     return _with_page(html, body)
 
 
@@ -61,16 +61,16 @@ def items_column(html, item: Selector = ("li", None), title: Selector | None = N
     same = title is None or tuple(title) == tuple(item)
 
     def body(v, w):
-        items = H.select(w["names"], v["tags"], w["n"], item[0], item[1])
+        items = H.select(w["names"], v["tokens"], w["n"], item[0], item[1])
         anchors = H.positions_of(w["names"], "a")
 
         def with_titles(x):
             def extract(z):
                 def one(it, j):
                     tl = F.get(x["titles"], j)
-                    text = H.inner_text(v["tags"], tl["open"], tl["close"])
+                    text = H.inner_text(v["tokens"], tl["open"], tl["close"])
                     a_pos = F.get(x["anchors"], F.get(z["aidx"], j))
-                    href = H.attr(F.get(v["tags"], a_pos), "href")
+                    href = H.attr(F.get(v["tokens"], a_pos), "href")
                     return F.struct(
                         (j + 1).alias("item_pos"),
                         F.when(tl.isNotNull(), py_strip(unescape_entities(text))).alias("title"),
@@ -87,7 +87,7 @@ def items_column(html, item: Selector = ("li", None), title: Selector | None = N
             return H.let(with_titles, items=y["items"], anchors=y["anchors"],
                          titles=F.transform(idx, lambda i: F.get(y["tels"], i)))
 
-        tels = H.select(w["names"], v["tags"], w["n"], title[0], title[1])
+        tels = H.select(w["names"], v["tokens"], w["n"], title[0], title[1])
         return H.let(pick_titles, items=items, anchors=anchors, tels=tels)
 
     def classify(x):
@@ -222,8 +222,3 @@ def distinct_links(pages: DataFrame, item: Selector = ("li", None), title: Selec
         F.transform(F.filter("items", wanted), lambda x: x["link"]))).alias("link")).where(F.col("link").isNotNull())
     return per_page.groupBy("link").agg(
         F.count(F.lit(1)).alias("n_pages"), F.min(id_col).alias("first_page"))
-
-
-def excluded_words_filter(col, words: Sequence[str]):
-    """A6 as a plain column predicate (True = keep)."""
-    return ~contains_any(col, words)
