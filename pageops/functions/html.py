@@ -23,6 +23,7 @@ open tag; ``script`` and ``style`` elements cannot be selected.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -33,7 +34,6 @@ from .patterns import TOKEN_RE
 _NAME_RE = r"^<(/?[A-Za-z][^\s/>]*)"
 # Same, but '' for script/style (those tokens are whole elements, never selected).
 _ELEMENT_NAME_RE = r"^<(/?(?!(?i:script|style)\b)[A-Za-z][^\s/>]*)"
-_ATTR_RE = r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?"""
 _CLASS_SPLIT_RE = r"[ \t\n\f\r]+"
 
 
@@ -69,16 +69,22 @@ def positions_of(names: Column, name: str) -> Column:
     )
 
 
+def _attr_re(name: str) -> str:
+    """Whole-tag regex: skip the tag name and every attribute not called
+    ``name``, then capture the first ``name`` value (groups 1-3; none for a
+    valueless attribute)."""
+    n = re.escape(name)
+    value = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    other = r"""\s+(?!""" + n + r"""(?:[\s=/>]|$))[^\s"'>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
+    return r"(?is)^<[^\s/>]*(?:" + other + r")*\s+" + n + r"(?:\s*=\s*" + value + r")?(?=[\s/>]|$).*$"
+
+
 def attr(tag: Column, name: str) -> Column:
     """Value of attribute ``name`` of one tag token; NULL when absent, '' when
-    empty or valueless.  The first occurrence wins; names are case-insensitive."""
-    def body(v):
-        names = F.regexp_extract_all(v["rest"], F.lit(_ATTR_RE), F.lit(1))
-        idx = F.array_position(F.transform(names, lambda n: F.lower(n)), F.lit(name.lower()))
-        j = (idx - 1).cast("int")
-        vals = [F.get(F.regexp_extract_all(v["rest"], F.lit(_ATTR_RE), F.lit(g)), j) for g in (2, 3, 4)]
-        return F.when(idx > 0, F.concat(*vals))
-    return let(body, rest=F.regexp_replace(tag, _NAME_RE, ""))
+    empty or valueless.  The first occurrence wins; names are case-insensitive.
+    Two regex calls; ``tag`` must be cheap to reference."""
+    rx = _attr_re(name)
+    return F.when(tag.rlike(rx), F.regexp_replace(tag, F.lit(rx), F.lit("$1$2$3")))
 
 
 def has_class(tag: Column, cls: str) -> Column:

@@ -16,7 +16,8 @@ def py_strip(col: Column) -> Column:
 
 
 def unescape_entities(col: Column) -> Column:
-    """Decode the fixed entity list; other entities stay as found."""
+    """Decode the fixed entity list; other entities stay as found.  ``col`` is
+    read once (no common-subexpression elimination happens inside lambdas)."""
     for ent, ch in ENTITIES:
         col = F.replace(col, F.lit(ent), F.lit(ch))
     return col
