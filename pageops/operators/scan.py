@@ -96,9 +96,13 @@ def _sliced(df: DataFrame, key: str, order: list[str], aggs: Mapping[str, tuple[
     # first key, last key (hash aggregates over those rows), then the last
     # key's total via a broadcast of the per-slice bounds (N rows).
     ends = local.where(F.col("_is_last")).select("_slice", key, *[f"_t_{name}" for name in aggs])
-    bounds = ends.groupBy("_slice").agg(F.min(key).alias("_first"), F.max(key).alias("_lk"))
+    # NULL keys sort first: a slice holding any starts with NULL; its last key
+    # is NULL only when every key in it is NULL.
+    bounds = ends.groupBy("_slice").agg(
+        F.when(F.max(F.col(key).isNull()), F.lit(None)).otherwise(F.min(key)).alias("_first"),
+        F.max(key).alias("_lk"))
     lasts = (ends.join(F.broadcast(bounds), "_slice")
-             .where(F.col(key) == F.col("_lk"))
+             .where(F.col(key).eqNullSafe(F.col("_lk")))
              .select("_slice", "_first", "_lk", *[f"_t_{name}" for name in aggs]))
     # Running total of each slice's last key across earlier slices (N rows).
     by_last = Window.partitionBy("_lk").orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
@@ -107,14 +111,14 @@ def _sliced(df: DataFrame, key: str, order: list[str], aggs: Mapping[str, tuple[
         *[_FN[kind](F.col(f"_t_{name}")).over(by_last).alias(f"_r_{name}") for name, (kind, _) in aggs.items()],
     )
     prev = Window.orderBy("_slice")
+    continues = F.lag("_slice").over(prev).isNotNull() & F.lag("_lk").over(prev).eqNullSafe(F.col("_first"))
     carry = chained.select(
         "_slice",
-        *[F.when(F.lag("_lk").over(prev) == F.col("_first"), F.lag(f"_r_{name}").over(prev))
-          .alias(f"_c_{name}") for name in aggs],
+        *[F.when(continues, F.lag(f"_r_{name}").over(prev)).alias(f"_c_{name}") for name in aggs],
         "_first",
     )
     joined = local.join(F.broadcast(carry), "_slice", "left")
-    is_first = F.col(key) == F.col("_first")
+    is_first = F.col(key).eqNullSafe(F.col("_first"))
     out = joined.select(
         *df.columns,
         *[F.when(is_first, _combine(kind, F.col(f"_c_{name}"), F.col(f"_l_{name}")))

@@ -198,3 +198,14 @@ def test_parse_int_property(spark):
                 assert v is None, s
 
     check()
+
+
+def test_running_null_keys_both_paths(spark):
+    rng = random.Random(8)
+    rows = [(None if rng.random() < 0.35 else rng.randint(1, 20), i, rng.randint(-9, 9)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k long, o long, v long")
+    w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
+    ref = sorted((tuple(r) for r in df.select("k", "o", F.sum("v").over(w).alias("s")).collect()), key=repr)
+    for plain in (True, False):
+        got = scan.running(df, "k", ["o"], {"s": ("sum", F.col("v"))}, partitions=7, plain_if_fits=plain)
+        assert sorted((tuple(r) for r in got.select("k", "o", "s").collect()), key=repr) == ref, plain
