@@ -42,7 +42,8 @@ def select_elements(pages: DataFrame, item: Selector = ("li", None), *,
     """A2: every element matching ``item`` (tag, class token), in document
     order.  Rows ``(page_id, item_pos, open_tag)``; ``item_pos`` counts from 1
     per page.  Nested matches are items of their own."""
-    per_page = pages.select(id_col, element_open_tags(F.col(html_col), item).alias("_t"))
+    per_page = pages.select(id_col, _built(("open_tags", html_col, tuple(item)),
+                                           lambda: element_open_tags(F.col(html_col), item)).alias("_t"))
     return (per_page.select(id_col, F.posexplode_outer("_t").alias("_p", "open_tag"))
             .where(F.col("_p").isNotNull())
             .select(id_col, (F.col("_p") + 1).cast("int").alias("item_pos"), "open_tag"))
@@ -100,13 +101,33 @@ def items_column(html, item: Selector = ("li", None), title: Selector | None = N
     return F.transform(_with_page(html, body), classify)
 
 
+_BUILT: dict = {}
+
+
+def _built(key: tuple, build):
+    """A large column expression, built once per process and key: every node
+    is a py4j call to build, while the built (unresolved) expression can be
+    reused by any number of DataFrames."""
+    from pyspark import SparkContext
+    key = (id(SparkContext._gateway), *key)
+    if key not in _BUILT:
+        _BUILT[key] = build()
+    return _BUILT[key]
+
+
+def _items_for(html_col: str, item: Selector, title: Selector | None, keywords: Iterable[str]):
+    keywords = tuple(keywords)
+    key = ("items", html_col, tuple(item), None if title is None else tuple(title), keywords)
+    return _built(key, lambda: items_column(F.col(html_col), item, title, keywords))
+
+
 def page_items(pages: DataFrame, item: Selector = ("li", None), title: Selector | None = None,
                keywords: Iterable[str] = FORUM_EXCLUDED, *,
                id_col: str = "page_id", html_col: str = "html",
                keep: Sequence[str] = ()) -> DataFrame:
     """Per page ``(page_id, *keep, items)``; see ``items_column``.  ``title=None``
     means the item is its own title element."""
-    return pages.select(id_col, *keep, items_column(F.col(html_col), item, title, keywords).alias("items"))
+    return pages.select(id_col, *keep, _items_for(html_col, item, title, keywords).alias("items"))
 
 
 def extract_links(pages: DataFrame, item: Selector = ("li", None), title: Selector | None = None,
