@@ -53,8 +53,12 @@ def table_path(root: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One table of a corpus folder (``<root>/<name>.parquet``)."""
-    return spark.read.parquet(table_path(root, name))
+    """One table of a corpus folder (``<root>/<name>.parquet``), with its
+    explicit schema when it is one of ours (no footer-based inference)."""
+    r = spark.read
+    if name in SCHEMAS:
+        r = r.schema(SCHEMAS[name])
+    return r.parquet(table_path(root, name))
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
