@@ -51,14 +51,23 @@ def q_stream_bracket_state(spark, root):
     return spark.read.parquet(out)
 
 
+def q_stream_bracket_history(spark, root):
+    out, ck = _paths(spark, "stream-bracket-history")
+    att = attempts_from_events(S.read_stream(spark, root, "events"))
+    _finish(S.stream_bracket_history(att, "user_id", ["ts", "event_id"], out, ck))
+    return spark.read.parquet(out).select("user_id", "event_id", "seq", "lo", "hi", "outcome")
+
+
 STREAM_QUERIES = {
     "stream_index_links": q_stream_index_links,
     "stream_contact_entities": q_stream_contact_entities,
     "stream_distinct_keys": q_stream_distinct_keys,
     "stream_bracket_state": q_stream_bracket_state,
+    "stream_bracket_history": q_stream_bracket_history,
 }
 
 STREAM_ORACLES = {
+    "stream_bracket_history": ORACLES["bracket_history"],
     "stream_index_links": ORACLES["index_links"],
     "stream_contact_entities": ORACLES["contact_entities"],
     "stream_distinct_keys": "SELECT DISTINCT user_id, event_type FROM events",

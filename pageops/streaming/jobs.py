@@ -97,3 +97,78 @@ def stream_bracket_state(attempts: DataFrame, key: str, out: str, checkpoint: st
          .option("checkpointLocation", checkpoint).foreachBatch(write))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+# --- D4 + D5 on a stream: per-key state, vectorised fold per micro-batch ----
+
+_HISTORY_STATE = "lo long, hi long, done boolean, seq long"
+
+
+def _history_fold(key_name: str, order: Sequence[str], lo0: int, hi0: int):
+    """Per key and micro-batch: sort the key's new attempts, fold them onto the
+    stored bracket with numpy prefix max/min (no per-row Python), emit the
+    attempts up to the first hit, store (lo, hi, done, seq)."""
+    import numpy as np
+    import pandas as pd
+
+    def fold(key, pdfs, state):
+        lo, hi, done, seq = state.get if state.exists else (lo0, hi0, False, 0)
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(list(order), kind="stable")
+        n = len(pdf)
+        v = pdf["v"].to_numpy(dtype="float64", na_value=np.nan)
+        t = pdf["target"].to_numpy(dtype="float64")
+        fmt = pdf["fmt_ok"].to_numpy(dtype=bool)
+        below = np.where(v < t, v, -np.inf)
+        above = np.where(v > t, v, np.inf)
+        hit = (v == t) & (t > lo0) & (t < hi0)
+        lo_before = np.maximum.accumulate(np.concatenate(([float(lo)], below[:-1]))) if n else below
+        hi_before = np.minimum.accumulate(np.concatenate(([float(hi)], above[:-1]))) if n else above
+        hits_before = np.concatenate(([int(done)], np.cumsum(hit)[:-1] + int(done))) if n else hit
+        keep = hits_before == 0
+        outcome = np.select(
+            [~fmt, np.isnan(v) | (v <= lo_before) | (v >= hi_before), v == t, v < t],
+            ["format", "range", "hit", "low"], "high")
+        out = pd.DataFrame({
+            key_name: key[0],
+            **{c: pdf[c].to_numpy() for c in order},
+            "seq": seq + np.arange(1, n + 1, dtype="int64"),
+            "lo": lo_before.astype("int64"),
+            "hi": hi_before.astype("int64"),
+            "outcome": outcome,
+        })[keep]
+        if n:
+            lo = int(max(lo, below.max()))
+            hi = int(min(hi, above.min()))
+            done = bool(done or hit.any())
+        state.update((lo, hi, done, seq + n))
+        yield out
+
+    return fold
+
+
+def bracket_history_stream(attempts: DataFrame, key: str, order: Sequence[str], raw_col: str = "raw",
+                           target_col: str = "target", lo: int = LOWEST, hi: int = HIGHEST) -> DataFrame:
+    """D4, D5 as a stateful stream (``applyInPandasWithState``): the same rows
+    as ``numbers.bracket_history`` when each key's attempts arrive in order
+    (rows of one micro-batch are sorted; later batches cannot reorder earlier
+    ones).  Values are parsed in the JVM and clipped to ``[lo-1, hi+1]``, which
+    keeps every comparison against targets and brackets inside ``[lo, hi]``."""
+    from pyspark.sql import types as T
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    v = N.parse_int(F.col(raw_col))
+    clipped = F.least(F.greatest(v, F.lit(lo - 1)), F.lit(hi + 1)).cast("long")
+    prepared = attempts.select(key, *order, clipped.alias("v"), N.format_ok(F.col(raw_col)).alias("fmt_ok"),
+                               F.col(target_col).cast("long").alias("target"))
+    fields = {f.name: f.dataType for f in prepared.schema.fields}
+    out_schema = T.StructType([T.StructField(key, fields[key]), *[T.StructField(c, fields[c]) for c in order],
+                               T.StructField("seq", T.LongType()), T.StructField("lo", T.LongType()),
+                               T.StructField("hi", T.LongType()), T.StructField("outcome", T.StringType())])
+    return prepared.groupBy(key).applyInPandasWithState(
+        _history_fold(key, list(order), lo, hi), out_schema, _HISTORY_STATE, "append",
+        GroupStateTimeout.NoTimeout)
+
+
+def stream_bracket_history(attempts: DataFrame, key: str, order: Sequence[str], out: str, checkpoint: str,
+                           available_now: bool = True) -> StreamingQuery:
+    return _run(bracket_history_stream(attempts, key, order), out, checkpoint, available_now)

@@ -69,3 +69,16 @@ def test_entities_stream(spark, sf_small):
     _done(S.stream_entities(S.read_stream(spark, f"{d}/in", "documents", max_files=1), f"{d}/out", f"{d}/ck"))
     got = sorted(tuple(r) for r in spark.read.parquet(f"{d}/out").collect())
     assert got == sorted(tuple(r) for r in E.extract_entities(docs).collect())
+
+
+def test_bracket_history_stream_equals_batch(spark, sf_small):
+    from pageops.operators import numbers as N
+    d = _tmp()
+    events = _split(spark, sf_small, "events", 3, f"{d}/in")
+    att = attempts_from_events(S.read_stream(spark, f"{d}/in", "events", max_files=1))
+    _done(S.stream_bracket_history(att, "user_id", ["ts", "event_id"], f"{d}/out", f"{d}/ck"))
+    cols = ["user_id", "event_id", "seq", "lo", "hi", "outcome"]
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{d}/out").select(*cols).collect())
+    want = sorted(tuple(r) for r in N.bracket_history(attempts_from_events(events), "user_id",
+                                                       ["ts", "event_id"]).select(*cols).collect())
+    assert got == want
