@@ -8,8 +8,6 @@ oracle as the batch query (stream equals batch).
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..session import scratch_path
 from ..streaming import jobs as S
 from .catalog import ITEM, ORACLES, WORDS, _ATTEMPTS_CTE, attempts_from_events
@@ -79,4 +77,3 @@ SELECT user_id, CAST(count(*) AS BIGINT) AS attempts,
 FROM checked GROUP BY user_id""",
 }
 
-assert F is not None
