@@ -97,7 +97,7 @@ def draw_random(lo: int = LOWEST, hi: int = HIGHEST, seed: int | None = None) ->
 
 def bracket_history(attempts: DataFrame, key: str, order: list[str], raw_col: str = "raw",
                     target_col: str = "target", lo: int = LOWEST, hi: int = HIGHEST, *,
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None, skew_rows: int = scan.SKEW_ROWS) -> DataFrame:
     """Per attempt the bracket before it and its outcome, up to and
     including the key's first hit.  Adds ``seq`` (1-based place in the key's
     order), ``value``, ``lo``, ``hi``, ``outcome``."""
@@ -111,7 +111,7 @@ def bracket_history(attempts: DataFrame, key: str, order: list[str], raw_col: st
         # A guess equal to a target on the bounds is out of range, never a hit.
         "hits": ("sum", F.when((val == t) & (t > lo) & (t < hi), F.lit(1)).otherwise(F.lit(0))),
         "before": ("sum", F.lit(1)),
-    }, partitions=partitions)
+    }, partitions=partitions, skew_rows=skew_rows)
     lo_c = F.greatest(F.lit(lo).cast(_INT), F.col("below"))
     hi_c = F.least(F.lit(hi).cast(_INT), F.col("above"))
     outcome = (F.when(~format_ok(F.col(raw_col)), F.lit("format"))

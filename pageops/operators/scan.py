@@ -21,8 +21,9 @@ cut into consecutive slices across many partitions:
 
 When no key is hot the slicing is not needed: one aggregate (rows per key ->
 largest and total, a single row to the driver) decides.  If the largest key
-holds at most one partition's share of the rows, a plain window partitioned by
-key cannot overload a task and is used instead (one shuffle, no checkpoint).
+holds at most one partition's share of the rows, or at most ``skew_rows`` rows,
+a plain window partitioned by key cannot overload a task and is used instead
+(one shuffle, no checkpoint).
 
 Supported aggregates are associative with an identity on NULL: ``max``,
 ``min``, ``sum``.
@@ -49,27 +50,36 @@ def _combine(kind: str, a: Column, b: Column) -> Column:
     return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
 
 
+SKEW_ROWS = 1_000_000
+
+
 def running(df: DataFrame, key: str, order: Sequence[str],
             aggs: Mapping[str, tuple[str, Column]], *, inclusive: bool = False,
-            partitions: int | None = None, plain_if_fits: bool = True) -> DataFrame:
+            partitions: int | None = None, plain_if_fits: bool = True,
+            skew_rows: int = SKEW_ROWS) -> DataFrame:
     """Add, per row, ``aggs[name] = (kind, expr)`` aggregated over the earlier
     rows of the same ``key`` in ``order`` (also the row itself when
-    ``inclusive``).  ``order`` must be a total order within a key."""
+    ``inclusive``).  ``order`` must be a total order within a key.
+
+    A key is hot when it has more rows than one partition's share
+    (``total / partitions``) and more than ``skew_rows``; without a hot key a
+    plain window is used, otherwise the sliced scan."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = list(order)
-    if plain_if_fits and _largest_key_fits(df, key, n):
+    if plain_if_fits and _largest_key_fits(df, key, n, skew_rows):
         w = Window.partitionBy(key).orderBy(*order).rowsBetween(
             Window.unboundedPreceding, 0 if inclusive else -1)
         return df.select("*", *[_FN[kind](expr).over(w).alias(name) for name, (kind, expr) in aggs.items()])
     return _sliced(df, key, order, aggs, inclusive, n)
 
 
-def _largest_key_fits(df: DataFrame, key: str, n: int) -> bool:
-    """True when the largest key has at most ``total / n`` rows."""
+def _largest_key_fits(df: DataFrame, key: str, n: int, skew_rows: int = SKEW_ROWS) -> bool:
+    """True when the largest key has at most ``max(total / n, skew_rows)`` rows
+    (one aggregate; a single row reaches the driver)."""
     st = (df.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
           .agg(F.max("c").alias("mx"), F.sum("c").alias("total")).first())
-    return st["total"] is None or st["mx"] * n <= st["total"]
+    return st["total"] is None or st["mx"] <= skew_rows or st["mx"] * n <= st["total"]
 
 
 def _sliced(df: DataFrame, key: str, order: list[str], aggs: Mapping[str, tuple[str, Column]],

@@ -399,14 +399,15 @@ FROM (SELECT page_id, m, unnest(range(1, len(m) + 1)) AS i
 
 
 def q_bracket_by_type(spark, root):
-    """The bracket game keyed by event type: five keys of ~20% of all rows each,
-    so the prefix scan takes its sliced (hot key) path on the corpus."""
+    """The bracket game keyed by event type: five keys of ~20% of all rows each.
+    ``skew_rows=0`` judges hotness by share alone, so the prefix scan takes its
+    sliced (hot key) path on the corpus at every scale."""
     ev = _events(spark, root)
     raw = (F.when(F.col("event_type") == "error", F.col("value").cast("string"))
            .otherwise(F.get_json_object("props", "$.k")))
     att = ev.select("event_type", "ts", "event_id", raw.alias("raw"),
                     (F.lit(50) + F.length("event_type")).cast("long").alias("target"))
-    h = N.bracket_history(att, "event_type", ["ts", "event_id"])
+    h = N.bracket_history(att, "event_type", ["ts", "event_id"], skew_rows=0)
     return h.select("event_type", "event_id", "seq", "lo", "hi", "outcome")
 
 

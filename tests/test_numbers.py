@@ -84,7 +84,7 @@ def test_bracket_history_matches_fold_with_hot_key(spark):
     rng = random.Random(5)
     rows, expect = _random_attempts(rng, 60, hot_key=7, hot_n=400)
     df = spark.createDataFrame(rows, "k long, t long, raw string, target long")
-    h = N.bracket_history(df, "k", ["t"], partitions=7)
+    h = N.bracket_history(df, "k", ["t"], partitions=7, skew_rows=0)
     got = {}
     for r in h.collect():
         got.setdefault(r["k"], []).append((r["seq"], r["lo"], r["hi"], r["outcome"]))
@@ -130,7 +130,7 @@ def test_running_equals_window_under_skew(spark):
     rows = [(0 if rng.random() < 0.4 else rng.randint(1, 30), i, rng.randint(-50, 50)) for i in range(3000)]
     df = spark.createDataFrame(rows, "k long, o long, v long")
     aggs = {"mx": ("max", F.col("v")), "mn": ("min", F.col("v")), "s": ("sum", F.col("v"))}
-    got = scan.running(df, "k", ["o"], aggs, partitions=9)
+    got = scan.running(df, "k", ["o"], aggs, partitions=9, skew_rows=0)
     w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
     ref = df.select("k", "o", F.max("v").over(w).alias("mx"), F.min("v").over(w).alias("mn"),
                     F.sum("v").over(w).alias("s"))
@@ -166,8 +166,9 @@ def test_running_paths_agree_without_hot_key(spark):
 def test_hot_key_takes_sliced_path(spark):
     rows = [(0 if i % 3 == 0 else i, i, 1) for i in range(3000)]
     df = spark.createDataFrame(rows, "k long, o long, v long")
-    assert not scan._largest_key_fits(df, "k", 8)
-    out = scan.running(df, "k", ["o"], {"s": ("sum", F.col("v"))}, partitions=8)
+    assert not scan._largest_key_fits(df, "k", 8, skew_rows=0)
+    assert scan._largest_key_fits(df, "k", 8)          # 1,000 rows is not hot in absolute terms
+    out = scan.running(df, "k", ["o"], {"s": ("sum", F.col("v"))}, partitions=8, skew_rows=0)
     assert "_slice" not in out.columns
     hot = sorted(r["s"] or 0 for r in out.where("k = 0").collect())
     assert hot == list(range(1000))
