@@ -18,6 +18,10 @@ def _paths(spark, name):
     return f"{base}/out", f"{base}/checkpoint"
 
 
+def _cores(spark):
+    return spark.sparkContext.defaultParallelism
+
+
 def _finish(q):
     q.awaitTermination()
     if q.exception() is not None:
@@ -38,21 +42,23 @@ def q_stream_contact_entities(spark, root):
 
 def q_stream_distinct_keys(spark, root):
     out, ck = _paths(spark, "stream-distinct")
-    _finish(S.stream_distinct(S.read_stream(spark, root, "events"), ["user_id", "event_type"], out, ck))
+    _finish(S.stream_distinct(S.read_stream(spark, root, "events"), ["user_id", "event_type"], out, ck,
+                              state_partitions=_cores(spark)))
     return spark.read.parquet(out)
 
 
 def q_stream_bracket_state(spark, root):
     out, ck = _paths(spark, "stream-bracket")
     att = attempts_from_events(S.read_stream(spark, root, "events"))
-    _finish(S.stream_bracket_state(att, "user_id", out, ck))
+    _finish(S.stream_bracket_state(att, "user_id", out, ck, state_partitions=_cores(spark)))
     return spark.read.parquet(out)
 
 
 def q_stream_bracket_history(spark, root):
     out, ck = _paths(spark, "stream-bracket-history")
     att = attempts_from_events(S.read_stream(spark, root, "events"))
-    _finish(S.stream_bracket_history(att, "user_id", ["ts", "event_id"], out, ck))
+    _finish(S.stream_bracket_history(att, "user_id", ["ts", "event_id"], out, ck,
+                                     state_partitions=_cores(spark)))
     return spark.read.parquet(out).select("user_id", "event_id", "seq", "lo", "hi", "outcome")
 
 

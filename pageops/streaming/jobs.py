@@ -36,11 +36,27 @@ def read_stream(spark: SparkSession, folder: str, table: str, max_files: int | N
     return r.load(folder)
 
 
-def _run(df: DataFrame, out: str, checkpoint: str, available_now: bool, mode: str = "append") -> StreamingQuery:
+def _start(writer, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
+    """Start a stream; stateful operators get ``state_partitions`` state stores
+    (read from the session conf when the query starts and then fixed by its
+    checkpoint).  The session's own setting is restored right after."""
+    if not state_partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
+
+
+def _run(df: DataFrame, out: str, checkpoint: str, available_now: bool, mode: str = "append",
+         state_partitions: int | None = None) -> StreamingQuery:
     w = (df.writeStream.format("parquet").outputMode(mode)
          .option("path", out).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+    return _start(w, df.sparkSession, state_partitions)
 
 
 def stream_index_links(pages: DataFrame, out: str, checkpoint: str, item=("li", None), title=None,
@@ -68,9 +84,10 @@ def distinct_within_watermark(events: DataFrame, keys: Sequence[str], ts_col: st
 
 
 def stream_distinct(events: DataFrame, keys: Sequence[str], out: str, checkpoint: str,
-                    delay: str = "1 day", available_now: bool = True) -> StreamingQuery:
+                    delay: str = "1 day", available_now: bool = True,
+                    state_partitions: int | None = None) -> StreamingQuery:
     first = distinct_within_watermark(events, keys, delay=delay).select(*keys)
-    return _run(first, out, checkpoint, available_now)
+    return _run(first, out, checkpoint, available_now, state_partitions=state_partitions)
 
 
 def bracket_state(attempts: DataFrame, key: str, raw_col: str = "raw", target_col: str = "target",
@@ -88,7 +105,7 @@ def bracket_state(attempts: DataFrame, key: str, raw_col: str = "raw", target_co
 
 
 def stream_bracket_state(attempts: DataFrame, key: str, out: str, checkpoint: str,
-                         available_now: bool = True) -> StreamingQuery:
+                         available_now: bool = True, state_partitions: int | None = None) -> StreamingQuery:
     """D8 as a stream: the full current state replaces ``out`` every epoch."""
     def write(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(out)
@@ -96,7 +113,7 @@ def stream_bracket_state(attempts: DataFrame, key: str, out: str, checkpoint: st
     w = (bracket_state(attempts, key).writeStream.outputMode("complete")
          .option("checkpointLocation", checkpoint).foreachBatch(write))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+    return _start(w, attempts.sparkSession, state_partitions)
 
 
 # --- D4 + D5 on a stream: per-key state, vectorised fold per micro-batch ----
@@ -170,5 +187,6 @@ def bracket_history_stream(attempts: DataFrame, key: str, order: Sequence[str],
 
 
 def stream_bracket_history(attempts: DataFrame, key: str, order: Sequence[str], out: str, checkpoint: str,
-                           available_now: bool = True) -> StreamingQuery:
-    return _run(bracket_history_stream(attempts, key, order), out, checkpoint, available_now)
+                           available_now: bool = True, state_partitions: int | None = None) -> StreamingQuery:
+    return _run(bracket_history_stream(attempts, key, order), out, checkpoint, available_now,
+                state_partitions=state_partitions)
