@@ -19,8 +19,8 @@ cut into consecutive slices across many partitions:
 4. The carry table is broadcast (its size is the partition count) and folded
    into the first key of each slice.
 
-When no key is hot the slicing is not needed: one aggregate (rows per key ->
-largest and total, a single row to the driver) decides.  If the largest key
+When no key is hot the slicing is not needed: one aggregate over a 1% sample
+(rows per key -> largest and total, a single row to the driver) decides.  If the largest key
 holds at most one partition's share of the rows, or at most ``skew_rows`` rows,
 a plain window partitioned by key cannot overload a task and is used instead
 (one shuffle, no checkpoint).
@@ -74,12 +74,31 @@ def running(df: DataFrame, key: str, order: Sequence[str],
     return _sliced(df, key, order, aggs, inclusive, n)
 
 
-def _largest_key_fits(df: DataFrame, key: str, n: int, skew_rows: int = SKEW_ROWS) -> bool:
-    """True when the largest key has at most ``max(total / n, skew_rows)`` rows
-    (one aggregate; a single row reaches the driver)."""
-    st = (df.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
+def _key_sizes(df: DataFrame, key: str, fraction: float | None = None):
+    """(largest key, total) rows; from a deterministic sample when given."""
+    src = df.select(key) if fraction is None else df.select(key).sample(fraction=fraction, seed=17)
+    st = (src.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
           .agg(F.max("c").alias("mx"), F.sum("c").alias("total")).first())
-    return st["total"] is None or st["mx"] <= skew_rows or st["mx"] * n <= st["total"]
+    return st["mx"] or 0, st["total"] or 0
+
+
+def _largest_key_fits(df: DataFrame, key: str, n: int, skew_rows: int = SKEW_ROWS,
+                      fraction: float = 0.01, min_sample: int = 100_000) -> bool:
+    """True when no key has more than ``max(total / n, skew_rows)`` rows.
+
+    Judged on a 1% sample (so the check shuffles ~1% of the rows even with a
+    billion distinct keys), with a factor-2 margin: a key near the bound is
+    treated as hot.  A small sample means a small input: then it counts
+    exactly.  One row reaches the driver either way."""
+    mx, total = _key_sizes(df, key, fraction)
+    margin = 2.0
+    if total < min_sample:
+        mx, total = _key_sizes(df, key)
+        fraction, margin = 1.0, 1.0
+    if total == 0:
+        return True
+    est_mx, est_total = mx / fraction, total / fraction
+    return est_mx * margin <= skew_rows or est_mx * n * margin <= est_total
 
 
 def _sliced(df: DataFrame, key: str, order: list[str], aggs: Mapping[str, tuple[str, Column]],
