@@ -210,3 +210,11 @@ def test_running_null_keys_both_paths(spark):
     for plain in (True, False):
         got = scan.running(df, "k", ["o"], {"s": ("sum", F.col("v"))}, partitions=7, plain_if_fits=plain)
         assert sorted((tuple(r) for r in got.select("k", "o", "s").collect()), key=repr) == ref, plain
+
+
+def test_hot_key_check_on_sample(spark):
+    n = 12_000_000                      # above min_sample / 1%: the sampled branch
+    hot = spark.range(n).select(F.when(F.col("id") % 4 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    assert not scan._largest_key_fits(hot, "k", 8)           # 3M rows in one key
+    flat = spark.range(n).select((F.col("id") % 100_000).alias("k"))
+    assert scan._largest_key_fits(flat, "k", 8)              # 120 rows per key
