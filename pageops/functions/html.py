@@ -88,9 +88,13 @@ def attr(tag: Column, name: str) -> Column:
 
 
 def has_class(tag: Column, cls: str) -> Column:
-    """Class match by token: ``cls`` is one of the whitespace-separated classes."""
-    value = F.coalesce(attr(tag, "class"), F.lit(""))
-    return F.array_contains(F.split(F.btrim(value, F.lit(" \t\n\f\r")), _CLASS_SPLIT_RE), F.lit(cls))
+    """Class match as the HTML library does it: ``cls`` is one of the
+    whitespace-separated classes, or equals the whole attribute value (so a
+    multi-class selector matches that exact string)."""
+    def body(v):
+        tokens = F.split(F.btrim(v["value"], F.lit(" \t\n\f\r")), _CLASS_SPLIT_RE)
+        return F.array_contains(tokens, F.lit(cls)) | (v["value"] == F.lit(cls))
+    return let(body, value=F.coalesce(attr(tag, "class"), F.lit("")))
 
 
 def elements(names: Column, n_tokens: Column, tag: str) -> Column:

@@ -204,3 +204,13 @@ def test_many_excluded_words(spark):
     df = L.index_links(index_pages(spark), FORUM_ITEM, FORUM_TITLE, words)
     titles = {r["title"] for r in df.collect()}
     assert "[公告] board rules" not in titles and "[問卦] plain item" in titles
+
+
+def test_multi_class_selector_matches_exact_attribute(spark):
+    pages = spark.createDataFrame(
+        [(1, "u", "<div class='r-ent hot'><a href='/1'>one</a></div><div class='hot r-ent'><a href='/2'>two</a></div>"
+                  "<div class='r-ent'><a href='/3'>three</a></div>")],
+        "page_id long, url string, html string")
+    got = [r["open_tag"] for r in L.select_elements(pages, ("div", "r-ent hot")).collect()]
+    assert got == ["<div class='r-ent hot'>"]
+    assert L.select_elements(pages, ("div", "r-ent")).count() == 3
