@@ -80,6 +80,14 @@ def quarantine(df: DataFrame, raw_col: str = "raw", lo: int = LOWEST,
     return c.where(F.col("reason") == "ok"), c.where(F.col("reason") != "ok")
 
 
+def write_quarantine(df: DataFrame, path: str, raw_col: str = "raw", lo: int = LOWEST,
+                     hi: int = HIGHEST, mode: str = "overwrite") -> None:
+    """D9 in one pass: classify every row once and write a single dataset
+    partitioned by ``reason`` (``reason=ok`` accepted; ``format``/``range``
+    rejected), instead of two filtered scans."""
+    validate(df, raw_col, lo, hi).write.mode(mode).partitionBy("reason").parquet(path)
+
+
 def draw_in_range(key: Column, lo: int = LOWEST, hi: int = HIGHEST, seed: int = 0) -> Column:
     """A uniform integer in the closed range ``[lo, hi]``, reproducible per
     key (multiplicative hashing of the key's low 32 bits; portable to SQL)."""

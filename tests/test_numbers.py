@@ -218,3 +218,14 @@ def test_hot_key_check_on_sample(spark):
     assert not scan._largest_key_fits(hot, "k", 8)           # 3M rows in one key
     flat = spark.range(n).select((F.col("id") % 100_000).alias("k"))
     assert scan._largest_key_fits(flat, "k", 8)              # 120 rows per key
+
+
+def test_write_quarantine_one_pass(spark):
+    import tempfile
+    d = tempfile.mkdtemp(prefix="pageops-quarantine-")
+    df = spark.createDataFrame([(1, "50"), (2, "x"), (3, "100"), (4, "1"), (5, "99")], "id int, raw string")
+    N.write_quarantine(df, f"{d}/q")
+    back = spark.read.parquet(f"{d}/q")
+    assert sorted((r["id"], r["reason"]) for r in back.collect()) == [
+        (1, "ok"), (2, "format"), (3, "range"), (4, "range"), (5, "ok")]
+    assert sorted(r["id"] for r in spark.read.parquet(f"{d}/q/reason=ok").collect()) == [1, 5]
