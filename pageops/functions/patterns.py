@@ -44,13 +44,18 @@ PHONE_RE = r"\+\d{1,3} \(\d{3}\) \d{3}-\d{4}|\d{2}-\d{7,8}"
 # Office extension: '#' and four digits; the value is the digits (group 1).
 EXTENSION_RE = r"#(\d{4})"
 IPV4_RE = r"\b(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?:\.(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)){3}\b"
+# Pre-checks.  A literal every match contains (a byte search), and for IPv4,
+# where the only literal ('.') is in nearly every text, a short regex instead.
+EMAIL_NEEDS = "@"
+PHONE_NEEDS = "-"
+EXTENSION_NEEDS = "#"
+IPV4_GUARD = r"\d\.\d"
 # kind -> (pattern, group, literal every match contains)
 ENTITY_PATTERNS = {
-    "email": (EMAIL_RE, 0, "@"),
-    "phone": (PHONE_RE, 0, "-"),
-    "extension": (EXTENSION_RE, 1, "#"),
+    "email": (EMAIL_RE, 0, EMAIL_NEEDS),
+    "phone": (PHONE_RE, 0, PHONE_NEEDS),
+    "extension": (EXTENSION_RE, 1, EXTENSION_NEEDS),
 }
-IPV4_NEEDS = "."
 
 # --- fixed values: validated numbers --------------------------------------
 # What Python int() accepts: optional Unicode space, a sign, decimal digits of

@@ -23,15 +23,24 @@ def unescape_entities(col: Column) -> Column:
     return col
 
 
-def extract_all(text: Column, pattern: str, group: int = 0, needs: str | None = None) -> Column:
+def extract_all(text: Column, pattern: str, group: int = 0, needs: str | None = None,
+                guard: str | None = None) -> Column:
     """All non-overlapping matches, left to right; NULL text gives NULL.
-    ``needs`` is a literal every match contains: texts without it skip the
-    regex and give an empty array (same result, less work)."""
+
+    ``needs`` is a literal every match contains (checked on the UTF-8 bytes,
+    nearly free); ``guard`` a short regex every match contains, for when no
+    selective literal exists (a regex test decodes the whole text first).
+    Texts failing either skip the full pattern: same result, less work."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    if needs is None:
+    cond = None
+    if needs is not None:
+        cond = F.contains(text, F.lit(needs))
+    if guard is not None:
+        g = text.rlike(guard)
+        cond = g if cond is None else (cond & g)
+    if cond is None:
         return found
-    return F.when(F.contains(text, F.lit(needs)), found).otherwise(
-        F.when(text.isNotNull(), F.array().cast("array<string>")))
+    return F.when(cond, found).otherwise(F.when(text.isNotNull(), F.array().cast("array<string>")))
 
 
 def contains_any(col: Column, words) -> Column:

@@ -13,15 +13,17 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.patterns import EMAIL_RE, ENTITY_PATTERNS, EXTENSION_RE, IPV4_NEEDS, IPV4_RE, PHONE_RE
+from ..functions.patterns import (EMAIL_NEEDS, EMAIL_RE, ENTITY_PATTERNS, EXTENSION_NEEDS, EXTENSION_RE,
+                                  IPV4_GUARD, IPV4_RE, PHONE_NEEDS, PHONE_RE)
 from ..functions.text import extract_all
 
 
 def extract_pattern(df: DataFrame, pattern: str, out: str, group: int = 0, *,
-                    id_col: str = "doc_id", text_col: str = "text", needs: str | None = None) -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", needs: str | None = None,
+                    guard: str | None = None) -> DataFrame:
     """Every match of ``pattern`` in each text, left to right:
     ``(id, pos, <out>)`` with ``pos`` from 0.  NULL or empty text: no rows."""
-    m = df.select(id_col, extract_all(F.col(text_col), pattern, group, needs).alias("_m"))
+    m = df.select(id_col, extract_all(F.col(text_col), pattern, group, needs, guard).alias("_m"))
     return (m.select(id_col, F.posexplode_outer("_m").alias("pos", out))
             .where(F.col("pos").isNotNull())
             .select(id_col, F.col("pos").cast("int").alias("pos"), out))
@@ -29,28 +31,28 @@ def extract_pattern(df: DataFrame, pattern: str, out: str, group: int = 0, *,
 
 def extract_emails(df: DataFrame, **kw) -> DataFrame:
     """Email addresses in order of appearance."""
-    return extract_pattern(df, EMAIL_RE, "email", needs="@", **kw)
+    return extract_pattern(df, EMAIL_RE, "email", needs=EMAIL_NEEDS, **kw)
 
 
 def extract_phones(df: DataFrame, **kw) -> DataFrame:
     """Phone numbers ('+1 (ddd) ddd-dddd' or 'dd-ddddddd[d]')."""
-    return extract_pattern(df, PHONE_RE, "phone", needs="-", **kw)
+    return extract_pattern(df, PHONE_RE, "phone", needs=PHONE_NEEDS, **kw)
 
 
 def extract_extensions(df: DataFrame, **kw) -> DataFrame:
     """Office extensions ('#' and four digits), as the digits."""
-    return extract_pattern(df, EXTENSION_RE, "extension", 1, needs="#", **kw)
+    return extract_pattern(df, EXTENSION_RE, "extension", 1, needs=EXTENSION_NEEDS, **kw)
 
 
 def extract_addresses(df: DataFrame, **kw) -> DataFrame:
     """IPv4 addresses (four octets 0..255)."""
-    return extract_pattern(df, IPV4_RE, "address", needs=IPV4_NEEDS, **kw)
+    return extract_pattern(df, IPV4_RE, "address", guard=IPV4_GUARD, **kw)
 
 
 def extract_entities(df: DataFrame, patterns: Mapping[str, tuple] = ENTITY_PATTERNS, *,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """C4: long form ``(id, kind, pos, value)`` for a ``{kind: (regex, group[,
-    needed literal])}`` table; ``pos`` counts per kind from 0."""
+    literal every match contains])}`` table; ``pos`` counts per kind from 0."""
     per_kind = F.array(*[
         F.struct(F.lit(kind).alias("kind"), extract_all(F.col(text_col), *spec).alias("m"))
         for kind, spec in patterns.items()
