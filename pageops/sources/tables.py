@@ -42,10 +42,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     per-row work (regexes over whole pages and texts) uses every core.  A large
     corpus already has more splits than cores, and then this is a no-op: no
     shuffle is added."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)
 
 
 def table_path(root: str, name: str) -> str:
