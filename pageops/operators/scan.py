@@ -92,6 +92,8 @@ def _largest_key_fits(df: DataFrame, key: str, n: int, skew_rows: int = SKEW_ROW
     exactly.  One row reaches the driver either way."""
     mx, total = _key_sizes(df, key, fraction)
     margin = 2.0
+    if total / fraction * margin <= skew_rows:
+        return True          # even the whole input is below the absolute floor
     if total < min_sample:
         mx, total = _key_sizes(df, key)
         fraction, margin = 1.0, 1.0
