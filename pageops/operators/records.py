@@ -77,7 +77,11 @@ def flatten_keyed(df: DataFrame, id_col: str, map_col: str, key_name: str = "por
             .where(F.col("pos").isNotNull()))
     value_type = df.schema[map_col].dataType.valueType
     if isinstance(value_type, T.StructType):
-        fields = [F.col("_kv")["value"][f.name].alias(f.name) for f in value_type.fields if f.name != key_name]
+        def field(f):
+            c = F.col("_kv")["value"][f.name]
+            # nested maps (e.g. ``script``) follow dict semantics as well
+            return (F.map_from_entries(dedupe_keys(c)) if isinstance(f.dataType, T.MapType) else c).alias(f.name)
+        fields = [field(f) for f in value_type.fields if f.name != key_name]
     else:
         fields = [F.col("_kv")["value"].alias("value")]
     return rows.select(id_col, F.col("pos").cast("int").alias("pos"),

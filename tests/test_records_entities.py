@@ -95,3 +95,13 @@ def test_addresses(spark):
                                "doc_id long, text string")
     got = sorted(tuple(r) for r in E.distinct_addresses(df).collect())
     assert got == [("1.2.3.4", 1, 1), ("10.0.0.1", 3, 1)]
+
+
+def test_nested_map_duplicates_last_wins(spark):
+    body = '{"80": {"state": "open", "script": {"a": "1", "b": "x", "a": "2"}}}'
+    df = spark.createDataFrame([(1, body)], "scan_id long, body string")
+    good, _ = R.route_malformed(df, "body")
+    flat = R.flatten_keyed(good, "scan_id", "parsed")
+    assert flat.first()["script"] == {"a": "2", "b": "x"}
+    s = R.flatten_scripts(flat, "scan_id")
+    assert sorted((r["script_pos"], r["script_name"], r["output"]) for r in s.collect()) == [(0, "a", "2"), (1, "b", "x")]
