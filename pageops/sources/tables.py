@@ -7,6 +7,7 @@ Explicit schemas everywhere a reader would otherwise infer; streams need them.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PAGES = T.StructType([
@@ -68,6 +69,17 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.schema(PAGES).format(fmt).load(path)
 
 
+def read_html_files(spark: SparkSession, path: str, glob: str = "*.html") -> DataFrame:
+    """A1 for a crawl stored as one HTML file per page: one row per file with
+    the pages schema; ``url`` is the file path, ``page_id`` its 64-bit hash.
+    Spark's whole-text reader gives no row for an empty file (such a page has
+    no items either)."""
+    raw = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+           .text(path, wholetext=True))
+    file_path = F.col("_metadata.file_path")
+    return raw.select(F.xxhash64(file_path).alias("page_id"), file_path.alias("url"), F.col("value").alias("html"))
+
+
 def read_scans(spark: SparkSession, path: str) -> DataFrame:
     """B1: scan objects as JSON lines ``{"scan_id": .., "body": "<json text>"}``
     or parquet with the same columns."""

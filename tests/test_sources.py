@@ -55,3 +55,25 @@ def test_spread_only_when_coarse(spark, sf_small):
     assert S.spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = df.repartition(spark.sparkContext.defaultParallelism * 2)
     assert S.spread(wide) is wide
+
+
+def test_html_files_source(spark):
+    d = tempfile.mkdtemp(prefix="pageops-html-")
+    os.makedirs(os.path.join(d, "day=1"))
+    for pid, html in INDEX_PAGES.items():
+        if html is not None:
+            with open(os.path.join(d, "day=1", f"p{pid}.html"), "w", encoding="utf-8") as f:
+                f.write(html)
+    with open(os.path.join(d, "notes.txt"), "w") as f:
+        f.write("<li><a href='/x'>not a page</a></li>")
+    pages = S.read_html_files(spark, d)
+    # six files written; the empty one (page 6) gives no row; notes.txt is skipped
+    assert pages.count() == 5
+    links = L.index_links(pages, FORUM_ITEM, FORUM_TITLE, FORUM_EXCLUDED)
+    by_file = {}
+    for r in links.join(pages.select("page_id", "url"), "page_id").collect():
+        by_file.setdefault(os.path.basename(r["url"]), []).append((r["rank"], r["title"], r["link"]))
+    want = {}
+    for pid, rank, title, link in INDEX_LINKS_EXPECTED:
+        want.setdefault(f"p{pid}.html", []).append((rank, title, link))
+    assert {k: sorted(v) for k, v in by_file.items()} == {k: sorted(v) for k, v in want.items()}
