@@ -80,12 +80,13 @@ def items_column(html, item: Selector = ("li", None), title: Selector | None = N
                 return F.transform(x["items"], one)
             return H.let(extract, aidx=H.first_within(x["titles"], x["anchors"], strict=True))
 
-        if same:
-            return H.let(with_titles, items=items, titles=items, anchors=anchors)
+        if same:   # bind the elements once; titles are the same lambda variable
+            return H.let(lambda y: with_titles({"items": y["items"], "titles": y["items"], "anchors": y["anchors"]}),
+                         items=items, anchors=anchors)
 
         def pick_titles(y):
             idx = H.first_within(y["items"], F.transform(y["tels"], lambda e: e["open"]), strict=False)
-            return H.let(with_titles, items=y["items"], anchors=y["anchors"],
+            return H.let(lambda t: with_titles({"items": y["items"], "titles": t["titles"], "anchors": y["anchors"]}),
                          titles=F.transform(idx, lambda i: F.get(y["tels"], i)))
 
         tels = H.select(w["names"], v["tokens"], w["n"], title[0], title[1])
