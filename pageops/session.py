@@ -45,9 +45,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     a folder of its own, as in tests.
     """
     sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if named:
+        sc.setCheckpointDir(named)      # the cluster's shared folder, as named
+        return sc.getCheckpointDir().rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     root = tempfile.mkdtemp(prefix="pageops-ckpt-")
