@@ -77,3 +77,13 @@ def test_html_files_source(spark):
     for pid, rank, title, link in INDEX_LINKS_EXPECTED:
         want.setdefault(f"p{pid}.html", []).append((rank, title, link))
     assert {k: sorted(v) for k, v in by_file.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_command_line(spark, sf_small, capsys):
+    from pageops.__main__ import main
+    d = tempfile.mkdtemp(prefix="pageops-cli-")
+    assert main(["index_links", sf_small, "--out", f"{d}/out"]) == 0
+    assert spark.read.parquet(f"{d}/out").count() == L.index_links(
+        S.read_table(spark, sf_small, "pages"), ("li", None), None, ("the", "ou")).count()
+    assert main(["extract_phones", sf_small, "--show", "3"]) == 0
+    assert "phone" in capsys.readouterr().out
