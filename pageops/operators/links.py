@@ -172,12 +172,16 @@ def link_audit(pages: DataFrame, item: Selector = ("li", None), title: Selector
     each reason.  Counted inside the page row: no shuffle."""
     items = page_items(pages, item, title, keywords, id_col=id_col, html_col=html_col)
 
+    # size() of NULL is -1 under the legacy setting; test for NULL explicitly
+    def count(arr):
+        return F.when(F.col("items").isNull(), F.lit(0)).otherwise(F.size(arr)).cast("long")
+
     def n(reason):
-        return F.coalesce(F.size(F.filter("items", lambda x: x["reason"] == reason)), F.lit(0)).cast("long")
+        return count(F.filter("items", lambda x: x["reason"] == reason))
 
     return items.select(
         id_col,
-        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("total"),
+        count(F.col("items")).alias("total"),
         n("kept").alias("kept"),
         n("no_title").alias("dropped_no_title"),
         n("no_link").alias("dropped_no_link"),
