@@ -214,3 +214,36 @@ def test_multi_class_selector_matches_exact_attribute(spark):
     got = [r["open_tag"] for r in L.select_elements(pages, ("div", "r-ent hot")).collect()]
     assert got == ["<div class='r-ent hot'>"]
     assert L.select_elements(pages, ("div", "r-ent")).count() == 3
+
+
+def _random_tree(rng, depth):
+    """A well-formed random tree of divs/spans/anchors; classes drawn so that
+    items, titles and near misses nest in each other."""
+    if depth == 0 or rng.random() < 0.25:
+        word = rng.choice(["alpha", "beta", "[公告] x", "gamma", "δ", "a&amp;b"])
+        if rng.random() < 0.3:
+            href = rng.choice(["/p/1", "/p/2", "", None])
+            attr = "" if href is None else f" href='{href}'"
+            return f"<a{attr}>{word}</a>"
+        return word
+    tag = rng.choice(["div", "div", "span"])
+    cls = rng.choice(["r-ent", "title", "r-ent title", "r-entry", "other", None])
+    open_ = f"<{tag}>" if cls is None else f"<{tag} class='{cls}'>"
+    kids = "".join(_random_tree(rng, depth - 1) for _ in range(rng.randint(0, 4)))
+    return f"{open_}{kids}</{tag}>"
+
+
+def test_deep_nesting_matches_html_parser_oracle(spark):
+    rng = random.Random(23)
+    pages = [(i, "u", "<html><body>" + _random_tree(rng, 6) + "</body></html>") for i in range(300)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {}
+    for r in L.index_links(df, FORUM_ITEM, FORUM_TITLE, FORUM_EXCLUDED).collect():
+        got.setdefault(r["page_id"], []).append((r["rank"], r["title"], r["link"]))
+    checked = 0
+    for pid, _, html in pages:
+        want = _oracle_links(html, FORUM_ITEM, FORUM_TITLE, FORUM_EXCLUDED)
+        have = [(t, lk) for _, t, lk in sorted(got.get(pid, []))]
+        assert have == want, (pid, html)
+        checked += len(want)
+    assert checked > 50
