@@ -247,3 +247,24 @@ def test_deep_nesting_matches_html_parser_oracle(spark):
         assert have == want, (pid, html)
         checked += len(want)
     assert checked > 50
+
+
+def test_limit_stray_less_than_in_text(spark):
+    # '<' not followed by a letter, '/', '!' or '?' is text (as in HTML);
+    # '<b' in running text starts a tag (a tree builder would do the same).
+    pages = spark.createDataFrame(
+        [(1, "u", "<ul><li><a href='/1'>1 < 2 and 3 <= 4</a></li><li><a href='/2'>x<y</a></li></ul>")],
+        "page_id long, url string, html string")
+    got = sorted(tuple(r) for r in L.index_links(pages, ("li", None), None, ()).collect())
+    assert got == [(1, 1, "x", "/2"), (1, 2, "1 < 2 and 3 <= 4", "/1")]
+
+
+def test_limit_self_closing_selected_tag_opens(spark):
+    # '<li/>' counts as an open tag: it nests the next item until a close.
+    pages = spark.createDataFrame(
+        [(1, "u", "<ul><li/><li><a href='/1'>one</a></li></ul>")], "page_id long, url string, html string")
+    rows = L.select_elements(pages, ("li", None)).collect()
+    assert [r["open_tag"] for r in rows] == ["<li/>", "<li>"]
+    # the unclosed outer item runs to the end, so it holds the inner one's text
+    got = sorted(tuple(r) for r in L.index_links(pages, ("li", None), None, ()).collect())
+    assert got == [(1, 1, "one", "/1"), (1, 2, "one", "/1")]
