@@ -29,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .patterns import TOKEN_RE
+from .patterns import TOKEN_RE, VOID_ELEMENTS
 
 _NAME_RE = r"^<(/?[A-Za-z][^\s/>]*)"
 # Same, but '' for script/style (those tokens are whole elements, never selected).
@@ -104,6 +104,9 @@ def elements(names: Column, n_tokens: Column, tag: str) -> Column:
     ``names`` must be cheap to reference (an attribute or a bound variable)."""
     tag = tag.lower()
     opens = positions_of(names, tag)
+    if tag in VOID_ELEMENTS:   # no content, no close tag
+        return F.transform(opens, lambda p: F.struct(p.alias("open"), (p + 1).alias("close"),
+                                                     F.lit(True).alias("closed")))
     closes = positions_of(names, "/" + tag)
     merged = F.sort_array(F.concat(
         F.transform(opens, lambda p, k: F.struct(p.alias("pos"), F.lit(1).alias("kind"), k.alias("k"))),

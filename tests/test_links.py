@@ -268,3 +268,12 @@ def test_limit_self_closing_selected_tag_opens(spark):
     # the unclosed outer item runs to the end, so it holds the inner one's text
     got = sorted(tuple(r) for r in L.index_links(pages, ("li", None), None, ()).collect())
     assert got == [(1, 1, "one", "/1"), (1, 2, "one", "/1")]
+
+
+def test_void_elements_are_complete(spark):
+    pages = spark.createDataFrame(
+        [(1, "u", "<p><img src='/a.png' class='x'><img src='/b.png'/><br>text<img src=/c.png></p>")],
+        "page_id long, url string, html string")
+    tags = [r["open_tag"] for r in L.select_elements(pages, ("img", None)).collect()]
+    assert tags == ["<img src='/a.png' class='x'>", "<img src='/b.png'/>", "<img src=/c.png>"]
+    assert [r["open_tag"] for r in L.select_elements(pages, ("img", "x")).collect()] == ["<img src='/a.png' class='x'>"]
