@@ -1,0 +1 @@
+"""Readers with explicit schemas, sinks, and input spreading."""
