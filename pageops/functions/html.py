@@ -63,10 +63,7 @@ def is_text(token: Column) -> Column:
 
 def positions_of(names: Column, name: str) -> Column:
     """Indexes (ascending) of the tags whose name equals ``name``."""
-    return F.filter(
-        F.transform(names, lambda x, i: F.when(x == F.lit(name), i).otherwise(F.lit(-1))),
-        lambda i: i >= 0,
-    )
+    return F.array_compact(F.transform(names, lambda x, i: F.when(x == F.lit(name), i)))
 
 
 def _attr_re(name: str) -> str:
