@@ -60,12 +60,14 @@ def dedupe_keys(m: Column) -> Column:
             ordered = F.sort_array(F.transform(heads, lambda h: F.struct(h["first"], h["last"])))
             return F.transform(ordered, lambda o: F.get(e, o["last"]))
 
-        deduped = let(collapse,
-                      asc=F.sort_array(pos),
-                      desc=F.sort_array(F.transform(pos, lambda x: F.struct(x["key"], (-x["p"]).alias("p")))))
-        return F.when(F.size(F.array_distinct(F.map_keys(v["m"]))) == F.size(e), e).otherwise(deduped)
-
-    return let(body, m=m, e=F.map_entries(m))
+        return let(collapse,
+                   asc=F.sort_array(pos),
+                   desc=F.sort_array(F.transform(pos, lambda x: F.struct(x["key"], (-x["p"]).alias("p")))))
+
+    # Common case first, with plain compiled functions: no duplicate key.
+    # ``m`` must be cheap to reference (a column or a field of one).
+    return F.when(F.size(F.array_distinct(F.map_keys(m))) == F.size(m), F.map_entries(m)).otherwise(
+        let(body, e=F.map_entries(m)))
 
 
 def flatten_keyed(df: DataFrame, id_col: str, map_col: str, key_name: str = "port") -> DataFrame:
