@@ -112,6 +112,8 @@ def _built(key: tuple, build):
     from pyspark import SparkContext
     key = (id(SparkContext._gateway), *key)
     if key not in _BUILT:
+        if len(_BUILT) >= 256:       # bounded: drop the oldest entry
+            _BUILT.pop(next(iter(_BUILT)))
         _BUILT[key] = build()
     return _BUILT[key]
 
