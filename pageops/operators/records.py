@@ -117,6 +117,14 @@ def route_malformed(df: DataFrame, json_col: str, value_type: T.DataType = PORT_
     return good, bad
 
 
+def routing_status(json: Column, value_type: T.DataType | str = PORT_RECORD) -> Column:
+    """B7 as a column: ``parsed`` when the text parses as an object of the
+    schema, ``rejected`` when present but not, NULL for NULL text."""
+    return (F.when(json.isNull(), F.lit(None).cast("string"))
+            .when(parse_keyed(json, value_type).isNull(), F.lit("rejected"))
+            .otherwise(F.lit("parsed")))
+
+
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     """The distinct non-NULL values of a column (a partial aggregate on
     the map side, then one shuffle)."""

@@ -93,6 +93,11 @@ def q_keyed_flatten(spark, root):
     return R.flatten_keyed(parsed, "event_id", "m", key_name="key")
 
 
+def q_props_routing(spark, root):
+    ev = _events(spark, root)
+    return ev.select("event_id", R.routing_status(F.col("props"), "bigint").alias("status"))
+
+
 def q_records_json(spark, root):
     ev = _events(spark, root)
     rec = F.struct("event_id", "user_id", "event_type",
@@ -164,6 +169,7 @@ QUERIES: dict[str, Query] = {
     "nav_first_links": q_nav_first_links,
     "keyed_flatten": q_keyed_flatten,
     "records_json": q_records_json,
+    "props_routing": q_props_routing,
     "distinct_addresses": q_distinct_addresses,
     "extract_emails": q_extract_emails,
     "extract_phones": q_extract_phones,
@@ -428,3 +434,10 @@ checked AS (
   FROM attempts
 ), {_TYPE_FOLD}
 SELECT event_type, event_id, CAST(seq AS BIGINT) AS seq, lo, hi, outcome FROM fold"""
+
+ORACLES["props_routing"] = """
+SELECT event_id,
+  CASE WHEN props IS NULL THEN NULL
+       WHEN json_valid(props) AND json_type(props::JSON) = 'OBJECT' THEN 'parsed'
+       ELSE 'rejected' END AS status
+FROM events"""

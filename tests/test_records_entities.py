@@ -105,3 +105,9 @@ def test_nested_map_duplicates_last_wins(spark):
     assert flat.first()["script"] == {"a": "2", "b": "x"}
     s = R.flatten_scripts(flat, "scan_id")
     assert sorted((r["script_pos"], r["script_name"], r["output"]) for r in s.collect()) == [(0, "a", "2"), (1, "b", "x")]
+
+
+def test_routing_status_column(spark):
+    got = {r["scan_id"]: r["status"] for r in scans(spark).select(
+        "scan_id", R.routing_status(F.col("body")).alias("status")).collect()}
+    assert got == {1: "parsed", 2: "parsed", 3: "rejected", 4: "rejected", 5: "parsed", 6: None, 7: "rejected"}
