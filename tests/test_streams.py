@@ -82,3 +82,27 @@ def test_bracket_history_stream_equals_batch(spark, sf_small):
     want = sorted(tuple(r) for r in N.bracket_history(attempts_from_events(events), "user_id",
                                                        ["ts", "event_id"]).select(*cols).collect())
     assert got == want
+
+
+def test_distinct_state_expires_after_watermark(spark):
+    import datetime as dt
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    d = _tmp()
+    os.makedirs(f"{d}/in")
+    def batch(i, day):
+        ts = dt.datetime(2024, 1, 1) + dt.timedelta(days=day)
+        t = pa.table({"event_id": pa.array([i], pa.int64()), "ts": pa.array([ts], pa.timestamp("us")),
+                      "user_id": pa.array([7], pa.int64()), "event_type": ["view"],
+                      "value": pa.array([1.0]), "props": ['{"k": 1}']})
+        pq.write_table(t, f"{d}/in/events{i}.parquet")
+    batch(0, 0)
+    batch(1, 0)      # same key, same day: dropped (state held)
+    for i in (2, 3, 4):
+        batch(i, 10)  # ten days later; eviction uses the previous batch's watermark,
+                      # so once it passes day 1 the key's state is gone and it is emitted again
+    _done(S.stream_distinct(S.read_stream(spark, f"{d}/in", "events", max_files=1),
+                            ["user_id", "event_type"], f"{d}/out", f"{d}/ck", delay="1 day"))
+    assert spark.read.parquet(f"{d}/out").count() == 2
