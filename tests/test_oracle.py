@@ -29,7 +29,8 @@ def test_entry_runs(spark):
 def test_core_plans(spark, sf_small, name):
     df = queries()[name](spark, sf_small)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
+    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
+                 "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan, (name, node)
     for line in plan.splitlines():
         if "Exchange" in line and "html" in line:
