@@ -25,8 +25,8 @@ TOKEN_RE = (
 # HTML void elements (HTML standard): an open tag is the whole element.
 VOID_ELEMENTS = ("area", "base", "br", "col", "embed", "hr", "img", "input",
                  "link", "meta", "source", "track", "wbr")
-# Entities decoded in titles and links, in this order; '&amp;' comes last so
-# that '&amp;lt;' becomes '&lt;' and not '<'.
+# Named references decoded in titles and links (one pass with numeric
+# character references, so '&amp;lt;' becomes '&lt;' and not '<').
 ENTITIES = (
     ("&lt;", "<"),
     ("&gt;", ">"),

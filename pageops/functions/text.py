@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .html import let
 from .patterns import ENTITIES, STRIP_RE
 
 
@@ -15,12 +16,49 @@ def py_strip(col: Column) -> Column:
     return F.regexp_replace(col, F.lit(STRIP_RE), F.lit(""))
 
 
-def unescape_entities(col: Column) -> Column:
-    """Decode the fixed entity list; other entities stay as found.  ``col`` is
-    read once (no common-subexpression elimination happens inside lambdas)."""
+# A reference to decode: a name from the fixed list, or a decimal / hex
+# character reference.
+_REF_RE = r"&(?:[A-Za-z]+|#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6});"
+
+
+def _utf16(units: list[Column]) -> Column:
+    return F.decode(F.unhex(F.concat(*[F.lpad(F.hex(u), 4, "0") for u in units])), "UTF-16BE")
+
+
+def _ref_char(ref: Column) -> Column:
+    """The text of one reference; unknown names and code points on which
+    HTML libraries disagree (0, U+0080..U+009F, surrogates, > U+10FFFF) stay
+    as found."""
+    named = None
     for ent, ch in ENTITIES:
-        col = F.replace(col, F.lit(ent), F.lit(ch))
-    return col
+        named = (F.when(ref == F.lit(ent), F.lit(ch)) if named is None
+                 else named.when(ref == F.lit(ent), F.lit(ch)))
+    digits = F.regexp_extract(ref, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
+    is_hex = F.substring(ref, 3, 1).isin("x", "X")
+    cp = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+    ok = ((cp >= 1) & (cp <= 0x10FFFF) & ~cp.between(0x80, 0x9F) & ~cp.between(0xD800, 0xDFFF))
+    v = cp - 0x10000
+    char = F.when(cp <= 0xFFFF, _utf16([cp])).otherwise(
+        _utf16([F.floor(v / 1024) + 0xD800, F.pmod(v, F.lit(1024)) + 0xDC00]))
+    numeric = F.when(F.startswith(ref, F.lit("&#")) & ok, char)
+    return F.coalesce(named.when(F.startswith(ref, F.lit("&#")), numeric), ref)
+
+
+def unescape_bound(s: Column) -> Column:
+    """``unescape_entities`` for a cheap-to-reference ``s`` (a column or a
+    lambda variable): it is read more than once."""
+    refs = F.regexp_extract_all(s, F.lit("(" + _REF_RE + ")"), F.lit(1))
+    pieces = F.split(s, _REF_RE, -1)
+    chars = F.transform(refs, _ref_char)
+    joined = F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(chars, i), F.lit("")))), "")
+    return F.when(F.contains(s, F.lit("&")), joined).otherwise(s)
+
+
+def unescape_entities(col: Column) -> Column:
+    """Decode the fixed entity list and numeric character references in one
+    pass (so ``&amp;#65;`` gives ``&#65;``, not ``A``); other references stay
+    as found.  Work happens only when the text holds an ``&``."""
+    return let(lambda v: unescape_bound(v["s"]), s=col)
 
 
 def extract_all(text: Column, pattern: str, group: int = 0, needs: str | None = None,

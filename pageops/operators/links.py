@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions.patterns import FORUM_EXCLUDED
-from ..functions.text import contains_any, py_strip, unescape_entities
+from ..functions.text import contains_any, py_strip, unescape_bound
 
 Selector = tuple[str, str | None]
 
@@ -74,8 +74,8 @@ def items_column(html, item: Selector = ("li", None), title: Selector | None = N
                     href = H.attr(F.get(v["tokens"], a_pos), "href")
                     return F.struct(
                         (j + 1).alias("item_pos"),
-                        F.when(tl.isNotNull(), py_strip(unescape_entities(text))).alias("title"),
-                        py_strip(unescape_entities(href)).alias("link"),
+                        F.when(tl.isNotNull(), text).alias("raw_title"),
+                        href.alias("raw_link"),
                     )
                 return F.transform(x["items"], one)
             return H.let(extract, aidx=H.first_within(x["titles"], x["anchors"], strict=True))
@@ -92,6 +92,13 @@ def items_column(html, item: Selector = ("li", None), title: Selector | None = N
         tels = H.select(w["names"], v["tokens"], w["n"], title[0], title[1])
         return H.let(pick_titles, items=items, anchors=anchors, tels=tels)
 
+    # Raw strings are fields of an array of structs here, so the decoder may
+    # read them more than once without recomputing them.
+    def decode(r):
+        return F.struct(r["item_pos"],
+                        py_strip(unescape_bound(r["raw_title"])).alias("title"),
+                        py_strip(unescape_bound(r["raw_link"])).alias("link"))
+
     def classify(x):
         reason = (F.when(x["title"].isNull(), F.lit("no_title"))
                   .when(x["link"].isNull(), F.lit("no_link"))
@@ -99,7 +106,7 @@ def items_column(html, item: Selector = ("li", None), title: Selector | None = N
                   .otherwise(F.lit("kept")))
         return F.struct(x["item_pos"], x["title"], x["link"], reason.alias("reason"))
 
-    return F.transform(_with_page(html, body), classify)
+    return F.transform(F.transform(_with_page(html, body), decode), classify)
 
 
 _BUILT: dict = {}

@@ -23,16 +23,18 @@ def test_py_strip_property(spark):
     check()
 
 
-def test_unescape_fixed_list(spark):
+def test_unescape_matches_python_on_supported_refs(spark):
     import html
-    cases = ["&lt;b&gt;", "&amp;lt;", "a&quot;b&#39;c", "x&nbsp;y", "&amp;&amp;", "&copy; stays", "&#x27; stays"]
-    df = spark.createDataFrame([(c,) for c in cases], "s string")
-    got = [r[0] for r in df.select(unescape_entities(F.col("s"))).collect()]
-    fixed = {"&lt;", "&gt;", "&quot;", "&#39;", "&nbsp;", "&amp;"}
-    for c, g in zip(cases, got):
-        if all(tok in fixed for tok in ("&" + p.split(";")[0] + ";" for p in c.split("&")[1:])):
-            assert g == html.unescape(c), c
-    assert got[-2] == "&copy; stays" and got[-1] == "&#x27; stays"
+    same = ["&lt;b&gt;", "&amp;lt;", "a&quot;b&#39;c", "x&nbsp;y", "&amp;&amp;", "&#x27;q&#X27;",
+            "&#12288;pad&#x3000;", "&#20844;&#21578;", "&#x1F600; smile", "&amp;#65;", "no refs", "", "&#65;&#66;C"]
+    kept = {"&copy; stays": "&copy; stays", "&#0;": "&#0;", "&#150;": "&#150;", "&#xD800;": "&#xD800;",
+            "&#1114112;": "&#1114112;", "&amp": "&amp", "&#65": "&#65"}
+    cases = same + list(kept)
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, s string")
+    got = {r["i"]: r["t"] for r in df.select("i", unescape_entities(F.col("s")).alias("t")).collect()}
+    for i, c in enumerate(cases):
+        want = html.unescape(c) if c in same else kept[c]
+        assert got[i] == want, (c, got[i], want)
 
 
 def test_contains_any(spark):
