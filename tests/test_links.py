@@ -277,3 +277,13 @@ def test_void_elements_are_complete(spark):
     tags = [r["open_tag"] for r in L.select_elements(pages, ("img", None)).collect()]
     assert tags == ["<img src='/a.png' class='x'>", "<img src='/b.png'/>", "<img src=/c.png>"]
     assert [r["open_tag"] for r in L.select_elements(pages, ("img", "x")).collect()] == ["<img src='/a.png' class='x'>"]
+
+
+def test_numeric_references_decoded_before_keyword_filter(spark):
+    html = ("<div class='r-ent'><div class='title'><a href='/1'>&#x5B;&#x516C;&#x544A;&#x5D; rules</a></div></div>"
+            "<div class='r-ent'><div class='title'><a href='/2?a=1&#38;b=2'>caf&#233; &#x1F600;</a></div></div>")
+    pages = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    rows = {r["item_pos"]: (r["title"], r["link"], r["reason"])
+            for r in L.extract_links(pages, FORUM_ITEM, FORUM_TITLE, FORUM_EXCLUDED).collect()}
+    assert rows[1] == ("[公告] rules", "/1", "excluded")
+    assert rows[2] == ("café 😀", "/2?a=1&b=2", "kept")
