@@ -90,17 +90,21 @@ def _largest_key_fits(df: DataFrame, key: str, n: int, skew_rows: int = SKEW_ROW
     billion distinct keys), with a factor-2 margin: a key near the bound is
     treated as hot.  A small sample means a small input: then it counts
     exactly.  One row reaches the driver either way."""
+    def fits(mx, total, fraction, margin):
+        est_mx, est_total = mx / fraction, total / fraction
+        return est_mx * margin <= skew_rows or est_mx * n * margin <= est_total
+
     mx, total = _key_sizes(df, key, fraction)
-    margin = 2.0
-    if total / fraction * margin <= skew_rows:
+    if total / fraction * 2.0 <= skew_rows:
         return True          # even the whole input is below the absolute floor
-    if total < min_sample:
-        mx, total = _key_sizes(df, key)
-        fraction, margin = 1.0, 1.0
-    if total == 0:
-        return True
-    est_mx, est_total = mx / fraction, total / fraction
-    return est_mx * margin <= skew_rows or est_mx * n * margin <= est_total
+    if total >= min_sample:
+        return fits(mx, total, fraction, 2.0)
+    # A small sample: "hot" is safe to act on (slicing is always correct),
+    # "fits" is confirmed by an exact count (cheap: the input is small).
+    if not fits(mx, total, fraction, 2.0):
+        return False
+    mx, total = _key_sizes(df, key)
+    return total == 0 or fits(mx, total, 1.0, 1.0)
 
 
 def _sliced(df: DataFrame, key: str, order: list[str], aggs: Mapping[str, tuple[str, Column]],
