@@ -25,14 +25,21 @@ def _utf16(units: list[Column]) -> Column:
     return F.decode(F.unhex(F.concat(*[F.lpad(F.hex(u), 4, "0") for u in units])), "UTF-16BE")
 
 
+def _named_refs() -> dict[str, str]:
+    """The HTML 4 named references (the set HTML parsers decode), built from
+    the standard library's table rather than written out."""
+    from html.entities import name2codepoint
+    table = {f"&{name};": chr(cp) for name, cp in name2codepoint.items()}
+    table.update(dict(ENTITIES))      # the fixed values (all HTML 4 names too)
+    return table
+
+
 def _ref_char(ref: Column) -> Column:
     """The text of one reference; unknown names and code points on which
     HTML libraries disagree (0, U+0080..U+009F, surrogates, > U+10FFFF) stay
     as found."""
-    named = None
-    for ent, ch in ENTITIES:
-        named = (F.when(ref == F.lit(ent), F.lit(ch)) if named is None
-                 else named.when(ref == F.lit(ent), F.lit(ch)))
+    table = F.create_map(*[F.lit(x) for kv in sorted(_named_refs().items()) for x in kv])
+    named = F.when(~F.startswith(ref, F.lit("&#")), table[ref])
     digits = F.regexp_extract(ref, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
     is_hex = F.substring(ref, 3, 1).isin("x", "X")
     cp = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("long")
@@ -41,7 +48,7 @@ def _ref_char(ref: Column) -> Column:
     char = F.when(cp <= 0xFFFF, _utf16([cp])).otherwise(
         _utf16([F.floor(v / 1024) + 0xD800, F.pmod(v, F.lit(1024)) + 0xDC00]))
     numeric = F.when(F.startswith(ref, F.lit("&#")) & ok, char)
-    return F.coalesce(named.when(F.startswith(ref, F.lit("&#")), numeric), ref)
+    return F.coalesce(named, numeric, ref)
 
 
 def unescape_bound(s: Column) -> Column:
