@@ -92,9 +92,11 @@ def bracket_history(attempts: DataFrame, key: str, order: list[str], raw_col: st
     """Per attempt the bracket before it and its outcome, up to and
     including the key's first hit.  Adds ``seq`` (1-based place in the key's
     order), ``value``, ``lo``, ``hi``, ``outcome``."""
-    v = parse_int(F.col(raw_col))
     t = F.col(target_col).cast(_INT)
-    with_v = attempts.withColumn("value", v)
+    # the guard regex runs once per row: "_ok" feeds both the value and the outcome
+    with_v = attempts.withColumn("_ok", format_ok(F.col(raw_col)))
+    with_v = with_v.withColumn("value", F.when(F.col("_ok"), F.regexp_replace(
+        F.col(raw_col), INT_NOISE_RE, "").try_cast(_INT)))
     val = F.col("value")
     run = scan.running(with_v, key, order, {
         "below": ("max", F.when(val < t, val)),
@@ -105,7 +107,7 @@ def bracket_history(attempts: DataFrame, key: str, order: list[str], raw_col: st
     }, partitions=partitions, skew_rows=skew_rows)
     lo_c = F.greatest(F.lit(lo).cast(_INT), F.col("below"))
     hi_c = F.least(F.lit(hi).cast(_INT), F.col("above"))
-    outcome = (F.when(~format_ok(F.col(raw_col)), F.lit("format"))
+    outcome = (F.when(~F.col("_ok"), F.lit("format"))
                .when(val.isNull() | (val <= F.col("lo")) | (val >= F.col("hi")), F.lit("range"))
                .when(val == t, F.lit("hit"))
                .when(val < t, F.lit("low"))
@@ -115,7 +117,7 @@ def bracket_history(attempts: DataFrame, key: str, order: list[str], raw_col: st
             .withColumn("lo", lo_c.cast("long"))
             .withColumn("hi", hi_c.cast("long"))
             .withColumn("outcome", outcome)
-            .drop("below", "above", "hits", "before"))
+            .drop("below", "above", "hits", "before", "_ok"))
 
 
 def bracket_summary(history: DataFrame, key: str, target_col: str = "target",
