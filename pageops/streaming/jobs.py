@@ -94,9 +94,11 @@ def bracket_state(attempts: DataFrame, key: str, raw_col: str = "raw", target_co
                   lo: int = LOWEST, hi: int = HIGHEST) -> DataFrame:
     """The current bracket of each key from every attempt seen so far;
     needs no order (max of lows, min of highs, any hit)."""
-    v = N.parse_int(F.col(raw_col))
-    t = F.col(target_col).cast("decimal(38,0)")
-    return attempts.groupBy(key).agg(
+    # parse once per row in a projection, then aggregate the parsed value
+    parsed = attempts.select(key, N.parse_int(F.col(raw_col)).alias("_v"),
+                             F.col(target_col).cast("decimal(38,0)").alias("_t"))
+    v, t = F.col("_v"), F.col("_t")
+    return parsed.groupBy(key).agg(
         F.count(F.lit(1)).alias("attempts"),
         F.greatest(F.lit(lo).cast("decimal(38,0)"), F.max(F.when(v < t, v))).cast("long").alias("lo"),
         F.least(F.lit(hi).cast("decimal(38,0)"), F.min(F.when(v > t, v))).cast("long").alias("hi"),
