@@ -204,42 +204,58 @@ def base_of(url):
     return F.when(b != "", b)
 
 
-def absolutize(link, page_url):
-    """Resolve a link against the page URL.
-
-    Absolute links stay; ``//host/x`` takes the page's scheme; ``/x`` the
-    page's scheme and authority; ``?q`` the page path; ``#f`` the page URL
-    without its fragment; anything else is relative to the page's directory.
-    Dot segments are kept as found."""
-    base = base_of(page_url)
-    scheme = F.regexp_extract(page_url, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+def url_parts(page_url):
+    """Per page, once: ``struct<base, scheme, no_frag, no_query, directory>``
+    of an absolute URL (``base`` NULL when the URL is not absolute)."""
     no_frag = F.regexp_replace(page_url, r"#.*$", "")
     no_query = F.regexp_replace(no_frag, r"\?.*$", "")
     path = F.regexp_extract(no_query, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/.*)?$", 1)
     directory = F.regexp_replace(path, r"[^/]*$", "")
-    directory = F.when(directory == "", F.lit("/")).otherwise(directory)
+    return F.struct(
+        base_of(page_url).alias("base"),
+        F.regexp_extract(page_url, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1).alias("scheme"),
+        no_frag.alias("no_frag"),
+        no_query.alias("no_query"),
+        F.when(directory == "", F.lit("/")).otherwise(directory).alias("directory"),
+    )
+
+
+def absolutize_parts(link, u):
+    """A11 with the page URL already split (``url_parts``); ``link`` and ``u``
+    must be cheap to reference (columns)."""
     return (
-        F.when(link.isNull() | base.isNull(), F.lit(None).cast("string"))
+        F.when(link.isNull() | u["base"].isNull(), F.lit(None).cast("string"))
         .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
-        .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(base, link))
-        .when(link == "", no_frag)
-        .when(link.startswith("?"), F.concat(no_query, link))
-        .when(link.startswith("#"), F.concat(no_frag, link))
-        .otherwise(F.concat(base, directory, link))
+        .when(link.startswith("//"), F.concat(u["scheme"], F.lit(":"), link))
+        .when(link.startswith("/"), F.concat(u["base"], link))
+        .when(link == "", u["no_frag"])
+        .when(link.startswith("?"), F.concat(u["no_query"], link))
+        .when(link.startswith("#"), F.concat(u["no_frag"], link))
+        .otherwise(F.concat(u["base"], u["directory"], link))
     )
 
 
+def absolutize(link, page_url):
+    """Resolve a link against the page URL.
+
+    Absolute links stay; ``//host/x`` takes the page's scheme; ``/x`` the
+    page's scheme and authority; ``?q`` the page path; ``#f`` the page URL
+    without its fragment; anything else is relative to the page's directory.
+    Dot segments are kept as found."""
+    return absolutize_parts(link, url_parts(page_url))
+
+
 def absolute_links(pages: DataFrame, item: Selector = ("li", None), title: Selector | None = None,
                    keywords: Iterable[str] = FORUM_EXCLUDED, *, id_col: str = "page_id",
                    html_col: str = "html", url_col: str = "url") -> DataFrame:
     """A11 over every item with a link: ``(page_id, item_pos, link, abs_url)``.
     The page URL rides along in the page row, so no join back to pages."""
     items = page_items(pages, item, title, keywords, id_col=id_col, html_col=html_col, keep=[url_col])
-    links = (items.select(id_col, url_col, F.inline_outer("items"))
+    # URL parts are computed once per page row, before the explode
+    links = (items.select(id_col, url_parts(F.col(url_col)).alias("_u"), F.inline_outer("items"))
              .where((F.col("reason") != "no_title") & F.col("link").isNotNull()))
     return links.select(id_col, F.col("item_pos").cast("int").alias("item_pos"), "link",
-                        absolutize(F.col("link"), F.col(url_col)).alias("abs_url"))
+                        absolutize_parts(F.col("link"), F.col("_u")).alias("abs_url"))
 
 
 def distinct_links(pages: DataFrame, item: Selector = ("li", None), title: Selector | None = None,
