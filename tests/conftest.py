@@ -21,4 +21,6 @@ def spark():
 
 @pytest.fixture(scope="session")
 def sf_small():
-    return "/root/testdata/sf0.001"
+    """Corpus folder for oracle and plan tests; PAGEOPS_TEST_SF overrides it
+    (e.g. /root/testdata/sf0.01, the driver's correctness scale)."""
+    return os.environ.get("PAGEOPS_TEST_SF", "/root/testdata/sf0.001")
