@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import idpack, treebpe
+from . import idpack, partenum, substring, treebpe
 from .common import read
 
 
@@ -18,12 +18,22 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idpack.digest(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op7_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(read(spark, sf_dir, "documents"))
+
+
+def op8_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.jaccard_components(read(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op10_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return treebpe.encode_documents(read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), carry=("doc_id",))
 
 
 QUERIES = {
     "op4_token_files": op4_token_files,
+    "op7_seed_extend": op7_seed_extend,
+    "op8_partenum_join": op8_partenum_join,
     "op10_tree_bpe": op10_tree_bpe,
 }
 ORACLES: dict[str, str] = {}
