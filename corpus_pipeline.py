@@ -1,20 +1,53 @@
-"""The corpus pipeline: stages over ``documents``, each written and reread."""
+"""The corpus pipeline: five stages over ``documents``, each written and reread."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pageops.llm import treebpe
+from pageops.llm import mixing, outliers, partenum, substring, treebpe
 from pageops.llm.common import keep, read
 from pageops.llm.queries import vocabulary
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the robust outlier test keep."""
+    return outliers.filter_documents(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group linked at a
+    similarity of 0.8 or more on five words.  Rows that repeat the kept id, or
+    have none, stay."""
+    groups = keep(partenum.jaccard_components(docs, n=5, percent=80).filter("doc_id <> component_id").select("doc_id").distinct(), "duplicates")
+    few = F.broadcast(groups) if groups.count() <= partenum.IDS_TO_BROADCAST else groups
+    return docs.join(few, "doc_id", "left_anti")
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that a smaller document has."""
+    out = substring.dedupe(docs, carry=("lang", "source")).withColumn("n_chars", F.char_length("text").cast("long"))
+    return out.select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.mix_documents(docs)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each remaining document."""
+    """The ids of each document of the mix."""
     return treebpe.encode_documents(docs, vocabulary("word_bpe_49k.json"), with_ids=True, carry=("doc_id", "lang", "source"))
 
 
-STAGES = [("encode", encode)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", near_duplicates),
+    ("substring_dedup", substring_dedup),
+    ("mix_sources", mix_sources),
+    ("bpe_encode", encode),
+]
+#: The mix draws by hash and the ids come of a vocabulary: SQL expresses neither.
 ORACLE_SQL = None
 
 

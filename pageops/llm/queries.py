@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import idpack, partenum, substring, treebpe
+from . import idpack, mixing, outliers, partenum, substring, treebpe
 from .common import read
 
 
@@ -18,6 +18,14 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idpack.digest(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op2_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(read(spark, sf_dir, "documents"))
+
+
+def op3_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(read(spark, sf_dir, "documents")).drop("t")
+
+
 def op7_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(read(spark, sf_dir, "documents"))
 
@@ -32,6 +40,8 @@ def op10_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_token_files": op4_token_files,
+    "op2_pivotal_mix": op2_pivotal_mix,
+    "op3_mcd_outliers": op3_mcd_outliers,
     "op7_seed_extend": op7_seed_extend,
     "op8_partenum_join": op8_partenum_join,
     "op10_tree_bpe": op10_tree_bpe,
