@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import idpack, mixing, outliers, partenum, substring, treebpe
+from . import bytecnn, idpack, mixing, outliers, partenum, substring, toxicity, treebpe
 from .common import read
 
 
@@ -18,6 +18,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idpack.digest(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op1_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(read(spark, sf_dir, "documents"))
 
@@ -34,16 +38,22 @@ def op8_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_components(read(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op9_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytecnn.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return treebpe.encode_documents(read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), carry=("doc_id",))
 
 
 QUERIES = {
     "op4_token_files": op4_token_files,
+    "op1_subword_toxicity": op1_subword_toxicity,
     "op2_pivotal_mix": op2_pivotal_mix,
     "op3_mcd_outliers": op3_mcd_outliers,
     "op7_seed_extend": op7_seed_extend,
     "op8_partenum_join": op8_partenum_join,
+    "op9_byte_cnn": op9_byte_cnn,
     "op10_tree_bpe": op10_tree_bpe,
 }
 ORACLES: dict[str, str] = {}
