@@ -10,12 +10,12 @@ subset of all pieces but one of every part is a signature, and a linked pair
 shares one.  A set near the upper end of a band is also signed for the next one.
 
 Equal sets are one node.  Every node meets the smallest node of each of its
-signatures first.  Candidates pass a 512-bit parity sketch (its distance never
-exceeds the difference of the sets, so no link is lost) and then the exact
-count.  Signatures whose nodes still lie in several components are finished in
-rounds: some ``PIVOTS`` nodes outside the largest component meet all nodes of
-other components, until none is left unmet.  No group is ever paired with
-itself as a whole.
+signatures; nodes of a signature that are in several components then, those
+outside the largest, meet all of the other components.  In a signature of more
+than ``LARGE`` nodes, nodes meet one typical node, and of other pairs only those
+that its distances leave possible are made (see ``_large``).  Candidates pass a
+512-bit parity sketch (its distance never exceeds the difference of the sets, so
+no link is lost) and then the exact count.
 
 Null or wordless texts have the empty set: n_shingles 0, linked with nothing.
 Rows are judged one by one; rows that repeat a ``doc_id`` are separate rows with
@@ -35,7 +35,7 @@ from .common import keep, mix, only, texts, word_hashes, words
 from .components import components
 
 PIECES = 3
-PIVOTS = 64
+LARGE = 16           # nodes of a signature beyond which its group is pruned by distance
 IDS_TO_BROADCAST = 1_000_000
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _SKETCH = [f"k{i}" for i in range(8)]
@@ -160,6 +160,40 @@ def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, percent
                 .filter(same * 100 >= either * percent).select("a", "b"), "links")
 
 
+def _large(docs: DataFrame, slim: DataFrame, large: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(links, candidate pairs) of the large groups (sig, node): the pairs are
+    all that can link besides the links.
+
+    u counts the n-grams of a node that no other node of these groups has.  A
+    node with more of them than a link lets it lack is left out.  The rest meet
+    their group's most typical node c (fewest u), at distance d.  The
+    differences of x and y to c share at most d - u of either, so x and y are at
+    least max(d_x - e_y, d_y - e_x) apart, with e = d - 2u: pairs for which that
+    is beyond the bound are never made."""
+    plus, minus = 100 + percent, 100 - percent
+    keys = slim.join(large.select("node").distinct(), "node").select("node", "doc_id", "t")
+    sets = keep(_sets(docs, keys, n), "sets")
+    own = sets.select("node", F.explode("x").alias("x")).groupBy("x").agg(F.min("node").alias("node"), F.count("*").alias("m")).filter("m = 1")
+    lone = own.groupBy("node").agg(F.count("*").alias("u"))
+    may_lack = F.col("n") - F.floor((F.col("n") * percent + 99) / 100)
+    live = keep(sets.select("node", F.size("x").cast("long").alias("n")).join(lone, "node", "left").withColumn("u", F.coalesce("u", F.lit(0)))
+                .filter(F.col("u") <= may_lack), "live")
+    large = keep(large.join(live, "node"), "large")
+    best = large.groupBy("sig").agg(F.min(F.struct("u", "node")).alias("best"), F.max("n").alias("top"))
+    large = large.join(best.select("sig", F.col("best.node").alias("c"), "top"), "sig")
+    same = F.size(F.array_intersect("x_c", "x"))
+    met = keep(large.select("c", "node").filter("c <> node").distinct()
+               .join(sets.select(F.col("node").alias("c"), F.col("x").alias("x_c")), "c").join(sets, "node")
+               .select("c", "node", (F.size("x_c") + F.size("x") - 2 * same).alias("d"), (F.size("x_c") + F.size("x")).alias("both")), "met")
+    linked = F.col("d") * plus <= F.col("both") * minus
+    links = met.filter(linked).select(F.least("c", "node").alias("a"), F.greatest("c", "node").alias("b"))
+    far = keep(large.join(met, ["c", "node"]).select("sig", "node", linked.alias("linked"), ((F.col("d") - 2 * F.col("u")) * plus).alias("e"),
+                                                    (F.col("d") * plus - (F.col("n") + F.col("top")) * minus).alias("r")), "far")
+    outside = far.filter("not linked").select("sig", F.col("node").alias("p"), F.col("e").alias("e_p"), F.col("r").alias("r_p"))
+    pairs = far.join(outside, "sig").filter("node <> p and e >= r_p and e_p >= r")
+    return links, pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+
+
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``."""
     signed = keep(_signed(docs, n, percent), "signed")
@@ -167,31 +201,31 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     classes = keep(classes, "classes")
     nodes = keep(signed.join(classes.select("node"), F.col("row") == F.col("node"), "left_semi").withColumnRenamed("row", "node"), "nodes")
     own = nodes.select("node", F.explode("sigs").alias("sig"))
-    shared = own.groupBy("sig").agg(F.min("node").alias("c"), F.count("*").alias("m")).filter("m > 1").drop("m")
+    shared = own.groupBy("sig").agg(F.min("node").alias("c"), F.count("*").alias("m")).filter("m > 1")
     groups = keep(own.join(shared, "sig"), "groups")
     slim = nodes.drop("sigs")
 
-    links = _verify(docs, slim, groups.filter("c <> node").select(F.col("c").alias("a"), F.col("node").alias("b")).distinct(), n, percent)
-    left = groups.select("sig", "node")
-    while True:
-        comps = keep(components(links), "components")
-        left = left.join(comps, "node", "left").select("sig", "node", F.coalesce("comp", "node").alias("comp"))
-        by_comp = left.groupBy("sig", "comp").agg(F.count("*").alias("m"))
-        per = (by_comp.groupBy("sig").agg(F.sum("m").alias("all"), F.max("m").alias("most"), F.max(F.struct("m", "comp")).alias("top"))
-               .filter("all > most").select("sig", F.col("top.comp").alias("main"), (F.col("all") - F.col("most")).alias("out")))
-        left = keep(left.join(per, "sig"), "left")
-        if left.isEmpty():
-            break
-        # The nodes outside the largest component that meet the others now:
-        # about PIVOTS of them by hash, and the smallest in any case.
-        outside = left.filter("comp <> main")
-        least = outside.groupBy("sig").agg(F.min("node").alias("least"))
-        spread = F.greatest(F.lit(1), F.ceil(F.col("out") / PIVOTS))
-        now = keep(outside.join(least, "sig").filter((F.col("node") == F.col("least")) | (F.pmod(F.xxhash64("node", "out"), spread) == 0))
-                   .select("sig", F.col("node").alias("p"), F.col("comp").alias("q")), "pivots")
-        met = (left.join(now, "sig").filter("comp <> q").select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct())
-        links = keep(links.unionByName(_verify(docs, slim, met, n, percent)).distinct(), "links")
-        left = left.join(now.select("sig", F.col("p").alias("node")), ["sig", "node"], "left_anti").select("sig", "node")
+    small = groups.filter(F.col("m") <= LARGE)
+    first = small.filter("c <> node").select(F.col("c").alias("a"), F.col("node").alias("b"))
+    large = groups.filter(F.col("m") > LARGE).select("sig", "node")
+    known = first.limit(0)
+    if not large.isEmpty():
+        known, more = _large(docs, slim, large, n, percent)
+        first = first.unionByName(more)
+    links = keep(_verify(docs, slim, first.distinct(), n, percent).unionByName(known).distinct(), "links")
+    comps = keep(components(links), "components")
+    # Small groups in several components: the nodes outside the largest one meet
+    # all nodes of other components.
+    left = small.select("sig", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    by_comp = left.groupBy("sig", "comp").agg(F.count("*").alias("m"))
+    per = (by_comp.groupBy("sig").agg(F.max(F.struct("m", "comp")).alias("top"), F.sum("m").alias("all"))
+           .filter(F.col("all") > F.col("top.m")).select("sig", F.col("top.comp").alias("main")))
+    left = keep(left.join(per, "sig"), "left")
+    outside = left.filter("comp <> main").select("sig", F.col("node").alias("p"), F.col("comp").alias("q"))
+    second = left.join(outside, "sig").filter("comp <> q").select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+    more = _verify(docs, slim, second, n, percent)
+    if not more.isEmpty():
+        comps = keep(components(links.unionByName(more)), "components")
     ends = classes.join(comps, "node", "left").select("h1", "h2", "n", "low", F.coalesce("comp", "node").alias("comp"))
     lows = ends.groupBy("comp").agg(F.min("low").alias("component"))
     found = ends.join(lows, "comp").select("h1", "h2", "n", "component")
