@@ -91,44 +91,62 @@ def signatures(x: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
-def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Per row: row, doc_id, t (text hash), n, two set hashes, sketch, signatures."""
-    frame = only(docs, "doc_id", "text").select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.xxhash64("text").alias("t"), "text")
-    schema = "row long, doc_id long, t long, n long, h1 long, h2 long, " + ", ".join(f"{k} long" for k in _SKETCH) + ", sigs array<long>"
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, node): doc_id itself where it is a key.  Where it is null
+    or repeats, a written copy with row numbers takes the table's place."""
+    frame = only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    rows, ids = frame.select(F.count("*"), F.countDistinct("doc_id")).first()
+    if rows == ids:
+        return frame.withColumn("node", F.col("doc_id"))
+    return keep(frame.withColumn("node", F.monotonically_increasing_id()), "keyed")
+
+
+def _without(frame: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``frame`` less (left_anti) or only with (left_semi) the nodes in ``keys``,
+    which are broadcast if counted to be few, and joined otherwise."""
+    return frame.join(F.broadcast(keys) if keys.count() <= IDS_TO_BROADCAST else keys, "node", how)
+
+
+def _heads(docs: DataFrame, n: int) -> DataFrame:
+    """Per row: node, doc_id, n, two set hashes and the sketch."""
+    schema = "node long, doc_id long, n long, h1 long, h2 long, " + ", ".join(f"{k} long" for k in _SKETCH)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for at in range(0, batch.num_rows, 1024):
                 b = batch.slice(at, 1024)
-                size, head, sketch, sigs = [], [], [], []
+                size, head, sketch = [], [], []
                 for t in texts(b):
                     x = shingles(t, n)
                     size.append(len(x))
                     head.append((mix(x).sum(dtype=np.uint64), mix(x ^ _C[2]).sum(dtype=np.uint64)))
                     odd = np.bincount((x & np.uint64(511)).astype(np.int64), minlength=512) & 1
                     sketch.append(np.packbits(odd.astype(np.uint8)).view("<i8"))
-                    sigs.append(signatures(x, percent).view(np.int64))
                 heads = np.array(head, dtype=np.uint64).reshape(-1, 2).view(np.int64)
                 sk = np.array(sketch).reshape(-1, 8)
-                offsets = np.concatenate([[0], np.cumsum([len(s) for s in sigs])]).astype(np.int32)
-                flat = np.concatenate(sigs) if sigs else np.zeros(0, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [*b.columns[:3], pa.array(size, pa.int64()), pa.array(heads[:, 0]), pa.array(heads[:, 1]), *(pa.array(sk[:, i]) for i in range(8)),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                    names=["row", "doc_id", "t", "n", "h1", "h2", *_SKETCH, "sigs"])
+                    [*b.columns[:2], pa.array(size, pa.int64()), pa.array(heads[:, 0]), pa.array(heads[:, 1]), *(pa.array(sk[:, i]) for i in range(8))],
+                    names=["node", "doc_id", "n", "h1", "h2", *_SKETCH])
 
-    return frame.mapInArrow(run, schema)
+    return docs.select("node", "doc_id", "text").mapInArrow(run, schema)
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """The shingle sets of some nodes, read again from their texts.  The nodes'
-    keys are broadcast if counted to be few, and joined otherwise."""
-    few = nodes.count() <= IDS_TO_BROADCAST
-    keys = nodes.select(F.col("doc_id").alias("_d"), F.col("t").alias("_t"), "node")
-    frame = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), "text")
-    on = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t") == F.col("_t"))
-    frame = frame.join(F.broadcast(keys) if few else keys, on).select("node", "text")
+def _signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(node, sig) of every row.  Signatures are made anew for each use: there
+    are more of them than bytes of text, so they are never stored."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for at in range(0, batch.num_rows, 256):
+                b = batch.slice(at, 256)
+                sigs = [signatures(shingles(t, n), percent).view(np.int64) for t in texts(b)]
+                nodes = b.column(0).take(pa.array(np.repeat(np.arange(len(sigs)), [len(s) for s in sigs])))
+                yield pa.RecordBatch.from_arrays([nodes, pa.array(np.concatenate(sigs))], names=["node", "sig"])
+
+    return docs.select("node", "text").mapInArrow(run, "node long, sig long")
 
+
+def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """(node, x): the sets of some nodes, read again from their texts."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for at in range(0, batch.num_rows, 1024):
@@ -136,7 +154,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
                 sets = [shingles(t, n).view(np.int64) for t in texts(b)]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "x"])
 
-    return frame.mapInArrow(run, "node long, x array<long>").dropDuplicates(["node"])
+    return _without(docs.select("node", "text"), nodes.select("node"), "left_semi").mapInArrow(run, "node long, x array<long>")
 
 
 def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -152,7 +170,7 @@ def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, percent
     if near.isEmpty():
         return near
     ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = keep(_sets(docs, nodes.join(ends, "node").select("node", "doc_id", "t"), n), "sets")
+    sets = keep(_sets(docs, ends, n), "sets")
     same = F.size(F.array_intersect("x_a", "x_b"))
     either = F.size("x_a") + F.size("x_b") - same
     return keep(near.join(sets.select(F.col("node").alias("a"), F.col("x").alias("x_a")), "a")
@@ -160,7 +178,7 @@ def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, percent
                 .filter(same * 100 >= either * percent).select("a", "b"), "links")
 
 
-def _large(docs: DataFrame, slim: DataFrame, large: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def _large(docs: DataFrame, large: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(links, candidate pairs) of the large groups (sig, node): the pairs are
     all that can link besides the links.
 
@@ -171,8 +189,7 @@ def _large(docs: DataFrame, slim: DataFrame, large: DataFrame, n: int, percent:
     least max(d_x - e_y, d_y - e_x) apart, with e = d - 2u: pairs for which that
     is beyond the bound are never made."""
     plus, minus = 100 + percent, 100 - percent
-    keys = slim.join(large.select("node").distinct(), "node").select("node", "doc_id", "t")
-    sets = keep(_sets(docs, keys, n), "sets")
+    sets = keep(_sets(docs, large.select("node").distinct(), n), "sets")
     own = sets.select("node", F.explode("x").alias("x")).groupBy("x").agg(F.min("node").alias("node"), F.count("*").alias("m")).filter("m = 1")
     lone = own.groupBy("node").agg(F.count("*").alias("u"))
     may_lack = F.col("n") - F.floor((F.col("n") * percent + 99) / 100)
@@ -196,21 +213,22 @@ def _large(docs: DataFrame, slim: DataFrame, large: DataFrame, n: int, percent:
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``."""
-    signed = keep(_signed(docs, n, percent), "signed")
-    classes = signed.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min("row").alias("node"), F.min("doc_id").alias("low"))
-    classes = keep(classes, "classes")
-    nodes = keep(signed.join(classes.select("node"), F.col("row") == F.col("node"), "left_semi").withColumnRenamed("row", "node"), "nodes")
-    own = nodes.select("node", F.explode("sigs").alias("sig"))
-    shared = own.groupBy("sig").agg(F.min("node").alias("c"), F.count("*").alias("m")).filter("m > 1")
-    groups = keep(own.join(shared, "sig"), "groups")
-    slim = nodes.drop("sigs")
+    docs = _keyed(docs)
+    heads = keep(_heads(docs, n), "heads")
+    classes = keep(heads.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min("node").alias("node"), F.min("doc_id").alias("low")), "classes")
+    copies = keep(heads.join(classes.select("node"), "node", "left_anti").select("node"), "copies")     # and empty sets
+    slim = heads.join(classes.select("node"), "node", "left_semi")
+    own = _signatures(_without(docs, copies, "left_anti"), n, percent)
+    shared = own.groupBy("sig").agg(F.count("*").alias("m")).filter("m > 1")
+    groups = keep(own.join(shared, "sig").select("sig", "node", "m"), "groups")
 
     small = groups.filter(F.col("m") <= LARGE)
-    first = small.filter("c <> node").select(F.col("c").alias("a"), F.col("node").alias("b"))
+    least = small.groupBy("sig").agg(F.min("node").alias("c"))
+    first = small.join(least, "sig").filter("c <> node").select(F.col("c").alias("a"), F.col("node").alias("b"))
     large = groups.filter(F.col("m") > LARGE).select("sig", "node")
     known = first.limit(0)
     if not large.isEmpty():
-        known, more = _large(docs, slim, large, n, percent)
+        known, more = _large(docs, large, n, percent)
         first = first.unionByName(more)
     links = keep(_verify(docs, slim, first.distinct(), n, percent).unionByName(known).distinct(), "links")
     comps = keep(components(links), "components")
@@ -229,7 +247,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     ends = classes.join(comps, "node", "left").select("h1", "h2", "n", "low", F.coalesce("comp", "node").alias("comp"))
     lows = ends.groupBy("comp").agg(F.min("low").alias("component"))
     found = ends.join(lows, "comp").select("h1", "h2", "n", "component")
-    linked = signed.select("doc_id", "n", "h1", "h2").filter("n > 0").join(found, ["h1", "h2", "n"])
-    alone = signed.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component"))
+    linked = heads.select("doc_id", "n", "h1", "h2").filter("n > 0").join(found, ["h1", "h2", "n"])
+    alone = heads.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component"))
     return (linked.select("doc_id", "n", "component").unionByName(alone)
             .select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id")))
