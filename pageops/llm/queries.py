@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bytecnn, idpack, mixing, outliers, partenum, substring, toxicity, treebpe
+from . import bytecnn, idpack, mincut, mixing, outliers, partenum, substring, topk, toxicity, treebpe
 from .common import read
 
 
@@ -30,6 +30,14 @@ def op3_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(read(spark, sf_dir, "documents")).drop("t")
 
 
+def op5_mincut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mincut.extract(read(spark, sf_dir, "pages"))
+
+
+def op6_segment_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"))
+
+
 def op7_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(read(spark, sf_dir, "documents"))
 
@@ -51,9 +59,13 @@ QUERIES = {
     "op1_subword_toxicity": op1_subword_toxicity,
     "op2_pivotal_mix": op2_pivotal_mix,
     "op3_mcd_outliers": op3_mcd_outliers,
+    "op5_mincut_text": op5_mincut_text,
+    "op6_segment_topk": op6_segment_topk,
     "op7_seed_extend": op7_seed_extend,
     "op8_partenum_join": op8_partenum_join,
     "op9_byte_cnn": op9_byte_cnn,
     "op10_tree_bpe": op10_tree_bpe,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_segment_topk": topk.SQL,
+}
