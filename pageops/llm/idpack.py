@@ -169,38 +169,35 @@ _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa0-\xff]*")
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+")
 
 
-class Encoder:
+class Encoder(dict):
     """The tokenizers library's encoding with a byte-level vocabulary file.
     Plain Latin-1 texts are cut into the file's pieces here and each distinct
     piece goes to the library's model once; any other text goes to the library
-    whole."""
+    whole.  The mapping itself is the memo, from pieces to their ids' bytes."""
 
     def __init__(self, path: str) -> None:
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
+
+        from .treebpe import byte_alphabet
 
         self.lib = Tokenizer.from_file(path)
-        added = self.lib.get_added_tokens_decoder()
-        self.special = [t.content for t in added.values()]
-        self.spell = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.memo: dict[str, bytes] = {}
-
-    def piece(self, p: str) -> bytes:
-        got = self.memo.get(p)
-        if got is None:
-            spelt = "".join(x for x, _ in self.spell.pre_tokenize_str(p))
-            got = b"".join(t.id.to_bytes(4, "little") for t in self.lib.model.tokenize(spelt))
-            if len(p) <= 64:
-                if len(self.memo) >= MEMO:
-                    self.memo.clear()
-                self.memo[p] = got
+        self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
+        self.alphabet = byte_alphabet()
+
+    def __missing__(self, p: str) -> bytes:
+        spelt = "".join([self.alphabet[b] for b in p.encode("utf-8")])
+        got = np.array([t.id for t in self.lib.model.tokenize(spelt)], dtype="<u4").tobytes()
+        if len(p) <= 64:
+            if len(self) >= MEMO:
+                self.clear()
+            self[p] = got
         return got
 
     def encode(self, text: str) -> bytes:
         if _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
-            known = self.memo.get
-            return b"".join([known(p) or self.piece(p) for p in _PIECES.findall(text)])
+            return b"".join(map(self.__getitem__, _PIECES.findall(text)))
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
