@@ -36,7 +36,7 @@ from pageops.session import scratch_path
 from .common import only
 
 BLOCK = 1024
-MEMO = 300_000
+MEMO = 600_000
 # Fixed values of Simple-8b: ids in a word and bits of each, by selector 1..14.
 COUNTS = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 1], dtype=np.int64)
 BITS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 60], dtype=np.int64)
@@ -45,11 +45,9 @@ ESCAPE = 15
 
 def _widths(ids: np.ndarray) -> np.ndarray:
     """Bits that each id needs (at least 1)."""
-    out = np.ones(len(ids), dtype=np.int64)
-    if len(ids):
-        for b in range(1, int(ids.max()).bit_length()):
-            out[ids >= np.uint64(1 << b)] = b + 1
-    return out
+    high = ids >> np.uint64(32)
+    low = np.frexp((ids & np.uint64(0xFFFFFFFF)).astype(np.float64))[1]
+    return np.maximum(np.where(high > 0, 32 + np.frexp(high.astype(np.float64))[1], low), 1).astype(np.int32)
 
 
 def pack(ids: np.ndarray, sizes: np.ndarray) -> list[tuple[list[int], bytes]]:
@@ -63,21 +61,20 @@ def pack(ids: np.ndarray, sizes: np.ndarray) -> list[tuple[list[int], bytes]]:
     within = np.arange(len(doc_of)) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)
     block_start = starts[doc_of] + within * BLOCK
     block_end = np.minimum(block_start + BLOCK, ends[doc_of])
-    room = np.repeat(block_end, block_end - block_start) - np.arange(n)     # ids left in the block
+    room = (np.repeat(block_end, block_end - block_start) - np.arange(n)).astype(np.int32)     # ids left in the block
 
     # The largest count that fits at every position, from fewest to most ids.
     bits = _widths(ids)
     top = int(bits.max()) if n else 1
-    choice = np.full(n, ESCAPE, dtype=np.int64)
-    at = np.arange(n)
+    choice = np.full(n, ESCAPE, dtype=np.int8)
+    at = np.arange(n, dtype=np.int32)
     for s in range(14, 0, -1):
-        need = np.minimum(COUNTS[s], room)
         if top <= BITS[s]:
             choice[:] = s
             continue
-        wide = np.where(bits > BITS[s], at, n)
+        wide = np.where(bits > BITS[s], at, np.int32(n))
         run = np.minimum.accumulate(wide[::-1])[::-1] - at
-        choice[run >= need] = s
+        choice[run >= np.minimum(np.int32(COUNTS[s]), room)] = s
     take = np.minimum(COUNTS[choice], room)
 
     # Walk all blocks at once, one word of each per step.
@@ -89,16 +86,20 @@ def pack(ids: np.ndarray, sizes: np.ndarray) -> list[tuple[list[int], bytes]]:
         going = pos < stop
         pos, stop = pos[going], stop[going]
     first = np.flatnonzero(opens)
-    sel = choice[first]
+    sel = choice[first].astype(np.int64)
     out = sel.astype(np.uint64) << np.uint64(60)
     for s in range(1, 15):
         k = np.flatnonzero(sel == s)
         if not len(k):
             continue
-        p, t = first[k], take[first[k]]
-        for j in range(int(COUNTS[s])):
-            live = t > j
-            out[k[live]] |= ids[p[live] + j] << np.uint64(j * BITS[s])
+        whole = take[first[k]] == COUNTS[s]
+        slot = np.arange(COUNTS[s])
+        shift = (slot * BITS[s]).astype(np.uint64)
+        f = k[whole]
+        out[f] |= np.bitwise_or.reduce(ids[first[f][:, None] + slot] << shift, axis=1)
+        for w in k[~whole]:                        # the last words of blocks
+            t = take[first[w]]
+            out[w] |= np.bitwise_or.reduce(ids[first[w]:first[w] + t] << shift[:t])
     word_end = np.searchsorted(first, block_end)                           # words up to each block's end
     word_start = np.searchsorted(first, starts)
     result = []
@@ -143,10 +144,13 @@ def unpack(sizes: np.ndarray, block_ends: list[list[int]], payloads: list[bytes]
         if not len(k):
             continue
         mask = np.uint64((1 << int(BITS[s])) - 1)
-        o, t, v = off[k], take[k], payload[k]
-        for j in range(int(COUNTS[s])):
-            live = t > j
-            out[o[live] + j] = (v[live] >> np.uint64(j * BITS[s])) & mask
+        whole = take[k] == COUNTS[s]
+        slot = np.arange(COUNTS[s])
+        shift = (slot * BITS[s]).astype(np.uint64)
+        f = k[whole]
+        out[off[f][:, None] + slot] = (payload[f][:, None] >> shift) & mask
+        for w in k[~whole]:                        # the last words of blocks
+            out[off[w]:off[w] + take[w]] = (payload[w] >> shift[:take[w]]) & mask
     result = []
     at = word = 0
     for d, size in enumerate(sizes):
