@@ -15,8 +15,7 @@ Every array that a lambda body reads by index is bound with ``let`` first, so
 it is computed once per row (Catalyst would otherwise inline a column that is
 referenced once into the lambda body and recompute it per element).
 
-Limits (pinned by tests): a ``>`` inside a quoted attribute value ends the tag;
-an unclosed element of the selected name nests whatever follows rather than
+Limits (pinned by tests): an unclosed element of the selected name nests whatever follows rather than
 being closed implicitly as an HTML5 tree builder would; ``<x/>`` counts as an
 open tag; ``script`` and ``style`` elements cannot be selected.
 """
@@ -29,11 +28,11 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .patterns import TOKEN_RE, VOID_ELEMENTS
+from .patterns import ATTRIBUTE_RE, ATTRIBUTE_VALUE_RE, TOKEN_RE, VOID_ELEMENTS
 
 _NAME_RE = r"^<(/?[A-Za-z][^\s/>]*)"
 # Same, but '' for script/style (those tokens are whole elements, never selected).
-_ELEMENT_NAME_RE = r"^<(/?(?!(?i:script|style)\b)[A-Za-z][^\s/>]*)"
+_ELEMENT_NAME_RE = r"^<(/?(?!(?i:script|style)(?:[\s/>]|$))[A-Za-z][^\s/>]*+)"
 _CLASS_SPLIT_RE = r"[ \t\n\f\r]+"
 
 
@@ -66,22 +65,15 @@ def positions_of(names: Column, name: str) -> Column:
     return F.array_compact(F.transform(names, lambda x, i: F.when(x == F.lit(name), i)))
 
 
-def _attr_re(name: str) -> str:
-    """Whole-tag regex: skip the tag name and every attribute not called
-    ``name``, then capture the first ``name`` value (groups 1-3; none for a
-    valueless attribute)."""
-    n = re.escape(name)
-    value = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    other = r"""\s+(?!""" + n + r"""(?:[\s=/>]|$))[^\s"'>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
-    return r"(?is)^<[^\s/>]*(?:" + other + r")*\s+" + n + r"(?:\s*=\s*" + value + r")?(?=[\s/>]|$).*$"
-
-
 def attr(tag: Column, name: str) -> Column:
     """Value of attribute ``name`` of one tag token; NULL when absent, '' when
     empty or valueless.  The first occurrence wins; names are case-insensitive.
-    Two regex calls; ``tag`` must be cheap to reference."""
-    rx = _attr_re(name)
-    return F.when(tag.rlike(rx), F.regexp_replace(tag, F.lit(rx), F.lit("$1$2$3")))
+    The tag's attributes are listed one match each, so their number is no limit;
+    tags without the name in them skip that.  ``tag`` must be cheap to reference."""
+    n = re.escape(name)
+    rest = F.regexp_replace(tag, F.lit(r"^</?[A-Za-z][^\s/>]*+"), F.lit(""))
+    mine = F.filter(F.regexp_extract_all(rest, F.lit(ATTRIBUTE_RE), F.lit(0)), lambda a: a.rlike(rf"(?is)^{n}(?:\s*+=.*)?$"))
+    return F.when(tag.rlike(f"(?i){n}"), F.regexp_replace(F.get(mine, 0), F.lit(ATTRIBUTE_VALUE_RE), F.lit("$1$2$3")))
 
 
 def has_class(tag: Column, cls: str) -> Column:

@@ -1,8 +1,7 @@
 """Fixed values.
 
-Everything in this module is a constant that results depend on.  Regexes stay
-in the subset that means the same in Java (Spark) and RE2 (the DuckDB oracle):
-no lookaround, no backreference, no possessive quantifier.
+Everything in this module is a constant that results depend on.  Regexes are
+Java's; the oracles have their own.
 """
 
 # --- fixed values: forum index defaults -----------------------------------
@@ -14,14 +13,21 @@ FORUM_EXCLUDED = ("[公告]", "[協尋]")
 
 # --- fixed values: markup -------------------------------------------------
 # One pass over a page: a whole comment / script / style element, a tag, a run
-# of text, or a lone '<' (text).  The tokens tile the page exactly.
+# of text, or a lone '<' (text).  The tokens tile the page exactly.  In a tag, a
+# quote counts only after '=' (so a stray one is harmless) and hides '>' there;
+# an unclosed tag takes the rest of the page once.  Repeats are possessive: Java
+# runs them in a loop, not by recursion, so no tag is too long.
+_IN_TAG = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|))*+"""
 TOKEN_RE = (
     r"(?is)<(?:!--.*?(?:-->|\z)"
-    r"|script\b[^>]*>.*?(?:</script\s*>|\z)"
-    r"|style\b[^>]*>.*?(?:</style\s*>|\z)"
-    r"|/?[a-z][^>]*>|[!?][^>]*>)"
-    r"|[^<]+|<"
+    r"|script(?=[\s/>])" + _IN_TAG + r">.*?(?:</script(?=[\s/>])[^>]*+>|\z)"
+    r"|style(?=[\s/>])" + _IN_TAG + r">.*?(?:</style(?=[\s/>])[^>]*+>|\z)"
+    r"|/?[a-z]" + _IN_TAG + r"(?:>|\z)|[!?][^>]*+(?:>|\z))"
+    r"|[^<]++|<"
 )
+# One attribute of a tag, after the tag's name; and a pattern that keeps its value.
+ATTRIBUTE_RE = r"""(?s)[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+))?+"""
+ATTRIBUTE_VALUE_RE = r"""(?s)^[^=]*+(?:=\s*+(?:"(.*)"|'(.*)'|(.*)))?$"""
 # HTML void elements (HTML standard): an open tag is the whole element.
 VOID_ELEMENTS = ("area", "base", "br", "col", "embed", "hr", "img", "input",
                  "link", "meta", "source", "track", "wbr")
@@ -36,7 +42,7 @@ ENTITIES = (
     ("&amp;", "&"),
 )
 # Characters Python's str.strip() removes: Unicode White_Space plus U+001C..U+001F.
-STRIP_RE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+STRIP_RE = r"(?U)^[\s\x1c-\x1f]++|(?<![\s\x1c-\x1f])[\s\x1c-\x1f]++$"
 
 # --- fixed values: contact entities ---------------------------------------
 EMAIL_RE = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
@@ -46,7 +52,8 @@ EMAIL_RE = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE_RE = r"\+\d{1,3} \(\d{3}\) \d{3}-\d{4}|\d{2}-\d{7,8}"
 # Office extension: '#' and four digits; the value is the digits (group 1).
 EXTENSION_RE = r"#(\d{4})"
-IPV4_RE = r"\b(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?:\.(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)){3}\b"
+# Neighbours are given as ASCII: what \\b takes for a letter depends on the Java version.
+IPV4_RE = r"(?<![0-9A-Za-z_])(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?:\.(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)){3}(?![0-9A-Za-z_])"
 # Pre-checks.  A literal every match contains (a byte search), and for IPv4,
 # where the only literal ('.') is in nearly every text, a short regex instead.
 EMAIL_NEEDS = "@"
@@ -65,7 +72,7 @@ ENTITY_PATTERNS = {
 # any script with single underscores between them, optional Unicode space.
 # int() spaces are Unicode White_Space, which is Java's (?U)\s; unlike
 # str.strip() it does not take U+001C..U+001F.
-INT_GUARD_RE = r"(?U)^\s*[+-]?\p{Nd}+(?:_\p{Nd}+)*\s*$"
+INT_GUARD_RE = r"(?U)^\s*+[+-]?\p{Nd}++(?:_\p{Nd}++)*+\s*+$"
 INT_NOISE_RE = r"(?U)[_\s]"
 # The game's closed range; a guess must lie strictly inside the live bracket.
 LOWEST = 1

@@ -18,7 +18,7 @@ def py_strip(col: Column) -> Column:
 
 # A reference to decode: a name from the fixed list, or a decimal / hex
 # character reference.
-_REF_RE = r"&(?:[A-Za-z]+|#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6});"
+_REF_RE = r"&(?:[A-Za-z]++|#[0-9]++|#[xX][0-9a-fA-F]++);"
 
 
 def _utf16(units: list[Column]) -> Column:
@@ -40,9 +40,10 @@ def _ref_char(ref: Column) -> Column:
     as found."""
     table = F.create_map(*[F.lit(x) for kv in sorted(_named_refs().items()) for x in kv])
     named = F.when(~F.startswith(ref, F.lit("&#")), table[ref])
-    digits = F.regexp_extract(ref, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
+    # Leading zeros say nothing; more than seven digits are beyond any code point.
+    digits = F.regexp_extract(ref, r"^&#[xX]?0*([0-9a-fA-F]{1,7});$", 1)
     is_hex = F.substring(ref, 3, 1).isin("x", "X")
-    cp = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+    cp = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).try_cast("long")
     ok = ((cp >= 1) & (cp <= 0x10FFFF) & ~cp.between(0x80, 0x9F) & ~cp.between(0xD800, 0xDFFF))
     v = cp - 0x10000
     char = F.when(cp <= 0xFFFF, _utf16([cp])).otherwise(

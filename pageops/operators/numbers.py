@@ -74,10 +74,13 @@ def write_quarantine(df: DataFrame, path: str, raw_col: str = "raw", lo: int = L
 def draw_in_range(key: Column, lo: int = LOWEST, hi: int = HIGHEST, seed: int = 0) -> Column:
     """A uniform integer in the closed range ``[lo, hi]``, reproducible per
     key (multiplicative hashing of the key's low 32 bits; portable to SQL)."""
-    m = 4294967296
+    m, n = 4294967296, hi - lo + 1
     k = F.pmod(key.cast("long"), F.lit(m)).cast(_INT)
     h = F.pmod(k * F.lit(2654435761).cast(_INT) + F.lit(seed).cast(_INT), F.lit(m).cast(_INT))
-    return (F.lit(lo) + F.floor(h * F.lit(hi - lo + 1) / F.lit(m))).cast("long")
+    # Whole numbers all the way: h * n less its remainder is a multiple of m.
+    scaled = h * F.lit(n).cast(_INT)
+    exact = (scaled - F.pmod(scaled, F.lit(m).cast(_INT))) / F.lit(m).cast(_INT)
+    return (F.lit(lo).cast(_INT) + exact).cast("long")
 
 
 def draw_random(lo: int = LOWEST, hi: int = HIGHEST, seed: int | None = None) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.patterns import EMAIL_RE, HIGHEST, IPV4_RE, LOWEST, PHONE_RE
+from ..functions.patterns import HIGHEST, LOWEST
 from ..operators import entities as E
 from ..operators import links as L
 from ..operators import numbers as N
@@ -230,9 +230,9 @@ _ATTEMPTS_CTE = f"""
 attempts AS (
   SELECT user_id, ts, event_id,
     CASE WHEN event_type = 'error' THEN CAST(value AS VARCHAR) ELSE json_extract_string(props, '$.k') END AS raw,
-    CAST({LOWEST} + floor(
+    CAST({LOWEST} + (
       (((user_id % 4294967296) + 4294967296) % 4294967296 * CAST(2654435761 AS HUGEINT) + {TARGET_SEED})
-      % 4294967296 * {HIGHEST - LOWEST + 1} / 4294967296) AS BIGINT) AS target
+      % 4294967296 * {HIGHEST - LOWEST + 1} // 4294967296) AS BIGINT) AS target
   FROM events
 ),
 checked AS (
@@ -264,6 +264,13 @@ fold(user_id, seq, event_id, val, target, lo, hi, outcome) AS (
 )"""
 
 
+# The oracles' own statement of the entity patterns, for RE2.
+EMAIL_RE = r"[[:alnum:]._%+-]+@[[:alnum:].-]+[.][[:alpha:]]{2,}"
+PHONE_RE = r"[+][0-9]{1,3} [(][0-9]{3}[)] [0-9]{3}-[0-9]{4}|[0-9]{2}-[0-9]{7,8}"
+_OCTET = "(?:[0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
+IPV4_RE = rf"\b{_OCTET}[.]{_OCTET}[.]{_OCTET}[.]{_OCTET}\b"
+
+
 def _entities_sql(pattern: str, col: str, group: int = 0) -> str:
     return f"""
 SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, m[i] AS {col}

@@ -4,8 +4,19 @@ any shuffle."""
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from pageops.plans.catalog import ORACLES, QUERIES
 from pageops.plans.compare import compare
+from pageops.plans.streams import STREAM_ORACLES, STREAM_QUERIES
+
+
+def queries():
+    return {**QUERIES, **STREAM_QUERIES}
+
+
+def oracle_sql():
+    return {**ORACLES, **STREAM_ORACLES}
+
 
 NAMES = sorted(queries())
 
@@ -16,7 +27,7 @@ def test_query_matches_oracle(spark, sf_small, name):
     r = compare(spark, sf_small, name, queries()[name], sql)
     if sql is not None:
         assert r["match"], r
-    assert r["rows"] >= 0
+    assert r["rows"] > 0 or name == "extract_extensions"
 
 
 def test_entry_runs(spark):
