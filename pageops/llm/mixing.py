@@ -155,12 +155,11 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1
 def mix_documents(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with each row as often as its copies.  Rows alike in doc_id,
     source and text are pooled: the sum of their copies is made of one of them."""
-    took = copies(docs, **how).groupBy("doc_id", "t", F.col("source").alias("s")).agg(F.sum("copies").alias("copies")).filter("copies > 0")
-    took = took.select(F.col("doc_id").alias("_d"), F.col("t").alias("_t"), F.col("s").alias("_s"), "copies")
-    names = docs.columns
-    have = docs.withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h", "source"])
-    on = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_t")) & F.col("source").eqNullSafe(F.col("_s"))
-    return have.join(took, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*names)
+    took = copies(docs, **how).groupBy("doc_id", "t", "source").agg(F.sum("copies").alias("copies")).filter("copies > 0")
+    took = took.select(*[F.col(c).alias(f"__{c}") for c in ("doc_id", "t", "source", "copies")])
+    have = docs.withColumn("__h", F.xxhash64("text")).dropDuplicates(["doc_id", "__h", "source"])
+    on = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__h") == F.col("__t")) & F.col("source").eqNullSafe(F.col("__source"))
+    return have.join(took, on).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -187,7 +187,7 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
 def filter_documents(docs: DataFrame) -> DataFrame:
     """``docs`` without the rejected rows, which are broadcast by id and text
     hash if counted to be few, and joined otherwise."""
-    gone = keep(judge(docs).filter("not kept").select(F.col("doc_id").alias("_d"), F.col("t").alias("_t")).distinct(), "rejected")
+    gone = keep(judge(docs).filter("not kept").select(F.col("doc_id").alias("__d"), F.col("t").alias("__t")).distinct(), "rejected")
     few = F.broadcast(gone) if gone.count() <= REJECTS_TO_BROADCAST else gone
-    on = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_t"))
+    on = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__t"))
     return docs.join(few, on, "left_anti")

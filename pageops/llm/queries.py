@@ -66,6 +66,39 @@ QUERIES = {
     "op9_byte_cnn": op9_byte_cnn,
     "op10_tree_bpe": op10_tree_bpe,
 }
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+OP7_SQL = f"""
+with d as (select doc_id, {_WORDS} as w from documents),
+win as (select doc_id, unnest(range(1, len(w) - 48)) as i, w from d where len(w) >= 50),
+hashed as (select doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) as h from win),
+lowest as (select h, min(doc_id) as m from hashed group by h),
+gone as (select distinct doc_id, unnest(range(i, i + 50)) as p from hashed join lowest using (h) where doc_id > m),
+lost as (select doc_id, list(p) as ps from gone group by doc_id),
+marked as (select d.doc_id, w, coalesce(ps, []) as ps from d left join lost using (doc_id)),
+flat as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from d),
+kept as (select doc_id, string_agg(word, ' ' order by p) as t from flat anti join gone using (doc_id, p) group by doc_id)
+select marked.doc_id, len(w) as n_words, len(ps) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from marked left join kept using (doc_id)"""
+
+OP8_SQL = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (
+  select distinct doc_id, x from (
+    select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+      else list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) end) as x from d)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.x = b.x and a.doc_id < b.doc_id group by all),
+link as (
+  select a, b from common join n p on p.doc_id = a join n q on q.doc_id = b where 100 * c >= 90 * (p.n + q.n - c)),
+both_ways as (select a, b from link union all select b, a from link),
+reach as (select doc_id as root, doc_id as node from d union select root, b from reach join both_ways on a = node)
+select d.doc_id, coalesce(n, 0) as n_shingles, min(root) as component_id
+from d left join n using (doc_id) join reach on node = d.doc_id group by all"""
+
 ORACLES: dict[str, str] = {
     "op6_segment_topk": topk.SQL,
+    "op7_seed_extend": OP7_SQL,
+    "op8_partenum_join": OP8_SQL,
 }
