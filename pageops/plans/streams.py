@@ -13,15 +13,15 @@ from ..streaming import jobs as S
 from .catalog import ITEM, ORACLES, WORDS, _ATTEMPTS_CTE, attempts_from_events
 
 
+#: Files a micro-batch takes at most.
+FILES = 64
+
+
 def _paths(spark, name):
     base = scratch_path(spark, name)
     return f"{base}/out", f"{base}/checkpoint"
 
 
-def _cores(spark):
-    return spark.sparkContext.defaultParallelism
-
-
 def _finish(q):
     q.awaitTermination()
     if q.exception() is not None:
@@ -30,35 +30,32 @@ def _finish(q):
 
 def q_stream_index_links(spark, root):
     out, ck = _paths(spark, "stream-index-links")
-    _finish(S.stream_index_links(S.read_stream(spark, root, "pages"), out, ck, ITEM, None, WORDS))
+    _finish(S.stream_index_links(S.read_stream(spark, root, "pages", FILES), out, ck, ITEM, None, WORDS))
     return spark.read.parquet(out)
 
 
 def q_stream_contact_entities(spark, root):
     out, ck = _paths(spark, "stream-entities")
-    _finish(S.stream_entities(S.read_stream(spark, root, "documents"), out, ck))
+    _finish(S.stream_entities(S.read_stream(spark, root, "documents", FILES), out, ck))
     return spark.read.parquet(out)
 
 
 def q_stream_distinct_keys(spark, root):
     out, ck = _paths(spark, "stream-distinct")
-    _finish(S.stream_distinct(S.read_stream(spark, root, "events"), ["user_id", "event_type"], out, ck,
-                              state_partitions=_cores(spark)))
-    return spark.read.parquet(out)
+    _finish(S.stream_distinct(S.read_stream(spark, root, "events", FILES), ["user_id", "event_type"], out, ck))
+    return spark.read.parquet(out).select("user_id", "event_type")
 
 
 def q_stream_bracket_state(spark, root):
     out, ck = _paths(spark, "stream-bracket")
-    att = attempts_from_events(S.read_stream(spark, root, "events"))
-    _finish(S.stream_bracket_state(att, "user_id", out, ck, state_partitions=_cores(spark)))
-    return spark.read.parquet(out)
+    _finish(S.stream_bracket_state(attempts_from_events(S.read_stream(spark, root, "events", FILES)), "user_id", out, ck))
+    return S.bracket_state(spark, out, "user_id")
 
 
 def q_stream_bracket_history(spark, root):
     out, ck = _paths(spark, "stream-bracket-history")
-    att = attempts_from_events(S.read_stream(spark, root, "events"))
-    _finish(S.stream_bracket_history(att, "user_id", ["ts", "event_id"], out, ck,
-                                     state_partitions=_cores(spark)))
+    att = attempts_from_events(S.read_stream(spark, root, "events", FILES))
+    _finish(S.stream_bracket_history(att, "user_id", ["ts", "event_id"], out, ck))
     return spark.read.parquet(out).select("user_id", "event_id", "seq", "lo", "hi", "outcome")
 
 

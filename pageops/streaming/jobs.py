@@ -3,11 +3,13 @@
 - A13: page files in, newest-first links out.  Link extraction is per page
   row with no window, so it runs as a plain append-mode stream.
 - C4: contact entities of arriving documents, append mode.
-- B6: distinct keys on a stream with bounded state
-  (``withWatermark`` + ``dropDuplicatesWithinWatermark``).
-- D8: the current bracket per key, a stateful aggregate written in complete
-  mode through ``foreachBatch`` (each epoch replaces the snapshot, so a retried
-  epoch writes the same files again).
+- B6: distinct keys; what an epoch adds is what earlier epochs have not written.
+- D8: the bracket per key as one partial row per key and epoch, merged on read.
+- D4, D5: bracket history per epoch, carried on from the keys' stored states.
+
+B6, D8 and D4/D5 write every epoch to its own folder, replaced as a whole if the
+epoch is tried again, and keep no state but these tables: results don't depend
+on how the input is cut into batches, and no row is late.
 
 Checkpoints and outputs live under the session's shared checkpoint folder.
 """
@@ -15,48 +17,40 @@ Checkpoints and outputs live under the session's shared checkpoint folder.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.patterns import FORUM_EXCLUDED, HIGHEST, LOWEST
 from ..operators import entities as E
 from ..operators import links as L
 from ..operators import numbers as N
-from ..sources.tables import SCHEMAS
+from ..sources.tables import SCHEMAS, table_path
 
 
-def read_stream(spark: SparkSession, folder: str, table: str, max_files: int | None = None) -> DataFrame:
-    """Parquet files of one table arriving in ``folder`` (``<table>*.parquet``)."""
-    r = (spark.readStream.schema(SCHEMAS[table]).format("parquet")
-         .option("pathGlobFilter", f"{table}*.parquet"))
+def read_stream(spark: SparkSession, root: str, table: str, max_files: int | None = None) -> DataFrame:
+    """The parquet files of ``<root>/<table>.parquet``, one file or a folder of
+    part files, as a stream.  A missing table is an error, not an empty stream."""
+    path = table_path(root, table)
+    spark.read.schema(SCHEMAS[table]).parquet(path)          # raises if there is nothing to read
+    r = spark.readStream.schema(SCHEMAS[table]).format("parquet")
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
-    return r.load(folder)
-
-
-def _start(writer, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
-    """Start a stream; stateful operators get ``state_partitions`` state stores
-    (read from the session conf when the query starts and then fixed by its
-    checkpoint).  The session's own setting is restored right after."""
-    if not state_partitions:
-        return writer.start()
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(key, old)
-
-
-def _run(df: DataFrame, out: str, checkpoint: str, available_now: bool, mode: str = "append",
-         state_partitions: int | None = None) -> StreamingQuery:
-    w = (df.writeStream.format("parquet").outputMode(mode)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        return r.load(path)
+    # A stream's path must be a folder: the file is the one of its name there.
+    return r.option("pathGlobFilter", f"{table}.parquet").load(root)
+
+
+def _run(df: DataFrame, out: str, checkpoint: str, available_now: bool) -> StreamingQuery:
+    w = (df.writeStream.format("parquet").outputMode("append")
          .option("path", out).option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return _start(w, df.sparkSession, state_partitions)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
 
 
 def stream_index_links(pages: DataFrame, out: str, checkpoint: str, item=("li", None), title=None,
@@ -72,8 +66,10 @@ def stream_entities(docs: DataFrame, out: str, checkpoint: str, available_now: b
 
 def distinct_within_watermark(events: DataFrame, keys: Sequence[str], ts_col: str = "ts",
                               delay: str = "1 day") -> DataFrame:
-    """The first row of each key; a key's state is dropped once the
-    watermark (max event time - ``delay``) passes it, so state stays bounded.
+    """B6 in bounded memory, for feeds in time order: the first row of each key;
+    a key's state is dropped once the watermark (max event time - ``delay``)
+    passes it, so a key seen again after that is a new one, and rows older than
+    the watermark are dropped.  ``stream_distinct`` has neither effect.
     ``timestamp_ntz`` is read in the session time zone (watermarks need
     ``timestamp``)."""
     ts = F.col(ts_col)
@@ -83,112 +79,101 @@ def distinct_within_watermark(events: DataFrame, keys: Sequence[str], ts_col: st
             .dropDuplicatesWithinWatermark(list(keys)))
 
 
+def _epochs(spark: SparkSession, out: str, schema, before: int | None = None) -> DataFrame:
+    """What epochs (before one, if given) have written under ``out``."""
+    fields = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
+    done = spark.read.schema(fields).parquet(out)
+    return done if before is None else done.filter(F.col("epoch") < before)
+
+
+def _by_epoch(df: DataFrame, checkpoint: str, write, available_now: bool) -> StreamingQuery:
+    w = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
+
+
 def stream_distinct(events: DataFrame, keys: Sequence[str], out: str, checkpoint: str,
-                    delay: str = "1 day", available_now: bool = True,
-                    state_partitions: int | None = None) -> StreamingQuery:
-    first = distinct_within_watermark(events, keys, delay=delay).select(*keys)
-    return _run(first, out, checkpoint, available_now, state_partitions=state_partitions)
-
-
-def bracket_state(attempts: DataFrame, key: str, raw_col: str = "raw", target_col: str = "target",
-                  lo: int = LOWEST, hi: int = HIGHEST) -> DataFrame:
-    """The current bracket of each key from every attempt seen so far;
-    needs no order (max of lows, min of highs, any hit)."""
-    # parse once per row in a projection, then aggregate the parsed value
-    parsed = attempts.select(key, N.parse_int(F.col(raw_col)).alias("_v"),
-                             F.col(target_col).cast("decimal(38,0)").alias("_t"))
+                    available_now: bool = True) -> StreamingQuery:
+    """Each key once, in the epoch that first has it."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        new = batch.select(*keys).distinct()
+        if epoch:
+            seen = _epochs(batch.sparkSession, out, new.schema, epoch).select(*[F.col(k).alias(f"_{k}") for k in keys])
+            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+            new = new.join(seen, same, "left_anti")
+        new.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    return _by_epoch(events, checkpoint, write, available_now)
+
+
+def _moves(attempts: DataFrame, raw_col: str, target_col: str, lo: int, hi: int, *carry: str) -> DataFrame:
+    """The carried columns and what an attempt does to a bracket: ``low`` and
+    ``high`` (the bound it moves, if any) and ``hit``.  Parsed once a row."""
+    parsed = attempts.select(*carry, N.parse_int(F.col(raw_col)).alias("_v"), F.col(target_col).cast("decimal(38,0)").alias("_t"))
     v, t = F.col("_v"), F.col("_t")
-    return parsed.groupBy(key).agg(
-        F.count(F.lit(1)).alias("attempts"),
-        F.greatest(F.lit(lo).cast("decimal(38,0)"), F.max(F.when(v < t, v))).cast("long").alias("lo"),
-        F.least(F.lit(hi).cast("decimal(38,0)"), F.min(F.when(v > t, v))).cast("long").alias("hi"),
-        F.max(F.when((v == t) & (t > lo) & (t < hi), F.lit(1)).otherwise(F.lit(0))).alias("hit"),
-    )
+    return parsed.select(*carry, F.when(v < t, v).alias("low"), F.when(v > t, v).alias("high"),
+                         F.when((v == t) & (t > lo) & (t < hi), F.lit(1)).otherwise(F.lit(0)).alias("hit"))
+
+
+def stream_bracket_state(attempts: DataFrame, key: str, out: str, checkpoint: str, raw_col: str = "raw", target_col: str = "target",
+                         lo: int = LOWEST, hi: int = HIGHEST, available_now: bool = True) -> StreamingQuery:
+    """One partial row per key that an epoch has; see ``bracket_state``."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        part = _moves(batch, raw_col, target_col, lo, hi, key).groupBy(key).agg(
+            F.count(F.lit(1)).alias("attempts"), F.max("low").alias("low"), F.min("high").alias("high"), F.max("hit").alias("hit"))
+        part.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    return _by_epoch(attempts, checkpoint, write, available_now)
+
+
+def bracket_state(spark: SparkSession, out: str, key: str, lo: int = LOWEST, hi: int = HIGHEST) -> DataFrame:
+    """The current bracket of each key from every attempt seen so far (max
+    of lows, min of highs, any hit), merged from the epochs' partial rows."""
+    wide = "decimal(38,0)"
+    return spark.read.parquet(out).groupBy(key).agg(
+        F.sum("attempts").alias("attempts"),
+        F.greatest(F.lit(lo).cast(wide), F.max("low")).cast("long").alias("lo"),
+        F.least(F.lit(hi).cast(wide), F.min("high")).cast("long").alias("hi"),
+        F.max("hit").alias("hit"))
+
+
+def stream_bracket_history(attempts: DataFrame, key: str, order: Sequence[str], out: str, checkpoint: str, raw_col: str = "raw",
+                           target_col: str = "target", lo: int = LOWEST, hi: int = HIGHEST, available_now: bool = True) -> StreamingQuery:
+    """The rows of ``numbers.bracket_history``, epoch by epoch.
 
+    A key's state is its bracket, whether it was hit, the attempts seen and the
+    place of the last one; an epoch writes the states of its keys only, and the
+    latest by epoch counts.  An attempt that comes before its key's last one
+    would change rows already written: the epoch fails and says so."""
+    wide = "decimal(38,0)"
 
-def stream_bracket_state(attempts: DataFrame, key: str, out: str, checkpoint: str,
-                         available_now: bool = True, state_partitions: int | None = None) -> StreamingQuery:
-    """D8 as a stream: the full current state replaces ``out`` every epoch."""
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
-    w = (bracket_state(attempts, key).writeStream.outputMode("complete")
-         .option("checkpointLocation", checkpoint).foreachBatch(write))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return _start(w, attempts.sparkSession, state_partitions)
-
-
-# --- D4 + D5 on a stream: per-key state, vectorised fold per micro-batch ----
-
-_HISTORY_STATE = "lo long, hi long, done boolean, seq long"
-
-
-def _history_fold(key_name: str, order: Sequence[str], lo0: int, hi0: int):
-    """Per key and micro-batch: sort the key's new attempts, fold them onto the
-    stored bracket with numpy prefix max/min (no per-row Python), emit the
-    attempts up to the first hit, store (lo, hi, done, seq)."""
-    import numpy as np
-    import pandas as pd
-
-    def fold(key, pdfs, state):
-        lo, hi, done, seq = state.get if state.exists else (lo0, hi0, False, 0)
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(list(order), kind="stable")
-        n = len(pdf)
-        v = pdf["v"].to_numpy(dtype="float64", na_value=np.nan)
-        t = pdf["target"].to_numpy(dtype="float64")
-        fmt = pdf["fmt_ok"].to_numpy(dtype=bool)
-        below = np.where(v < t, v, -np.inf)
-        above = np.where(v > t, v, np.inf)
-        hit = (v == t) & (t > lo0) & (t < hi0)
-        lo_before = np.maximum.accumulate(np.concatenate(([float(lo)], below[:-1]))) if n else below
-        hi_before = np.minimum.accumulate(np.concatenate(([float(hi)], above[:-1]))) if n else above
-        hits_before = np.concatenate(([int(done)], np.cumsum(hit)[:-1] + int(done))) if n else hit
-        keep = hits_before == 0
-        outcome = np.select(
-            [~fmt, np.isnan(v) | (v <= lo_before) | (v >= hi_before), v == t, v < t],
-            ["format", "range", "hit", "low"], "high")
-        out = pd.DataFrame({
-            key_name: key[0],
-            **{c: pdf[c].to_numpy() for c in order},
-            "seq": seq + np.arange(1, n + 1, dtype="int64"),
-            "lo": lo_before.astype("int64"),
-            "hi": hi_before.astype("int64"),
-            "outcome": outcome,
-        })[keep]
-        if n:
-            lo = int(max(lo, below.max()))
-            hi = int(min(hi, above.min()))
-            done = bool(done or hit.any())
-        state.update((lo, hi, done, seq + n))
-        yield out
-
-    return fold
-
-
-def bracket_history_stream(attempts: DataFrame, key: str, order: Sequence[str], raw_col: str = "raw",
-                           target_col: str = "target", lo: int = LOWEST, hi: int = HIGHEST) -> DataFrame:
-    """D4, D5 as a stateful stream (``applyInPandasWithState``): the same rows
-    as ``numbers.bracket_history`` when each key's attempts arrive in order
-    (rows of one micro-batch are sorted; later batches cannot reorder earlier
-    ones).  Values are parsed in the JVM and clipped to ``[lo-1, hi+1]``, which
-    keeps every comparison against targets and brackets inside ``[lo, hi]``."""
-    from pyspark.sql import types as T
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    v = N.parse_int(F.col(raw_col))
-    clipped = F.least(F.greatest(v, F.lit(lo - 1)), F.lit(hi + 1)).cast("long")
-    prepared = attempts.select(key, *order, clipped.alias("v"), N.format_ok(F.col(raw_col)).alias("fmt_ok"),
-                               F.col(target_col).cast("long").alias("target"))
-    fields = {f.name: f.dataType for f in prepared.schema.fields}
-    out_schema = T.StructType([T.StructField(key, fields[key]), *[T.StructField(c, fields[c]) for c in order],
-                               T.StructField("seq", T.LongType()), T.StructField("lo", T.LongType()),
-                               T.StructField("hi", T.LongType()), T.StructField("outcome", T.StringType())])
-    return prepared.groupBy(key).applyInPandasWithState(
-        _history_fold(key, list(order), lo, hi), out_schema, _HISTORY_STATE, "append",
-        GroupStateTimeout.NoTimeout)
-
-
-def stream_bracket_history(attempts: DataFrame, key: str, order: Sequence[str], out: str, checkpoint: str,
-                           available_now: bool = True, state_partitions: int | None = None) -> StreamingQuery:
-    return _run(bracket_history_stream(attempts, key, order), out, checkpoint, available_now,
-                state_partitions=state_partitions)
+        spark = batch.sparkSession
+        order_type = F.struct(*order)
+        rows = batch.withColumn("_at", order_type)
+        moves = _moves(rows, raw_col, target_col, lo, hi, key, "_at").groupBy(key).agg(
+            F.count(F.lit(1)).alias("n"), F.max("low").alias("low"), F.min("high").alias("high"), F.max("hit").alias("hit"), F.max("_at").alias("last"), F.min("_at").alias("first"))
+        state = moves.select(key, "n", "low", "high", "hit", "last")
+        if epoch:
+            old = _epochs(spark, f"{out}-state", state.schema, epoch).groupBy(key).agg(
+                F.max_by(F.struct("n", "low", "high", "hit", "last"), "epoch").alias("old"))
+            late = moves.join(old, key).filter(F.col("first") < F.col("old.last"))
+            if not late.isEmpty():
+                raise ValueError(f"epoch {epoch}: attempts arrived after later ones of their key, e.g. key {late.first()[key]!r}")
+            state = moves.join(old, key, "left").select(
+                key, (F.col("n") + F.coalesce("old.n", F.lit(0))).alias("n"), F.greatest("low", "old.low").alias("low"),
+                F.least("high", "old.high").alias("high"), F.greatest("hit", "old.hit").alias("hit"), "last")
+            rows = rows.join(old, key, "left").filter(F.coalesce("old.hit", F.lit(0)) == 0)
+            base = [F.greatest(F.lit(lo).cast(wide), F.col("old.low")), F.least(F.lit(hi).cast(wide), F.col("old.high")), F.coalesce("old.n", F.lit(0))]
+        else:
+            base = [F.lit(lo).cast(wide), F.lit(hi).cast(wide), F.lit(0)]
+        rows = rows.withColumns({"_lo": base[0], "_hi": base[1], "_n": base[2].cast("long")})
+        told = N.bracket_history(rows, key, list(order), raw_col, target_col, lo, hi)
+        v, t = F.col("value"), F.col(target_col).cast(wide)
+        told = told.withColumns({"lo": F.greatest("lo", "_lo").cast("long"), "hi": F.least("hi", "_hi").cast("long"), "seq": F.col("seq") + F.col("_n")})
+        told = told.withColumn("outcome", F.when(F.col("outcome") == "format", F.lit("format"))
+                               .when(v.isNull() | (v <= F.col("lo")) | (v >= F.col("hi")), F.lit("range"))
+                               .when(v == t, F.lit("hit")).when(v < t, F.lit("low")).otherwise(F.lit("high")))
+        told.select(key, *order, "seq", "lo", "hi", "outcome").write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+        state.write.mode("overwrite").parquet(f"{out}-state/epoch={epoch}")
+
+    return _by_epoch(attempts, checkpoint, write, available_now)

@@ -2,22 +2,27 @@
 
 import tempfile
 
+import pytest
+from pyspark.errors import AnalysisException, StreamingQueryException
+
 from pageops.operators import links as L
 from pageops.plans.catalog import ITEM, WORDS, attempts_from_events
 from pageops.streaming import jobs as S
 
 
-def _split(spark, src, table, parts, folder):
-    """Write the table as ``parts`` consecutive row ranges, one parquet file
-    each, straight into ``folder`` (test setup only)."""
+def _split(spark, src, table, parts, folder, newest_first=False):
+    """Write the table as a folder ``<table>.parquet`` of ``parts`` consecutive
+    row ranges, with file times in that order (test setup only)."""
     import os
 
     import pyarrow.parquet as pq
-    os.makedirs(folder, exist_ok=True)
+    os.makedirs(f"{folder}/{table}.parquet", exist_ok=True)
     t = pq.read_table(f"{src}/{table}.parquet")
     step = -(-t.num_rows // parts)
     for i in range(parts):
-        pq.write_table(t.slice(i * step, step), f"{folder}/{table}{i}.parquet")
+        pq.write_table(t.slice(i * step, step), f"{folder}/{table}.parquet/part-{i}.parquet")
+        at = 1_700_000_000 + (parts - i if newest_first else i) * 60
+        os.utime(f"{folder}/{table}.parquet/part-{i}.parquet", (at, at))
     return spark.read.parquet(f"{src}/{table}.parquet")
 
 
@@ -42,24 +47,45 @@ def test_links_stream_equals_batch(spark, sf_small):
     assert got == want
 
 
-def test_bracket_state_stream_equals_batch(spark, sf_small):
+@pytest.mark.parametrize("newest_first", [False, True])
+def test_bracket_state_stream_equals_one_epoch(spark, sf_small, newest_first):
+    got = []
+    for parts in (1, 4):
+        d = _tmp()
+        _split(spark, sf_small, "events", parts, f"{d}/in", newest_first)
+        att = attempts_from_events(S.read_stream(spark, f"{d}/in", "events", max_files=1))
+        _done(S.stream_bracket_state(att, "user_id", f"{d}/out", f"{d}/ck"))
+        got.append(sorted(tuple(r) for r in S.bracket_state(spark, f"{d}/out", "user_id").collect()))
+    assert got[0] and got[0] == got[1]
+
+
+@pytest.mark.parametrize("newest_first", [False, True])
+def test_distinct_stream_equals_batch(spark, sf_small, newest_first):
     d = _tmp()
-    events = _split(spark, sf_small, "events", 3, f"{d}/in")
-    att = attempts_from_events(S.read_stream(spark, f"{d}/in", "events", max_files=1))
-    _done(S.stream_bracket_state(att, "user_id", f"{d}/out", f"{d}/ck"))
-    got = sorted(tuple(r) for r in spark.read.parquet(f"{d}/out").collect())
-    want = sorted(tuple(r) for r in S.bracket_state(attempts_from_events(events), "user_id").collect())
-    assert got == want
+    events = _split(spark, sf_small, "events", 4, f"{d}/in", newest_first)
+    q = _done(S.stream_distinct(S.read_stream(spark, f"{d}/in", "events", max_files=1), ["user_id", "event_type"], f"{d}/out", f"{d}/ck"))
+    assert len(q.recentProgress) >= 4
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{d}/out").select("user_id", "event_type").collect())
+    assert got == sorted(tuple(r) for r in events.select("user_id", "event_type").distinct().collect())
+
+
+def test_missing_table_is_an_error(spark, sf_small):
+    with pytest.raises(AnalysisException):
+        S.read_stream(spark, f"{sf_small}/nowhere", "events")
 
 
-def test_distinct_stream_equals_batch_when_watermark_covers(spark, sf_small):
+def test_registered_streams_read_folders(spark, sf_small, monkeypatch):
+    from pageops.plans import streams
+    from pageops.plans.compare import compare
+
+    monkeypatch.setattr(streams, "FILES", 1)
     d = _tmp()
-    events = _split(spark, sf_small, "events", 3, f"{d}/in")
-    _done(S.stream_distinct(S.read_stream(spark, f"{d}/in", "events", max_files=1),
-                            ["user_id", "event_type"], f"{d}/out", f"{d}/ck", delay="3650 days"))
-    got = sorted(tuple(r) for r in spark.read.parquet(f"{d}/out").collect())
-    want = sorted(tuple(r) for r in events.select("user_id", "event_type").distinct().collect())
-    assert got == want
+    for table in ("events", "pages", "documents"):
+        _split(spark, sf_small, table, 4, d)
+    for name, query in streams.STREAM_QUERIES.items():
+        got = sorted(map(repr, query(spark, d).collect()))
+        assert got, name
+        assert got == sorted(map(repr, query(spark, sf_small).collect())), name
 
 
 def test_entities_stream(spark, sf_small):
@@ -74,7 +100,7 @@ def test_entities_stream(spark, sf_small):
 def test_bracket_history_stream_equals_batch(spark, sf_small):
     from pageops.operators import numbers as N
     d = _tmp()
-    events = _split(spark, sf_small, "events", 3, f"{d}/in")
+    events = _split(spark, sf_small, "events", 4, f"{d}/in")
     att = attempts_from_events(S.read_stream(spark, f"{d}/in", "events", max_files=1))
     _done(S.stream_bracket_history(att, "user_id", ["ts", "event_id"], f"{d}/out", f"{d}/ck"))
     cols = ["user_id", "event_id", "seq", "lo", "hi", "outcome"]
@@ -84,25 +110,18 @@ def test_bracket_history_stream_equals_batch(spark, sf_small):
     assert got == want
 
 
-def test_distinct_state_expires_after_watermark(spark):
-    import datetime as dt
-    import os
+def test_bracket_history_stream_refuses_disorder(spark, sf_small):
+    d = _tmp()
+    _split(spark, sf_small, "events", 4, f"{d}/in", newest_first=True)
+    att = attempts_from_events(S.read_stream(spark, f"{d}/in", "events", max_files=1))
+    q = S.stream_bracket_history(att, "user_id", ["ts", "event_id"], f"{d}/out", f"{d}/ck")
+    with pytest.raises(StreamingQueryException, match="arrived after later ones"):
+        q.awaitTermination()
 
-    import pyarrow as pa
-    import pyarrow.parquet as pq
+
+def test_distinct_within_watermark_is_a_stream(spark, sf_small):
     d = _tmp()
-    os.makedirs(f"{d}/in")
-    def batch(i, day):
-        ts = dt.datetime(2024, 1, 1) + dt.timedelta(days=day)
-        t = pa.table({"event_id": pa.array([i], pa.int64()), "ts": pa.array([ts], pa.timestamp("us")),
-                      "user_id": pa.array([7], pa.int64()), "event_type": ["view"],
-                      "value": pa.array([1.0]), "props": ['{"k": 1}']})
-        pq.write_table(t, f"{d}/in/events{i}.parquet")
-    batch(0, 0)
-    batch(1, 0)      # same key, same day: dropped (state held)
-    for i in (2, 3, 4):
-        batch(i, 10)  # ten days later; eviction uses the previous batch's watermark,
-                      # so once it passes day 1 the key's state is gone and it is emitted again
-    _done(S.stream_distinct(S.read_stream(spark, f"{d}/in", "events", max_files=1),
-                            ["user_id", "event_type"], f"{d}/out", f"{d}/ck", delay="1 day"))
-    assert spark.read.parquet(f"{d}/out").count() == 2
+    events = _split(spark, sf_small, "events", 1, f"{d}/in")
+    first = S.distinct_within_watermark(S.read_stream(spark, f"{d}/in", "events"), ["user_id"], delay="3650 days").select("user_id")
+    _done(first.writeStream.format("parquet").option("path", f"{d}/out").option("checkpointLocation", f"{d}/ck").trigger(availableNow=True).start())
+    assert spark.read.parquet(f"{d}/out").count() == events.select("user_id").distinct().count()
