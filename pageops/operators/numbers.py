@@ -9,7 +9,7 @@ The sequential loop is a prefix computation: before attempt *i*,
 ``lo = max(LOWEST, max of earlier v < target)`` and
 ``hi = min(HIGHEST, min of earlier v > target)``.  An attempt outside the
 bracket never moves it (it lies outside already), so no "accepted" filter is
-needed.  Prefixes come from ``scan.running`` (skew-safe).
+needed.  Prefixes come from ``scan.running``.
 """
 
 from __future__ import annotations
@@ -91,10 +91,11 @@ def draw_random(lo: int = LOWEST, hi: int = HIGHEST, seed: int | None = None) ->
 
 def bracket_history(attempts: DataFrame, key: str, order: list[str], raw_col: str = "raw",
                     target_col: str = "target", lo: int = LOWEST, hi: int = HIGHEST, *,
-                    partitions: int | None = None, skew_rows: int = scan.SKEW_ROWS) -> DataFrame:
+                    bucket: Column | None = None) -> DataFrame:
     """Per attempt the bracket before it and its outcome, up to and
     including the key's first hit.  Adds ``seq`` (1-based place in the key's
-    order), ``value``, ``lo``, ``hi``, ``outcome``."""
+    order), ``value``, ``lo``, ``hi``, ``outcome``.  ``bucket`` cuts large keys
+    into groups that fit a task (see ``scan``)."""
     t = F.col(target_col).cast(_INT)
     # the guard regex runs once per row: "_ok" feeds both the value and the outcome
     with_v = attempts.withColumn("_ok", format_ok(F.col(raw_col)))
@@ -107,7 +108,7 @@ def bracket_history(attempts: DataFrame, key: str, order: list[str], raw_col: st
         # A guess equal to a target on the bounds is out of range, never a hit.
         "hits": ("sum", F.when((val == t) & (t > lo) & (t < hi), F.lit(1)).otherwise(F.lit(0))),
         "before": ("sum", F.lit(1)),
-    }, partitions=partitions, skew_rows=skew_rows)
+    }, bucket=bucket)
     lo_c = F.greatest(F.lit(lo).cast(_INT), F.col("below"))
     hi_c = F.least(F.lit(hi).cast(_INT), F.col("above"))
     outcome = (F.when(~F.col("_ok"), F.lit("format"))

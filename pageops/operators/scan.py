@@ -1,29 +1,11 @@
-"""Running (prefix) aggregates per key that survive a hot key.
+"""Prefix aggregates per key, in one lazy plan.
 
-``Window.partitionBy(key).orderBy(...)`` puts every row of a key into one task;
-a key holding a third of all rows would sort a third of the data in one task.
-Here rows are range-partitioned on ``(key, order...)`` instead, so a hot key is
-cut into consecutive slices across many partitions:
-
-1. ``repartitionByRange`` on the full sort key; ``spark_partition_id()`` names
-   each slice.  Slices of one key are consecutive partitions.
-2. A window per ``(slice, key)`` gives slice-local running values (each group
-   is bounded by one range partition).  The result is checkpointed (reliably,
-   into ``spark.checkpoint.dir``): the steps below read it twice, and two
-   separately planned range exchanges could number slices differently.
-3. One summary row per slice (first key, last key, running total of its last
-   key) - as many rows as partitions, a proven bound - from hash aggregates
-   over the last row of each (slice, key) group.  Only a slice's first key
-   can continue from earlier slices, and then its carry is the running total
-   of the previous slice's last key.
-4. The carry table is broadcast (its size is the partition count) and folded
-   into the first key of each slice.
-
-When no key is hot the slicing is not needed: one aggregate over a 1% sample
-(rows per key -> largest and total, a single row to the driver) decides.  If the largest key
-holds at most one partition's share of the rows, or at most ``skew_rows`` rows,
-a plain window partitioned by key cannot overload a task and is used instead
-(one shuffle, no checkpoint).
+``Window.partitionBy(key)`` puts a key into one task.  With a *bucket* - an
+expression that never falls along the key's order, such as the day of its
+time - the key is cut into (key, bucket) groups: a window inside each group, one
+total per group, a window over a key's few totals for what went before, and a
+join that adds it.  A task then holds one bucket of one key, whatever the key's
+size.  Nothing runs while the plan is built, and no data decide its shape.
 
 Supported aggregates are associative with an identity on NULL: ``max``,
 ``min``, ``sum``.
@@ -36,8 +18,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
-
 _FN = {"max": F.max, "min": F.min, "sum": F.sum}
 
 
@@ -50,113 +30,22 @@ def _combine(kind: str, a: Column, b: Column) -> Column:
     return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
 
 
-SKEW_ROWS = 1_000_000
-
-
-def running(df: DataFrame, key: str, order: Sequence[str],
-            aggs: Mapping[str, tuple[str, Column]], *, inclusive: bool = False,
-            partitions: int | None = None, plain_if_fits: bool = True,
-            skew_rows: int = SKEW_ROWS) -> DataFrame:
+def running(df: DataFrame, key: str, order: Sequence[str], aggs: Mapping[str, tuple[str, Column]], *,
+            inclusive: bool = False, bucket: Column | None = None) -> DataFrame:
     """Add, per row, ``aggs[name] = (kind, expr)`` aggregated over the earlier
     rows of the same ``key`` in ``order`` (also the row itself when
-    ``inclusive``).  ``order`` must be a total order within a key.
-
-    A key is hot when it has more rows than one partition's share
-    (``total / partitions``) and more than ``skew_rows``; without a hot key a
-    plain window is used, otherwise the sliced scan."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = list(order)
-    if plain_if_fits and _largest_key_fits(df, key, n, skew_rows):
-        w = Window.partitionBy(key).orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, 0 if inclusive else -1)
+    ``inclusive``).  ``order`` must be a total order within a key; ``bucket``
+    must not fall along it."""
+    last = 0 if inclusive else -1
+    if bucket is None:
+        w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
         return df.select("*", *[_FN[kind](expr).over(w).alias(name) for name, (kind, expr) in aggs.items()])
-    return _sliced(df, key, order, aggs, inclusive, n)
-
-
-def _key_sizes(df: DataFrame, key: str, fraction: float | None = None):
-    """(largest key, total) rows; from a deterministic sample when given."""
-    src = df.select(key) if fraction is None else df.select(key).sample(fraction=fraction, seed=17)
-    st = (src.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
-          .agg(F.max("c").alias("mx"), F.sum("c").alias("total")).first())
-    return st["mx"] or 0, st["total"] or 0
-
-
-def _largest_key_fits(df: DataFrame, key: str, n: int, skew_rows: int = SKEW_ROWS,
-                      fraction: float = 0.01, min_sample: int = 100_000) -> bool:
-    """True when no key has more than ``max(total / n, skew_rows)`` rows.
-
-    Judged on a 1% sample (so the check shuffles ~1% of the rows even with a
-    billion distinct keys), with a factor-2 margin: a key near the bound is
-    treated as hot.  A small sample means a small input: then it counts
-    exactly.  One row reaches the driver either way."""
-    def fits(mx, total, fraction, margin):
-        est_mx, est_total = mx / fraction, total / fraction
-        return est_mx * margin <= skew_rows or est_mx * n * margin <= est_total
-
-    mx, total = _key_sizes(df, key, fraction)
-    if total / fraction * 2.0 <= skew_rows:
-        return True          # even the whole input is below the absolute floor
-    if total >= min_sample:
-        return fits(mx, total, fraction, 2.0)
-    # A small sample: "hot" is safe to act on (slicing is always correct),
-    # "fits" is confirmed by an exact count (cheap: the input is small).
-    if not fits(mx, total, fraction, 2.0):
-        return False
-    mx, total = _key_sizes(df, key)
-    return total == 0 or fits(mx, total, 1.0, 1.0)
-
-
-def _sliced(df: DataFrame, key: str, order: list[str], aggs: Mapping[str, tuple[str, Column]],
-            inclusive: bool, n: int) -> DataFrame:
-    spark = df.sparkSession
-    tmp = {name: f"_v_{name}" for name in aggs}
-    base = df.select("*", *[expr.alias(tmp[name]) for name, (_, expr) in aggs.items()])
-    sliced = (base.repartitionByRange(n, key, *order)
-              .withColumn("_slice", F.spark_partition_id()))
-
-    w = Window.partitionBy("_slice", key).orderBy(*order)
-    w_local = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    w_all = w.rowsBetween(Window.unboundedPreceding, 0)
-    local = sliced.select(
-        "*",
-        *[_FN[kind](F.col(tmp[name])).over(w_local).alias(f"_l_{name}") for name, (kind, _) in aggs.items()],
-        *[_FN[kind](F.col(tmp[name])).over(w_all).alias(f"_t_{name}") for name, (kind, _) in aggs.items()],
-        F.lead(F.lit(1)).over(w).isNull().alias("_is_last"),
-    )
-    checkpoint_root(spark)
-    local = local.checkpoint(eager=True)
-
-    # Last row of each (slice, key) group holds that group's total.  Per slice:
-    # first key, last key (hash aggregates over those rows), then the last
-    # key's total via a broadcast of the per-slice bounds (N rows).
-    ends = local.where(F.col("_is_last")).select("_slice", key, *[f"_t_{name}" for name in aggs])
-    # NULL keys sort first: a slice holding any starts with NULL; its last key
-    # is NULL only when every key in it is NULL.
-    bounds = ends.groupBy("_slice").agg(
-        F.when(F.max(F.col(key).isNull()), F.lit(None)).otherwise(F.min(key)).alias("_first"),
-        F.max(key).alias("_lk"))
-    lasts = (ends.join(F.broadcast(bounds), "_slice")
-             .where(F.col(key).eqNullSafe(F.col("_lk")))
-             .select("_slice", "_first", "_lk", *[f"_t_{name}" for name in aggs]))
-    # Running total of each slice's last key across earlier slices (N rows).
-    by_last = Window.partitionBy("_lk").orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
-    chained = lasts.select(
-        "_slice", "_first", "_lk",
-        *[_FN[kind](F.col(f"_t_{name}")).over(by_last).alias(f"_r_{name}") for name, (kind, _) in aggs.items()],
-    )
-    prev = Window.orderBy("_slice")
-    continues = F.lag("_slice").over(prev).isNotNull() & F.lag("_lk").over(prev).eqNullSafe(F.col("_first"))
-    carry = chained.select(
-        "_slice",
-        *[F.when(continues, F.lag(f"_r_{name}").over(prev)).alias(f"_c_{name}") for name in aggs],
-        "_first",
-    )
-    joined = local.join(F.broadcast(carry), "_slice", "left")
-    is_first = F.col(key).eqNullSafe(F.col("_first"))
-    out = joined.select(
-        *df.columns,
-        *[F.when(is_first, _combine(kind, F.col(f"_c_{name}"), F.col(f"_l_{name}")))
-          .otherwise(F.col(f"_l_{name}")).alias(name) for name, (kind, _) in aggs.items()],
-    )
-    return out
+    base = df.select("*", bucket.alias("_bucket"), *[expr.alias(f"_v_{name}") for name, (_, expr) in aggs.items()])
+    w = Window.partitionBy(key, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
+    local = base.select(*df.columns, "_bucket", *[_FN[kind](F.col(f"_v_{name}")).over(w).alias(f"_l_{name}") for name, (kind, _) in aggs.items()])
+    totals = base.groupBy(key, "_bucket").agg(*[_FN[kind](F.col(f"_v_{name}")).alias(f"_t_{name}") for name, (kind, _) in aggs.items()])
+    earlier = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(F.col(key).alias("_ck"), F.col("_bucket").alias("_cb"),
+                          *[_FN[kind](F.col(f"_t_{name}")).over(earlier).alias(f"_c_{name}") for name, (kind, _) in aggs.items()])
+    joined = local.join(carry, F.col(key).eqNullSafe(F.col("_ck")) & F.col("_bucket").eqNullSafe(F.col("_cb")))
+    return joined.select(*df.columns, *[_combine(kind, F.col(f"_c_{name}"), F.col(f"_l_{name}")).alias(name) for name, (kind, _) in aggs.items()])

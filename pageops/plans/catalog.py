@@ -17,7 +17,7 @@ from ..operators import entities as E
 from ..operators import links as L
 from ..operators import numbers as N
 from ..operators import records as R
-from ..sources.tables import read_table, spread
+from ..sources.tables import read_table
 
 # Selectors and words used on the corpus pages: items are list entries, each
 # is its own title element; titles holding either word are dropped.
@@ -29,15 +29,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _pages(spark, root):
-    return spread(read_table(spark, root, "pages"))
+    return read_table(spark, root, "pages")
 
 
 def _documents(spark, root):
-    return spread(read_table(spark, root, "documents"))
+    return read_table(spark, root, "documents")
 
 
 def _events(spark, root):
-    return spread(read_table(spark, root, "events"))
+    return read_table(spark, root, "events")
 
 
 def attempts_from_events(events: DataFrame) -> DataFrame:
@@ -412,15 +412,14 @@ FROM (SELECT page_id, m, unnest(range(1, len(m) + 1)) AS i
 
 
 def q_bracket_by_type(spark, root):
-    """The bracket game keyed by event type: five keys of ~20% of all rows each.
-    ``skew_rows=0`` judges hotness by share alone, so the prefix scan takes its
-    sliced (hot key) path on the corpus at every scale."""
+    """The bracket game keyed by event type: five keys of ~20% of all rows each,
+    cut into days, so that a task holds one day of one type."""
     ev = _events(spark, root)
     raw = (F.when(F.col("event_type") == "error", F.col("value").cast("string"))
            .otherwise(F.get_json_object("props", "$.k")))
     att = ev.select("event_type", "ts", "event_id", raw.alias("raw"),
                     (F.lit(50) + F.length("event_type")).cast("long").alias("target"))
-    h = N.bracket_history(att, "event_type", ["ts", "event_id"], skew_rows=0)
+    h = N.bracket_history(att, "event_type", ["ts", "event_id"], bucket=F.date_trunc("day", "ts"))
     return h.select("event_type", "event_id", "seq", "lo", "hi", "outcome")
 
 

@@ -1 +1 @@
-"""Readers with explicit schemas, sinks, and input spreading."""
+"""Readers with explicit schemas, and sinks."""

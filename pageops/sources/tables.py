@@ -37,20 +37,6 @@ SCANS = T.StructType([
 SCHEMAS = {"pages": PAGES, "documents": DOCUMENTS, "events": EVENTS, "scans": SCANS}
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over at least ``min_partitions`` tasks (default:
-    the session's parallelism) when the input has fewer splits, so CPU-heavy
-    per-row work (regexes over whole pages and texts) uses every core.  A large
-    corpus already has more splits than cores, and then this is a no-op: no
-    shuffle is added."""
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    return df if have >= want else df.repartition(want)
-
-
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}.parquet"
 
@@ -88,14 +74,6 @@ def read_scans(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCANS).json(path)
 
 
-def stream_table(spark: SparkSession, path: str, name: str, max_files: int | None = None) -> DataFrame:
-    """A file stream over parquet files of one table; new files become new rows."""
-    r = spark.readStream.schema(SCHEMAS[name]).format("parquet")
-    if max_files:
-        r = r.option("maxFilesPerTrigger", str(max_files))
-    return r.load(path)
-
-
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> None:
     """A10/B5 sink: parquet, optionally partitioned."""

@@ -49,14 +49,6 @@ def test_partitioned_sink_round_trip(spark, sf_small):
     assert back.where("bucket = 1").select(F.max(F.pmod("page_id", F.lit(4)))).first()[0] == 1
 
 
-def test_spread_only_when_coarse(spark, sf_small):
-    df = S.read_table(spark, sf_small, "pages")
-    assert df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-    assert S.spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = df.repartition(spark.sparkContext.defaultParallelism * 2)
-    assert S.spread(wide) is wide
-
-
 def test_html_files_source(spark):
     d = tempfile.mkdtemp(prefix="pageops-html-")
     os.makedirs(os.path.join(d, "day=1"))
