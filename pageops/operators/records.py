@@ -40,12 +40,59 @@ def parse_keyed(json: Column, value_type: T.DataType | str = PORT_RECORD) -> Col
     return F.from_json(json, T.MapType(T.StringType(), value_type))
 
 
-def dedupe_keys(m: Column) -> Column:
-    """``array<struct<key, value>>`` of a map in key order, duplicate keys
-    collapsed with dict semantics (last value, first position).
-
-    Two native sorts of (key, position) find each key's first and last
-    occurrence; no quadratic scan, no map-key policy setting."""
+def _one(json: Column, kind: str) -> Column:
+    """The text as ``kind`` if it is exactly one value of that kind, else NULL.
+    Read as the one element of a list, anything before or after it makes the
+    list malformed."""
+    listed = F.from_json(F.concat(F.lit("["), json, F.lit("]")), f"array<{kind}>")
+    return let(lambda v: F.when(F.size(v["l"]) == 1, F.get(v["l"], 0)), l=listed)
+
+
+def _record_ok(fields: Column) -> Column:
+    """A record's known fields have their types: text fields hold a plain value,
+    ``script`` an object; null is allowed anywhere."""
+    kind = F.transform_values(fields, lambda k, v: F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0))
+    text = [f.name for f in PORT_RECORD.fields if f.name != "script"]
+    return F.forall(F.map_entries(kind), lambda e: (
+        F.when(e["key"] == "script", e["value"].isin("OBJECT", "VOID"))
+        .when(e["key"].isin(*text), ~e["value"].isin("OBJECT", "ARRAY")).otherwise(F.lit(True))))
+
+
+def parse_scans(json: Column) -> Column:
+    """B1: scan object text to ``map<string, struct>``: the fields of
+    ``PORT_RECORD`` and ``rest``, every other attribute as text (JSON text for
+    nested ones).  NULL if the text isn't exactly one object, a record isn't an
+    object or a known field has another type.  Repeated attributes: last wins.
+
+    Types are read off variants; where these refuse a nested object (one that
+    repeats a key), only ``script`` is checked, by its first character."""
+    known = [f.name for f in PORT_RECORD.fields]
+
+    def record(k: Column, fields: Column) -> Column:
+        def body(v: Column) -> Column:
+            def last(f: T.StructField) -> Column:
+                mine = F.filter(v["e"], lambda e: e["key"] == f.name)
+                text = F.get(mine, F.size(mine) - 1)["value"]
+                return F.from_json(text, "map<string,string>") if f.name == "script" else text
+
+            others = F.filter(v["e"], lambda e: ~e["key"].isin(*known, "port"))
+            return F.struct(*[last(f).alias(f.name) for f in PORT_RECORD.fields], F.map_from_entries(dedupe_entries(others)).alias("rest"))
+
+        return F.when(fields.isNotNull(), let(body, e=F.map_entries(fields)))
+
+    def whole(v: Column) -> Column:
+        typed = F.forall(F.map_values(v["k"]), lambda r: r.isNull() | _record_ok(r))
+        seen = F.forall(F.map_values(v["m"]), lambda r: r.isNull() | F.forall(
+            F.map_entries(r), lambda e: (e["key"] != "script") | e["value"].isNull() | e["value"].startswith("{")))
+        return F.when(F.coalesce(typed, seen), F.transform_values(v["m"], record))
+
+    return let(whole, m=_one(json, "map<string,map<string,string>>"), k=_one(json, "map<string,map<string,variant>>"))
+
+
+def dedupe_entries(e: Column) -> Column:
+    """Entries (key, value) with duplicate keys collapsed with dict semantics
+    (last value, first position).  Two native sorts of (key, position) find each key's
+    first and last occurrence; no quadratic scan, no map-key policy setting."""
     def body(v):
         e = v["e"]
         pos = F.transform(e, lambda x, i: F.struct(x["key"].alias("key"), i.alias("p")))
@@ -64,10 +111,14 @@ def dedupe_keys(m: Column) -> Column:
                    asc=F.sort_array(pos),
                    desc=F.sort_array(F.transform(pos, lambda x: F.struct(x["key"], (-x["p"]).alias("p")))))
 
-    # Common case first, with plain compiled functions: no duplicate key.
-    # ``m`` must be cheap to reference (a column or a field of one).
+    return let(body, e=e)
+
+
+def dedupe_keys(m: Column) -> Column:
+    """``dedupe_entries`` of a map.  Common case first, with plain compiled
+    functions: no duplicate key.  ``m`` must be cheap to reference."""
     return F.when(F.size(F.array_distinct(F.map_keys(m))) == F.size(m), F.map_entries(m)).otherwise(
-        let(body, e=F.map_entries(m)))
+        dedupe_entries(F.map_entries(m)))
 
 
 def flatten_keyed(df: DataFrame, id_col: str, map_col: str, key_name: str = "port") -> DataFrame:
@@ -106,22 +157,31 @@ def to_json_text(col: Column, keep_nulls: bool = False) -> Column:
     return F.to_json(col, opts)
 
 
+def _parsed(json: Column, value_type: T.DataType | str) -> Column:
+    """Strictly parsed: scan objects by ``parse_scans``, maps of another value
+    type as the one element of a list."""
+    if value_type == PORT_RECORD:
+        return parse_scans(json)
+    kind = value_type if isinstance(value_type, str) else value_type.simpleString()
+    return _one(json, f"map<string,{kind}>")
+
+
 def route_malformed(df: DataFrame, json_col: str, value_type: T.DataType = PORT_RECORD,
                     parsed_col: str = "parsed") -> tuple[DataFrame, DataFrame]:
     """Parse once, split into (parsed rows, rejected rows).  Rejected are
-    rows whose text is present but does not parse as an object of the
-    schema; NULL text is neither (it yields nothing)."""
-    parsed = df.withColumn(parsed_col, parse_keyed(F.col(json_col), value_type))
+    rows whose text is present but isn't exactly one object of the schema; NULL
+    text is neither (it yields nothing)."""
+    parsed = df.withColumn(parsed_col, _parsed(F.col(json_col), value_type))
     good = parsed.where(F.col(parsed_col).isNotNull())
     bad = parsed.where(F.col(parsed_col).isNull() & F.col(json_col).isNotNull()).drop(parsed_col)
     return good, bad
 
 
 def routing_status(json: Column, value_type: T.DataType | str = PORT_RECORD) -> Column:
-    """B7 as a column: ``parsed`` when the text parses as an object of the
+    """B7 as a column: ``parsed`` when the text is exactly one object of the
     schema, ``rejected`` when present but not, NULL for NULL text."""
     return (F.when(json.isNull(), F.lit(None).cast("string"))
-            .when(parse_keyed(json, value_type).isNull(), F.lit("rejected"))
+            .when(_parsed(json, value_type).isNull(), F.lit("rejected"))
             .otherwise(F.lit("parsed")))
 
 

@@ -447,3 +447,88 @@ SELECT event_id,
        WHEN json_valid(props) AND json_type(props::JSON) = 'OBJECT' THEN 'parsed'
        ELSE 'rejected' END AS status
 FROM events"""
+
+
+# --- scan objects composed from event columns: several ports, a port twice (the
+# later record wins), a record's own port, attributes outside the known ones, a
+# script map, and text made malformed in known ways on a third of the rows.
+
+def _scans(spark, root):
+    port = F.col("user_id").cast("string")
+    first = F.concat(F.lit('{"state": "early", "port": "x", "name": "old"}'))
+    second = F.concat(F.lit('{"state": "'), F.col("event_type"), F.lit('", "port": 9, "banner": "b'), F.col("event_id").cast("string"),
+                      F.lit('", "seen": {"n": 1}, "script": {"id": "'), F.col("event_id").cast("string"), F.lit('", "kind": "'), F.col("event_type"), F.lit('"}}'))
+    other = F.lit('{"state": "open", "cpe": ""}')
+    text = F.concat(F.lit('{"'), port, F.lit('": '), first, F.lit(', "p'), port, F.lit('": '), other, F.lit(', "'), port, F.lit('": '), second, F.lit("}"))
+    broken = (F.when(F.col("event_id") % 12 == 0, F.concat(text, F.lit(" trailing"))).when(F.col("event_id") % 12 == 3, F.concat(text, text))
+              .when(F.col("event_id") % 12 == 6, F.lit('{"a": {"script": ["x"]}}')).when(F.col("event_id") % 12 == 9, F.lit('{"a": {"state": ["x"]}}')))
+    return _events(spark, root).select("event_id", F.coalesce(broken, text).alias("body"))
+
+
+def q_scan_flatten(spark, root):
+    good, _ = R.route_malformed(_scans(spark, root), "body")
+    flat = R.flatten_keyed(good, "event_id", "parsed")
+    return flat.select("event_id", "pos", "port", "state", "name", "cpe", F.to_json("rest").alias("rest"))
+
+
+def q_scan_scripts(spark, root):
+    good, _ = R.route_malformed(_scans(spark, root), "body")
+    return R.flatten_scripts(R.flatten_keyed(good, "event_id", "parsed"), "event_id")
+
+
+def q_scan_rejects(spark, root):
+    _, bad = R.route_malformed(_scans(spark, root), "body")
+    return bad.select("event_id")
+
+
+QUERIES |= {"scan_flatten": q_scan_flatten, "scan_scripts": q_scan_scripts, "scan_rejects": q_scan_rejects}
+ORACLES |= {
+    "scan_flatten": """
+SELECT event_id, 0 AS pos, user_id::VARCHAR AS port, event_type AS state, NULL AS name, NULL AS cpe,
+  '{"banner":"b' || event_id || '","seen":"{\\"n\\":1}"}' AS rest FROM events WHERE event_id % 3 <> 0
+UNION ALL SELECT event_id, 1, 'p' || user_id, 'open', NULL, '', '{}' FROM events WHERE event_id % 3 <> 0""",
+    "scan_scripts": """
+SELECT event_id, user_id::VARCHAR AS port, 0 AS script_pos, 'id' AS script_name, event_id::VARCHAR AS output FROM events WHERE event_id % 3 <> 0
+UNION ALL SELECT event_id, user_id::VARCHAR, 1, 'kind', event_type FROM events WHERE event_id % 3 <> 0""",
+    "scan_rejects": "SELECT event_id FROM events WHERE event_id % 3 = 0",
+}
+
+
+# --- contact lines glued from customer columns: name, address, phone and office
+# extension without a space between them.
+
+def _contacts(spark, root):
+    c = read_table(spark, root, "customer")
+    key = F.col("c_custkey").cast("string")
+    line = F.concat(F.lit("Dr "), key, F.lit(" reach me: user"), key, F.lit("@dept"), F.col("c_nationkey").cast("string"), F.lit(".example.org"),
+                    F.lit(" / "), F.lpad(key, 2, "0"), F.lit("-"), F.lpad(key, 8, "5"), F.lit("#"), F.lpad(key, 4, "7"), F.lit(" end"))
+    return c.select(F.col("c_custkey").alias("doc_id"), line.alias("text"))
+
+
+def q_contact_lines(spark, root):
+    """C1 to C4 on glued contact lines."""
+    return E.extract_entities(_contacts(spark, root))
+
+
+QUERIES["contact_lines"] = q_contact_lines
+_KEY = "c_custkey::VARCHAR"
+ORACLES["contact_lines"] = f"""
+SELECT c_custkey AS doc_id, 'email' AS kind, 0 AS pos, 'user' || {_KEY} || '@dept' || c_nationkey || '.example.org' AS value FROM customer
+UNION ALL SELECT c_custkey, 'phone', 0, left(lpad({_KEY}, 2, '0'), 2) || '-' || left(lpad({_KEY}, 8, '5'), 8) FROM customer
+UNION ALL SELECT c_custkey, 'extension', 0, left(lpad({_KEY}, 4, '7'), 4) FROM customer"""
+
+
+def q_paragraph_audit(spark, root):
+    """A12 on paragraphs titled by their bold text: most have no title, and
+    titles have no link."""
+    return L.link_audit(_pages(spark, root), ("p", None), ("b", None), WORDS)
+
+
+QUERIES["paragraph_audit"] = q_paragraph_audit
+# On these pages a bold title stands right behind its paragraph's tag, and no
+# anchor follows it.
+ORACLES["paragraph_audit"] = """
+SELECT page_id, len(regexp_extract_all(html, '<p>'))::BIGINT AS total, 0::BIGINT AS kept,
+  (len(regexp_extract_all(html, '<p>')) - len(regexp_extract_all(html, '<p><b>')))::BIGINT AS dropped_no_title,
+  len(regexp_extract_all(html, '<p><b>'))::BIGINT AS dropped_no_link, 0::BIGINT AS dropped_excluded
+FROM pages"""

@@ -132,12 +132,12 @@ def scans(spark):
 
 # --- contact text ----------------------------------------------------------
 CONTACT_TEXT = {
-    1: "Data Analysisjdoe7702-23456789#1601Machine Learning",           # login digits glued to phone
-    2: "Systemsmlee02-23456789\n#1602Computer Vision",                  # newline before extension
-    3: "Accountingkwan02-2345678 kwan@lab.example.edu.tw#1603Finance",  # seven digits; email then ext
-    4: "Marketingpchen0223456789 nothing here",                         # dashless: no phone
+    1: "Night shiftjdoe7702-23456789#3910Glass and clay",           # login digits glued to phone
+    2: "Workshopmlee02-23456789\n#3911Old maps",                  # newline before extension
+    3: "Librarykwan02-2345678 kwan@lab.example.edu.tw#3912Bridges",  # seven digits; email then ext
+    4: "Harbourpchen0223456789 nothing here",                         # dashless: no phone
     5: "two a.b@x.example.org and c_d@y.example.com on a line",
-    6: "Embedded Systemsrwu02-23456789 rwu@lab.example.org\n#1604Data",  # email and newline before ext
+    6: "North gaterwu02-23456789 rwu@lab.example.org\n#3913Tides",  # email and newline before ext
     7: "call +1 (555) 010-2030 or +1 (555) 010-4050",
     8: "no entity at all",
     9: "",
@@ -157,7 +157,7 @@ PHONES_EXPECTED = [
     (7, 0, "+1 (555) 010-2030"),
     (7, 1, "+1 (555) 010-4050"),
 ]
-EXTENSIONS_EXPECTED = [(1, 0, "1601"), (2, 0, "1602"), (3, 0, "1603"), (6, 0, "1604")]
+EXTENSIONS_EXPECTED = [(1, 0, "3910"), (2, 0, "3911"), (3, 0, "3912"), (6, 0, "3913")]
 DOC_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
 
 

@@ -59,8 +59,8 @@ def test_dedupe_many_duplicates(spark):
 
 
 def test_distinct_values(spark):
-    df = spark.createDataFrame([("127.0.0.1",), ("127.0.0.2",), ("127.0.0.1",), (None,), ("1.1.1.1",)], "address string")
-    assert sorted(r[0] for r in R.distinct_values(df, "address").collect()) == ["1.1.1.1", "127.0.0.1", "127.0.0.2"]
+    df = spark.createDataFrame([("192.0.2.7",), ("198.51.100.4",), ("192.0.2.7",), (None,), ("203.0.113.9",)], "address string")
+    assert sorted(r[0] for r in R.distinct_values(df, "address").collect()) == ["192.0.2.7", "198.51.100.4", "203.0.113.9"]
     arr = spark.createDataFrame([(["b", "a", "b", "c", "a"],)], "xs array<string>")
     assert arr.select(R.distinct_in_array(F.col("xs"))).first()[0] == ["b", "a", "c"]
 
@@ -81,7 +81,7 @@ def test_entities_long_form_and_index(spark):
     assert long == want
     idx = {(r["kind"], r["value"]): (r["n_docs"], r["first_doc"]) for r in E.entity_index(docs).collect()}
     assert idx[("phone", "02-23456789")] == (3, 1)
-    assert idx[("extension", "1601")] == (1, 1)
+    assert idx[("extension", "3910")] == (1, 1)
 
 
 def test_guard_gives_same_result_as_plain_regex(spark):
@@ -111,3 +111,14 @@ def test_routing_status_column(spark):
     got = {r["scan_id"]: r["status"] for r in scans(spark).select(
         "scan_id", R.routing_status(F.col("body")).alias("status")).collect()}
     assert got == {1: "parsed", 2: "parsed", 3: "rejected", 4: "rejected", 5: "parsed", 6: None, 7: "rejected"}
+
+
+def test_strict_routing(spark):
+    texts = ['{"80": {"state": "open", "script": {"b": "1", "a": "2", "b": "3"}, "rack": 7, "tags": ["x"]}}', '{"a": {}} x', '{"a": {}}{"b": {}}',
+             '{"a": {"state": ["x"]}}', '{"a": {"script": ["x"]}}', "[1]", "", '{"a": 5}', '{"a": {"state": null}}', "{}", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "scan_id int, body string")
+    got = {r.scan_id: r.s for r in df.select("scan_id", R.routing_status(F.col("body")).alias("s")).collect()}
+    assert [got[i] for i in range(11)] == ["parsed"] + ["rejected"] * 7 + ["parsed", "parsed", None]
+    good, _ = R.route_malformed(df, "body")
+    row = R.flatten_keyed(good, "scan_id", "parsed").filter("scan_id = 0").first()
+    assert row.rest == {"rack": "7", "tags": '["x"]'} and row.script == {"b": "3", "a": "2"}
