@@ -81,10 +81,14 @@ class _Corpus:
             ids, count = np.unique(at, return_counts=True)
             weight = np.log1p(count)
             self.docs.append((ids, (weight / (weight.sum() + PRIOR)).astype(np.float32)))
-        of, rows = bags(list(number))
-        self.size = np.bincount(of, minlength=len(number))
+        words, size, rows = list(number), [], []
+        for a in range(0, len(words), 20_000):                          # bounds the intermediate arrays
+            of, found = bags(words[a:a + 20_000])
+            size.append(np.bincount(of, minlength=min(20_000, len(words) - a)))
+            rows.append(found[np.argsort(of, kind="stable")].astype(np.int32))
+        self.size = np.concatenate(size) if size else np.zeros(0, dtype=np.int64)
         self.start = np.cumsum(self.size) - self.size
-        self.rows = rows[np.argsort(of, kind="stable")]
+        self.rows = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int32)
         self.found_in = np.zeros(BUCKETS, dtype=np.int64)               # documents that have the row
         for ids, _ in self.docs:
             size = self.size[ids]
