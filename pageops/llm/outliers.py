@@ -191,3 +191,72 @@ def filter_documents(docs: DataFrame) -> DataFrame:
     few = F.broadcast(gone) if gone.count() <= REJECTS_TO_BROADCAST else gone
     on = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__t"))
     return docs.join(few, on, "left_anti")
+
+
+def _select(into: str, source: str, rest: str = "", **columns: str) -> str:
+    return f"{into} as (select *, {', '.join(f'{e} as {c}' for c, e in columns.items())} from {source} {rest})"
+
+
+def sql() -> str:
+    """``judge`` as DuckDB SQL, with the same steps unrolled."""
+    words = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+    sides = [(i, j) for i in range(5) for j in range(i + 1)]
+    with_ = [
+        f"""d as (
+          select row_number() over () as r, doc_id, lang, source, {words} as w, length(regexp_replace(coalesce(text, ''), '{_BLANK}', '', 'g')) as word_chars,
+            length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '{_SYMBOL}', '', 'g')) as n_symbols,
+            list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as ls from documents)""",
+        f"win as (select r, w, unnest(range(1, len(w) - {WINDOW - 2})) as i from d where len(w) >= {WINDOW})",
+        f"h as (select r, i, md5(array_to_string(w[i:i + {WINDOW - 1}], ' ')) as h from win)",
+        "again as (select r, i from (select r, i, count(*) over (partition by r, h) as m from h) where m > 1)",
+        f"hit as (select r, count(*) as n from (select distinct r, unnest(range(i, i + {WINDOW})) as p from again) group by r)",
+        """base as (
+          select d.r, doc_id, lang, source, len(w)::bigint as n_words, word_chars, n_symbols, (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines,
+            coalesce(n, 0) as n_repeat_words, len(ls) as n_lines from d left join hit using (r))""",
+        _select("judged", "base", base_failed="n_words < 20 or 100 * n_repeat_words > 30 * n_words",
+                gid="coalesce('=' || lang, '-') || '/' || coalesce('=' || source, '-')"),
+        """passed as (
+          select r, gid, round(ln(n_words) * 100)::bigint as v0, round(ln(word_chars / n_words) * 2 * 100)::bigint as v1,
+            round(ln(n_symbols * 10 / n_words + 1) * 100)::bigint as v2, round(sqrt(n_dup_lines / greatest(n_lines, 1)) * 100)::bigint as v3,
+            round(sqrt(n_repeat_words / n_words) * 100)::bigint as v4 from judged where not base_failed)""",
+        f"grouped as (select *, case when count(*) over (partition by gid) >= {MIN_GROUP} then gid else '' end as g from passed)",
+        f"marks as (select g, {', '.join(f'quantile_cont({v}, [0.25, 0.5, 0.75]) as q{i}' for i, v in enumerate(_V))} from grouped group by g having count(*) >= {MIN_GROUP})",
+    ]
+    start = {f"m{i}": f"q{i}[2] / 100" for i in range(5)}
+    for i, j in sides:
+        wide = f"((q{i}[3] - q{i}[1]) / 134.9::double)"
+        start[f"c{i}_{j}"] = f"{wide} * {wide} + {FLOOR[_V[i]] ** 2!r}::double" if i == j else "0.0::double"
+    with_.append(f"est0 as (select g, {', '.join(f'{e} as {c}' for c, e in start.items())} from marks)")
+
+    def distances(step: int) -> str:
+        """CTEs of the factor and of every vector's squared distance; the last's name."""
+        last = f"est{step}"
+        for j in range(5):
+            for i in range(j, 5):
+                less = "".join(f" - l{i}_{k} * l{j}_{k}" for k in range(j))
+                with_.append(_select(f"f{step}_{i}_{j}", last, **{f"l{i}_{j}": f"sqrt(c{i}_{j}{less})" if i == j else f"(c{i}_{j}{less}) / l{j}_{j}"}))
+                last = f"f{step}_{i}_{j}"
+        with_.append(f"y{step} as (select grouped.*, {last}.* exclude (g) from grouped join {last} using (g))")
+        last = f"y{step}"
+        for i, v in enumerate(_V):
+            less = "".join(f" - l{i}_{k} * y{k}" for k in range(i))
+            with_.append(_select(f"y{step}_{i}", last, **{f"y{i}": f"({v} / 100 - m{i}{less}) / l{i}_{i}"}))
+            last = f"y{step}_{i}"
+        with_.append(f"far{step} as (select r, g, v0, v1, v2, v3, v4, {' + '.join(f'y{i} * y{i}' for i in range(5))} as d2 from {last})")
+        return f"far{step}"
+
+    for step in range(STEPS):
+        with_.append(_select(f"bin{step}", distances(step), bin="least(floor(d2 * 16), 65535)::bigint"))
+        with_.append(f"limit{step} as (select g, quantile_cont(bin, {SHARE}) as most from bin{step} group by g)")
+        sums = [f"sum({v})::double as s{i}" for i, v in enumerate(_V)] + [f"sum({_V[i]} * {_V[j]})::double as x{i}_{j}" for i, j in sides]
+        with_.append(f"sum{step} as (select g, count(*)::double as k, {', '.join(sums)} from bin{step} join limit{step} using (g) where bin <= most group by g)")
+        cols = [f"s{i} / k / 100 as m{i}" for i in range(5)]
+        for i, j in sides:
+            c = f"(x{i}_{j} / k - s{i} / k * (s{j} / k)) / 10000 * {CONSISTENCY}::double"
+            cols.append(f"{c} + {FLOOR[_V[i]] ** 2!r}::double as c{i}_{j}" if i == j else f"{c} as c{i}_{j}")
+        with_.append(f"est{step + 1} as (select g, {', '.join(cols)} from sum{step})")
+    last = distances(STEPS)
+    return f"""with {', '.join(with_)}
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and not coalesce(floor(d2 * 16) > {int(CUTOFF * 16)}, false) as kept
+from judged left join {last} using (r)"""

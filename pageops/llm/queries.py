@@ -27,7 +27,7 @@ def op2_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return outliers.judge(read(spark, sf_dir, "documents")).drop("t")
+    return outliers.judge(read(spark, sf_dir, "documents")).drop("t", "distance")
 
 
 def op5_mincut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +98,7 @@ select d.doc_id, coalesce(n, 0) as n_shingles, min(root) as component_id
 from d left join n using (doc_id) join reach on node = d.doc_id group by all"""
 
 ORACLES: dict[str, str] = {
+    "op3_mcd_outliers": outliers.sql(),
     "op6_segment_topk": topk.SQL,
     "op7_seed_extend": OP7_SQL,
     "op8_partenum_join": OP8_SQL,
