@@ -14,7 +14,7 @@ signatures; nodes of a signature that are in several components then, those
 outside the largest, meet all of the other components.  In a signature of more
 than ``LARGE`` nodes, nodes meet one typical node, and of other pairs only those
 that its distances leave possible are made (see ``_large``).  Candidates pass a
-512-bit parity sketch (its distance never exceeds the difference of the sets, so
+parity sketch of a bit per element (its distance never exceeds the difference of the sets, so
 no link is lost) and then the exact count.
 
 Null or wordless texts have the empty set: n_shingles 0, linked with nothing.
@@ -37,8 +37,8 @@ from .components import components
 PIECES = 3
 LARGE = 16           # nodes of a signature beyond which its group is pruned by distance
 IDS_TO_BROADCAST = 1_000_000
+SIGS_TO_BROADCAST = 2_000_000
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
-_SKETCH = [f"k{i}" for i in range(8)]
 
 
 def shingles(text: bytes, n: int) -> np.ndarray:
@@ -70,27 +70,56 @@ def bands(size: int, percent: int) -> list[tuple[int, int, int]]:
 
 def signatures(x: np.ndarray, percent: int) -> np.ndarray:
     """PartEnum signatures of a sorted set of uniform 64-bit hashes.  Pieces are
-    equal ranges of the hash domain, so each is a slice of the sorted set."""
+    equal ranges of the hash domain, so each is a slice of the sorted set.
+
+    Some more parts than the bound asks for are cut, so that a linked pair
+    agrees in more parts than that.  A set with at most as many parts in which a
+    signature is of empty pieces leaves these signatures out: it still shares
+    one of other pieces with any partner."""
     out = []
     sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix(x ^ _C[1]))])
     for band, _, k in bands(len(x), percent):
         if not k:
             continue                       # only equal sets can link
-        parts = (k + 2) // 2
+        need = (k + 2) // 2
+        spare = -(-need // 12)
+        parts = need + spare
         n = parts * PIECES
         cuts = (np.arange(1, n, dtype=np.float64) * (2.0**64 / n)).astype(np.uint64)
         at = np.concatenate([[0], np.searchsorted(x, cuts), [len(x)]])
+        size = np.diff(at).reshape(parts, PIECES)
         piece = mix(sums[at[1:]] - sums[at[:-1]] + np.diff(at).astype(np.uint64) * _C[2]).reshape(parts, PIECES)
         tag = (np.arange(parts, dtype=np.uint64) + np.uint64(band << 32)) * _C[0]
+        empty = size.sum(1, keepdims=True) == size                 # by the piece left out
+        leave_out = int(empty.any(1).sum()) <= spare
         for leave in range(PIECES):
             sig = tag + np.uint64((leave + 1) * int(_C[1]) % 2**64)
             for p in range(PIECES):
                 if p != leave:
                     sig = mix(sig + piece[:, p]) * _C[2]
-            out.append(mix(sig))
+            sig = mix(sig)
+            out.append(sig[~empty[:, leave]] if leave_out else sig)
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
+def sketch(x: np.ndarray) -> bytes:
+    """One parity bit for each of as many classes (a power of two) as elements."""
+    bits = max(64, 1 << (len(x) - 1).bit_length()) if len(x) else 64
+    odd = np.bincount((x & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """A lower bound of the difference of two sets, off their sketches; the
+    longer one is folded to the length of the other."""
+    short, long = sorted((a, b), key=len)
+    v, size = int.from_bytes(long, "little"), 8 * len(long)
+    while size > 8 * len(short):
+        size //= 2
+        v = (v ^ (v >> size)) & ((1 << size) - 1)
+    return (v ^ int.from_bytes(short, "little")).bit_count()
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """(doc_id, text, node): doc_id itself where it is a key.  Where it is null
     or repeats, a written copy with row numbers takes the table's place."""
@@ -109,26 +138,22 @@ def _without(frame: DataFrame, keys: DataFrame, how: str) -> DataFrame:
 
 def _heads(docs: DataFrame, n: int) -> DataFrame:
     """Per row: node, doc_id, n, two set hashes and the sketch."""
-    schema = "node long, doc_id long, n long, h1 long, h2 long, " + ", ".join(f"{k} long" for k in _SKETCH)
-
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for at in range(0, batch.num_rows, 1024):
                 b = batch.slice(at, 1024)
-                size, head, sketch = [], [], []
+                size, head, drawn = [], [], []
                 for t in texts(b):
                     x = shingles(t, n)
                     size.append(len(x))
                     head.append((mix(x).sum(dtype=np.uint64), mix(x ^ _C[2]).sum(dtype=np.uint64)))
-                    odd = np.bincount((x & np.uint64(511)).astype(np.int64), minlength=512) & 1
-                    sketch.append(np.packbits(odd.astype(np.uint8)).view("<i8"))
+                    drawn.append(sketch(x))
                 heads = np.array(head, dtype=np.uint64).reshape(-1, 2).view(np.int64)
-                sk = np.array(sketch).reshape(-1, 8)
                 yield pa.RecordBatch.from_arrays(
-                    [*b.columns[:2], pa.array(size, pa.int64()), pa.array(heads[:, 0]), pa.array(heads[:, 1]), *(pa.array(sk[:, i]) for i in range(8))],
-                    names=["node", "doc_id", "n", "h1", "h2", *_SKETCH])
+                    [*b.columns[:2], pa.array(size, pa.int64()), pa.array(heads[:, 0]), pa.array(heads[:, 1]), pa.array(drawn, pa.binary())],
+                    names=["node", "doc_id", "n", "h1", "h2", "sketch"])
 
-    return docs.select("node", "doc_id", "text").mapInArrow(run, schema)
+    return docs.select("node", "doc_id", "text").mapInArrow(run, "node long, doc_id long, n long, h1 long, h2 long, sketch binary")
 
 
 def _signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -160,13 +185,18 @@ def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
 def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (a < b: nodes) that link."""
     def side(s: str) -> DataFrame:
-        return nodes.select(*[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", *_SKETCH)])
+        return nodes.select(*[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "sketch")])
 
-    apart = sum((F.bit_count(F.col(f"{k}_a").bitwiseXOR(F.col(f"{k}_b"))) for k in _SKETCH), F.lit(0))
-    near = keep(pairs.join(side("a"), F.col("a") == F.col("node_a")).join(side("b"), F.col("b") == F.col("node_b"))
-                .filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-                .filter(apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
-                .select("a", "b"), "near")
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            both, a, b = (batch.column(i).to_pylist() for i in (2, 3, 4))
+            fits = [apart(x, y) * (100 + percent) <= m * (100 - percent) for m, x, y in zip(both, a, b)]
+            yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
+
+    sized = (pairs.join(side("a"), F.col("a") == F.col("node_a")).join(side("b"), F.col("b") == F.col("node_b"))
+             .filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+             .select("a", "b", (F.col("n_a") + F.col("n_b")).alias("m"), "sketch_a", "sketch_b"))
+    near = keep(sized.mapInArrow(run, "a long, b long"), "near")
     if near.isEmpty():
         return near
     ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -219,7 +249,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     copies = keep(heads.join(classes.select("node"), "node", "left_anti").select("node"), "copies")     # and empty sets
     slim = heads.join(classes.select("node"), "node", "left_semi")
     own = _signatures(_without(docs, copies, "left_anti"), n, percent)
-    shared = own.groupBy("sig").agg(F.count("*").alias("m")).filter("m > 1")
+    shared = keep(own.groupBy("sig").agg(F.count("*").alias("m")).filter("m > 1"), "shared")
+    shared = F.broadcast(shared) if shared.count() <= SIGS_TO_BROADCAST else shared
     groups = keep(own.join(shared, "sig").select("sig", "node", "m"), "groups")
 
     small = groups.filter(F.col("m") <= LARGE)
