@@ -89,22 +89,18 @@ def blocks(html: str) -> list[tuple[str, int, Box]]:
     out: list[tuple[str, int, Box]] = []
     stack = [Box("", None, 0, 0)]
     text: list[str] = []
-    links = raw_until = 0
-    raw = ""
-    in_link = 0
+    links = in_link = 0
+    raw_until = 0                                   # where a skipped element ends
 
-    def flush(box: Box) -> None:
+    def flush() -> None:
         nonlocal links
         if text:
             got = " ".join(unescape("".join(text)).split())
             if got:
-                out.append((got, min(links, len(got)), box))
+                out.append((got, min(links, len(got)), stack[-1]))
             text.clear()
         links = 0
 
-    def box_of() -> Box:
-        return stack[-1]
-
     for m in _TOKEN.finditer(html):
         tok = m[0]
         if m.start() < raw_until:
@@ -122,11 +118,10 @@ def blocks(html: str) -> list[tuple[str, int, Box]]:
             if closing or tok.endswith("/>"):
                 continue
             if name != "head":
-                raw = name
-                end = re.compile(rf"</{raw}(?=[\s/>])[^>]*>?", re.I).search(html, m.end())
+                end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(html, m.end())
                 raw_until = end.end() if end else len(html)
                 if name not in ("svg", "math"):
-                    flush(box_of())
+                    flush()
             continue
         if name == "br":
             text.append(" ")
@@ -135,7 +130,7 @@ def blocks(html: str) -> list[tuple[str, int, Box]]:
             if name == "a":
                 in_link = 0 if closing else 1
             continue
-        flush(box_of())
+        flush()
         in_link = 0
         if closing:
             for k in range(len(stack) - 1, 0, -1):
@@ -153,7 +148,7 @@ def blocks(html: str) -> list[tuple[str, int, Box]]:
                 break
         if name not in VOID:
             stack.append(_open(name, tok, stack[-1]))
-    flush(box_of())
+    flush()
     return out
 
 
