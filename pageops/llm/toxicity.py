@@ -6,7 +6,9 @@ words, so one odd word, or one said over and over, doesn't decide a text.
 
 A word is lower-cased and cut at its edges' punctuation; its bag is the n-grams
 of 3 to 5 characters of ``<word>`` and the word itself, hashed to ``BUCKETS``
-rows.  Words never seen, misspelt ones too, share rows with those seen.
+rows.  Words never seen, misspelt ones too, share rows with those seen.  Words of
+any length are read whole, in training and scoring (a text without ASCII white
+space is one word); memory is bounded by cutting them into overlapping spans.
 
 The logits' slope and shift are set on a fifth of the sample that isn't trained
 on.  Training takes at most ``MAX_ROWS`` labelled rows, those with the smallest hash
@@ -40,6 +42,8 @@ MIN_STEPS = 150      # batches at least: a small sample is gone through more oft
 BATCH = 64
 RATE = 3.0
 MEMO = 400_000
+MEMO_BYTES = 64      # longer words, seldom met again, stay out of the memo
+CHARS = 1 << 18      # characters that n-grams are made from at a time
 START = 1e-5          # squared gradient that every row starts with: rare rows move little
 PRIOR = 10.0         # weight of the empty words that every text is averaged with
 MIN_DOCUMENTS = 4    # a row found in fewer training texts stays 0
@@ -48,17 +52,25 @@ _PRIME = np.uint64(0x100000001B3)
 _EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def bags(ws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _codes(s: str) -> np.ndarray:
+    return np.frombuffer(s.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+
+
+def _mark(w: bytes) -> str:
+    return "<" + w.decode("utf-8", "replace").lower().strip(_EDGE) + ">"
+
+
+def _bags(ws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(word index, row) of the n-grams of all words, in one go."""
-    marked = ["<" + w.decode("utf-8", "replace").lower().strip(_EDGE)[:64] + ">" for w in ws]
+    marked = [_mark(w) for w in ws]
     size = np.fromiter(map(len, marked), dtype=np.int64, count=len(ws))
-    chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    chars = _codes("".join(marked))
     n = len(chars)
     word = np.repeat(np.arange(len(ws)), size)
     first = np.cumsum(size) - size
     left = np.repeat(first + size, size) - np.arange(n)                 # characters up to the word's end
     place = (np.arange(n) - np.repeat(first, size)).astype(np.uint64)
-    whole = mix(np.add.reduceat(mix(chars * _PRIME + place), first)) if n else np.zeros(0, dtype=np.uint64)
+    whole = mix(np.add.reduceat(mix(chars * _PRIME + place), first))
     of, rows = [np.arange(len(ws))], [whole]
     for k in GRAMS:
         at = np.flatnonzero(left >= k)
@@ -70,6 +82,42 @@ def bags(ws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(of), (np.concatenate(rows) % np.uint64(BUCKETS)).astype(np.int64)
 
 
+def _spans(w: bytes) -> Iterator[np.ndarray]:
+    """The rows that ``_bags`` gives one word, from ``CHARS`` characters at a time."""
+    s = _mark(w)
+    whole = np.zeros(1, dtype=np.uint64)
+    for a in range(0, len(s), CHARS):
+        chars = _codes(s[a:a + CHARS + GRAMS[-1] - 1])                  # n-grams reach into the next span
+        own = min(CHARS, len(s) - a)
+        whole += mix(chars[:own] * _PRIME + np.arange(a, a + own, dtype=np.uint64)).sum(dtype=np.uint64)
+        for k in GRAMS:
+            n = max(0, min(own, len(chars) - k + 1))
+            h = np.full(n, k, dtype=np.uint64)
+            for j in range(k):
+                h = h * _PRIME + chars[j:j + n]
+            yield (mix(h) % np.uint64(BUCKETS)).astype(np.int64)
+    yield (mix(whole) % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def bags(ws: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(word index, row) of the n-grams of all words, in parts made from about
+    ``CHARS`` characters each, however many or long the words are."""
+    a = held = 0
+    for b, w in enumerate(ws):
+        if b > a and held + len(w) > CHARS:
+            of, rows = _bags(ws[a:b])
+            yield of + a, rows
+            a, held = b, 0
+        held += len(w)
+        if held > CHARS:                                                # a single word
+            for rows in _spans(w):
+                yield np.full(len(rows), b), rows
+            a, held = b + 1, 0
+    if a < len(ws):
+        of, rows = _bags(ws[a:])
+        yield of + a, rows
+
+
 class _Corpus:
     """Texts as counts of distinct words, words as bags."""
 
@@ -81,12 +129,13 @@ class _Corpus:
             ids, count = np.unique(at, return_counts=True)
             weight = np.log1p(count)
             self.docs.append((ids, (weight / (weight.sum() + PRIOR)).astype(np.float32)))
-        words, size, rows = list(number), [], []
-        for a in range(0, len(words), 20_000):                          # bounds the intermediate arrays
-            of, found = bags(words[a:a + 20_000])
-            size.append(np.bincount(of, minlength=min(20_000, len(words) - a)))
+        words, rows = list(number), []
+        self.size = np.zeros(len(words), dtype=np.int64)
+        for of, found in bags(words):                                   # words come in order, a long one in several parts
+            low = int(of.min(initial=len(words)))
+            size = np.bincount(of - low)
+            self.size[low:low + len(size)] += size
             rows.append(found[np.argsort(of, kind="stable")].astype(np.int32))
-        self.size = np.concatenate(size) if size else np.zeros(0, dtype=np.int64)
         self.start = np.cumsum(self.size) - self.size
         self.rows = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int32)
         self.found_in = np.zeros(BUCKETS, dtype=np.int64)               # documents that have the row
@@ -183,22 +232,27 @@ class Scorer:
         self.score, self.bias = score.astype(np.float64), bias
         self.memo: dict[bytes, float] = {}
 
-    def learn(self, ws: list[bytes]) -> None:
-        of, rows = bags(ws)
-        mean = np.bincount(of, self.score[rows], len(ws)) / np.bincount(of, minlength=len(ws))
-        self.memo.update(zip(ws, mean.tolist()))
+    def means(self, ws: list[bytes]) -> list[float]:
+        total, size = np.zeros(len(ws)), np.zeros(len(ws))
+        for of, rows in bags(ws):
+            low = int(of.min(initial=len(ws)))
+            n = np.bincount(of - low)
+            total[low:low + len(n)] += np.bincount(of - low, self.score[rows])
+            size[low:low + len(n)] += n
+        return (total / size).tolist()
 
     def logits(self, ts: list[bytes]) -> list[float]:
         if len(self.memo) >= MEMO:
             self.memo.clear()
         counts = [Counter(t.split()) for t in ts]
         new = list({w for c in counts for w in c if w not in self.memo})
-        if new:
-            self.learn(new)
+        mean = dict(zip(new, self.means(new)))
+        self.memo.update((w, x) for w, x in mean.items() if len(w) <= MEMO_BYTES)
+        long = {w: x for w, x in mean.items() if len(w) > MEMO_BYTES}
         out = []
         for c in counts:
             weight = np.log1p(np.fromiter(c.values(), dtype=np.float64, count=len(c)))
-            each = np.fromiter(map(self.memo.__getitem__, c), dtype=np.float64, count=len(c))
+            each = np.fromiter((self.memo[w] if len(w) <= MEMO_BYTES else long[w] for w in c), dtype=np.float64, count=len(c))
             out.append(self.bias + float(each @ weight) / (float(weight.sum()) + PRIOR))
         return out
 

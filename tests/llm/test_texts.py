@@ -274,6 +274,30 @@ def test_classifiers_on_edge_cases(spark):
     assert all(r.score < 0.01 for r in toxicity.toxicity(docs, none).collect())
 
 
+def test_toxicity_reads_long_words_whole(monkeypatch):
+    rnd = random.Random(8)
+    plain, bad = ["meadow", "window", "candle", "garden", "pebble"], ["nastyword", "uglyness"]
+    docs = []
+    for i in range(400):
+        w = [rnd.choice(plain) for _ in range(30)]
+        if i % 2:
+            w[5:25] = [rnd.choice(bad) for _ in range(20)]
+        docs.append((" ", "/", "\u3000")[i % 3].join(w).encode())
+    model = toxicity.Scorer(*toxicity.fit(docs, np.array([i % 2 for i in range(400)])))
+    for glue in ("/", "_", "\u00a0", "\u3000"):
+        head = glue.join(plain * 4)
+        worse, better = model.logits([(head + glue + glue.join(x * 10)).encode() for x in (bad, plain[:2])])
+        assert worse > better + 0.1, glue
+    assert all(len(w) <= toxicity.MEMO_BYTES for w in model.memo)
+    ws = [b"a", b"word" * 50, "\u4e2d\u6587\u0130".encode() * 300, b"-", b"x" * 31, b"\xff" * 70, b"end"]
+    of, rows = toxicity._bags(ws)
+    for chars in (1, 30, 64, 10**6):
+        monkeypatch.setattr(toxicity, "CHARS", chars)
+        parts = list(toxicity.bags(ws))
+        assert sorted(zip(of.tolist(), rows.tolist())) == sorted(x for a, b in parts for x in zip(a.tolist(), b.tolist()))
+        assert max(len(a) for a, _ in parts) <= 4 * 3 * max(chars, 40) or chars == 10**6
+
+
 def test_empty_tables(spark):
     docs = documents(spark, [(1, "x")]).filter("false")
     lab = spark.createDataFrame([], "doc_id long, quality int, toxic int")
