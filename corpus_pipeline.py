@@ -16,12 +16,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group linked at a
-    similarity of 0.8 or more on five words.  Rows that repeat the kept id, or
-    have none, stay."""
-    groups = keep(partenum.jaccard_components(docs, n=5, percent=80).filter("doc_id <> component_id").select("doc_id").distinct(), "duplicates")
-    few = F.broadcast(groups) if groups.count() <= partenum.IDS_TO_BROADCAST else groups
-    return docs.join(few, "doc_id", "left_anti")
+    """Exactly one row, that with the smallest id, of each group linked at a
+    similarity of 0.8 or more on five words, also where ids repeat or are null."""
+    return partenum.drop_near_copies(docs, n=5, percent=80)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -120,12 +120,20 @@ def apart(a: bytes, b: bytes) -> int:
     return (v ^ int.from_bytes(short, "little")).bit_count()
 
 
+def _frame(docs: DataFrame) -> DataFrame:
+    return only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def _ids_are_keys(frame: DataFrame) -> bool:
+    rows, ids = frame.select(F.count("*"), F.countDistinct("doc_id")).first()
+    return rows == ids
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """(doc_id, text, node): doc_id itself where it is a key.  Where it is null
     or repeats, a written copy with row numbers takes the table's place."""
-    frame = only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    rows, ids = frame.select(F.count("*"), F.countDistinct("doc_id")).first()
-    if rows == ids:
+    frame = _frame(docs)
+    if _ids_are_keys(frame):
         return frame.withColumn("node", F.col("doc_id"))
     return keep(frame.withColumn("node", F.monotonically_increasing_id()), "keyed")
 
@@ -241,9 +249,9 @@ def _large(docs: DataFrame, large: DataFrame, n: int, percent: int) -> tuple[Dat
     return links, pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs``."""
-    docs = _keyed(docs)
+def _components(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of a keyed table: the head of every row, and of every distinct set that
+    isn't empty (h1, h2, n) its smallest doc_id ``low`` and component ``comp``."""
     heads = keep(_heads(docs, n), "heads")
     classes = keep(heads.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min("node").alias("node"), F.min("doc_id").alias("low")), "classes")
     copies = keep(heads.join(classes.select("node"), "node", "left_anti").select("node"), "copies")     # and empty sets
@@ -275,10 +283,42 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     more = _verify(docs, slim, second, n, percent)
     if not more.isEmpty():
         comps = keep(components(links.unionByName(more)), "components")
-    ends = classes.join(comps, "node", "left").select("h1", "h2", "n", "low", F.coalesce("comp", "node").alias("comp"))
+    return heads, classes.join(comps, "node", "left").select("h1", "h2", "n", "low", F.coalesce("comp", "node").alias("comp"))
+
+
+def _named(heads: DataFrame, ends: DataFrame) -> DataFrame:
+    """(doc_id, n, component) of the rows with sets that aren't empty."""
     lows = ends.groupBy("comp").agg(F.min("low").alias("component"))
     found = ends.join(lows, "comp").select("h1", "h2", "n", "component")
-    linked = heads.select("doc_id", "n", "h1", "h2").filter("n > 0").join(found, ["h1", "h2", "n"])
+    return heads.select("doc_id", "n", "h1", "h2").filter("n > 0").join(found, ["h1", "h2", "n"]).select("doc_id", "n", "component")
+
+
+def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``docs``."""
+    heads, ends = _components(_keyed(docs), n, percent)
     alone = heads.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component"))
-    return (linked.select("doc_id", "n", "component").unionByName(alone)
+    return (_named(heads, ends).unionByName(alone)
             .select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id")))
+
+
+def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with exactly one row of each component: that with the smallest
+    doc_id (null comes last), of several such the one with the smallest hash.
+    Rows with the empty set all stay."""
+    if _ids_are_keys(_frame(docs)):
+        table, key = docs, "doc_id"
+        heads, ends = _components(_frame(docs).withColumn("node", F.col("doc_id")), n, percent)
+        gone = _named(heads, ends).filter("doc_id <> component").select("doc_id")
+    else:                                          # a written copy with row numbers takes the table's place
+        key = "__row"
+        table = keep(docs.withColumns({key: F.monotonically_increasing_id(), "__tie": F.xxhash64(*docs.columns)}), "keyed")
+        heads, ends = _components(table.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(key).alias("node")), n, percent)
+        of = (heads.filter("n > 0").select(F.col("node").alias(key), "n", "h1", "h2")
+              .join(ends.select("h1", "h2", "n", "comp"), ["h1", "h2", "n"]).select(key, F.col("comp").alias("__comp")))
+        place = F.struct(F.col("doc_id").isNull(), "doc_id", "__tie", key).alias("__place")
+        of = keep(table.select(key, place).join(of, key), "members")
+        first = of.groupBy("__comp").agg(F.min("__place").alias("__first"))
+        gone = of.join(first, "__comp").filter(F.col(key) != F.col(f"__first.{key}")).select(key)
+    gone = keep(gone, "duplicates")
+    few = F.broadcast(gone) if gone.count() <= IDS_TO_BROADCAST else gone
+    return table.join(few, key, "left_anti").select(*docs.columns)

@@ -84,6 +84,28 @@ def test_jaccard_repeated_and_null_ids(spark):
     assert [r.component_id for r in out if r.doc_id is None] == [3]
 
 
+def test_one_row_of_each_near_copy_stays(spark):
+    import corpus_pipeline
+
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(3, a), (5, a + " end"), (5, b), (9, b + " end"), (9, "quite another text that no other row has"),
+            (2, c), (2, c), (2, c + " end"), (None, c), (None, d), (None, d + " end"), (4, None), (4, ""), (None, None)]
+    want = [(3, a), (5, b), (9, rows[4][1]), (4, None), (4, ""), (None, None)]
+    got = []
+    for order in (rows, rows[::-1]):
+        docs = documents(spark, order)
+        out = corpus_pipeline.near_duplicates(spark, docs, "")
+        assert out.columns == docs.columns
+        got.append(sorted(((r.doc_id, r.text) for r in out.collect()), key=repr))
+    assert got[0] == got[1]
+    of_c, of_d = ([r for r in got[0] if (r[1] or "").startswith(x)] for x in ("c0", "d0"))
+    assert len(of_c) == 1 and of_c[0][0] == 2 and len(of_d) == 1 and of_d[0][0] is None
+    assert sorted([r for r in got[0] if r not in of_c + of_d], key=repr) == sorted(want, key=repr)
+    unique = [(k, t) for k, (_, t) in enumerate(rows)]
+    out = corpus_pipeline.near_duplicates(spark, documents(spark, unique), "")
+    assert sorted(r.doc_id for r in out.collect()) == [0, 2, 4, 5, 9, 11, 12, 13]
+
+
 def test_parity_sketch_never_exceeds_the_difference():
     rnd = np.random.default_rng(0)
     for _ in range(50):
