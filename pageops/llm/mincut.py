@@ -5,7 +5,8 @@ names, classes and roles, links, length, punctuation) give a classifier cost
 for either label; these become its edges to the terminals.  Blocks that follow
 each other, and blocks whose containers are close in the DOM, share smoothness
 edges, weaker the more container borders lie between them.  The minimum cut, by
-augmenting paths, separates content from boilerplate.
+augmenting paths, separates content from boilerplate.  A class, id or form that
+says boilerplate counts for nothing around the page's article or most of its text.
 
 Spark deals the pages out, and a page is one row.  Null or empty html has no
 text.  A page without tags is one block.  Blocks' references are decoded, white
@@ -39,7 +40,7 @@ ENDS_P = frozenset("address article aside blockquote details dialog div dl field
 BOUNDARY = frozenset("ul ol menu dl table article section div body html td th aside main nav footer header".split())
 
 # Costs, in units of 1/8 nat: what a container says about the text in it.
-AWAY = {"nav": 64, "footer": 64, "aside": 56, "form": 56, "header": 40, "menu": 56, "button": 56, "dialog": 56, "fieldset": 48, "address": 24,
+AWAY = {"nav": 64, "footer": 64, "aside": 56, "header": 40, "menu": 56, "button": 56, "dialog": 56, "fieldset": 48, "address": 24,
         "figcaption": 8, "label": 8}
 TOWARDS = {"article": 32, "main": 24}
 _BAD = re.compile(
@@ -47,6 +48,13 @@ _BAD = re.compile(
     r"side-?bar|widget|nav|navbar|navigation|menu|breadcrumbs?|share|sharing|social|related|recommend\w*|trending|comments?|disqus|repl(?:y|ies)|"
     r"respond|footer|foot|masthead|site-?header|topbar|copyright|legal|newsletter|subscri\w*|signup|login|search|paywall|pager|pagination|tags?|"
     r"toolbar|skip|meta)(?=$|[\s_\-])", re.I)
+#: Parts of a class name that tell of a state or a topic, not of what the container is.
+_STATE = re.compile(
+    r"(?:^|[_\-])(?:has|no|not|non|is|with|without|show|hide)[_\-].*|"
+    r"^(?:tag|category)[_\-](?!(?:cloud|lists?|links?|nav|navigation|menu|widget)$).*|"
+    r"^.*[_\-](?:enabled|disabled|allowed|opened|open|closed|active|visible|hidden|on|off|loaded|ready)$", re.I | re.S)
+FORM, NAMED = 56, 48     # costs that the page's text can undo: of a form, of a class or id
+FEW = 200                # characters of text that are no page's content
 _GOOD = re.compile(r"(?:^|[\s_\-])(?:article|content|main|entry|post|story|body|text)(?=$|[\s_\-])", re.I)
 _BAD_ROLE = frozenset("navigation banner contentinfo complementary search form menu dialog alert alertdialog".split())
 
@@ -56,38 +64,93 @@ _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)
 
 
 class Box:
-    """A container: its parent, depth and what it says, its parents' included."""
+    """A container: its parent, depth and what it says, its parents' included.
 
-    __slots__ = ("name", "parent", "depth", "away", "towards")
+    ``hard`` is the cost that its and its parents' elements and roles set,
+    ``soft`` the one that its own class, id or form sets; ``_settle`` makes
+    ``away`` of both.  ``size`` counts its text without links, its parts'
+    included, ``own`` that without a further soft container in between;
+    ``titles`` and ``articles`` count the h1 and the articles and mains in it."""
 
-    def __init__(self, name: str, parent: Box | None, away: int, towards: int) -> None:
-        self.name, self.parent, self.away, self.towards = name, parent, away, towards
+    __slots__ = ("name", "parent", "depth", "away", "towards", "hard", "soft", "bare", "says", "size", "own", "titles", "articles")
+
+    def __init__(self, name: str, parent: Box | None, hard: int, soft: int, bare: bool, says: int) -> None:
+        self.name, self.parent, self.bare, self.says = name, parent, bare, says
         self.depth = parent.depth + 1 if parent else 0
+        self.hard, self.soft = max(hard, parent.hard if parent else 0), soft
+        self.away = self.towards = self.size = self.own = self.articles = 0
+        self.titles = int(name == "h1")
+
+
+def _bad(value: str) -> bool:
+    return any(_BAD.search(_STATE.sub("", v)) for v in value.split())
 
 
 def _open(name: str, tag: str, parent: Box) -> Box:
-    away, towards = AWAY.get(name, 0), TOWARDS.get(name, 0)
+    hard, soft, towards, named = AWAY.get(name, 0), FORM if name == "form" else 0, TOWARDS.get(name, 0), 0
     if "=" in tag or "hidden" in tag:
         for key, a, b, c in _ATTR.findall(tag):
             key, value = key.lower(), a or b or c
             if key in ("hidden", "aria-hidden"):
-                away = max(away, 64 if key == "hidden" or value == "true" else 0)
+                hard = max(hard, 64 if key == "hidden" or value == "true" else 0)
             elif key == "role":
-                away = max(away, 56 if value.lower() in _BAD_ROLE else 0)
+                hard = max(hard, 56 if value.lower() in _BAD_ROLE else 0)
                 towards = max(towards, 24 if value.lower() in ("main", "article") else 0)
             elif name not in ("body", "html"):
-                away = max(away, 48 if _BAD.search(value) else 0)
+                named = max(named, NAMED if _bad(value) else 0)
                 towards = max(towards, 12 if _GOOD.search(value) else 0)
-    if away and name in ("article", "main", "body", "html"):
-        away = 0
+    if name in ("article", "main", "body", "html"):
+        return Box(name, parent, 0, 0, not named and not hard, towards)
     # What stands inside a container outweighs what the container stands in.
-    return Box(name, parent, max(parent.away, away), parent.towards + towards if not away else 0)
+    return Box(name, parent, hard, max(soft, named), not hard, 0 if hard else towards)
+
+
+def _settle(boxes: list[Box], found: list[tuple[str, int, Box]]) -> None:
+    """Sets each box's ``away`` and ``towards``.
+
+    A soft cost is void where the container has most of the page's text, no
+    article or main stands outside, and it has an h1 or all but ``FEW`` characters
+    outside are boilerplate: it is the page's frame then.  In an article or main whose own
+    class isn't boilerplate's, and with half the text of the longest one or
+    more, the soft costs of the containers around it don't count."""
+    nearest: dict[int, Box] = {}
+    for box in boxes:
+        nearest[id(box)] = box if box.soft or not box.parent else nearest[id(box.parent)]
+    for text, links, box in found:
+        if not box.hard:
+            box.size += len(text) - links
+            nearest[id(box)].own += len(text) - links
+    for box in reversed(boxes):
+        if box.parent and not box.hard:
+            box.articles += box.name in ("article", "main") and box.bare and box.size > 0
+            box.parent.size += box.size
+            box.parent.titles += box.titles
+            box.parent.articles += box.articles
+    root = boxes[0]
+    clear = root.own
+    for box in boxes:       # containers with most of the text stand in each other
+        if box.soft and box.size * 2 > root.size:
+            if box.articles < root.articles or (clear >= FEW and not box.titles):
+                break
+            box.soft = 0
+            clear += box.own
+    longest = max((b.size for b in boxes if b.name in ("article", "main") and b.bare), default=0)
+    soft: dict[int, int] = {}
+    for box in boxes:
+        around = soft[id(box.parent)] if box.parent else 0
+        if box.name in ("article", "main") and box.bare and box.size and box.size * 2 >= longest:
+            around = 0
+        soft[id(box)] = max(around, box.soft)
+        box.away = max(box.hard, soft[id(box)])
+        up = box.parent.towards if box.parent else 0
+        box.towards = up + box.says if not box.soft and (box.bare or box.name in ("article", "main", "body", "html")) else 0
 
 
 def blocks(html: str) -> list[tuple[str, int, Box]]:
     """(text, link characters, container) of each text block in page order."""
     out: list[tuple[str, int, Box]] = []
-    stack = [Box("", None, 0, 0)]
+    stack = [Box("", None, 0, 0, True, 0)]
+    boxes = stack[:]
     text: list[str] = []
     links = in_link = 0
     raw_until = 0                                   # where a skipped element ends
@@ -148,7 +211,9 @@ def blocks(html: str) -> list[tuple[str, int, Box]]:
                 break
         if name not in VOID:
             stack.append(_open(name, tok, stack[-1]))
+            boxes.append(stack[-1])
     flush()
+    _settle(boxes, out)
     return out
 
 

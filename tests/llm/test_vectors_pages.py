@@ -56,6 +56,30 @@ def test_main_text(spark):
     assert mincut.extract(df.filter("false")).count() == 0
 
 
+BODY = "<h1>Head line</h1><p>The first paragraph of the article has some words, and more.</p><p>The second one ends it, with a few words.</p>"
+BODY_TEXT = "Head line The first paragraph of the article has some words, and more. The second one ends it, with a few words."
+REST = '<nav><a href="/a">Home</a></nav>{}<aside>See these other things that we wrote.</aside><footer>All rights reserved by us.</footer>'
+
+
+def test_wrappers_do_not_hide_the_article():
+    names = ("layout has-sidebar", "with-comments", "no-sidebar", "search-enabled", "post hentry tag-news", "page--has-sidebar", "post category-social comments-open",
+             "widget", "sidebar-left", "social", "search")
+    talk = "".join(f"<article class='comment'><p>Remark number {i}, which is rather long and goes on for a while.</p></article>" for i in range(40))
+    for name in names:
+        for inner in (f"<article>{BODY}</article>", f"<main>{BODY}</main>", BODY):
+            for attr in ("class", "id"):
+                page = f"<div {attr}='{name}'>{inner}<div class='ad'>Buy now! Great prices.</div><section class='comments'><p>I like it a lot.</p></section></div>"
+                assert mincut.main_text(REST.format(page)) == BODY_TEXT, (name, inner)
+        page = f"<div class='{name}'><article>{BODY}</article></div><section class='comments'>{talk}</section>"
+        assert mincut.main_text(REST.format(page)) == BODY_TEXT, name
+    assert mincut.main_text(REST.format(f"<form id='aspnetForm'><div>{BODY}</div></form>")) == BODY_TEXT
+    long = f"<article>{BODY}{'<p>And it goes on with one more sentence of the same kind.</p>' * 4}</article>"
+    for name in ("ad", "cookie-notice", "sidebar", "post-comments", "widget-area", "tag-cloud", "related-posts"):
+        for inner in ("<p>Some boilerplate text stands here.</p>", "<article><p>A card of another page.</p></article>", talk):
+            assert "boilerplate" not in (got := mincut.main_text(long + f"<div class='{name}'>{inner}</div>")) and "card" not in got and "Remark" not in got, name
+    assert mincut.main_text(f"<div hidden><article>{BODY}</article></div>") == ""
+
+
 def test_hostile_pages_are_linear():
     for html in ("<a " * 40000, '<a "' * 20000, "<div>" * 30000, "<li>x" * 30000, "a < b " * 20000, "&" * 100000, "<script>" * 20000):
         mincut.main_text(html)
