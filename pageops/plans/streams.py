@@ -8,6 +8,8 @@ oracle as the batch query (stream equals batch).
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..session import scratch_path
 from ..streaming import jobs as S
 from .catalog import ITEM, ORACLES, WORDS, _ATTEMPTS_CTE, attempts_from_events
@@ -55,8 +57,9 @@ def q_stream_bracket_state(spark, root):
 def q_stream_bracket_history(spark, root):
     out, ck = _paths(spark, "stream-bracket-history")
     att = attempts_from_events(S.read_stream(spark, root, "events", FILES))
-    _finish(S.stream_bracket_history(att, "user_id", ["ts", "event_id"], out, ck))
-    return spark.read.parquet(out).select("user_id", "event_id", "seq", "lo", "hi", "outcome")
+    _finish(S.stream_attempts(att, out, ck))
+    h = S.bracket_history(att, out, "user_id", ["ts", "event_id"], bucket=F.date_trunc("day", "ts"))
+    return h.select("user_id", "event_id", "seq", "lo", "hi", "outcome")
 
 
 STREAM_QUERIES = {

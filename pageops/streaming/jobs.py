@@ -5,11 +5,14 @@
 - C4: contact entities of arriving documents, append mode.
 - B6: distinct keys; what an epoch adds is what earlier epochs have not written.
 - D8: the bracket per key as one partial row per key and epoch, merged on read.
-- D4, D5: bracket history per epoch, carried on from the keys' stored states.
+- D4, D5: the attempts per epoch, their bracket history derived on read; or, for
+  feeds in time order per key, the history per epoch, carried on from the keys'
+  stored states.
 
 B6, D8 and D4/D5 write every epoch to its own folder, replaced as a whole if the
 epoch is tried again, and keep no state but these tables: results don't depend
-on how the input is cut into batches, and no row is late.
+on how the input is cut into batches, and no row is late (but for the history
+per epoch, which refuses late attempts).
 
 Checkpoints and outputs live under the session's shared checkpoint folder.
 """
@@ -20,7 +23,7 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -136,9 +139,26 @@ def bracket_state(spark: SparkSession, out: str, key: str, lo: int = LOWEST, hi:
         F.max("hit").alias("hit"))
 
 
+def stream_attempts(attempts: DataFrame, out: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """D4, D5 in any order: each epoch's attempts as they come; see ``bracket_history``."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    return _by_epoch(attempts, checkpoint, write, available_now)
+
+
+def bracket_history(attempts: DataFrame, out: str, key: str, order: Sequence[str], raw_col: str = "raw", target_col: str = "target",
+                    lo: int = LOWEST, hi: int = HIGHEST, *, bucket: Column | None = None) -> DataFrame:
+    """The history of every attempt that ``stream_attempts`` of
+    ``attempts`` has written so far, whatever order they came in."""
+    done = attempts.sparkSession.read.schema(attempts.schema).parquet(out).select(*attempts.columns)
+    return N.bracket_history(done, key, list(order), raw_col, target_col, lo, hi, bucket=bucket)
+
+
 def stream_bracket_history(attempts: DataFrame, key: str, order: Sequence[str], out: str, checkpoint: str, raw_col: str = "raw",
                            target_col: str = "target", lo: int = LOWEST, hi: int = HIGHEST, available_now: bool = True) -> StreamingQuery:
-    """The rows of ``numbers.bracket_history``, epoch by epoch.
+    """The rows of ``numbers.bracket_history``, epoch by epoch, for feeds
+    in time order per key (``stream_attempts`` takes any order).
 
     A key's state is its bracket, whether it was hit, the attempts seen and the
     place of the last one; an epoch writes the states of its keys only, and the

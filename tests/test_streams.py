@@ -119,6 +119,17 @@ def test_bracket_history_stream_refuses_disorder(spark, sf_small):
         q.awaitTermination()
 
 
+@pytest.mark.parametrize("newest_first", [False, True])
+def test_registered_bracket_history_takes_any_order(spark, sf_small, monkeypatch, newest_first):
+    from pageops.plans import catalog, streams
+
+    monkeypatch.setattr(streams, "FILES", 1)
+    d = _tmp()
+    _split(spark, sf_small, "events", 4, d, newest_first)
+    got = sorted(tuple(r) for r in streams.STREAM_QUERIES["stream_bracket_history"](spark, d).collect())
+    assert got and got == sorted(tuple(r) for r in catalog.QUERIES["bracket_history"](spark, sf_small).collect())
+
+
 def test_distinct_within_watermark_is_a_stream(spark, sf_small):
     d = _tmp()
     events = _split(spark, sf_small, "events", 1, f"{d}/in")
