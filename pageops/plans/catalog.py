@@ -146,15 +146,19 @@ def q_user_targets(spark, root):
     return ev.select("user_id", N.draw_in_range(F.col("user_id"), LOWEST, HIGHEST, TARGET_SEED).alias("target"))
 
 
-def q_bracket_history(spark, root):
+def _user_history(spark, root):
+    """By user and day, so that a task holds one day of one user."""
     att = attempts_from_events(_events(spark, root))
-    h = N.bracket_history(att, "user_id", ["ts", "event_id"])
+    return N.bracket_history(att, "user_id", ["ts", "event_id"], bucket=F.date_trunc("day", "ts"))
+
+
+def q_bracket_history(spark, root):
+    h = _user_history(spark, root)
     return h.select("user_id", "event_id", "seq", "lo", "hi", "outcome")
 
 
 def q_bracket_summary(spark, root):
-    att = attempts_from_events(_events(spark, root))
-    return N.bracket_summary(N.bracket_history(att, "user_id", ["ts", "event_id"]), "user_id")
+    return N.bracket_summary(_user_history(spark, root), "user_id")
 
 
 QUERIES: dict[str, Query] = {

@@ -2,7 +2,9 @@
 the skew-safe prefix scan against a single-task window."""
 
 import random
+import re
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -92,6 +94,15 @@ def test_bracket_history_matches_fold_with_hot_key(spark):
         assert sorted(got.get(k, [])) == want, k
 
 
+@pytest.mark.parametrize("name", ["bracket_history", "bracket_summary", "stream_bracket_history"])
+def test_registered_brackets_are_cut_into_days(spark, sf_small, name):
+    from pageops.plans import catalog, streams
+
+    plan = {**catalog.QUERIES, **streams.STREAM_QUERIES}[name](spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    by_row = [w for w in re.findall(r"windowspecdefinition\([^)]*", plan) if re.search(r"\bts#", w)]
+    assert by_row and all("_bucket#" in w.split("ts#")[0] for w in by_row)
+
+
 def test_targets_one_and_hundred_never_hit(spark):
     rows = [(1, i, str(v), 1) for i, v in enumerate([1, 2, 50])] + [(2, i, str(v), 100) for i, v in enumerate([99, 100])]
     df = spark.createDataFrame(rows, "k long, t long, raw string, target long")
