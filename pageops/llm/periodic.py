@@ -112,10 +112,8 @@ def _occurrences(ids: np.ndarray, first: np.ndarray, ends: np.ndarray, block: in
     distance of this scale; ``first`` and ``ends`` bound each text."""
     count = -(-(ends - first) // block)
     rows = int(count.sum())
-    row0 = np.cumsum(count) - count
-    at = np.repeat(first - row0 * block, count) + np.arange(rows) * block
+    at = np.repeat(first - (np.cumsum(count) - count) * block, count) + np.arange(rows) * block
     end = np.repeat(ends, count)
-    last = np.repeat(row0 + count, count)
     cell = at + np.arange(block)[:, None]
     x = np.where(cell < end, ids[np.minimum(cell, len(ids) - 1)], 0).astype(np.uint64)
     need = int((ends - first).max()) ** 2 * block
@@ -124,22 +122,29 @@ def _occurrences(ids: np.ndarray, first: np.ndarray, ends: np.ndarray, block: in
     bound = 1
     for prime, root in PRIMES:
         p = np.uint64(prime)
-        z = np.zeros((2 * block, rows + 1), dtype=np.uint64)     # the last column is an empty block
-        z[:block, :rows] = x % p
-        squares = (z[:block, :rows] ** 2 % p).T.ravel()
-        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(squares), np.full(6 * block, squares.sum(), dtype=np.uint64)])
+        # Blocks past the end are empty; what a window has of the next text is masked below.
+        z = np.zeros((2 * block, rows + 5), dtype=np.uint64)
+        z[:block, :rows] = x if need < prime else x % p
+        squares = z[:block].T.ravel() ** 2
+        squares -= squares // p * p
+        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(squares)])
+        stretch = sums[block:] - sums[:-block]               # squares of the block-long stretch at each place
+        stretch -= stretch // p * p
+        stretch *= np.uint64(block)
+        stretch -= stretch // p * p
         f = forward(z, prime, root)
-        mine = np.ascontiguousarray(f[_negated(2 * block)][:, :rows])
-        starts = np.arange(rows) * block
-        own = sums[starts + block] - sums[starts]
+        mine = f[_negated(2 * block)][:, :rows]
+        own = stretch[:rows * block:block]
         for a in halves:
-            one, two = (np.where(np.arange(rows) + k < last, np.arange(rows) + k, rows) for k in (a, a + 1))
-            window = np.concatenate([f[:block, one] + f[:block, two], f[block:, one] + p - f[block:, two]])
-            product = np.ascontiguousarray((window % p) * mine)
-            product -= product // p * p
-            cross = backward(product, prime, root)[:block]
-            place = starts + a * block + np.arange(block)[:, None]
-            both = (own + sums[place + block] - sums[place]) % p * np.uint64(block) % p
+            window = np.empty((2 * block, rows), dtype=np.uint64)
+            one, two = f[:, a:a + rows], f[:, a + 1:a + 1 + rows]
+            window[:block] = _reduced(one[:block] + two[:block] - p, p)
+            window[block:] = _reduced(one[block:] - two[block:], p)
+            window *= mine
+            window -= window // p * p
+            cross = backward(window, prime, root)[:block]
+            there = stretch[a * block:(a + rows) * block].reshape(rows, block).T
+            both = _reduced(own + there - p, p)
             zero[a] = (cross == both) & zero.get(a, True)
         bound *= prime
         if bound > need:
