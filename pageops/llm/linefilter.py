@@ -48,7 +48,7 @@ HOT = 1000
 
 _KEYS = "r long, k1 long, k2 long"
 _COUNTS = "shard long, k1 long, k2 long, n long, was boolean"
-_FILTERS = "shard long, tags binary, rest array<long>"
+_FILTERS = "shard long, tags binary"
 
 
 def line_key(line: bytes) -> bytes:
@@ -86,19 +86,21 @@ def keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 class Cuckoo:
-    """A multiset of keys as 16-bit tags.  ``rest`` takes what finds no place."""
+    """A multiset of keys as 16-bit tags.  ``rest`` takes what finds no place.
+    As bytes: how many are in the rest, the rest (8 bytes each), the tags."""
 
-    def __init__(self, tags: bytes, rest: list[int]) -> None:
-        self.tags = np.frombuffer(tags, dtype="<u2").copy()
+    def __init__(self, state: bytes) -> None:
+        n = int.from_bytes(state[:8], "little")
+        self.rest = np.frombuffer(state, dtype="<i8", count=n, offset=8).tolist()
+        self.tags = np.frombuffer(state, dtype="<u2", offset=8 + 8 * n).copy()
         self.mask = len(self.tags) // SLOTS - 1
-        self.rest = list(rest)
 
     @classmethod
     def empty(cls, n: int) -> "Cuckoo":
         buckets = 2
         while buckets * SLOTS * FULL / 2 < n:
             buckets *= 2
-        return cls(bytes(2 * SLOTS * buckets), [])
+        return cls(bytes(8 + 2 * SLOTS * buckets))
 
     def places(self, k1: np.ndarray, k2: np.ndarray) -> tuple[np.ndarray, ...]:
         tag = np.maximum(k1.view(np.uint64) >> np.uint64(48), np.uint64(1))
@@ -148,7 +150,8 @@ class Cuckoo:
             (self.add if up > 0 else self.remove)(tag, one, two)
 
     def row(self, shard: int) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([self.tags.tobytes()], pa.binary()), pa.array([self.rest], pa.list_(pa.int64()))], names=["shard", "tags", "rest"])
+        state = len(self.rest).to_bytes(8, "little") + np.array(self.rest, dtype="<i8").tobytes() + self.tags.tobytes()
+        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([state], pa.binary())], names=["shard", "tags"])
 
 
 @dataclass(frozen=True)
@@ -175,7 +178,7 @@ class Index:
 
     @property
     def filters(self) -> DataFrame:
-        """(shard, tags, rest): the shards' filters."""
+        """(shard, tags): the shards' filters, as ``Cuckoo`` writes them."""
         if not self.version:
             return self.spark.createDataFrame([], _FILTERS)
         return self.spark.read.schema(_FILTERS).parquet(self.table("filters"))
@@ -211,13 +214,13 @@ class Index:
         now = F.col("n") >= self.min_docs
         need = merged.groupBy("shard").agg(F.count_if(now).alias("need"), F.count_if(now != F.col("was")).alias("moves"))
         # One row a shard.
-        plan = need.join(self.filters, "shard", "full").withColumn("anew", F.col("tags").isNull() | (F.col("need") > F.octet_length("tags") / 2 * FULL))
+        plan = need.join(self.filters, "shard", "full").withColumn("anew", F.col("tags").isNull() | (F.col("need") * 2 > F.octet_length("tags") * F.lit(FULL)))
         anew = plan.select("shard", "anew").filter("anew is not null")
         rows = merged.join(F.broadcast(anew), "shard").filter((F.col("anew") & now) | (~F.col("anew") & (now != F.col("was"))))
-        rows = rows.select("shard", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("tags"), F.lit(None).cast("array<long>").alias("rest"),
+        rows = rows.select("shard", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("tags"),
                            F.lit(0).cast("long").alias("need"), "k1", "k2", F.when(now, 1).otherwise(-1).alias("sign"))
         none = F.lit(None).cast("long")
-        tables = plan.select("shard", F.lit(0).alias("kind"), F.when(~F.col("anew"), F.col("tags")).alias("tags"), F.when(~F.col("anew"), F.col("rest")).alias("rest"),
+        tables = plan.select("shard", F.lit(0).alias("kind"), F.when(~F.col("anew"), F.col("tags")).alias("tags"),
                              F.coalesce("need", F.lit(0).cast("long")).alias("need"), none.alias("k1"), none.alias("k2"), F.lit(0).alias("sign"))
 
         def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +229,7 @@ class Index:
                 if first is not None:
                     if held is not None:
                         yield held[1].row(held[0])
-                    held = shard, Cuckoo.empty(first["need"]) if first["tags"] is None else Cuckoo(first["tags"], first["rest"])
+                    held = shard, Cuckoo.empty(first["need"]) if first["tags"] is None else Cuckoo(first["tags"])
                 if len(part):
                     held[1].change(*(part.column(part.schema.get_field_index(c)).to_numpy() for c in ("k1", "k2", "sign")))
             if held is not None:
@@ -242,16 +245,16 @@ class Index:
         hot = many.filter(F.col("n") >= every / HOT).select("k1", "k2", F.lit(True).alias("hot"))
         told = pairs.join(F.broadcast(hot), ["k1", "k2"], "left")
         rest = told.filter("hot is null").select(F.pmod("k1", F.lit(max(1, self.shards))).cast("long").alias("shard"), F.lit(1).alias("kind"),
-                                                 F.lit(None).cast("binary").alias("tags"), F.lit(None).cast("array<long>").alias("rest"), "r", "k1", "k2")
+                                                 F.lit(None).cast("binary").alias("tags"), "r", "k1", "k2")
         none = F.lit(None).cast("long")
-        tables = self.filters.select("shard", F.lit(0).alias("kind"), "tags", "rest", none.alias("r"), none.alias("k1"), none.alias("k2"))
+        tables = self.filters.select("shard", F.lit(0).alias("kind"), "tags", none.alias("r"), none.alias("k1"), none.alias("k2"))
 
         def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: Cuckoo | None = None
             of: int | None = None
             for shard, first, part in _by_shard(it):
                 if first is not None:
-                    of, held = shard, Cuckoo(first["tags"], first["rest"])
+                    of, held = shard, Cuckoo(first["tags"])
                 if len(part) and of == shard:
                     r, k1, k2 = (part.column(part.schema.get_field_index(c)) for c in ("r", "k1", "k2"))
                     passed = pa.array(held.has(k1.to_numpy(), k2.to_numpy()))

@@ -234,7 +234,8 @@ def applied(index, df):
 
 
 def state(index):
-    tags = sorted((r.shard, sum(1 for x in memoryview(r.tags).cast("H") if x) + len(r.rest)) for r in index.filters.collect())
+    filters = [(r.shard, linefilter.Cuckoo(bytes(r.tags))) for r in index.filters.collect()]
+    tags = sorted((shard, int((f.tags > 0).sum()) + len(f.rest)) for shard, f in filters)
     return sorted(tuple(r) for r in index.counts.collect()), [t for t in tags if t[1]]
 
 
