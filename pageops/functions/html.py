@@ -11,13 +11,18 @@ k-th open, ``k + 1`` opens and ``i - k`` closes are at or before it.  Sorting
 again by (level, position) puts each open right before its close.  Everything
 is O(n log n) per page, stays in the row, and needs no exchange.
 
+Elements whose end tag may be missing (``li``, ``p``, ``td`` ...) are found with
+an element stack instead, folded over the page's structural tags
+(``implied_elements``): a start tag ends what it must, up to a boundary, and an
+end tag ends all that was opened inside.
+
 Every array that a lambda body reads by index is bound with ``let`` first, so
 it is computed once per row (Catalyst would otherwise inline a column that is
 referenced once into the lambda body and recompute it per element).
 
-Limits (pinned by tests): an unclosed element of the selected name nests whatever follows rather than
-being closed implicitly as an HTML5 tree builder would; ``<x/>`` counts as an
-open tag; ``script`` and ``style`` elements cannot be selected.
+Limits (pinned by tests): an unclosed element whose end tag is required nests
+whatever follows; ``<x/>`` counts as an open tag; ``script`` and ``style``
+elements cannot be selected.
 """
 
 from __future__ import annotations
@@ -28,7 +33,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .patterns import ATTRIBUTE_RE, ATTRIBUTE_VALUE_RE, TOKEN_RE, VOID_ELEMENTS
+from .patterns import (ATTRIBUTE_RE, ATTRIBUTE_VALUE_RE, END_SCOPES, RAWTEXT_RE, RCDATA_RE, SCOPE, START_ENDS,
+                       STRUCTURE, TOKEN_RE, VOID_ELEMENTS)
 
 _NAME_RE = r"^<(/?[A-Za-z][^\s/>]*)"
 # Same, but '' for script/style (those tokens are whole elements, never selected).
@@ -44,8 +50,23 @@ def let(body: Callable[[Column], Column], **bound: Column) -> Column:
 
 
 def page_tokens(html: Column) -> Column:
-    """The page as tokens (tags, text runs, whole comment/script/style)."""
-    return F.regexp_extract_all(html, F.lit(TOKEN_RE), F.lit(0))
+    """The page as tokens (tags, text runs, whole comment/script/style).
+
+    The content of an element that holds text only (``title``, ``textarea``,
+    ``iframe`` ...) is one text token; what would be markup or a reference in it
+    and isn't, is written as a reference."""
+    def split(t):
+        def parts(pattern, text):
+            return F.array(F.regexp_extract(t, pattern, 1), text(F.regexp_extract(t, pattern, 2)))
+
+        def escaped(x):
+            return F.replace(x, F.lit("<"), F.lit("&lt;"))
+
+        return (F.when(t.rlike(RCDATA_RE), parts(RCDATA_RE, escaped))
+                .when(t.rlike(RAWTEXT_RE), parts(RAWTEXT_RE, lambda x: escaped(F.replace(x, F.lit("&"), F.lit("&amp;")))))
+                .otherwise(F.array(t)))
+
+    return F.flatten(F.transform(F.regexp_extract_all(html, F.lit(TOKEN_RE), F.lit(0)), split))
 
 
 def token_names(tokens: Column) -> Column:
@@ -127,10 +148,103 @@ def elements(names: Column, n_tokens: Column, tag: str) -> Column:
     return let(body, lv=by_level, n=n_tokens)
 
 
+#: Elements with an optional end tag.
+IMPLIED = tuple(START_ENDS)
+#: Tags whose ends are kept together while the stack runs (see ``implied_elements``).
+_BLOCK = 256
+_SPAN = "struct<open:int,close:int>"
+
+
+def _code(name: str) -> str:
+    """The element's letter in the text that stands for the stack."""
+    return chr(0x100 + STRUCTURE.index(name))
+
+
+def _class(names) -> str:
+    return "[^" + "".join(_code(n) for n in names) + "]*?" if names else ".*?"
+
+
+def _program(tag: str) -> tuple[list[str], list[tuple[str, str]]]:
+    """Tags that act on the stack, and for each the letter to push and the
+    pattern of what it pops (the top is first), '' for none."""
+    names, rules = [], []
+    for n in dict.fromkeys((*STRUCTURE, *START_ENDS[tag])):
+        ends = START_ENDS[tag].get(n)
+        pops = "" if ends is None else f"^{_class(set(ends[1]) - set(ends[0]))}[{''.join(map(_code, ends[0]))}]"
+        if ends is not None and len(ends[0]) > 1:      # the farthest of them within reach
+            pops = pops.replace("*?", "*")
+        names.append(n)
+        rules.append((_code(n) if n in STRUCTURE else "", pops))
+        if n in STRUCTURE:
+            names.append("/" + n)
+            rules.append(("", f"^{_class(set(END_SCOPES.get(n, SCOPE)) - {n})}{_code(n)}"))
+    return names, rules
+
+
+def implied_elements(names: Column, n_tokens: Column, tag: str) -> Column:
+    """``elements`` for a tag whose end tag may be missing.
+
+    A stack of the structural elements that are open, as a text of one letter
+    each (top first) and their places, is folded over the structural tags.  What
+    a tag ends is a prefix of that text, given by a pattern: up to the element it
+    ends, unless a boundary comes before.  ``closed``: something ended it before
+    the page's end.
+
+    A fold copies its state at every step: ends are kept by blocks of tags, and a
+    stack is as long as the page nests."""
+    acting, rules = _program(tag)
+    mine = _code(tag)
+    program = F.array(*[F.struct(F.lit(push).alias("push"), F.lit(pops).alias("pops")) for push, pops in rules])
+    empty = F.array().cast(f"array<{_SPAN}>")
+
+    def spans(letters, places, close):
+        return F.filter(F.transform(places, lambda p, i: F.when(
+            F.substring(letters, i + 1, F.lit(1)) == mine, F.struct(p.alias("open"), close.alias("close")))), lambda x: x.isNotNull())
+
+    def step(acc, t):
+        def body(v):
+            k = F.length(v["popped"])
+            ended = F.when(F.contains(v["popped"], F.lit(mine)), F.concat(acc["ended"], spans(v["popped"], F.slice(acc["places"], F.lit(1), k), t["pos"]))).otherwise(acc["ended"])
+            stays = F.when(k > 0, F.slice(acc["places"], k + 1, F.greatest(F.size(acc["places"]) - k, F.lit(0)))).otherwise(acc["places"])
+            places = F.when(t["push"] != "", F.concat(F.array(t["pos"]), stays)).otherwise(stays)
+            return F.struct(F.concat(t["push"], F.substr(acc["stack"], k + 1)).alias("stack"), places.alias("places"), ended.alias("ended"))
+
+        popped = F.when(t["pops"] != "", F.call_function("regexp_extract", acc["stack"], t["pops"], F.lit(0))).otherwise(F.lit(""))
+        return let(body, popped=popped)
+
+    def block(acc, b):
+        start = F.struct(acc["stack"].alias("stack"), acc["places"].alias("places"), empty.alias("ended"))
+        return let(lambda v: F.struct(v["s"]["stack"].alias("stack"), v["s"]["places"].alias("places"),
+                                      F.concat(acc["ended"], F.array(v["s"]["ended"])).alias("ended")),
+                   s=F.aggregate(b, start, step))
+
+    def all_spans(v):
+        left = spans(v["s"]["stack"], v["s"]["places"], v["n"])
+        found = F.concat(F.transform(F.flatten(v["s"]["ended"]), lambda e: F.struct(e["open"], e["close"], F.lit(True).alias("closed"))),
+                         F.transform(left, lambda e: F.struct(e["open"], e["close"], F.lit(False).alias("closed"))))
+        return F.sort_array(found)
+
+    def run(v):
+        def blocks(w):
+            cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(w["tags"]) - 1) / _BLOCK).cast("int")), lambda b: F.slice(w["tags"], b * _BLOCK + 1, F.lit(_BLOCK)))
+            start = F.struct(F.lit("").alias("stack"), F.array().cast("array<int>").alias("places"), F.array().cast(f"array<array<{_SPAN}>>").alias("ended"))
+            return let(all_spans, s=F.aggregate(cut, start, block), n=v["n"])
+
+        def tags(x, i):
+            rule = F.element_at(v["program"], F.array_position(v["names"], x).cast("int"))
+            return F.when(x.isin(acting), F.struct(i.alias("pos"), rule["push"].alias("push"), rule["pops"].alias("pops")))
+
+        found = F.filter(F.transform(names, tags), lambda t: t.isNotNull())
+        none = F.array().cast("array<struct<open:int,close:int,closed:boolean>>")
+        return F.when(F.array_contains(names, F.lit(tag)), let(blocks, tags=found)).otherwise(none)
+
+    return let(run, n=n_tokens, program=program, names=F.array(*map(F.lit, acting)))
+
+
 def select(names: Column, tokens: Column, n_tokens: Column, tag: str, cls: str | None) -> Column:
     """Elements matching ``tag`` and, when given, class token ``cls``.
     ``names`` and ``tokens`` must be cheap to reference."""
-    els = elements(names, n_tokens, tag)
+    els = (implied_elements if tag.lower() in IMPLIED else elements)(names, n_tokens, tag.lower())
     if cls is None:
         return els
     return F.filter(els, lambda e: has_class(F.get(tokens, e["open"]), cls))
@@ -176,6 +290,7 @@ def first_within(items: Column, cand_pos: Column, strict: bool) -> Column:
     return let(body, items=items, cands=cand_pos)
 
 
-def inner_text(tokens: Column, open_: Column, close: Column) -> Column:
-    """Concatenated text tokens strictly between token ``open`` and ``close``."""
-    return F.array_join(F.filter(F.slice(tokens, open_ + 2, close - open_ - 1), is_text), "")
+def inner_text(texts: Column, open_: Column, close: Column) -> Column:
+    """The texts strictly between token ``open`` and ``close``, as one; ``texts``
+    has each token's text, decoded ('' for what isn't text)."""
+    return F.array_join(F.slice(texts, open_ + 2, F.greatest(close - open_ - 1, F.lit(0))), "")

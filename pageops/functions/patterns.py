@@ -20,27 +20,57 @@ FORUM_EXCLUDED = ("[公告]", "[協尋]")
 _IN_TAG = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|))*+"""
 TOKEN_RE = (
     r"(?is)<(?:!--.*?(?:-->|\z)"
+    r"|(title|textarea|xmp|iframe|noembed|noframes)(?=[\s/>])" + _IN_TAG + r">.*?(?=</\1(?=[\s/>])|\z)"
     r"|script(?=[\s/>])" + _IN_TAG + r">.*?(?:</script(?=[\s/>])[^>]*+>|\z)"
     r"|style(?=[\s/>])" + _IN_TAG + r">.*?(?:</style(?=[\s/>])[^>]*+>|\z)"
     r"|/?[a-z]" + _IN_TAG + r"(?:>|\z)|[!?][^>]*+(?:>|\z))"
     r"|[^<]++|<"
 )
+# Elements whose content is text (HTML standard): references count in the first
+# kind, nothing does in the second.  Their open tag and content are one match;
+# groups: the open tag, the content.
+RCDATA_RE = r"(?is)^(<(?:title|textarea)(?=[\s/>])" + _IN_TAG + r">)(.*)$"
+RAWTEXT_RE = r"(?is)^(<(?:xmp|iframe|noembed|noframes)(?=[\s/>])" + _IN_TAG + r">)(.*)$"
 # One attribute of a tag, after the tag's name; and a pattern that keeps its value.
 ATTRIBUTE_RE = r"""(?s)[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+))?+"""
 ATTRIBUTE_VALUE_RE = r"""(?s)^[^=]*+(?:=\s*+(?:"(.*)"|'(.*)'|(.*)))?$"""
 # HTML void elements (HTML standard): an open tag is the whole element.
 VOID_ELEMENTS = ("area", "base", "br", "col", "embed", "hr", "img", "input",
                  "link", "meta", "source", "track", "wbr")
-# Named references decoded in titles and links (one pass with numeric
-# character references, so '&amp;lt;' becomes '&lt;' and not '<').
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", "\u00a0"),
-    ("&amp;", "&"),
+# Elements that structure a page (HTML standard, the "special" ones that have
+# content, and those that hold options).
+STRUCTURE = (
+    "address", "applet", "article", "aside", "blockquote", "body", "button", "caption", "center", "datalist", "dd",
+    "details", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4",
+    "h5", "h6", "header", "hgroup", "html", "li", "listing", "main", "marquee", "menu", "nav", "object", "ol",
+    "optgroup", "option", "p", "pre", "search", "section", "select", "summary", "table", "tbody", "td", "template",
+    "tfoot", "th", "thead", "tr", "ul",
 )
+# Scopes (HTML standard): an end tag doesn't reach beyond these elements.
+SCOPE = ("applet", "caption", "html", "table", "td", "th", "marquee", "object", "template")
+LIST_SCOPE = (*SCOPE, "ol", "ul", "menu", "dir")
+BUTTON_SCOPE = (*SCOPE, "button")
+TABLE_SCOPE = ("html", "table", "template")
+SELECT_SCOPE = ("select", "datalist")
+# Elements whose end tag may be missing (HTML standard, optional tags): the
+# start tags that end each, which elements these end, and how far they reach.
+_CELLS, _GROUPS = ("td", "th"), ("tbody", "thead", "tfoot")
+_P_ENDS = ("address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl", "fieldset",
+           "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "main",
+           "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "ul", "li", "dd", "dt")
+_ITEM_STOPS = tuple(n for n in STRUCTURE if n not in ("address", "div", "p"))
+START_ENDS = {
+    "li": {"li": (("li",), _ITEM_STOPS)},
+    "dt": {n: (("dt", "dd"), _ITEM_STOPS) for n in ("dt", "dd")},
+    "p": {n: (("p",), BUTTON_SCOPE) for n in _P_ENDS},
+    "option": {**{n: (("option",), SELECT_SCOPE) for n in ("option", "hr")}, "optgroup": (("option", "optgroup"), SELECT_SCOPE)},
+    "tr": {**{n: (_CELLS, (*TABLE_SCOPE, "tr")) for n in _CELLS}, "tr": ((*_CELLS, "tr"), TABLE_SCOPE),
+           **{n: ((*_CELLS, "tr", *_GROUPS), TABLE_SCOPE) for n in _GROUPS}},
+}
+START_ENDS |= {"dd": START_ENDS["dt"], "optgroup": START_ENDS["option"], **{n: START_ENDS["tr"] for n in (*_CELLS, *_GROUPS)}}
+# The scope of an end tag, where it isn't SCOPE.
+END_SCOPES = {"li": LIST_SCOPE, "p": BUTTON_SCOPE, "option": SELECT_SCOPE, "optgroup": SELECT_SCOPE, "select": (), "datalist": (),
+              **{n: TABLE_SCOPE for n in ("table", "tr", *_CELLS, *_GROUPS, "caption")}, "html": (), "body": ("html",)}
 # Characters Python's str.strip() removes: Unicode White_Space plus U+001C..U+001F.
 STRIP_RE = r"(?U)^[\s\x1c-\x1f]++|(?<![\s\x1c-\x1f])[\s\x1c-\x1f]++$"
 

@@ -22,11 +22,15 @@ Selector = tuple[str, str | None]
 REASONS = ("kept", "no_title", "no_link", "excluded")
 
 
-def _with_page(html, body):
-    """Bind the page's tokens, their tag names and the token count once and
-    pass them to ``body`` as fields of two structs."""
-    return H.let(lambda v: H.let(lambda w: body(v, w), names=H.token_names(v["tokens"]), n=F.size(v["tokens"])),
-                 tokens=H.page_tokens(html))
+def _with_page(html, body, texts: bool = False):
+    """Bind the page's tokens, their tag names, their count and, if asked for,
+    each token's decoded text once and pass them to ``body`` as fields of two
+    structs."""
+    def bind(v):
+        more = {"texts": F.transform(v["tokens"], lambda t: F.when(H.is_text(t), unescape_bound(t)).otherwise(F.lit("")))} if texts else {}
+        return H.let(lambda w: body(v, w), names=H.token_names(v["tokens"]), n=F.size(v["tokens"]), **more)
+
+    return H.let(bind, tokens=H.page_tokens(html))
 
 
 def element_open_tags(html, item: Selector = ("li", None)):
@@ -69,12 +73,13 @@ def items_column(html, item: Selector = ("li", None), title: Selector | None = N
             def extract(z):
                 def one(it, j):
                     tl = F.get(x["titles"], j)
-                    text = H.inner_text(v["tokens"], tl["open"], tl["close"])
+                    # What is inside an item ends with it.
+                    text = H.inner_text(w["texts"], tl["open"], F.least(tl["close"], it["close"]))
                     a_pos = F.get(x["anchors"], F.get(z["aidx"], j))
                     href = H.attr(F.get(v["tokens"], a_pos), "href")
                     return F.struct(
                         (j + 1).alias("item_pos"),
-                        F.when(tl.isNotNull(), text).alias("raw_title"),
+                        F.when(tl.isNotNull(), text).alias("title"),
                         href.alias("raw_link"),
                     )
                 return F.transform(x["items"], one)
@@ -92,12 +97,12 @@ def items_column(html, item: Selector = ("li", None), title: Selector | None = N
         tels = H.select(w["names"], v["tokens"], w["n"], title[0], title[1])
         return H.let(pick_titles, items=items, anchors=anchors, tels=tels)
 
-    # Raw strings are fields of an array of structs here, so the decoder may
+    # Raw links are fields of an array of structs here, so the decoder may
     # read them more than once without recomputing them.
     def decode(r):
         return F.struct(r["item_pos"],
-                        py_strip(unescape_bound(r["raw_title"])).alias("title"),
-                        py_strip(unescape_bound(r["raw_link"])).alias("link"))
+                        py_strip(r["title"]).alias("title"),
+                        py_strip(unescape_bound(r["raw_link"], attribute=True)).alias("link"))
 
     def classify(x):
         reason = (F.when(x["title"].isNull(), F.lit("no_title"))
@@ -106,7 +111,7 @@ def items_column(html, item: Selector = ("li", None), title: Selector | None = N
                   .otherwise(F.lit("kept")))
         return F.struct(x["item_pos"], x["title"], x["link"], reason.alias("reason"))
 
-    return F.transform(F.transform(_with_page(html, body), decode), classify)
+    return F.transform(F.transform(_with_page(html, body, texts=True), decode), classify)
 
 
 _BUILT: dict = {}
@@ -220,9 +225,43 @@ def url_parts(page_url):
     )
 
 
+def remove_dot_segments(url):
+    """``.`` and ``..`` segments taken out of the path of an absolute URL (RFC
+    3986, 5.2.4): a stack of segments, folded in the row.  URLs without such
+    segments, or without an authority, stay as they are."""
+    def body(v):
+        segments = F.split(F.regexp_extract(v["url"], _URL_PATH_RE, 2), "/")
+
+        def step(acc, s):
+            return (F.when(s == ".", acc)
+                    .when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
+                    .otherwise(F.concat(acc, F.array(s))))
+
+        def path(w):
+            last = F.element_at(w["segments"], -1)
+            # After a dot segment at the end the path is a folder.
+            end = F.when(last.isin(".", "..") & (F.size(w["kept"]) > 0), F.lit("/")).otherwise(F.lit(""))
+            return F.concat(F.regexp_extract(v["url"], _URL_PATH_RE, 1), F.lit("/"), F.array_join(w["kept"], "/"), end, F.regexp_extract(v["url"], _URL_PATH_RE, 3))
+
+        kept = F.aggregate(segments, F.array().cast("array<string>"), step)
+        return F.when(F.contains(v["url"], F.lit("/.")), H.let(path, segments=segments, kept=kept)).otherwise(v["url"])
+
+    # A match needs a path, so a URL without one is left alone.
+    dotted = F.when(url.rlike(_DOT_SEGMENT_RE), H.let(body, url=url))
+    return F.coalesce(dotted, url)
+
+
+_URL_PATH_RE = r"(?s)^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)/([^?#]*)(.*)$"
+_DOT_SEGMENT_RE = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(?:/[^/?#]*)*?/\.\.?(?:[/?#]|$)"
+
+
 def absolutize_parts(link, u):
     """A11 with the page URL already split (``url_parts``); ``link`` and ``u``
     must be cheap to reference (columns)."""
+    return H.let(lambda v: remove_dot_segments(v["url"]), url=_joined_url(link, u))
+
+
+def _joined_url(link, u):
     return (
         F.when(link.isNull() | u["base"].isNull(), F.lit(None).cast("string"))
         .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
@@ -241,7 +280,7 @@ def absolutize(link, page_url):
     Absolute links stay; ``//host/x`` takes the page's scheme; ``/x`` the
     page's scheme and authority; ``?q`` the page path; ``#f`` the page URL
     without its fragment; anything else is relative to the page's directory.
-    Dot segments are kept as found."""
+    Dot segments are resolved, also those of absolute links."""
     return absolutize_parts(link, url_parts(page_url))
 
 

@@ -536,3 +536,31 @@ SELECT page_id, len(regexp_extract_all(html, '<p>'))::BIGINT AS total, 0::BIGINT
   (len(regexp_extract_all(html, '<p>')) - len(regexp_extract_all(html, '<p><b>')))::BIGINT AS dropped_no_title,
   len(regexp_extract_all(html, '<p><b>'))::BIGINT AS dropped_no_link, 0::BIGINT AS dropped_excluded
 FROM pages"""
+
+
+def q_open_items(spark, root):
+    """A2 on pages without any ``</li>``: the next item or the list's end ends each."""
+    pages = _pages(spark, root).withColumn("html", F.replace("html", F.lit("</li>"), F.lit("")))
+    return L.extract_links(pages, ITEM, None, WORDS).drop("reason")
+
+
+QUERIES["open_items"] = q_open_items
+# The items as they are with their end tags.
+ORACLES["open_items"] = ORACLES["page_links"]
+
+
+def q_links_resolved(spark, root):
+    """A11 on links with dot segments: each is made relative to its page's
+    folder, through a folder and up again twice."""
+    pages = _pages(spark, root).withColumn("html", F.replace("html", F.lit('<a href="/'), F.lit('<a href="./x/y/.././../../')))
+    return L.absolute_links(pages, ITEM, None, WORDS)
+
+
+QUERIES["links_resolved"] = q_links_resolved
+# The pages' links start at the root; their URLs are a host, a language and a page.
+ORACLES["links_resolved"] = f"""WITH links AS ({ORACLES["page_links"]})
+SELECT links.page_id, item_pos, './x/y/.././../../' || substr(link, 2) AS link,
+  regexp_extract(url, '^([a-z]+://[^/?#]*)', 1)
+    || coalesce(array_to_string(list_transform(string_split(regexp_extract(url, '^[a-z]+://[^/?#]*/([^?#]*)', 1), '/')[1:-3], lambda s: '/' || s), ''), '')
+    || '/' || substr(link, 2) AS abs_url
+FROM links JOIN pages USING (page_id)"""

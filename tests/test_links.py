@@ -2,11 +2,14 @@
 limits, and a cross-check against a stdlib html.parser oracle."""
 
 import random
+import time
 from html import escape
 from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
 
+from pageops.functions import html as H
+from pageops.functions import patterns as P
 from pageops.functions.patterns import FORUM_EXCLUDED, FORUM_ITEM, FORUM_TITLE
 from pageops.operators import links as L
 
@@ -71,6 +74,24 @@ def test_absolute_links(spark):
     }
 
 
+def test_reference_resolution_examples(spark):
+    """RFC 3986, 5.4.1 and 5.4.2, and paths without dot segments."""
+    base = "http://a/b/c/d;p?q"
+    want = {"g:h": "g:h", "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g", "//g": "http://g", "?y": "http://a/b/c/d;p?y",
+            "g?y": "http://a/b/c/g?y", "#s": "http://a/b/c/d;p?q#s", "g#s": "http://a/b/c/g#s", "g?y#s": "http://a/b/c/g?y#s", ";x": "http://a/b/c/;x",
+            "g;x": "http://a/b/c/g;x", "g;x?y#s": "http://a/b/c/g;x?y#s", "": "http://a/b/c/d;p?q", ".": "http://a/b/c/", "./": "http://a/b/c/", "..": "http://a/b/",
+            "../": "http://a/b/", "../g": "http://a/b/g", "../..": "http://a/", "../../": "http://a/", "../../g": "http://a/g",
+            "../../../g": "http://a/g", "../../../../g": "http://a/g", "/./g": "http://a/g", "/../g": "http://a/g", "g.": "http://a/b/c/g.", ".g": "http://a/b/c/.g",
+            "g..": "http://a/b/c/g..", "..g": "http://a/b/c/..g", "./../g": "http://a/b/g", "./g/.": "http://a/b/c/g/", "g/./h": "http://a/b/c/g/h",
+            "g/../h": "http://a/b/c/h", "g;x=1/./y": "http://a/b/c/g;x=1/y", "g;x=1/../y": "http://a/b/c/y", "g?y/./x": "http://a/b/c/g?y/./x",
+            "g?y/../x": "http://a/b/c/g?y/../x", "g#s/./x": "http://a/b/c/g#s/./x", "g#s/../x": "http://a/b/c/g#s/../x", "http:g": "http:g",
+            "http://x/y/../z/./?q/../r": "http://x/z/?q/../r", "//h/a//../b": "http://h/a/b", "/a//b/../c": "http://a/a//c", "/.x/..y": "http://a/.x/..y"}
+    df = spark.createDataFrame([(k, base) for k in want] + [(None, base), ("x", None), ("../x", "http://h")], "link string, url string")
+    got = {(r[0], r[1]): r[2] for r in df.select("link", "url", L.absolutize(F.col("link"), F.col("url"))).collect()}
+    assert {k: got[(k, base)] for k in want} == want
+    assert got[(None, base)] is None and got[("x", None)] is None and got[("../x", "http://h")] == "http://h/x"
+
+
 def test_distinct_links_counts_pages_once(spark):
     pages = spark.createDataFrame(
         [(1, "u", "<li><a href='/a'>a</a></li><li><a href='/a'>a2</a></li>"),
@@ -80,14 +101,126 @@ def test_distinct_links_counts_pages_once(spark):
     assert got == [("/a", 2, 1), ("/b", 1, 2)]
 
 
-def test_limit_unclosed_selected_tag_nests(spark):
-    # An HTML5 builder would close the first <li> at the second; the depth
-    # count nests it instead (documented limit): the outer item's title text
-    # runs over both.
-    pages = spark.createDataFrame([(1, "u", "<ul><li><a href='/1'>one</a><li><a href='/2'>two</a></ul>")],
-                                  "page_id long, url string, html string")
-    got = sorted(tuple(r) for r in L.index_links(pages, ("li", None), None, ()).collect())
-    assert got == [(1, 1, "two", "/2"), (1, 2, "onetwo", "/1")]
+def test_missing_end_tags_are_implied(spark):
+    html = ("<ul><li><a href='/1'>one</a><li><a href='/2'>two</a><ul><li><a href='/3'>three</a></ul> more<li><a href='/4'>four</a></ul> after"
+            "<li><div><a href='/5'>five</a><li><a href='/6'>six</a></div> late")
+    pages = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    got = [(r["title"], r["link"]) for r in L.extract_links(pages, ("li", None), None, ()).orderBy("item_pos").collect()]
+    assert got == [("one", "/1"), ("twothree more", "/2"), ("three", "/3"), ("four", "/4"), ("five", "/5"), ("six late", "/6")]
+
+
+def test_a_title_ends_with_its_item(spark):
+    pages = spark.createDataFrame([(1, "u", "<div><p><b>one<p>two<p><b>three</div>four")], "page_id long, url string, html string")
+    got = [(r["item_pos"], r["title"]) for r in L.extract_links(pages, ("p", None), ("b", None), ()).orderBy("item_pos").collect()]
+    assert got == [(1, "one"), (3, "three")]
+
+
+class _Stack(HTMLParser):
+    """Texts of one kind of element by a plain element stack."""
+
+    def __init__(self, wanted):
+        super().__init__(convert_charrefs=True)
+        self.wanted, self.stack, self.found = wanted, [], []
+
+    def pop(self, names, scope, farthest):
+        """Close up to the nearest (or farthest) of the names within scope."""
+        hit = None
+        for i in range(len(self.stack) - 1, -1, -1):
+            if self.stack[i][0] in names:
+                hit = i
+                if not farthest:
+                    break
+            elif self.stack[i][0] in scope:
+                break
+        if hit is not None:
+            del self.stack[hit:]
+
+    def handle_starttag(self, tag, attrs):
+        if tag in P.START_ENDS[self.wanted]:
+            names, scope = P.START_ENDS[self.wanted][tag]
+            self.pop(names, scope, len(names) > 1)
+        if tag in P.STRUCTURE:
+            text = []
+            self.stack.append((tag, text))
+            if tag == self.wanted:
+                self.found.append(text)
+
+    def handle_endtag(self, tag):
+        if tag in P.STRUCTURE:
+            self.pop((tag,), P.END_SCOPES.get(tag, P.SCOPE), False)
+
+    def handle_data(self, data):
+        for _, text in self.stack:
+            text.append(data)
+
+
+def _soup(rng):
+    names = ["ul", "ol", "li", "li", "p", "p", "div", "dl", "dt", "dd", "table", "tbody", "tr", "td", "td", "th", "select", "option", "optgroup",
+             "span", "b", "h2", "hr", "section", "button"]
+    parts = []
+    for k in range(rng.randint(0, 60)):
+        n = rng.choice(names)
+        parts.append(f"</{n}>" if rng.random() < 0.35 and n != "hr" else f"<{n}>")
+        if rng.random() < 0.7:
+            parts.append(f"w{k} ")
+    return "".join(parts)
+
+
+def test_implied_ends_match_an_element_stack(spark):
+    rng = random.Random(3)
+    pages = [(i, "u", _soup(rng)) for i in range(150)]
+    pages.append((150, "u", "<ul>" + "".join(f"<li>w{k} <p>x" for k in range(700)) + "</ul>end"))     # several blocks of tags
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4).cache()
+    for tag in H.IMPLIED:
+        got = {}
+        for r in L.extract_links(df, (tag, None), None, ()).orderBy("page_id", "item_pos").collect():
+            got.setdefault(r["page_id"], []).append(r["title"])
+        for pid, _, html in pages:
+            stack = _Stack(tag)
+            stack.feed(html)
+            stack.close()
+            assert got.get(pid, []) == ["".join(t).strip() for t in stack.found], (tag, html)
+
+
+def test_text_only_elements_hold_no_markup(spark):
+    html = ("<title>a <li>no</li> &amp; <b>bold</b></title><li>one <textarea rows=2>x</li><li>&lt;y</textarea> two</li>"
+            "<li>three <iframe src='/f'>p &amp; <li>q</iframe><noframes></noframes><noscript>n<a href='/s'>s</a></noscript></li><xmp><li></xmp>"
+            "<li>four <TextArea>open <li>to the end")
+    pages = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+
+    def titles(tag):
+        return [(r["title"], r["link"]) for r in L.extract_links(pages, (tag, None), None, ()).orderBy("item_pos").collect()]
+
+    assert titles("li") == [("one x</li><li><y two", None), ("three p &amp; <li>qns", "/s"), ("four open <li>to the end", None)]
+    assert titles("title") == [("a <li>no</li> & <b>bold</b>", None)]
+    assert titles("textarea") == [("x</li><li><y", None), ("open <li>to the end", None)]
+
+
+def test_references_in_links_keep_query_parameters(spark):
+    html = "<li><a href='/q?a=1&copy=2&amp=3&lt;x&copy&not'>&copy 1 &copy=2 &notit; &CounterClockwiseContourIntegral;</a></li>"
+    pages = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    r = L.extract_links(pages, ("li", None), None, ()).first()
+    assert r["link"] == "/q?a=1&copy=2&amp=3<x©¬"
+    assert r["title"] == "© 1 ©=2 ¬it; ∳"
+
+
+def test_many_unclosed_titles_cost_no_more_than_the_page(spark):
+    """Pages with 200 unclosed titles and a reference in each paragraph, against
+    pages ten times as long: time grows with length, not with its square."""
+    def seconds(paragraphs, pages):
+        html = "<p><b>t &copy; x<p>" + "text &copy; more " * 20
+        df = spark.createDataFrame([(i, "u", html * paragraphs) for i in range(pages)], "page_id long, url string, html string").coalesce(1).cache()
+        df.count()
+        best = 1e9
+        for _ in range(3):
+            t = time.perf_counter()
+            out = L.link_audit(df, ("p", None), ("b", None), ()).agg(F.sum("dropped_no_link")).first()[0]
+            best = min(best, time.perf_counter() - t)
+        assert out == paragraphs * pages
+        return best
+
+    seconds(20, 20)
+    assert seconds(2000, 4) < 4 * seconds(200, 40) + 1
 
 
 # --- independent oracle: stdlib html.parser on well-formed pages ------------
@@ -260,14 +393,14 @@ def test_limit_stray_less_than_in_text(spark):
 
 
 def test_limit_self_closing_selected_tag_opens(spark):
-    # '<li/>' counts as an open tag: it nests the next item until a close.
+    # '<li/>' counts as an open tag; the next item ends it.  A <span/> nests
+    # what follows.
     pages = spark.createDataFrame(
-        [(1, "u", "<ul><li/><li><a href='/1'>one</a></li></ul>")], "page_id long, url string, html string")
+        [(1, "u", "<ul><li/><li><a href='/1'>one</a></li></ul><span/><span>x</span> y")], "page_id long, url string, html string")
     rows = L.select_elements(pages, ("li", None)).collect()
     assert [r["open_tag"] for r in rows] == ["<li/>", "<li>"]
-    # the unclosed outer item runs to the end, so it holds the inner one's text
-    got = sorted(tuple(r) for r in L.index_links(pages, ("li", None), None, ()).collect())
-    assert got == [(1, 1, "one", "/1"), (1, 2, "one", "/1")]
+    assert [r["title"] for r in L.extract_links(pages, ("li", None), None, ()).orderBy("item_pos").collect()] == ["", "one"]
+    assert [r["title"] for r in L.extract_links(pages, ("span", None), None, ()).orderBy("item_pos").collect()] == ["x y", "x"]
 
 
 def test_void_elements_are_complete(spark):
