@@ -40,6 +40,8 @@ _NAME_RE = r"^<(/?[A-Za-z][^\s/>]*)"
 # Same, but '' for script/style (those tokens are whole elements, never selected).
 _ELEMENT_NAME_RE = r"^<(/?(?!(?i:script|style)(?:[\s/>]|$))[A-Za-z][^\s/>]*+)"
 _CLASS_SPLIT_RE = r"[ \t\n\f\r]+"
+#: Elements whose results are kept together while a fold runs.
+_BLOCK = 256
 
 
 def let(body: Callable[[Column], Column], **bound: Column) -> Column:
@@ -49,6 +51,25 @@ def let(body: Callable[[Column], Column], **bound: Column) -> Column:
     return F.get(F.transform(packed, body), 0)
 
 
+def prefix_sums(numbers: Column) -> Column:
+    """For each element of an array of ints the sum of those before it, folded
+    by blocks (a fold copies its state at every step)."""
+    def step(acc, x):
+        return F.struct((acc["sum"] + x).alias("sum"), F.concat(acc["out"], F.array(acc["sum"])).alias("out"))
+
+    def block(acc, b):
+        inner = F.aggregate(b, F.struct(acc["sum"].alias("sum"), F.array().cast("array<bigint>").alias("out")), step)
+        return let(lambda v: F.struct(v["s"]["sum"].alias("sum"), F.concat(acc["out"], F.array(v["s"]["out"])).alias("out")), s=inner)
+
+    def body(v):
+        n = F.size(v["x"])
+        cut = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / _BLOCK).cast("int")), lambda b: F.slice(v["x"], b * _BLOCK + 1, F.lit(_BLOCK)))
+        start = F.struct(F.lit(0).cast("bigint").alias("sum"), F.array().cast("array<array<bigint>>").alias("out"))
+        return F.when(n == 0, F.array().cast("array<bigint>")).otherwise(F.flatten(F.aggregate(cut, start, block)["out"]))
+
+    return let(body, x=numbers.cast("array<bigint>"))
+
+
 def page_tokens(html: Column) -> Column:
     """The page as tokens (tags, text runs, whole comment/script/style).
 
@@ -150,8 +171,6 @@ def elements(names: Column, n_tokens: Column, tag: str) -> Column:
 
 #: Elements with an optional end tag.
 IMPLIED = tuple(START_ENDS)
-#: Tags whose ends are kept together while the stack runs (see ``implied_elements``).
-_BLOCK = 256
 _SPAN = "struct<open:int,close:int>"
 
 

@@ -10,7 +10,7 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .html import let
+from .html import let, prefix_sums
 from .patterns import STRIP_RE
 
 
@@ -142,6 +142,31 @@ def extract_all(text: Column, pattern: str, group: int = 0, needs: str | None =
     return F.when(cond, found).otherwise(F.when(text.isNotNull(), F.array().cast("array<string>")))
 
 
+def match_spans(text: Column, pattern: str, group: int = 0, needs: str | None = None) -> Column:
+    """All matches with their places: ``array<struct<start, end, value>>`` in
+    characters from 0, of the whole match; ``value`` is the group's text.  Places
+    are sums of the lengths of what lies between the matches (a split) and of
+    the matches.  NULL text gives NULL."""
+    def body(v):
+        lengths = F.transform(v["found"], lambda m, i: F.char_length(m) + F.char_length(F.get(v["pieces"], i)))
+
+        def spans(w):
+            def one(m, i):
+                start = F.get(w["before"], i) + F.char_length(F.get(v["pieces"], i))
+                value = m if group == 0 else F.regexp_extract(m, pattern, group)
+                return F.struct(start.cast("int").alias("start"), (start + F.char_length(m)).cast("int").alias("end"), value.alias("value"))
+            return F.transform(v["found"], one)
+
+        return let(spans, before=prefix_sums(lengths))
+
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    spans = let(body, found=found, pieces=F.split(text, pattern, -1))
+    if needs is None:
+        return spans
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    return F.when(F.contains(text, F.lit(needs)), spans).otherwise(F.when(text.isNotNull(), none))
+
+
 def contains_any(col: Column, words) -> Column:
     """Unanchored, case-sensitive substring test against a fixed word list.
     A short list is an OR of ``contains``; a long one is one ``exists`` over a

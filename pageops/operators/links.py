@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import html as H
 from ..functions.patterns import FORUM_EXCLUDED
 from ..functions.text import contains_any, py_strip, unescape_bound
+from ..session import scratch_path
 
 Selector = tuple[str, str | None]
 
@@ -161,6 +162,59 @@ def filter_links(links: DataFrame) -> DataFrame:
     return links.where(F.col("reason") == "kept").drop("reason")
 
 
+#: Side of a join up to this many (counted) rows is broadcast.
+ROWS_TO_BROADCAST = 1_000_000
+_GRAM = 3
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read back: counted and used from there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= ROWS_TO_BROADCAST else df
+
+
+def _grams(text, sizes: Sequence[int]):
+    """The distinct stretches of the given lengths in a text."""
+    return F.array_distinct(F.concat(*[F.when(F.char_length(text) >= n, F.transform(
+        F.sequence(F.lit(1), F.char_length(text) - (n - 1)), lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in sizes]))
+
+
+def texts_with_words(texts: DataFrame, words: DataFrame, text_col: str = "title", word_col: str = "word") -> DataFrame:
+    """The distinct texts that contain at least one of the words (unanchored and
+    case-sensitive), without comparing each with each.
+
+    A word is indexed by the rarest of its trigrams (rare in the texts; shorter
+    words by themselves).  Texts meet words on trigrams, by an equi-join; only
+    these pairs are compared.  Words with a trigram that is in no text drop out.
+    Null or empty texts and words match nothing."""
+    spark = texts.sparkSession
+    some = _kept(texts.select(F.col(text_col).alias("text")).where(F.length(text_col) > 0).distinct(), "texts")
+    every = _kept(words.select(F.col(word_col).alias("word")).where(F.length(word_col) > 0).distinct(), "words")
+    length = F.least(F.char_length("word"), F.lit(_GRAM))
+    sizes = sorted(r[0] for r in every.select(length.alias("n")).distinct().collect())        # 1 to 3
+    if not sizes:
+        return spark.createDataFrame([], f"`{text_col}` string")
+    of_words = _kept(every.select("word", F.explode(F.when(length < _GRAM, F.array("word")).otherwise(_grams(F.col("word"), [_GRAM]))).alias("gram")), "word-grams")
+    wanted = _small(_kept(of_words.select("gram").distinct(), "grams"))
+    of_texts = some.select("text", F.explode(_grams(F.col("text"), sizes)).alias("gram")).join(wanted, "gram", "left_semi")
+    found = of_texts.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    rarest = of_words.join(found, "gram", "left").groupBy("word").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("key"))
+    index = _small(_kept(rarest.where("key.n > 0").select("word", "key.gram"), "word-index"))
+    met = of_texts.join(index, "gram").where(F.contains("text", F.col("word")))
+    return met.select(F.col("text").alias(text_col)).distinct()
+
+
+def without_words(links: DataFrame, words: DataFrame, title_col: str = "title", word_col: str = "word") -> DataFrame:
+    """A6 for a table of words of any size: rows whose title holds none of them."""
+    hit = _kept(texts_with_words(links, words, title_col, word_col), "excluded")
+    return links.join(_small(hit), title_col, "left_anti").select(*links.columns)
+
+
 def index_links(pages: DataFrame, item: Selector = ("li", None), title: Selector | None = None,
                 keywords: Iterable[str] = FORUM_EXCLUDED, *, id_col: str = "page_id",
                 html_col: str = "html") -> DataFrame:

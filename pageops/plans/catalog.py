@@ -564,3 +564,61 @@ SELECT links.page_id, item_pos, './x/y/.././../../' || substr(link, 2) AS link,
     || coalesce(array_to_string(list_transform(string_split(regexp_extract(url, '^[a-z]+://[^/?#]*/([^?#]*)', 1), '/')[1:-3], lambda s: '/' || s), ''), '')
     || '/' || substr(link, 2) AS abs_url
 FROM links JOIN pages USING (page_id)"""
+
+
+def q_links_word_table(spark, root):
+    """A6 with a large table: every word of five letters or more that a document has."""
+    docs = _documents(spark, root).select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"\p{L}{5,}"), F.lit(0)))).alias("word"))
+    links = L.extract_links(_pages(spark, root), ITEM, None, ()).drop("reason")
+    return L.without_words(links, docs)
+
+
+QUERIES["links_word_table"] = q_links_word_table
+ORACLES["links_word_table"] = f"""WITH words AS (SELECT DISTINCT unnest(regexp_extract_all(text, '\\pL{{5,}}')) AS word FROM documents),
+links AS ({ORACLES["page_links"]}),
+hit AS (SELECT title FROM (SELECT DISTINCT title FROM links) WHERE EXISTS (SELECT 1 FROM words WHERE contains(title, word)))
+SELECT * FROM links WHERE title NOT IN (SELECT title FROM hit)"""
+
+
+# --- two persons a text, in six ways of writing: extension glued, after a line
+# break, after an email, after an email and a line break, none at all; and an
+# email without a phone before both.
+
+def _people(spark, root):
+    c = read_table(spark, root, "customer")
+    key = F.col("c_custkey").cast("string")
+
+    def person(who, kind):
+        phone = F.concat(F.lit(f"{who}kim"), F.substring(F.lpad(key, 9, "4"), 1, 3), F.lit("02-"), F.lpad(key, 8, "5"))
+        ext, mail = F.concat(F.lit("#"), F.lpad(key, 4, "7")), F.concat(F.lit(f" {who}"), key, F.lit("@lab.example.org"))
+        return (F.when(kind == 0, F.concat(phone, ext, F.lit("Maps")))
+                .when(kind == 1, F.concat(phone, F.lit("\n"), ext, F.lit("Maps")))
+                .when(kind == 2, F.concat(phone, mail, ext, F.lit("Maps")))
+                .when(kind == 3, F.concat(phone, mail, F.lit("\n"), ext, F.lit("Maps")))
+                .when(kind == 4, F.concat(phone, F.lit(" Maps")))
+                .otherwise(F.concat(phone, ext, mail, F.lit("/ Maps"))))
+
+    way = F.col("c_custkey") % 6
+    lead = F.when(way == 3, F.concat(F.lit("office"), key, F.lit("@lab.example.org\n"))).otherwise(F.lit("Ünï "))
+    return c.select(F.col("c_custkey").alias("doc_id"), F.concat(lead, person("a", way), F.lit(" "), person("b", (F.col("c_custkey") + 2) % 6)).alias("text"))
+
+
+def q_contact_records(spark, root):
+    """C1 to C3 of one person together, over the hazards of contact text."""
+    return E.contact_records(_people(spark, root)).drop("start")
+
+
+QUERIES["contact_records"] = q_contact_records
+_PHONE_SQL = f"'02-' || left(lpad({_KEY}, 8, '5'), 8)"
+
+
+def _person_sql(who: str, way: str, rec: str) -> str:
+    ext = f"CASE WHEN {way} <> 4 THEN left(lpad({_KEY}, 4, '7'), 4) END"
+    mail = f"CASE WHEN {way} IN (2, 3, 5) THEN '{who}' || {_KEY} || '@lab.example.org' END"
+    return f"SELECT c_custkey AS doc_id, CAST({rec} AS INTEGER) AS rec, {_PHONE_SQL} AS phone, {ext} AS extension, {mail} AS email FROM customer"
+
+
+ORACLES["contact_records"] = f"""
+{_person_sql("a", "c_custkey % 6", "CASE WHEN c_custkey % 6 = 3 THEN 1 ELSE 0 END")}
+UNION ALL {_person_sql("b", "(c_custkey + 2) % 6", "CASE WHEN c_custkey % 6 = 3 THEN 2 ELSE 1 END")}
+UNION ALL SELECT c_custkey, 0, NULL, NULL, 'office' || {_KEY} || '@lab.example.org' FROM customer WHERE c_custkey % 6 = 3"""

@@ -339,6 +339,35 @@ def test_many_excluded_words(spark):
     assert "[公告] board rules" not in titles and "[問卦] plain item" in titles
 
 
+def _nested_loops(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("NestedLoop")
+
+
+def test_word_table_matches_contains(spark, monkeypatch):
+    rng = random.Random(8)
+    letters = "abcé中😀 "
+    titles = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 12))) for _ in range(400)] + [None, "", "a"]
+    words = ["".join(rng.choice(letters) for _ in range(rng.choice([1, 2, 3, 4, 4, 5, 5, 6, 9]))) for _ in range(60)][4:] + [None, "", "zzzz"]
+    links = spark.createDataFrame([(i, t, "x") for i, t in enumerate(titles)], "item_pos int, title string, word string").repartition(3)
+    for size in (0, 3, 20, len(words)):
+        table = spark.createDataFrame([(w,) for w in words[-size:] if size], "word string")
+        want = {i for i, t in enumerate(titles) if not any(w and t and w in t for w in words[-size:] if size)}
+        for bound in (0, 1000):
+            monkeypatch.setattr(L, "ROWS_TO_BROADCAST", bound)
+            out = L.without_words(links, table)
+            assert out.columns == links.columns and _nested_loops(out) == 0
+            assert {r["item_pos"] for r in out.collect()} == want, (size, bound)
+
+
+def test_word_table_of_100000_words(spark):
+    """As many words as a nested loop would compare each title with."""
+    words = spark.range(100_000).select(F.format_string("w%05dq", "id").alias("word"))
+    titles = spark.range(20_000).select(F.format_string("title %d of w%05dq and more", "id", (F.col("id") * 7) % 200_000).alias("title"), F.col("id").alias("item_pos"))
+    out = L.without_words(titles, words)
+    assert _nested_loops(out) == 0
+    assert {r["item_pos"] for r in out.select("item_pos").collect()} == {i for i in range(20_000) if (i * 7) % 200_000 >= 100_000}
+
+
 def test_multi_class_selector_matches_exact_attribute(spark):
     pages = spark.createDataFrame(
         [(1, "u", "<div class='r-ent hot'><a href='/1'>one</a></div><div class='hot r-ent'><a href='/2'>two</a></div>"

@@ -1,13 +1,16 @@
 """Keyed records (flatten, duplicates, routing, JSON) and contact entities."""
 
 import json
+import random
+import re
 
 from pyspark.sql import functions as F
 
+from pageops.functions.patterns import ENTITY_PATTERNS
 from pageops.operators import entities as E
 from pageops.operators import records as R
 
-from .fixtures import (EMAILS_EXPECTED, EXTENSIONS_EXPECTED, PHONES_EXPECTED, RECORDS_EXPECTED,
+from .fixtures import (CONTACT_TEXT, EMAILS_EXPECTED, EXTENSIONS_EXPECTED, PHONES_EXPECTED, RECORDS_EXPECTED,
                        contact_docs, scans)
 
 
@@ -122,3 +125,54 @@ def test_strict_routing(spark):
     good, _ = R.route_malformed(df, "body")
     row = R.flatten_keyed(good, "scan_id", "parsed").filter("scan_id = 0").first()
     assert row.rest == {"rack": "7", "tags": '["x"]'} and row.script == {"b": "3", "a": "2"}
+
+
+# --- places of matches, records of one person -------------------------------
+
+def _spans_of(text):
+    out = []
+    for kind, (pattern, group, _) in ENTITY_PATTERNS.items():
+        out += [(m.start(), kind, m.end(), m.group(group)) for m in re.finditer(pattern, text or "")]
+    return sorted(out)
+
+
+def _records_of(text):
+    owner, fields, found = 0, {}, []
+    for start, kind, _, value in sorted(_spans_of(text), key=lambda s: (s[0], ("phone", "extension", "email").index(s[1]))):
+        if kind == "phone":
+            owner += 1
+            fields[owner] = {"start": start, "phone": value}
+        elif owner and kind not in fields[owner]:
+            fields[owner][kind] = value
+        else:
+            found.append({"start": start, kind: value})
+    rows = sorted([*fields.values(), *found], key=lambda r: r["start"])
+    return [(k, r["start"], r.get("phone"), r.get("extension"), r.get("email")) for k, r in enumerate(rows)]
+
+
+def _contact_soup(rng):
+    parts = ["jdoe77", "02-23456789", "02-2345678", "+1 (555) 010-2030", "#3910", "#39", "\n", " ", "a.b@x.example.org", "kwan@lab.example.edu.tw", "Ünï 中", "😀", "0223456789", "/ "]
+    return "".join(rng.choice(parts) for _ in range(rng.randint(0, 40)))
+
+
+def test_places_and_records_match_a_scan(spark):
+    rng = random.Random(2)
+    texts = [*CONTACT_TEXT.values(), *(_contact_soup(rng) for _ in range(300)), "x 02-23456789#3910 " * 700]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    spans, records = {}, {}
+    for r in E.extract_spans(df).collect():
+        spans.setdefault(r["doc_id"], []).append((r["start"], r["kind"], r["end"], r["value"]))
+    for r in E.contact_records(df).collect():
+        records.setdefault(r["doc_id"], []).append(tuple(r)[1:])
+    for i, text in enumerate(texts):
+        assert sorted(spans.get(i, [])) == _spans_of(text), text
+        assert sorted(records.get(i, [])) == _records_of(text), text
+
+
+def test_records_of_the_hazards(spark):
+    got = {(r["doc_id"], r["rec"]): (r["phone"], r["extension"], r["email"]) for r in E.contact_records(contact_docs(spark)).collect()}
+    assert got == {(1, 0): ("02-23456789", "3910", None), (2, 0): ("02-23456789", "3911", None), (3, 0): ("02-2345678", "3912", "kwan@lab.example.edu.tw"),
+                   (5, 0): (None, None, "a.b@x.example.org"), (5, 1): (None, None, "c_d@y.example.com"), (6, 0): ("02-23456789", "3913", "rwu@lab.example.org"),
+                   (7, 0): ("+1 (555) 010-2030", None, None), (7, 1): ("+1 (555) 010-4050", None, None)}
+    plan = E.contact_records(contact_docs(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
