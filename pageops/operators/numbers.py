@@ -89,6 +89,12 @@ def draw_random(lo: int = LOWEST, hi: int = HIGHEST, seed: int | None = None) ->
     return (F.floor(r * (hi - lo + 1)) + lo).cast("long")
 
 
+def parsed(attempts: DataFrame, raw_col: str) -> DataFrame:
+    """Adds ``_ok`` (integer text) and ``value``."""
+    with_ok = attempts.withColumn("_ok", format_ok(F.col(raw_col)))
+    return with_ok.withColumn("value", F.when(F.col("_ok"), F.regexp_replace(F.col(raw_col), INT_NOISE_RE, "").try_cast(_INT)))
+
+
 def bracket_history(attempts: DataFrame, key: str, order: list[str], raw_col: str = "raw",
                     target_col: str = "target", lo: int = LOWEST, hi: int = HIGHEST, *,
                     bucket: Column | None = None) -> DataFrame:
@@ -98,17 +104,26 @@ def bracket_history(attempts: DataFrame, key: str, order: list[str], raw_col: st
     into groups that fit a task (see ``scan``)."""
     t = F.col(target_col).cast(_INT)
     # the guard regex runs once per row: "_ok" feeds both the value and the outcome
-    with_v = attempts.withColumn("_ok", format_ok(F.col(raw_col)))
-    with_v = with_v.withColumn("value", F.when(F.col("_ok"), F.regexp_replace(
-        F.col(raw_col), INT_NOISE_RE, "").try_cast(_INT)))
+    with_v = parsed(attempts, raw_col)
     val = F.col("value")
-    run = scan.running(with_v, key, order, {
+    return told(scan.running(with_v, key, order, moves(val, t, lo, hi), bucket=bucket), target_col, lo, hi)
+
+
+def moves(val: Column, t: Column, lo: int, hi: int) -> dict[str, tuple[str, Column]]:
+    """What an attempt does to its key's bracket, as running aggregates."""
+    return {
         "below": ("max", F.when(val < t, val)),
         "above": ("min", F.when(val > t, val)),
         # A guess equal to a target on the bounds is out of range, never a hit.
         "hits": ("sum", F.when((val == t) & (t > lo) & (t < hi), F.lit(1)).otherwise(F.lit(0))),
         "before": ("sum", F.lit(1)),
-    }, bucket=bucket)
+    }
+
+
+def told(run: DataFrame, target_col: str, lo: int, hi: int) -> DataFrame:
+    """Brackets and outcomes of attempts (``_ok``, ``value``) with the running
+    aggregates of ``moves`` over the attempts before each."""
+    val, t = F.col("value"), F.col(target_col).cast(_INT)
     lo_c = F.greatest(F.lit(lo).cast(_INT), F.col("below"))
     hi_c = F.least(F.lit(hi).cast(_INT), F.col("above"))
     outcome = (F.when(~F.col("_ok"), F.lit("format"))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 _FN = {"max": F.max, "min": F.min, "sum": F.sum}
 
 
-def _combine(kind: str, a: Column, b: Column) -> Column:
+def combine(kind: str, a: Column, b: Column) -> Column:
     """Fold two partial results; NULL is the identity."""
     if kind == "max":
         return F.greatest(a, b)
@@ -48,4 +48,4 @@ def running(df: DataFrame, key: str, order: Sequence[str], aggs: Mapping[str, tu
     carry = totals.select(F.col(key).alias("_ck"), F.col("_bucket").alias("_cb"),
                           *[_FN[kind](F.col(f"_t_{name}")).over(earlier).alias(f"_c_{name}") for name, (kind, _) in aggs.items()])
     joined = local.join(carry, F.col(key).eqNullSafe(F.col("_ck")) & F.col("_bucket").eqNullSafe(F.col("_cb")))
-    return joined.select(*df.columns, *[_combine(kind, F.col(f"_c_{name}"), F.col(f"_l_{name}")).alias(name) for name, (kind, _) in aggs.items()])
+    return joined.select(*df.columns, *[combine(kind, F.col(f"_c_{name}"), F.col(f"_l_{name}")).alias(name) for name, (kind, _) in aggs.items()])

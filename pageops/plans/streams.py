@@ -50,15 +50,17 @@ def q_stream_distinct_keys(spark, root):
 
 def q_stream_bracket_state(spark, root):
     out, ck = _paths(spark, "stream-bracket")
-    _finish(S.stream_bracket_state(attempts_from_events(S.read_stream(spark, root, "events", FILES)), "user_id", out, ck))
-    return S.bracket_state(spark, out, "user_id")
+    att = attempts_from_events(S.read_stream(spark, root, "events", FILES))
+    _finish(S.stream_bracket_state(att, "user_id", out, ck))
+    return S.bracket_state(spark, out, att.schema["user_id"])
 
 
 def q_stream_bracket_history(spark, root):
     out, ck = _paths(spark, "stream-bracket-history")
     att = attempts_from_events(S.read_stream(spark, root, "events", FILES))
-    _finish(S.stream_attempts(att, out, ck))
-    h = S.bracket_history(att, out, "user_id", ["ts", "event_id"], bucket=F.date_trunc("day", "ts"))
+    kept = S.History(att.schema, "user_id", ("ts", "event_id"), out, F.unix_date(F.to_date("ts")))
+    _finish(S.stream_bracket_history(att, kept, ck))
+    h = kept.read(spark)
     return h.select("user_id", "event_id", "seq", "lo", "hi", "outcome")
 
 

@@ -3,16 +3,14 @@
 - A13: page files in, newest-first links out.  Link extraction is per page
   row with no window, so it runs as a plain append-mode stream.
 - C4: contact entities of arriving documents, append mode.
-- B6: distinct keys; what an epoch adds is what earlier epochs have not written.
-- D8: the bracket per key as one partial row per key and epoch, merged on read.
-- D4, D5: the attempts per epoch, their bracket history derived on read; or, for
-  feeds in time order per key, the history per epoch, carried on from the keys'
-  stored states.
+- B6: distinct keys; an epoch compares its keys with their buckets of a key store.
+- D8: the bracket per key as one partial row per key and epoch, merged by levels.
+- D4, D5: the bracket history per key and bucket of time; an epoch rewrites the
+  groups it has attempts of, and what went before a group is added on read.
 
 B6, D8 and D4/D5 write every epoch to its own folder, replaced as a whole if the
-epoch is tried again, and keep no state but these tables: results don't depend
-on how the input is cut into batches, and no row is late (but for the history
-per epoch, which refuses late attempts).
+epoch is tried again, and keep no state but tables (``store``): results don't
+depend on how the input is cut into batches, and no row is late.
 
 Checkpoints and outputs live under the session's shared checkpoint folder.
 """
@@ -20,10 +18,10 @@ Checkpoints and outputs live under the session's shared checkpoint folder.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -32,7 +30,9 @@ from ..functions.patterns import FORUM_EXCLUDED, HIGHEST, LOWEST
 from ..operators import entities as E
 from ..operators import links as L
 from ..operators import numbers as N
+from ..operators.scan import combine
 from ..sources.tables import SCHEMAS, table_path
+from .store import KeyStore, Levels
 
 
 def read_stream(spark: SparkSession, root: str, table: str, max_files: int | None = None) -> DataFrame:
@@ -82,28 +82,18 @@ def distinct_within_watermark(events: DataFrame, keys: Sequence[str], ts_col: st
             .dropDuplicatesWithinWatermark(list(keys)))
 
 
-def _epochs(spark: SparkSession, out: str, schema, before: int | None = None) -> DataFrame:
-    """What epochs (before one, if given) have written under ``out``."""
-    fields = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
-    done = spark.read.schema(fields).parquet(out)
-    return done if before is None else done.filter(F.col("epoch") < before)
-
-
 def _by_epoch(df: DataFrame, checkpoint: str, write, available_now: bool) -> StreamingQuery:
     w = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
 
 
-def stream_distinct(events: DataFrame, keys: Sequence[str], out: str, checkpoint: str,
-                    available_now: bool = True) -> StreamingQuery:
-    """Each key once, in the epoch that first has it."""
+def stream_distinct(events: DataFrame, keys: Sequence[str], out: str, checkpoint: str, available_now: bool = True,
+                    buckets: int = 64, bucket_rows: int = 1_000_000) -> StreamingQuery:
+    """Each key once, in the epoch that first has it.  An epoch reads only
+    the buckets of the key store (beside the checkpoint) that its keys fall into."""
     def write(batch: DataFrame, epoch: int) -> None:
-        new = batch.select(*keys).distinct()
-        if epoch:
-            seen = _epochs(batch.sparkSession, out, new.schema, epoch).select(*[F.col(k).alias(f"_{k}") for k in keys])
-            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-            new = new.join(seen, same, "left_anti")
-        new.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+        store = KeyStore(batch.sparkSession, f"{checkpoint}-keys", tuple(keys), buckets, bucket_rows)
+        store.add(epoch, batch, f"{out}/epoch={epoch}")
 
     return _by_epoch(events, checkpoint, write, available_now)
 
@@ -117,83 +107,130 @@ def _moves(attempts: DataFrame, raw_col: str, target_col: str, lo: int, hi: int,
                          F.when((v == t) & (t > lo) & (t < hi), F.lit(1)).otherwise(F.lit(0)).alias("hit"))
 
 
-def stream_bracket_state(attempts: DataFrame, key: str, out: str, checkpoint: str, raw_col: str = "raw", target_col: str = "target",
-                         lo: int = LOWEST, hi: int = HIGHEST, available_now: bool = True) -> StreamingQuery:
-    """One partial row per key that an epoch has; see ``bracket_state``."""
-    def write(batch: DataFrame, epoch: int) -> None:
-        part = _moves(batch, raw_col, target_col, lo, hi, key).groupBy(key).agg(
-            F.count(F.lit(1)).alias("attempts"), F.max("low").alias("low"), F.min("high").alias("high"), F.max("hit").alias("hit"))
-        part.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+def _brackets(spark: SparkSession, out: str, key: T.StructField) -> Levels:
+    wide = T.DecimalType(38, 0)
+    fields = [key, *(T.StructField(n, t) for n, t in (("attempts", T.LongType()), ("low", wide), ("high", wide), ("hit", T.IntegerType())))]
 
-    return _by_epoch(attempts, checkpoint, write, available_now)
+    def merge(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(key.name).agg(F.sum("attempts").alias("attempts"), F.max("low").alias("low"), F.min("high").alias("high"), F.max("hit").alias("hit"))
 
+    return Levels(spark, out, T.StructType(fields), merge)
 
-def bracket_state(spark: SparkSession, out: str, key: str, lo: int = LOWEST, hi: int = HIGHEST) -> DataFrame:
-    """The current bracket of each key from every attempt seen so far (max
-    of lows, min of highs, any hit), merged from the epochs' partial rows."""
-    wide = "decimal(38,0)"
-    return spark.read.parquet(out).groupBy(key).agg(
-        F.sum("attempts").alias("attempts"),
-        F.greatest(F.lit(lo).cast(wide), F.max("low")).cast("long").alias("lo"),
-        F.least(F.lit(hi).cast(wide), F.min("high")).cast("long").alias("hi"),
-        F.max("hit").alias("hit"))
 
+def stream_bracket_state(attempts: DataFrame, key: str, out: str, checkpoint: str, raw_col: str = "raw", target_col: str = "target",
+                         lo: int = LOWEST, hi: int = HIGHEST, available_now: bool = True) -> StreamingQuery:
+    """One partial row per key that an epoch has, merged level by level; see
+    ``bracket_state``."""
+    field = attempts.schema[key]
 
-def stream_attempts(attempts: DataFrame, out: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """D4, D5 in any order: each epoch's attempts as they come; see ``bracket_history``."""
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+        levels = _brackets(batch.sparkSession, out, field)
+        levels.commit(epoch, levels.merge(_moves(batch, raw_col, target_col, lo, hi, key).withColumn("attempts", F.lit(1).cast("long"))))
 
     return _by_epoch(attempts, checkpoint, write, available_now)
 
 
-def bracket_history(attempts: DataFrame, out: str, key: str, order: Sequence[str], raw_col: str = "raw", target_col: str = "target",
-                    lo: int = LOWEST, hi: int = HIGHEST, *, bucket: Column | None = None) -> DataFrame:
-    """The history of every attempt that ``stream_attempts`` of
-    ``attempts`` has written so far, whatever order they came in."""
-    done = attempts.sparkSession.read.schema(attempts.schema).parquet(out).select(*attempts.columns)
-    return N.bracket_history(done, key, list(order), raw_col, target_col, lo, hi, bucket=bucket)
-
-
-def stream_bracket_history(attempts: DataFrame, key: str, order: Sequence[str], out: str, checkpoint: str, raw_col: str = "raw",
-                           target_col: str = "target", lo: int = LOWEST, hi: int = HIGHEST, available_now: bool = True) -> StreamingQuery:
-    """The rows of ``numbers.bracket_history``, epoch by epoch, for feeds
-    in time order per key (``stream_attempts`` takes any order).
-
-    A key's state is its bracket, whether it was hit, the attempts seen and the
-    place of the last one; an epoch writes the states of its keys only, and the
-    latest by epoch counts.  An attempt that comes before its key's last one
-    would change rows already written: the epoch fails and says so."""
+def bracket_state(spark: SparkSession, out: str, key: T.StructField, lo: int = LOWEST, hi: int = HIGHEST) -> DataFrame:
+    """The current bracket of each key from every attempt seen so far (max
+    of lows, min of highs, any hit); folds a logarithmic number of tables.
+    ``key`` is the key's field in the attempts' schema."""
     wide = "decimal(38,0)"
-
-    def write(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        order_type = F.struct(*order)
-        rows = batch.withColumn("_at", order_type)
-        moves = _moves(rows, raw_col, target_col, lo, hi, key, "_at").groupBy(key).agg(
-            F.count(F.lit(1)).alias("n"), F.max("low").alias("low"), F.min("high").alias("high"), F.max("hit").alias("hit"), F.max("_at").alias("last"), F.min("_at").alias("first"))
-        state = moves.select(key, "n", "low", "high", "hit", "last")
-        if epoch:
-            old = _epochs(spark, f"{out}-state", state.schema, epoch).groupBy(key).agg(
-                F.max_by(F.struct("n", "low", "high", "hit", "last"), "epoch").alias("old"))
-            late = moves.join(old, key).filter(F.col("first") < F.col("old.last"))
-            if not late.isEmpty():
-                raise ValueError(f"epoch {epoch}: attempts arrived after later ones of their key, e.g. key {late.first()[key]!r}")
-            state = moves.join(old, key, "left").select(
-                key, (F.col("n") + F.coalesce("old.n", F.lit(0))).alias("n"), F.greatest("low", "old.low").alias("low"),
-                F.least("high", "old.high").alias("high"), F.greatest("hit", "old.hit").alias("hit"), "last")
-            rows = rows.join(old, key, "left").filter(F.coalesce("old.hit", F.lit(0)) == 0)
-            base = [F.greatest(F.lit(lo).cast(wide), F.col("old.low")), F.least(F.lit(hi).cast(wide), F.col("old.high")), F.coalesce("old.n", F.lit(0))]
-        else:
-            base = [F.lit(lo).cast(wide), F.lit(hi).cast(wide), F.lit(0)]
-        rows = rows.withColumns({"_lo": base[0], "_hi": base[1], "_n": base[2].cast("long")})
-        told = N.bracket_history(rows, key, list(order), raw_col, target_col, lo, hi)
-        v, t = F.col("value"), F.col(target_col).cast(wide)
-        told = told.withColumns({"lo": F.greatest("lo", "_lo").cast("long"), "hi": F.least("hi", "_hi").cast("long"), "seq": F.col("seq") + F.col("_n")})
-        told = told.withColumn("outcome", F.when(F.col("outcome") == "format", F.lit("format"))
-                               .when(v.isNull() | (v <= F.col("lo")) | (v >= F.col("hi")), F.lit("range"))
-                               .when(v == t, F.lit("hit")).when(v < t, F.lit("low")).otherwise(F.lit("high")))
-        told.select(key, *order, "seq", "lo", "hi", "outcome").write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
-        state.write.mode("overwrite").parquet(f"{out}-state/epoch={epoch}")
-
-    return _by_epoch(attempts, checkpoint, write, available_now)
+    return _brackets(spark, out, key).read().select(
+        key.name, "attempts", F.greatest(F.lit(lo).cast(wide), "low").cast("long").alias("lo"),
+        F.least(F.lit(hi).cast(wide), "high").cast("long").alias("hi"), "hit")
+
+
+#: Columns of a bracket history's running aggregates and their totals.
+_RUNNING = (("below", "decimal(38,0)"), ("above", "decimal(38,0)"), ("hits", "bigint"), ("before", "bigint"))
+
+
+@dataclass(frozen=True)
+class History:
+    """D4, D5 on a stream of attempts in any order: per key and bucket of time.
+
+    ``rows`` holds the attempts of each group (key, bucket) with the running
+    aggregates *inside* the group; ``totals`` one row a group, with the epoch
+    that wrote the group last.  What went before a group is a prefix over the
+    few totals of its key, taken on read.  So an epoch rewrites the groups that
+    its attempts fall into, late or not, and what comes after a late attempt
+    changes by its group's total alone.  ``bucket`` is an int that never falls
+    along the order."""
+
+    attempts: T.StructType       # key, order columns, raw and target, others are dropped
+    key: str
+    order: tuple[str, ...]
+    out: str
+    bucket: Column
+    raw_col: str = "raw"
+    target_col: str = "target"
+    lo: int = LOWEST
+    hi: int = HIGHEST
+
+    @property
+    def _columns(self) -> list[str]:
+        return list(dict.fromkeys((self.key, *self.order, self.raw_col, self.target_col)))
+
+    @property
+    def _schema(self) -> T.StructType:
+        more = [T.StructField("_ok", T.BooleanType()), T.StructField("value", T.DecimalType(38, 0))]
+        more += [T.StructField(n, T._parse_datatype_string(t)) for n, t in _RUNNING]
+        return T.StructType([*(self.attempts[c] for c in self._columns), *more, T.StructField("_bucket", T.IntegerType())])
+
+    def _totals(self, spark: SparkSession) -> Levels:
+        fields = [self.attempts[self.key], T.StructField("_bucket", T.IntegerType()), T.StructField("written", T.LongType())]
+        fields += [T.StructField(f"_t_{n}", T._parse_datatype_string(t)) for n, t in _RUNNING]
+        names = [f.name for f in fields[2:]]
+
+        def merge(rows: DataFrame) -> DataFrame:
+            last = rows.groupBy(self.key, "_bucket").agg(F.max_by(F.struct(*names), "written").alias("_last"))
+            return last.select(self.key, "_bucket", "_last.*")
+
+        return Levels(spark, f"{self.out}/totals", T.StructType(fields), merge)
+
+    def _rows(self, spark: SparkSession, groups: DataFrame) -> DataFrame:
+        """The stored rows of groups (key, _bucket, written)."""
+        where = [(r["written"], r["_bucket"]) for r in groups.select("written", "_bucket").distinct().collect()]
+        if not where:
+            return spark.createDataFrame([], self._schema)
+        read = [spark.read.schema(self._schema).option("basePath", f"{self.out}/rows/epoch={e}").parquet(*[f"{self.out}/rows/epoch={e}/_bucket={b}" for w, b in where if w == e])
+                .withColumn("written", F.lit(e)) for e in sorted({w for w, _ in where})]
+        every = reduce(DataFrame.unionByName, read)
+        wanted = groups.select(F.col(self.key).alias("_k"), F.col("_bucket").alias("_b"), F.col("written").alias("_w"))
+        same = F.col(self.key).eqNullSafe(F.col("_k")) & (F.col("_bucket") == F.col("_b")) & (F.col("written") == F.col("_w"))
+        return every.join(wanted, same, "left_semi").drop("written")
+
+    def write(self, batch: DataFrame, epoch: int) -> None:
+        spark, key = batch.sparkSession, self.key
+        # Nulls come first in the order.
+        bucket = F.coalesce(self.bucket.cast("int"), F.lit(-2**31))
+        new = N.parsed(batch.select(*self._columns, bucket.alias("_bucket")), self.raw_col)
+        touched = new.select(F.col(key).alias("_k"), F.col("_bucket").alias("_b")).distinct()
+        totals = self._totals(spark)
+        before = totals.read(epoch).join(touched, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_bucket") == F.col("_b")), "left_semi")
+        rows = new.unionByName(self._rows(spark, before).select(new.columns))
+        val, t = F.col("value"), F.col(self.target_col).cast("decimal(38,0)")
+        moves = N.moves(val, t, self.lo, self.hi)
+        group = Window.partitionBy(key, "_bucket").orderBy(*self.order).rowsBetween(Window.unboundedPreceding, -1)
+        fold = {"max": F.max, "min": F.min, "sum": F.sum}
+        here = f"{self.out}/rows/epoch={epoch}"
+        local = rows.select("*", *[fold[kind](expr).over(group).cast(dict(_RUNNING)[n]).alias(n) for n, (kind, expr) in moves.items()])
+        local.select(*self._schema.names).write.mode("overwrite").partitionBy("_bucket").parquet(here)
+        written = spark.read.schema(self._schema).parquet(here)
+        totals.commit(epoch, written.groupBy(key, "_bucket").agg(
+            F.lit(epoch).cast("long").alias("written"), *[fold[kind](expr).cast(dict(_RUNNING)[n]).alias(f"_t_{n}") for n, (kind, expr) in moves.items()]))
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The rows of ``numbers.bracket_history`` over every attempt so far."""
+        totals = self._totals(spark).read()
+        earlier = Window.partitionBy(self.key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        kinds = {n: kind for n, (kind, _) in N.moves(F.lit(0), F.lit(0), self.lo, self.hi).items()}
+        fold = {"max": F.max, "min": F.min, "sum": F.sum}
+        carry = totals.select(F.col(self.key).alias("_k"), F.col("_bucket").alias("_b"), *[fold[kinds[n]](f"_t_{n}").over(earlier).alias(f"_c_{n}") for n, _ in _RUNNING])
+        joined = self._rows(spark, totals).join(carry, F.col(self.key).eqNullSafe(F.col("_k")) & (F.col("_bucket") == F.col("_b")))
+        run = joined.select(*self._columns, "_ok", "value", *[combine(kinds[n], F.col(f"_c_{n}"), F.col(n)).alias(n) for n, _ in _RUNNING])
+        return N.told(run, self.target_col, self.lo, self.hi)
+
+
+def stream_bracket_history(attempts: DataFrame, history: History, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """The history kept up to date by epoch; see ``History``."""
+    return _by_epoch(attempts, checkpoint, history.write, available_now)
