@@ -13,7 +13,8 @@ Equal sets are one node.  Every node meets the smallest node of each of its
 signatures; nodes of a signature that are in several components then, those
 outside the largest, meet all of the other components.  In a signature of more
 than ``LARGE`` nodes, nodes meet one typical node, and of other pairs only those
-that its distances leave possible are made (see ``_large``).  Candidates pass a
+that its distances leave possible and whose nodes are not in one component yet
+are made, once each (see ``_large``).  Candidates pass a
 parity sketch of a bit per element (its distance never exceeds the difference of the sets, so
 no link is lost) and then the exact count.
 
@@ -37,7 +38,9 @@ from .components import components
 PIECES = 3
 LARGE = 16           # nodes of a signature beyond which its group is pruned by distance
 IDS_TO_BROADCAST = 1_000_000
-SIGS_TO_BROADCAST = 2_000_000
+SAMPLE = 1024        # one node of as many is asked for hot signatures
+SHARE = 1e-5         # of a sample's signatures, from which one is hot
+SALT = 64
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -165,8 +168,7 @@ def _heads(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(node, sig) of every row.  Signatures are made anew for each use: there
-    are more of them than bytes of text, so they are never stored."""
+    """(node, sig) of every row."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for at in range(0, batch.num_rows, 256):
@@ -234,19 +236,75 @@ def _large(docs: DataFrame, large: DataFrame, n: int, percent: int) -> tuple[Dat
     live = keep(sets.select("node", F.size("x").cast("long").alias("n")).join(lone, "node", "left").withColumn("u", F.coalesce("u", F.lit(0)))
                 .filter(F.col("u") <= may_lack), "live")
     large = keep(large.join(live, "node"), "large")
-    best = large.groupBy("sig").agg(F.min(F.struct("u", "node")).alias("best"), F.max("n").alias("top"))
-    large = large.join(best.select("sig", F.col("best.node").alias("c"), "top"), "sig")
+    best = large.groupBy("sig").agg(F.min(F.struct("u", "node")).alias("best"))
+    placed = keep(large.join(best.select("sig", F.col("best.node").alias("c")), "sig"), "placed")
+    held = placed.select("c", "node", "n", "u").distinct()
+    top = held.groupBy("c").agg(F.max("n").alias("top"))
     same = F.size(F.array_intersect("x_c", "x"))
-    met = keep(large.select("c", "node").filter("c <> node").distinct()
+    met = keep(held.filter("c <> node")
                .join(sets.select(F.col("node").alias("c"), F.col("x").alias("x_c")), "c").join(sets, "node")
-               .select("c", "node", (F.size("x_c") + F.size("x") - 2 * same).alias("d"), (F.size("x_c") + F.size("x")).alias("both")), "met")
+               .select("c", "node", "n", "u", (F.size("x_c") + F.size("x") - 2 * same).alias("d"), (F.size("x_c") + F.size("x")).alias("both")), "met")
     linked = F.col("d") * plus <= F.col("both") * minus
-    links = met.filter(linked).select(F.least("c", "node").alias("a"), F.greatest("c", "node").alias("b"))
-    far = keep(large.join(met, ["c", "node"]).select("sig", "node", linked.alias("linked"), ((F.col("d") - 2 * F.col("u")) * plus).alias("e"),
-                                                    (F.col("d") * plus - (F.col("n") + F.col("top")) * minus).alias("r")), "far")
-    outside = far.filter("not linked").select("sig", F.col("node").alias("p"), F.col("e").alias("e_p"), F.col("r").alias("r_p"))
-    pairs = far.join(outside, "sig").filter("node <> p and e >= r_p and e_p >= r")
-    return links, pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+    links = keep(met.filter(linked).select(F.least("c", "node").alias("a"), F.greatest("c", "node").alias("b")), "known")
+    # Of a node: its component so far, its signatures and its centres.
+    known = placed.groupBy("node").agg(F.collect_set("sig").alias("sigs"), F.collect_set("c").alias("centres"))
+    known = known.join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    far = met.join(top, "c").select("c", "node", linked.alias("linked"), ((F.col("d") - 2 * F.col("u")) * plus).alias("e"),
+                                    (F.col("d") * plus - (F.col("n") + F.col("top")) * minus).alias("r"))
+    # Less the nodes that not even the nearest node outside can link with.
+    least = far.filter("not linked").groupBy("c").agg(F.min("r").alias("r_least"))
+    far = keep(far.join(least, "c").filter("not linked or e >= r_least").drop("r_least").join(known, "node"), "far")
+    outside = far.filter("not linked").select("c", *[F.col(x).alias(f"{x}_p") for x in ("node", "e", "r", "comp", "sigs", "centres")])
+    # A pair is made once: at the smallest centre that both have.
+    fits = (F.expr("(linked or node < node_p) and node <> node_p and comp <> comp_p and e >= r_p and e_p >= r")
+            & F.arrays_overlap("sigs", "sigs_p") & (F.col("c") == F.array_min(F.array_intersect("centres", "centres_p"))))
+    pairs = far.join(outside, "c").filter(fits)
+    return links, pairs.select(F.least("node", "node_p").alias("a"), F.greatest("node", "node_p").alias("b")).distinct()
+
+
+def _hot(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Signatures that a share of a sample of the nodes has, at most 1 / SHARE of
+    them: their groups are too large for one task."""
+    sample = docs.filter(F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0)
+    found = keep(_signatures(sample, n, percent).groupBy("sig").agg(F.count("*").alias("m")), "sampled")
+    every = found.agg(F.sum("m")).first()[0] or 0
+    return found.filter(F.col("m") >= max(LARGE, every * SHARE)).select("sig", F.lit(True).alias("hot"))
+
+
+def _groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(sig, node, m) of the signatures that m > 1 nodes have.  Signatures are
+    more than the text, so they are made and shuffled once: rows of a signature
+    meet sorted, and those that are alone go no further.  Hot signatures are
+    dealt over several tasks; they are large in any case (m is LARGE + 1)."""
+    hot = F.broadcast(_hot(docs, n, percent))
+    own = _signatures(docs, n, percent).join(hot, "sig", "left")
+    dealt = own.select("sig", "node", F.when(F.col("hot"), F.pmod(F.xxhash64("node"), F.lit(SALT)) + 1).otherwise(0).cast("int").alias("salt"))
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["sig", "node", "m"]
+
+        def told(sig: np.ndarray, node: np.ndarray, salt: np.ndarray) -> pa.RecordBatch:
+            first = np.flatnonzero(np.concatenate([[True], (sig[1:] != sig[:-1]) | (salt[1:] != salt[:-1])]))
+            m = np.diff(np.concatenate([first, [len(sig)]]))
+            each = np.where(salt > 0, LARGE + 1, np.repeat(m, m))
+            some = each > 1
+            return pa.RecordBatch.from_arrays([pa.array(sig[some]), pa.array(node[some]), pa.array(each[some])], names=names)
+
+        held = [np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.int32)]
+        for batch in it:
+            rows = [np.concatenate([h, batch.column(i).to_numpy()]) for i, h in enumerate(held)]
+            sig, _, salt = rows
+            if not len(sig):
+                continue
+            # The last group may go on in the next batch; a hot one needn't wait.
+            last = len(sig) if salt[-1] else int(np.searchsorted(sig, sig[-1]))
+            held = [r[last:] for r in rows]
+            if last:
+                yield told(*(r[:last] for r in rows))
+        if len(held[0]):
+            yield told(*held)
+
+    return dealt.repartition("sig", "salt").sortWithinPartitions("sig", "salt").mapInArrow(run, "sig long, node long, m long")
 
 
 def _components(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -256,10 +314,7 @@ def _components(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataF
     classes = keep(heads.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min("node").alias("node"), F.min("doc_id").alias("low")), "classes")
     copies = keep(heads.join(classes.select("node"), "node", "left_anti").select("node"), "copies")     # and empty sets
     slim = heads.join(classes.select("node"), "node", "left_semi")
-    own = _signatures(_without(docs, copies, "left_anti"), n, percent)
-    shared = keep(own.groupBy("sig").agg(F.count("*").alias("m")).filter("m > 1"), "shared")
-    shared = F.broadcast(shared) if shared.count() <= SIGS_TO_BROADCAST else shared
-    groups = keep(own.join(shared, "sig").select("sig", "node", "m"), "groups")
+    groups = keep(_groups(_without(docs, copies, "left_anti"), n, percent), "groups")
 
     small = groups.filter(F.col("m") <= LARGE)
     least = small.groupBy("sig").agg(F.min("node").alias("c"))

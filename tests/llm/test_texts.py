@@ -68,9 +68,11 @@ def jaccard_brute(rows, n, percent):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("n,percent,large", [(3, 90, 16), (5, 80, 4)])
-def test_jaccard_components(spark, monkeypatch, n, percent, large):
+@pytest.mark.parametrize("n,percent,large,sample", [(3, 90, 16, 1024), (5, 80, 4, 1024), (5, 80, 4, 1), (3, 90, 2, 2)])
+def test_jaccard_components(spark, monkeypatch, n, percent, large, sample):
+    """Also with large groups pruned by distance and hot ones dealt over tasks."""
     monkeypatch.setattr(partenum, "LARGE", large)
+    monkeypatch.setattr(partenum, "SAMPLE", sample)
     rows = near_copies()
     out = {r.doc_id: (r.n_shingles, r.component_id) for r in partenum.jaccard_components(documents(spark, rows), n, percent).collect()}
     assert out == jaccard_brute(rows, n, percent)
