@@ -43,13 +43,6 @@ BITS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 60], dtype=n
 ESCAPE = 15
 
 
-def _widths(ids: np.ndarray) -> np.ndarray:
-    """Bits that each id needs (at least 1)."""
-    high = ids >> np.uint64(32)
-    low = np.frexp((ids & np.uint64(0xFFFFFFFF)).astype(np.float64))[1]
-    return np.maximum(np.where(high > 0, 32 + np.frexp(high.astype(np.float64))[1], low), 1).astype(np.int32)
-
-
 def pack(ids: np.ndarray, sizes: np.ndarray) -> list[tuple[list[int], bytes]]:
     """``ids`` (uint64) of consecutive documents of ``sizes`` ids each, as
     (block_ends, payload) of each document."""
@@ -61,20 +54,28 @@ def pack(ids: np.ndarray, sizes: np.ndarray) -> list[tuple[list[int], bytes]]:
     within = np.arange(len(doc_of)) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)
     block_start = starts[doc_of] + within * BLOCK
     block_end = np.minimum(block_start + BLOCK, ends[doc_of])
-    room = (np.repeat(block_end, block_end - block_start) - np.arange(n)).astype(np.int32)     # ids left in the block
+    length = block_end - block_start
+    room = (np.repeat(block_end, length) - np.arange(n)).astype(np.int32)     # ids left in the block
 
     # The largest count that fits at every position, from fewest to most ids.
-    bits = _widths(ids)
-    top = int(bits.max()) if n else 1
-    choice = np.full(n, ESCAPE, dtype=np.int8)
-    at = np.arange(n, dtype=np.int32)
+    # Blocks stand apart by the largest count, so that no window meets the next.
+    gap = int(COUNTS.max())
+    place = np.arange(n) + np.repeat(np.arange(len(length)) * gap, length)
+    apart = np.zeros(n + gap * len(length), dtype=np.uint64)
+    apart[place] = ids
+    top = int(ids.max()) if n else 0
+    chosen = np.full(len(apart), ESCAPE, dtype=np.int8)
     for s in range(14, 0, -1):
-        if top <= BITS[s]:
-            choice[:] = s
+        if top < 1 << int(BITS[s]):
+            chosen[:] = s
             continue
-        wide = np.where(bits > BITS[s], at, np.int32(n))
-        run = np.minimum.accumulate(wide[::-1])[::-1] - at
-        choice[run >= np.minimum(np.int32(COUNTS[s]), room)] = s
+        wide, have = apart >= np.uint64(1 << int(BITS[s])), 1              # any of ``have`` ids from here on is too wide
+        while have < COUNTS[s]:
+            step = min(have, int(COUNTS[s]) - have)
+            wide = wide[:-step] | wide[step:]
+            have += step
+        np.copyto(chosen[:len(wide)], np.int8(s), where=~wide)
+    choice = chosen[place]
     take = np.minimum(COUNTS[choice], room)
 
     # Walk all blocks at once, one word of each per step.
