@@ -22,9 +22,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that a smaller document has."""
-    out = substring.dedupe(docs, carry=("lang", "source")).withColumn("n_chars", F.char_length("text").cast("long"))
-    return out.select(*docs.columns)
+    """Texts without the passages that a smaller document has.  All columns are
+    carried along, ``n_chars`` (if there) follows the text."""
+    carried = [c for c in docs.columns if c not in ("doc_id", "text")]
+    packed = docs.select("doc_id", "text", F.struct(F.lit(0).alias("c"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(carried)]).alias("carried"))
+    out = substring.dedupe(packed, carry=("carried",))
+    told = {c: F.col(f"carried.c{k}") for k, c in enumerate(carried)}
+    if "n_chars" in told:
+        told["n_chars"] = F.char_length("text").cast("long")
+    return out.select(*[told[c].alias(c) if c in told else F.col(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
