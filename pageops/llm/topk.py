@@ -8,9 +8,12 @@ components; a pair stays only while its bound can still enter the query's k
 best, and survivors are computed exactly.
 
 The queries (every ``every``-th id) are a stated set against all rows, in
-blocks: groups of ``GROUP`` queries meet slots of about ``ROWS`` candidates.
-A task streams the candidates of a (group, slot) past its queries in ascending
-id, holding one group and k results a query.
+blocks: groups of ``GROUP`` queries meet slots of up to about ``ROWS``
+candidates.  A task streams the candidates of a (group, slot) past its queries
+in ascending id, holding one group and k results a query.  A slot's first
+``SEED`` candidates are computed exactly, which gives each query a k-th best to
+hold bounds against; all others are bounded first.  How many pairs go is up to
+the vectors: hardly any of independent random ones, most of clustered ones.
 
 Rows with a null id or vector, or null or non-finite components, take no part;
 vectors only meet vectors of their own length.  Rows alike in id and vector
@@ -29,11 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import only
+from .common import keep, only
 
 GROUP = 8192
-ROWS = 1024
+ROWS = 65_536
+TASKS = 8            # slots at least, if these have 1,024 candidates each
+SEED = 64            # a slot's candidates that are computed without a bound
 CHUNK = 1024         # candidates bounded at a time
+FEW = 0.25           # share of the pairs up to which survivors are taken one by one
 _EXACT = 2.0**53
 
 
@@ -64,6 +70,8 @@ class Best:
         self.found = np.full((len(ids), k), -1, dtype=np.int64)
         self.levels = [(s, _features(v, s)) for s in _levels(v.shape[1])] if v.size else []
         self.top = float(np.abs(v).max()) if v.size else 0.0
+        #: Pairs computed without a bound, bounded, and computed after that.
+        self.seeded = self.bounded = self.survived = 0
 
     def offer(self, ids: np.ndarray, v: np.ndarray) -> None:
         """Candidates in ascending id, all larger than any offered before."""
@@ -72,33 +80,50 @@ class Best:
             mine = np.array([[int(x) for x in row] for row in self.v.tolist()], dtype=object)
             self._merge(None, None, None, ids, full=mine.dot(big.T))
             return
-        last = self.score[:, -1]
-        if not self.levels or self.score.dtype == object or not np.isfinite(last).all():
+        if not self.levels or self.score.dtype == object:
+            self.seeded += len(self.ids) * len(ids)
             self._merge(None, None, None, ids, full=self.v @ v.T)
             return
+        if not self.seeded:
+            self.seeded = len(self.ids) * min(SEED, len(ids))
+            self._merge(None, None, None, ids[:SEED], full=self.v @ v[:SEED].T)
+            ids, v = ids[SEED:], v[SEED:]
+        if len(ids):
+            self._bounded(ids, v)
+
+    def _bounded(self, ids: np.ndarray, v: np.ndarray) -> None:
+        last = self.score[:, -1]
+        keep = np.ones((len(self.ids), len(ids)), dtype=bool)
+        self.bounded += keep.size
         q = c = None
         for size, mine in self.levels:
             theirs = _features(v, size)
             if q is None:
-                keep = mine @ theirs.T + 0.01 > last[:, None]
-                q, c = np.nonzero(keep)
+                keep &= mine @ theirs.T + 0.01 > last[:, None]
+                if np.count_nonzero(keep) <= FEW * keep.size:
+                    q, c = np.nonzero(keep)
             else:
-                bound = np.empty(len(q))
-                for a in range(0, len(q), 1 << 16):
-                    z = slice(a, a + (1 << 16))
-                    bound[z] = np.einsum("ij,ij->i", mine[q[z]], theirs[c[z]])
-                keep = bound + 0.01 > last[q]
-                q, c = q[keep], c[keep]
-            if 4 * len(q) > len(self.ids) * len(ids):       # dense: one product is cheaper than pairs
-                self._merge(None, None, None, ids, full=self.v @ v.T)
-                return
-        score = np.empty(len(q))
-        for a in range(0, len(q), 1 << 16):
-            z = slice(a, a + (1 << 16))
-            score[z] = np.einsum("ij,ij->i", self.v[q[z]], v[c[z]])
+                some = self._products(mine, theirs, q, c) + 0.01 > last[q]
+                q, c = q[some], c[some]
+        if q is None:                    # many survive: one product is cheaper than pairs
+            self.survived += int(np.count_nonzero(keep))
+            full = np.where(keep, self.v @ v.T, -np.inf)
+            q, c = np.nonzero(full > last[:, None])
+            self._merge(q, c, full[q, c], ids)
+            return
+        self.survived += len(q)
+        score = self._products(self.v, v, q, c)
         better = score > last[q]
         self._merge(q[better], c[better], score[better], ids)
 
+    @staticmethod
+    def _products(a: np.ndarray, b: np.ndarray, q: np.ndarray, c: np.ndarray) -> np.ndarray:
+        out = np.empty(len(q))
+        for at in range(0, len(q), 1 << 16):
+            z = slice(at, at + (1 << 16))
+            out[z] = np.einsum("ij,ij->i", a[q[z]], b[c[z]])
+        return out
+
     def _merge(self, q, c, score, ids, full=None) -> None:
         if full is not None:
             full = np.where(self.ids[:, None] == ids[None, :], -np.inf, full)
@@ -181,9 +206,10 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: float = 256.0)
     rows = (only(vectors, "vec_id", "embedding").filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & plain)
             .select(F.col("vec_id").cast("long"), F.when(fits, whole).otherwise(wide).alias("v"))
             .dropDuplicates(["vec_id", "v"]).withColumn("dim", F.size("v").cast("long")))
+    rows = keep(rows, "vectors")
     is_query = F.pmod("vec_id", F.lit(every)) == 0
     total, asked = rows.select(F.count("*"), F.count(F.when(is_query, 1))).first()
-    groups, slots = max(1, -(-asked // GROUP)), max(1, -(-total // ROWS))
+    groups, slots = max(1, -(-asked // GROUP)), max(1, -(-total // ROWS), min(TASKS, total // 1024))
     queries = (rows.filter(is_query).withColumn("g", F.pmod(F.xxhash64("vec_id"), F.lit(groups)))
                .withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))).withColumn("kind", F.lit(0)))
     others = (rows.withColumn("slot", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(slots)))

@@ -36,6 +36,35 @@ def test_segment_bounds_hold():
         assert (topk._features(a, size) @ topk._features(b, size).T >= a @ b.T - 1e-6).all()
 
 
+def test_bounds_decide_with_the_given_constants():
+    """Most pairs are bounded; of clustered vectors few survive, of independent
+    ones the exact results are the same."""
+    rnd = np.random.default_rng(3)
+    level = rnd.normal(0, 200, (60, 1)) + rnd.normal(0, 60, (60, 16)).repeat(4, axis=1)
+    kinds = {"clustered": (level[rnd.integers(0, 60, 6000)] + rnd.normal(0, 4, (6000, 64))).round(), "independent": rnd.normal(0, 32, (3000, 64)).round()}
+    for kind, v in kinds.items():
+        ids = np.arange(len(v)) * 3
+        asked = ids % 50 == 0
+        best = topk.Best(ids[asked], v[asked], 5)
+        for at in range(0, len(v), topk.CHUNK):
+            best.offer(ids[at:at + topk.CHUNK], v[at:at + topk.CHUNK])
+        every = int(asked.sum()) * len(v)
+        assert best.seeded + best.bounded == every and best.bounded > 20 * best.seeded
+        assert best.survived < (0.2 if kind == "clustered" else 1) * best.bounded, (kind, best.survived / best.bounded)
+        got = {}
+        for q, i, s in best.rows():
+            got.setdefault(q, []).append((-s, i))
+        for q, x in zip(ids[asked], v[asked]):
+            want = sorted((-int(s), int(i)) for i, s in zip(ids, v @ x) if i != q)[:5]
+            assert sorted(got[int(q)]) == want
+
+
+def test_query_copies_are_few_at_scale():
+    """A slot holds so many candidates that the queries' copies stay below n * n / 3,000,000."""
+    for n in (10**7, 10**9):
+        assert n / 50 * -(-n // topk.ROWS) <= n * n / 3_000_000
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <header><h1>Site</h1></header><div class="cookie-notice">We use cookies. Accept all of them now please.</div>
 <ul id="menu"><li><a href=1>Home</a><li><a href=2>About us</a></ul><div class="content"><article><h1>Head&nbsp;line</h1>
