@@ -5,7 +5,7 @@ names, classes and roles, links, length, punctuation) give a classifier cost
 for either label; these become its edges to the terminals.  Blocks that follow
 each other, and blocks whose containers are close in the DOM, share smoothness
 edges, weaker the more container borders lie between them.  The minimum cut, by
-augmenting paths, separates content from boilerplate.  A class, id or form that
+blocking flows, separates content from boilerplate.  A class, id or form that
 says boilerplate counts for nothing around the page's article or most of its text.
 
 Spark deals the pages out, and a page is one row.  Null or empty html has no
@@ -263,46 +263,74 @@ def edges(boxes: list[Box]) -> list[tuple[int, int, int]]:
 
 def min_cut(source: list[int], sink: list[int], links: list[tuple[int, int, int]]) -> list[bool]:
     """Whether each node stays with the source in a minimum cut (ties go to the
-    source), by shortest augmenting paths."""
+    source), by blocking flows along shortest paths."""
     n = len(source)
     excess = [a - b for a, b in zip(source, sink)]       # after the flow source-node-sink
-    room: list[dict[int, int]] = [{} for _ in range(n)]
+    to: list[int] = []
+    room: list[int] = []                                 # an edge's reverse has its number with the last bit turned
+    out: list[list[int]] = [[] for _ in range(n)]
     for a, b, w in links:
-        room[a][b] = room[a].get(b, 0) + w
-        room[b][a] = room[b].get(a, 0) + w
+        out[a].append(len(to))
+        out[b].append(len(to) + 1)
+        to += (b, a)
+        room += (w, w)
     while True:
-        came = {i: -1 for i in range(n) if excess[i] > 0}
-        queue = deque(came)
-        end = -1
-        while queue and end < 0:
+        # Distances from the nodes with a surplus, then as much flow as fits
+        # along edges that lead one step on; an edge that leads nowhere is
+        # passed over for the rest of the round.
+        starts = [i for i in range(n) if excess[i] > 0]
+        level = [-1] * n
+        for i in starts:
+            level[i] = 0
+        queue, reached = deque(starts), False
+        while queue:
             a = queue.popleft()
-            for b, w in room[a].items():
-                if w > 0 and b not in came:
-                    came[b] = a
-                    if excess[b] < 0:
-                        end = b
-                        break
-                    queue.append(b)
-        if end < 0:
+            reached = reached or excess[a] < 0
+            for e in out[a]:
+                if room[e] and level[to[e]] < 0:
+                    level[to[e]] = level[a] + 1
+                    queue.append(to[e])
+        if not reached:
             break
-        path = [end]
-        while came[path[-1]] >= 0:
-            path.append(came[path[-1]])
-        flow = min(excess[path[-1]], -excess[end], *(room[a][b] for b, a in zip(path, path[1:])))
-        excess[path[-1]] -= flow
-        excess[end] += flow
-        for b, a in zip(path, path[1:]):
-            room[a][b] -= flow
-            room[b][a] += flow
+        tried = [0] * n
+        for start in starts:
+            path: list[int] = []
+            a = start
+            while excess[start] > 0:
+                if excess[a] < 0:
+                    flow = min(excess[start], -excess[a], *(room[e] for e in path))
+                    excess[start] -= flow
+                    excess[a] += flow
+                    for e in path:
+                        room[e] -= flow
+                        room[e ^ 1] += flow
+                    # Back to where the path still has room.
+                    full = next((k for k, e in enumerate(path) if not room[e]), len(path))
+                    if full < len(path):
+                        a = to[path[full] ^ 1]
+                        del path[full:]
+                    continue
+                edges_of, k = out[a], tried[a]
+                while k < len(edges_of) and not (room[edges_of[k]] and level[to[edges_of[k]]] == level[a] + 1):
+                    k += 1
+                tried[a] = k
+                if k < len(edges_of):
+                    path.append(edges_of[k])
+                    a = to[edges_of[k]]
+                elif path:
+                    a = to[path.pop() ^ 1]
+                    tried[a] += 1
+                else:
+                    break
     # The sink's side: what can still reach a node with open room to the sink.
     lost = deque(i for i in range(n) if excess[i] < 0)
     away = set(lost)
     while lost:
         b = lost.popleft()
-        for a in room[b]:
-            if room[a][b] > 0 and a not in away:
-                away.add(a)
-                lost.append(a)
+        for e in out[b]:
+            if room[e ^ 1] and to[e] not in away:
+                away.add(to[e])
+                lost.append(to[e])
     return [i not in away for i in range(n)]
 
 

@@ -114,6 +114,38 @@ def test_hostile_pages_are_linear():
         mincut.main_text(html)
 
 
+def test_many_alternating_blocks_take_no_quadratic_time():
+    import time
+
+    page = "".join(f"<article><p>A paragraph number {i} with a few words in it, as articles have.</p></article><ul><li><a href=/{i}>menu {i}</a></li></ul>" for i in range(10_000))
+    t = time.process_time()
+    mincut.main_text(page)
+    assert time.process_time() - t < 2
+    rnd = random.Random(1)
+    n = 20_000
+    s, t_ = [rnd.randrange(60) for _ in range(n)], [rnd.randrange(60) for _ in range(n)]
+    t = time.process_time()
+    mincut.min_cut(s, t_, [(i - 1, i, rnd.randrange(1, 9)) for i in range(1, n)] + [(i - 7, i, 4) for i in range(7, n, 3)])
+    assert time.process_time() - t < 2
+
+
+def test_precision_and_recall_on_the_given_pages(spark):
+    """Words of the article against the words found, over all pages."""
+    import re
+    from collections import Counter
+    from html import unescape
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    html = {r.page_id: r.html for r in pages.collect()}
+    hit = said = true = 0
+    for r in mincut.extract(pages).collect():
+        article = re.search(r"(?s)<article>(.*?)(?:</article>|<footer|$)", html[r.page_id])
+        want = Counter(unescape(re.sub(r"(?s)<div class=.?ad.*?</div>|<[^>]*>", " ", article[1])).split()) if article else Counter()
+        got = Counter(r.text.split())
+        hit, said, true = hit + (want & got).total(), said + got.total(), true + want.total()
+    assert hit / said >= 0.95 and hit / true >= 0.95, (hit / said, hit / true)
+
+
 def test_min_cut_is_minimal():
     rnd = random.Random(0)
     for _ in range(300):
