@@ -71,3 +71,18 @@ def batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 4096) -> Itera
             block = []
     if block:
         yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*block), schema)], schema=schema)
+
+
+#: Keys that spread_join broadcasts, at most.
+HOT_KEYS = 10_000
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], rows: str, total: int) -> DataFrame:
+    """Inner join with ``right``, whose rows are unique by ``on`` and say in
+    ``rows`` how many rows of ``left`` (``total`` in all) have the key.  Keys with
+    a share of 1 / HOT_KEYS or more, which cannot be more than HOT_KEYS, are
+    joined by broadcast, so that no key fills a task.  ``left`` is read twice."""
+    often = F.col(rows) * HOT_KEYS >= total
+    hot = F.broadcast(right.filter(often).drop(rows))
+    rest = left.join(F.broadcast(right.filter(often).select(*on)), on, "left_anti")
+    return left.join(hot, on).unionByName(rest.join(right.filter(~often).drop(rows), on))

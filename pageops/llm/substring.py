@@ -12,7 +12,8 @@ id; touching repeats merge to maximal repeats, at least ``length`` words long.
 
 Only the smallest document of each distinct run stands for it in the second
 comparison, so a passage that a third of all documents share costs one row per
-document and anchor, and no pairs.
+document and anchor, and no pairs; its anchors are joined by broadcast, not in
+one task.
 
 Null text has no words.  Rows with a null ``doc_id`` neither lose words nor take
 any.  Rows that repeat a ``doc_id`` are judged each by its own text and never
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, mix, only, texts, word_hashes, words
+from .common import keep, mix, only, spread_join, texts, word_hashes, words
 
 LENGTH = 50
 SEED = 16
@@ -150,14 +151,16 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Da
     """(doc_id, t, s, c): c consecutive windows from word s on, each of which
     also starts in a document with a smaller id.  ``docs`` has t, the text's hash."""
     all_runs = keep(_runs(docs, length, seed), "runs")
-    shared = all_runs.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("anchor")
-    met = keep(all_runs.join(shared, "anchor"), "met")
-    classes = keep(met.groupBy("anchor", "run").agg(F.min("doc_id").alias("m")), "classes")
-    whole = met.join(classes, ["anchor", "run"])
-    later = whole.filter("doc_id > m").select("doc_id", "t", "s", "c")
-    # Anchors with runs that differ: compare their windows one by one.
-    differ = classes.groupBy("anchor").agg(F.min("run").alias("r0"), F.max("run").alias("r1")).filter("r0 < r1").select("anchor")
-    wanted = keep(whole.filter("doc_id = m").select("anchor", "doc_id", "t", "s", "c").join(differ, "anchor"), "wanted")
+    per = all_runs.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("m"))
+    shared = keep(per.filter("lo < hi").select("anchor", "m"), "shared")
+    met = keep(spread_join(all_runs, shared, ["anchor"], "m", all_runs.count()), "met")
+    classes = keep(met.groupBy("anchor", "run").agg(F.min("doc_id").alias("first"), F.count("*").alias("m")), "classes")
+    whole = keep(spread_join(met, classes, ["anchor", "run"], "m", met.count()), "whole")
+    later = whole.filter("doc_id > first").select("doc_id", "t", "s", "c")
+    # Anchors with runs that differ: compare the windows of each run's first document one by one.
+    firsts = keep(whole.filter("doc_id = first").select("anchor", "run", "doc_id", "t", "s", "c"), "firsts")
+    differ = firsts.groupBy("anchor").agg(F.min("run").alias("r0"), F.max("run").alias("r1"), F.count("*").alias("m")).filter("r0 < r1").select("anchor", "m")
+    wanted = keep(spread_join(firsts.drop("run"), keep(differ, "differ"), ["anchor"], "m", firsts.count()), "wanted")
     windows = keep(_windows(docs, wanted, length), "windows")
     lowest = windows.groupBy("anchor", "w").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
     single = windows.join(lowest, ["anchor", "w"]).filter("doc_id > lo").select("doc_id", "t", "s", F.lit(1).alias("c"))
