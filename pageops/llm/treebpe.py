@@ -23,13 +23,14 @@ import os
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import only
 
-LEAF = 512          # characters of the largest piece that is encoded in one go
+LEAF = 12           # characters of the largest piece that is encoded in one go
 MEMO = 300_000      # pieces in a task's memo before it starts again
 
 _SPACE = r"\t\n\v\f\r \x85\xa0"
@@ -73,7 +74,8 @@ class TreeEncoder:
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.alphabet = byte_alphabet()
         self.byte = str.maketrans({chr(b): c for b, c in enumerate(self.alphabet)})
-        self.memo: dict[str, tuple[bytes, str]] = {}
+        self.memo: dict[str, bytes] = {}
+        self.joins = 0               # halves that were joined
 
     # -- one piece ---------------------------------------------------------
     def text_of(self, ids: list[int]) -> str:
@@ -86,6 +88,7 @@ class TreeEncoder:
         """The encoding of the two texts together."""
         if not left or not right:
             return left or right
+        self.joins += 1
         a = b = 1
         while True:
             a, b = min(a, len(left)), min(b, len(right))
@@ -118,12 +121,12 @@ class TreeEncoder:
                      for i in range(0, len(parts), 2)]
         return parts[0]
 
-    def known(self, piece: str) -> tuple[bytes, str]:
-        """The piece's ids as bytes and its decoded text, from the memo if short."""
+    def known(self, piece: str) -> bytes:
+        """The piece's ids as bytes, from the memo if short."""
         got = self.memo.get(piece)
         if got is None:
             ids = self.piece("".join(self.alphabet[b] for b in piece.encode("utf-8")))
-            got = (b"".join(i.to_bytes(4, "little") for i in ids), " ".join(self.token[i] for i in ids))
+            got = np.array(ids, dtype="<u4").tobytes()
             if len(piece) <= 64:
                 if len(self.memo) >= MEMO:
                     self.memo.clear()
@@ -140,26 +143,21 @@ class TreeEncoder:
         back = {c: b for b, c in enumerate(self.alphabet)}
         return [bytes(back[c] for c in p).decode("utf-8") for p, _ in self.lib.pre_tokenizer.pre_tokenize_str(whole)]
 
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """The ids of a text (little-endian 32-bit) and their decoded text:
-        the file has no decoder, so tokens are joined by one space."""
+    def encode(self, text: str) -> bytes:
+        """The ids of a text (little-endian 32-bit)."""
         parts = self.cut.split(text) if self.cut and any(s in text for s in self.special) else [text]
         ids: list[bytes] = []
-        out: list[str] = []
-        known = self.memo.get
+        memo = self.memo.get
         for k, part in enumerate(parts):
             if k % 2:
                 ids.append(self.special[part].to_bytes(4, "little"))
-                out.append(part)
-                continue
-            for p in self.pieces(part):
-                a, b = known(p) or self.known(p)
-                ids.append(a)
-                out.append(b)
-        return b"".join(ids), " ".join(x for x in out if x)
+            else:
+                ids += [memo(p) or self.known(p) for p in self.pieces(part)]
+        return b"".join(ids)
 
     def decode(self, ids: bytes) -> str:
-        return " ".join(self.token[int.from_bytes(ids[k:k + 4], "little")] for k in range(0, len(ids), 4))
+        """The text of ids: the file has no decoder, so tokens are joined by one space."""
+        return " ".join(map(self.token.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
 _ENCODERS: dict[tuple[str, int], TreeEncoder] = {}
@@ -188,9 +186,8 @@ def encode_documents(docs: DataFrame, path: str, with_ids: bool = False, carry:
                 ids: list[bytes] = []
                 said: list[str] = []
                 for t in part.column(n_carry).to_pylist():
-                    a, b = enc.encode(t or "")
-                    ids.append(a)
-                    said.append(hashlib.sha256(b.encode("utf-8")).hexdigest())
+                    ids.append(enc.encode(t or ""))
+                    said.append(hashlib.sha256(enc.decode(ids[-1]).encode("utf-8")).hexdigest())
                 cols = [part.column(k) for k in range(n_carry)]
                 cols += [pa.array([len(x) // 4 for x in ids], pa.int64()),
                          pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()), pa.array(said, pa.string())]
