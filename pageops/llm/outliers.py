@@ -4,13 +4,15 @@ Every whole text gets base counts and a vector of five transformed statistics.
 Texts that fail the base rules are rejected.  The others' vectors are judged by
 language and source: a minimum-covariance-determinant estimate (mean and
 covariance of the ``SHARE`` of the group's vectors that lie closest, found by
-concentration steps from a start of medians and quartiles) gives each vector a
-Mahalanobis distance, and vectors beyond ``CUTOFF`` are rejected.
+concentration steps from two starts, of which the one with the smaller
+determinant counts) gives each vector a Mahalanobis distance, and vectors beyond
+``CUTOFF`` are rejected.
 
 Vectors are rounded to 1/100, so all sums are whole numbers and results do not
 depend on the order of addition.  Distances are compared in bins of 1/16.
-Groups under ``MIN_GROUP`` vectors are judged together; if those are too few as
-well, they are kept.
+Groups under ``MIN_GROUP`` vectors are judged by the estimate of all such
+groups of their language, or of all languages; if those are too few as well,
+they are kept.  ``estimate`` says which.
 
 Null or empty text has no words and fails the base rules.  Null lang or source
 is a value of its own.  Each row is judged by itself, repeated rows alike.
@@ -26,7 +28,7 @@ from pageops.functions.html import let
 from .common import WORD, keep, only
 
 WINDOW = 8
-STEPS = 3
+STEPS = 6
 SHARE = 0.75
 MIN_GROUP = 50
 GROUPS_TO_BROADCAST = 100_000
@@ -99,6 +101,7 @@ def vectors(base: DataFrame) -> DataFrame:
         "v3": hundredths(F.sqrt(F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1)))),
         "v4": hundredths(F.sqrt(F.col("n_repeat_words") / F.col("n_words"))),
         "gid": F.xxhash64(F.coalesce("lang", F.lit("")), F.col("lang").isNull(), F.coalesce("source", F.lit("")), F.col("source").isNull()),
+        "lid": F.xxhash64(F.lit("language"), F.coalesce("lang", F.lit("")), F.col("lang").isNull()),
     })
 
 
@@ -110,7 +113,7 @@ def _few(df: DataFrame) -> DataFrame:
 def _start(passed: DataFrame) -> DataFrame:
     """Medians and quartile widths as a first estimate (``g``, m*, c*_*)."""
     marks = passed.groupBy("g").agg(F.count("*").alias("n"), *[F.percentile(v, F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias(v) for v in _V])
-    cols = [F.col("g"), F.col("n")]
+    cols = [F.col("g"), F.lit(0).alias("s"), F.col("n")]
     for i, v in enumerate(_V):
         cols.append((F.get(v, 1) / 100).alias(f"m{i}"))
         for j in range(i + 1):
@@ -120,12 +123,12 @@ def _start(passed: DataFrame) -> DataFrame:
 
 
 def _estimate(inner: DataFrame) -> DataFrame:
-    """Mean and covariance of the inner vectors, by group."""
+    """Mean and covariance of the inner vectors, by group and start."""
     n = F.count("*").cast("double")
     sums = [F.sum(v).cast("double").alias(f"s{i}") for i, v in enumerate(_V)]
     cross = [F.sum(F.col(_V[i]) * F.col(_V[j])).cast("double").alias(f"x{i}_{j}") for i in range(5) for j in range(i + 1)]
-    got = inner.groupBy("g").agg(n.alias("k"), *sums, *cross)
-    cols = [F.col("g")]
+    got = inner.groupBy("g", "s").agg(n.alias("k"), *sums, *cross)
+    cols = [F.col("g"), F.col("s")]
     for i, v in enumerate(_V):
         cols.append((F.col(f"s{i}") / F.col("k") / 100).alias(f"m{i}"))
         for j in range(i + 1):
@@ -142,7 +145,12 @@ def _factor(est: DataFrame) -> DataFrame:
             for k in range(j):
                 c = c - F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}")
             est = est.withColumn(f"l{i}_{j}", F.sqrt(c) if i == j else c / F.col(f"l{j}_{j}"))
-    return est.select("g", *[f"m{i}" for i in range(5)], *[f"l{i}_{j}" for i in range(5) for j in range(i + 1)])
+    return est.select("g", "s", *[f"m{i}" for i in range(5)], *[f"l{i}_{j}" for i in range(5) for j in range(i + 1)])
+
+
+def determinant() -> Column:
+    """The square root of a covariance's determinant, off its factor."""
+    return F.col("l0_0") * F.col("l1_1") * F.col("l2_2") * F.col("l3_3") * F.col("l4_4")
 
 
 def _squared(rows: DataFrame, names: list[str]) -> DataFrame:
@@ -157,39 +165,67 @@ def _squared(rows: DataFrame, names: list[str]) -> DataFrame:
 
 
 def _distances(rows: DataFrame, est: DataFrame) -> DataFrame:
-    """Adds ``bin``, the squared distance in sixteenths."""
-    got = _squared(rows.join(_few(keep(_factor(est), "factors")), "g"), rows.columns)
+    """Every row under each start's estimate of its group: ``s`` and ``bin``,
+    the squared distance in sixteenths."""
+    got = _squared(rows.join(_few(keep(_factor(est), "factors")), "g"), [*rows.columns, "s"])
     return got.withColumn("bin", F.least(F.floor(F.col("d2") * 16), F.lit(65535)).cast("long")).drop("d2")
 
 
-def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """doc_id, the base counts, base_failed and kept of every row."""
-    rows = keep(vectors(base_counts(docs)), "vectors")
-    sizes = rows.filter("not base_failed").groupBy("gid").agg(F.count("*").alias("size"))
-    large = keep(sizes.filter(F.col("size") >= MIN_GROUP).select("gid", F.col("gid").alias("g")), "large")
-    passed = keep(rows.filter("not base_failed").select("doc_id", "gid", *_V).join(_few(large), "gid", "left")
-                  .select(F.coalesce("g", F.lit(0)).alias("g"), *_V), "passed")
-    first = _start(passed)
-    ready = keep(first.filter(F.col("n") >= MIN_GROUP), "start")
-    est = ready.drop("n")
+def _places(rows: DataFrame) -> DataFrame:
+    """(gid, g, estimate): the group whose estimate a language and source use.
+    Their own, if it has MIN_GROUP vectors; else that of such groups of their
+    language together; else that of all that is left, if enough."""
+    sizes = rows.filter("not base_failed").groupBy("gid", "lid").agg(F.count("*").alias("size"))
+    small = sizes.filter(F.col("size") < MIN_GROUP).groupBy("lid").agg(F.sum("size").alias("rest"))
+    own, language = F.col("size") >= MIN_GROUP, F.col("rest") >= MIN_GROUP
+    return sizes.join(small, "lid", "left").select(
+        "gid", F.when(own, F.col("gid")).when(language, F.col("lid")).otherwise(F.lit(0)).alias("g"),
+        F.when(own, "source").when(language, "language").otherwise("all").alias("estimate"))
+
+
+def estimates(passed: DataFrame) -> list[DataFrame]:
+    """Per step the factor of each group (``g``) and start (``s``): 0 starts
+    from medians and quartile widths, 1 from the mean and covariance of all.  A
+    step takes the mean and covariance of the SHARE of vectors that are nearest
+    under the one before, which never makes the determinant larger."""
+    first = keep(_start(passed).filter(F.col("n") >= MIN_GROUP), "start").drop("n")
+    whole = _estimate(passed.join(_few(first.select("g")), "g", "left_semi").withColumn("s", F.lit(1)))
+    est, found = first.unionByName(whole), []
     for _ in range(STEPS):
         binned = keep(_distances(passed, est), "binned")
-        limit = keep(binned.groupBy("g").agg(F.percentile("bin", F.lit(SHARE)).alias("limit")), "limits")
-        est = _estimate(binned.join(_few(limit), "g").filter(F.col("bin") <= F.col("limit")))
-    model = keep(_factor(est), "model")
-    out = rows.join(_few(large), "gid", "left").withColumn("g", F.coalesce("g", F.lit(0))).join(_few(model), "g", "left")
-    out = _squared(out, rows.columns)
+        limit = keep(binned.groupBy("g", "s").agg(F.percentile("bin", F.lit(SHARE)).alias("limit")), "limits")
+        est = _estimate(binned.join(_few(limit), ["g", "s"]).filter(F.col("bin") <= F.col("limit")))
+        found.append(keep(_factor(est), "factors"))
+        est = keep(est, "estimates")
+    return found
+
+
+def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+    """doc_id, the base counts, base_failed, kept and the estimate used
+    (``source``, ``language`` or ``all``; null without vectors) of every row."""
+    rows = keep(vectors(base_counts(docs)), "vectors")
+    places = keep(_places(rows), "places")
+    passed = keep(rows.filter("not base_failed").join(_few(places), "gid").select("g", *_V), "passed")
+    # Of a group's starts the smallest determinant counts.
+    model = estimates(passed)[-1].withColumn("det", determinant())
+    best = model.groupBy("g").agg(F.min_by("s", F.struct("det", "s")).alias("s"))
+    model = keep(model.join(best, ["g", "s"]).drop("s", "det"), "model")
+    out = rows.join(_few(places), "gid", "left").join(_few(model), "g", "left")
+    out = _squared(out, [*rows.columns, "estimate"])
     far = F.coalesce(F.floor(F.col("d2") * 16) > int(cutoff * 16), F.lit(False))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                      (~F.col("base_failed") & ~far).alias("kept"), F.col("d2").alias("distance"), "t")
+                      (~F.col("base_failed") & ~far).alias("kept"), "estimate", F.col("d2").alias("distance"), "t", "lang", "source")
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rejected rows, which are broadcast by id and text
-    hash if counted to be few, and joined otherwise."""
-    gone = keep(judge(docs).filter("not kept").select(F.col("doc_id").alias("__d"), F.col("t").alias("__t")).distinct(), "rejected")
+    """``docs`` without the rejected rows, which are broadcast by id, text hash,
+    language and source if counted to be few, and joined otherwise."""
+    by = {"doc_id": F.col("doc_id"), "t": F.xxhash64("text"), "lang": F.col("lang"), "source": F.col("source")}
+    gone = keep(judge(docs).filter("not kept").select(*[F.col(c).alias(f"__{c}") for c in by]).distinct(), "rejected")
     few = F.broadcast(gone) if gone.count() <= REJECTS_TO_BROADCAST else gone
-    on = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__t"))
+    on = F.lit(True)
+    for c, mine in by.items():
+        on = on & mine.eqNullSafe(F.col(f"__{c}"))
     return docs.join(few, on, "left_anti")
 
 
@@ -214,19 +250,35 @@ def sql() -> str:
           select d.r, doc_id, lang, source, len(w)::bigint as n_words, word_chars, n_symbols, (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines,
             coalesce(n, 0) as n_repeat_words, len(ls) as n_lines from d left join hit using (r))""",
         _select("judged", "base", base_failed="n_words < 20 or 100 * n_repeat_words > 30 * n_words",
-                gid="coalesce('=' || lang, '-') || '/' || coalesce('=' || source, '-')"),
+                gid="coalesce('=' || lang, '-') || '/' || coalesce('=' || source, '-')", lid="coalesce('=' || lang, '-')"),
         """passed as (
-          select r, gid, round(ln(n_words) * 100)::bigint as v0, round(ln(word_chars / n_words) * 2 * 100)::bigint as v1,
+          select r, gid, lid, round(ln(n_words) * 100)::bigint as v0, round(ln(word_chars / n_words) * 2 * 100)::bigint as v1,
             round(ln(n_symbols * 10 / n_words + 1) * 100)::bigint as v2, round(sqrt(n_dup_lines / greatest(n_lines, 1)) * 100)::bigint as v3,
             round(sqrt(n_repeat_words / n_words) * 100)::bigint as v4 from judged where not base_failed)""",
-        f"grouped as (select *, case when count(*) over (partition by gid) >= {MIN_GROUP} then gid else '' end as g from passed)",
+        "sized as (select *, count(*) over (partition by gid) as own from passed)",
+        f"left_over as (select *, count(*) filter (own < {MIN_GROUP}) over (partition by lid) as rest from sized)",
+        f"""placed as (
+          select *, case when own >= {MIN_GROUP} then 'source' when rest >= {MIN_GROUP} then 'language' else 'all' end as estimate from left_over)""",
+        "grouped as (select *, case estimate when 'source' then gid when 'language' then lid else '' end as g from placed)",
         f"marks as (select g, {', '.join(f'quantile_cont({v}, [0.25, 0.5, 0.75]) as q{i}' for i, v in enumerate(_V))} from grouped group by g having count(*) >= {MIN_GROUP})",
     ]
     start = {f"m{i}": f"q{i}[2] / 100" for i in range(5)}
     for i, j in sides:
         wide = f"((q{i}[3] - q{i}[1]) / 134.9::double)"
         start[f"c{i}_{j}"] = f"{wide} * {wide} + {FLOOR[_V[i]] ** 2!r}::double" if i == j else "0.0::double"
-    with_.append(f"est0 as (select g, {', '.join(f'{e} as {c}' for c, e in start.items())} from marks)")
+    def moments(of: str) -> str:
+        sums = [f"sum({v})::double as s{i}" for i, v in enumerate(_V)] + [f"sum({_V[i]} * {_V[j]})::double as x{i}_{j}" for i, j in sides]
+        return f"select g, s, count(*)::double as k, {', '.join(sums)} from {of} group by g, s"
+
+    def estimate(of: str) -> str:
+        cols = [f"s{i} / k / 100 as m{i}" for i in range(5)]
+        for i, j in sides:
+            c = f"(x{i}_{j} / k - s{i} / k * (s{j} / k)) / 10000 * {CONSISTENCY}::double"
+            cols.append(f"{c} + {FLOOR[_V[i]] ** 2!r}::double as c{i}_{j}" if i == j else f"{c} as c{i}_{j}")
+        return f"select g, s, {', '.join(cols)} from {of}"
+
+    with_.append(f"whole as ({moments('(select *, 1 as s from grouped semi join marks using (g))')})")
+    with_.append(f"est0 as (select g, 0 as s, {', '.join(f'{e} as {c}' for c, e in start.items())} from marks union all {estimate('whole')})")
 
     def distances(step: int) -> str:
         """CTEs of the factor and of every vector's squared distance; the last's name."""
@@ -236,27 +288,26 @@ def sql() -> str:
                 less = "".join(f" - l{i}_{k} * l{j}_{k}" for k in range(j))
                 with_.append(_select(f"f{step}_{i}_{j}", last, **{f"l{i}_{j}": f"sqrt(c{i}_{j}{less})" if i == j else f"(c{i}_{j}{less}) / l{j}_{j}"}))
                 last = f"f{step}_{i}_{j}"
+        if step == STEPS:              # of the starts the smallest determinant
+            det = " * ".join(f"l{i}_{i}" for i in range(5))
+            with_.append(f"best as (select * from {last} qualify row_number() over (partition by g order by {det}, s) = 1)")
+            last = "best"
         with_.append(f"y{step} as (select grouped.*, {last}.* exclude (g) from grouped join {last} using (g))")
         last = f"y{step}"
         for i, v in enumerate(_V):
             less = "".join(f" - l{i}_{k} * y{k}" for k in range(i))
             with_.append(_select(f"y{step}_{i}", last, **{f"y{i}": f"({v} / 100 - m{i}{less}) / l{i}_{i}"}))
             last = f"y{step}_{i}"
-        with_.append(f"far{step} as (select r, g, v0, v1, v2, v3, v4, {' + '.join(f'y{i} * y{i}' for i in range(5))} as d2 from {last})")
+        with_.append(f"far{step} as (select r, g, s, v0, v1, v2, v3, v4, {' + '.join(f'y{i} * y{i}' for i in range(5))} as d2 from {last})")
         return f"far{step}"
 
     for step in range(STEPS):
         with_.append(_select(f"bin{step}", distances(step), bin="least(floor(d2 * 16), 65535)::bigint"))
-        with_.append(f"limit{step} as (select g, quantile_cont(bin, {SHARE}) as most from bin{step} group by g)")
-        sums = [f"sum({v})::double as s{i}" for i, v in enumerate(_V)] + [f"sum({_V[i]} * {_V[j]})::double as x{i}_{j}" for i, j in sides]
-        with_.append(f"sum{step} as (select g, count(*)::double as k, {', '.join(sums)} from bin{step} join limit{step} using (g) where bin <= most group by g)")
-        cols = [f"s{i} / k / 100 as m{i}" for i in range(5)]
-        for i, j in sides:
-            c = f"(x{i}_{j} / k - s{i} / k * (s{j} / k)) / 10000 * {CONSISTENCY}::double"
-            cols.append(f"{c} + {FLOOR[_V[i]] ** 2!r}::double as c{i}_{j}" if i == j else f"{c} as c{i}_{j}")
-        with_.append(f"est{step + 1} as (select g, {', '.join(cols)} from sum{step})")
+        with_.append(f"limit{step} as (select g, s, quantile_cont(bin, {SHARE}) as most from bin{step} group by g, s)")
+        with_.append(f"sum{step} as ({moments(f'bin{step} join limit{step} using (g, s) where bin <= most')})")
+        with_.append(f"est{step + 1} as ({estimate(f'sum{step}')})")
     last = distances(STEPS)
     return f"""with {', '.join(with_)}
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and not coalesce(floor(d2 * 16) > {int(CUTOFF * 16)}, false) as kept
-from judged left join {last} using (r)"""
+  not base_failed and not coalesce(floor(d2 * 16) > {int(CUTOFF * 16)}, false) as kept, estimate
+from judged left join {last} using (r) left join (select distinct gid, estimate from placed) using (gid)"""

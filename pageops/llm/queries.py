@@ -29,7 +29,7 @@ def op2_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return outliers.judge(read(spark, sf_dir, "documents")).drop("t", "distance")
+    return outliers.judge(read(spark, sf_dir, "documents")).drop("t", "distance", "lang", "source")
 
 
 def op5_mincut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
