@@ -174,7 +174,7 @@ def test_every_plain_character_is_cut_as_the_library_does():
     word, byte = treebpe.TreeEncoder(vocabulary("word_bpe_49k.json")), idpack.Encoder(vocabulary("byte_bpe_50k.json"))
     for c in range(0x300):
         text = f"ab{chr(c)}c'd {chr(c)}{chr(c)} {chr(c)}  {chr(c)}"
-        assert word.encode(text)[0] == np.array(word.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), c
+        assert word.encode(text) == np.array(word.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), c
         assert byte.encode(text) == np.array(byte.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), c
 
 
@@ -329,3 +329,31 @@ def test_empty_tables(spark):
     for out in (partenum.jaccard_components(docs), substring.digest(docs), treebpe.encode_documents(docs, vocab), mixing.digest(docs), outliers.judge(docs),
                 idpack.digest(docs, vocabulary("byte_bpe_50k.json")), toxicity.toxicity(docs, lab), bytecnn.quality(docs, lab)):
         assert out.count() == 0
+
+
+def test_longer_pieces_go_through_the_tree(spark, sf_small):
+    """With the given leaf, the corpus' own words are joined from halves; long
+    unsplit texts take several levels; all equal the library."""
+    rnd = random.Random(4)
+    enc = treebpe.TreeEncoder(vocabulary("word_bpe_49k.json"))
+    given = [r.text for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("text").collect()]
+    for text in given:
+        ids = enc.lib.encode(text or "", add_special_tokens=False).ids
+        assert enc.encode(text or "") == np.array(ids, "<u4").tobytes()
+        assert enc.decode(enc.encode(text or "")) == enc.lib.decode(ids, skip_special_tokens=False)
+    assert enc.joins > 100
+    for alphabet in ("ab", "aehinorst", "aaaab"):
+        text = "".join(rnd.choice(alphabet) for _ in range(20_000))
+        before = enc.joins
+        assert enc.encode(text) == np.array(enc.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert enc.joins - before > 1000
+
+
+def test_a_hot_key_is_joined_by_broadcast(spark, monkeypatch):
+    from pageops.llm import common
+
+    monkeypatch.setattr(common, "HOT_KEYS", 4)
+    left = spark.createDataFrame([(k % 7 if k % 2 else 0, k) for k in range(200)], "a int, b int")
+    right = left.groupBy("a").agg(F.count("*").alias("m"), F.max("b").alias("top")).filter("a <> 5")
+    got = sorted(map(tuple, common.spread_join(left, right, ["a"], "m", 200).collect()))
+    assert got == sorted(map(tuple, left.join(right.drop("m"), "a").collect())) and got
