@@ -58,14 +58,32 @@ def _record_ok(fields: Column) -> Column:
         .when(e["key"].isin(*text), ~e["value"].isin("OBJECT", "ARRAY")).otherwise(F.lit(True))))
 
 
+def _record_reads_ok(record: Column) -> Column:
+    """The same of a record's JSON text: no text field can be read as a list or
+    an object, and ``script``, if it has a value, can be read as an object.  Of a
+    repeated field every value counts."""
+    text = [f.name for f in PORT_RECORD.fields if f.name != "script"]
+
+    def body(v: Column) -> Column:
+        ok = v["objects"]["script"].isNotNull() | v["text"]["script"].isNull()
+        for name in text:
+            ok = ok & v["lists"][name].isNull() & v["objects"][name].isNull()
+        return ok
+
+    def read(kind: str, names: list[str]) -> Column:
+        return F.from_json(record, ", ".join(f"`{n}` {kind}" for n in names))
+
+    return let(body, lists=read("array<string>", text), objects=read("map<string,string>", [*text, "script"]), text=read("string", ["script"]))
+
+
 def parse_scans(json: Column) -> Column:
     """B1: scan object text to ``map<string, struct>``: the fields of
     ``PORT_RECORD`` and ``rest``, every other attribute as text (JSON text for
     nested ones).  NULL if the text isn't exactly one object, a record isn't an
     object or a known field has another type.  Repeated attributes: last wins.
 
-    Types are read off variants; where these refuse a nested object (one that
-    repeats a key), only ``script`` is checked, by its first character."""
+    Types are read off variants; where these refuse the text (a nested object
+    repeats a key), by reading each record as what its fields may not be."""
     known = [f.name for f in PORT_RECORD.fields]
 
     def record(k: Column, fields: Column) -> Column:
@@ -82,11 +100,10 @@ def parse_scans(json: Column) -> Column:
 
     def whole(v: Column) -> Column:
         typed = F.forall(F.map_values(v["k"]), lambda r: r.isNull() | _record_ok(r))
-        seen = F.forall(F.map_values(v["m"]), lambda r: r.isNull() | F.forall(
-            F.map_entries(r), lambda e: (e["key"] != "script") | e["value"].isNull() | e["value"].startswith("{")))
+        seen = let(lambda w: F.forall(F.map_values(w["r"]), lambda r: r.isNull() | _record_reads_ok(r)), r=_one(v["j"], "map<string,string>"))
         return F.when(F.coalesce(typed, seen), F.transform_values(v["m"], record))
 
-    return let(whole, m=_one(json, "map<string,map<string,string>>"), k=_one(json, "map<string,map<string,variant>>"))
+    return let(lambda j: let(whole, j=j["j"], m=_one(j["j"], "map<string,map<string,string>>"), k=_one(j["j"], "map<string,map<string,variant>>")), j=json)
 
 
 def dedupe_entries(e: Column) -> Column:

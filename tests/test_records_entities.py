@@ -127,6 +127,20 @@ def test_strict_routing(spark):
     assert row.rest == {"rack": "7", "tags": '["x"]'} and row.script == {"b": "3", "a": "2"}
 
 
+def test_types_are_checked_beside_repeated_nested_keys(spark):
+    """A nested object that repeats a key turns no check off; texts that look
+    like lists or objects are texts."""
+    twice = '"x": {"k": 1, "k": 2}'
+    texts = {f'{{"a": {{"state": ["y"], {twice}}}}}': "rejected", f'{{"a": {{"state": {{"z": 1}}, {twice}}}}}': "rejected",
+             f'{{"a": {{"state": [], {twice}}}}}': "rejected", f'{{"a": {{{twice}}}, "b": {{"cpe": [1, {{"s": 2}}]}}}}': "rejected",
+             f'{{"a": {{"script": "s", {twice}}}}}': "rejected", f'{{"a": {{"script": [1], {twice}}}}}': "rejected",
+             f'{{"a": {{"state": "[y]", "name": "{{z}}", "conf": 10, "cpe": true, {twice}}}}}': "parsed", f'{{"a": {{"script": {{"q": "1", "q": "2"}}, {twice}}}}}': "parsed",
+             f'{{"a": {{"script": null, "state": null, {twice}}}, "b": null}}': "parsed", f'{{"a": {{"state": ["y"], "state": "y", {twice}}}}}': "rejected"}
+    df = spark.createDataFrame(list(texts.items()), "body string, want string")
+    got = {r["body"]: r["s"] for r in df.select("body", R.routing_status(F.col("body")).alias("s")).collect()}
+    assert got == texts
+
+
 # --- places of matches, records of one person -------------------------------
 
 def _spans_of(text):
