@@ -27,6 +27,7 @@ elements cannot be selected.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable
 
@@ -213,7 +214,9 @@ def implied_elements(names: Column, n_tokens: Column, tag: str) -> Column:
     stack is as long as the page nests."""
     acting, rules = _program(tag)
     mine = _code(tag)
-    program = F.array(*[F.struct(F.lit(push).alias("push"), F.lit(pops).alias("pops")) for push, pops in rules])
+    # Constants as one literal each: hundreds of small ones take long to plan.
+    program = F.from_json(F.lit(json.dumps([{"push": push, "pops": pops} for push, pops in rules])), "array<struct<push:string,pops:string>>")
+    names_of = F.from_json(F.lit(json.dumps(acting)), "array<string>")
     empty = F.array().cast(f"array<{_SPAN}>")
 
     def spans(letters, places, close):
@@ -250,14 +253,15 @@ def implied_elements(names: Column, n_tokens: Column, tag: str) -> Column:
             return let(all_spans, s=F.aggregate(cut, start, block), n=v["n"])
 
         def tags(x, i):
-            rule = F.element_at(v["program"], F.array_position(v["names"], x).cast("int"))
-            return F.when(x.isin(acting), F.struct(i.alias("pos"), rule["push"].alias("push"), rule["pops"].alias("pops")))
+            return let(lambda p: F.when(p["at"] > 0, let(lambda w: F.struct(i.alias("pos"), w["r"]["push"].alias("push"), w["r"]["pops"].alias("pops")),
+                                                         r=F.element_at(v["program"], p["at"]))),
+                       at=F.when(x == "", 0).otherwise(F.array_position(v["names"], x)).cast("int"))
 
         found = F.filter(F.transform(names, tags), lambda t: t.isNotNull())
         none = F.array().cast("array<struct<open:int,close:int,closed:boolean>>")
         return F.when(F.array_contains(names, F.lit(tag)), let(blocks, tags=found)).otherwise(none)
 
-    return let(run, n=n_tokens, program=program, names=F.array(*map(F.lit, acting)))
+    return let(run, n=n_tokens, program=program, names=names_of)
 
 
 def select(names: Column, tokens: Column, n_tokens: Column, tag: str, cls: str | None) -> Column:

@@ -59,11 +59,15 @@ def _numbers_json() -> str:
     return json.dumps({str(k): v for k, v in {**dict.fromkeys(none, ""), **table}.items()})
 
 
-def _ref_text(ref: Column, attribute: bool) -> Column:
+def reference_names() -> Column:
+    """The table of named references, a constant; bind it once and hand it to
+    ``unescape_bound`` where that is called in several places."""
+    return F.from_json(F.lit(_names_json()), "array<map<string,string>>")
+
+
+def _ref_text(ref: Column, attribute: bool, names: Column) -> Column:
     """The text of one reference without its ``&``; what is none stays as found.
     ``ref`` must be cheap to reference."""
-    names = F.from_json(F.lit(_names_json()), "array<map<string,string>>")
-
     def look_up(name: Column) -> Column:
         return F.element_at(F.get(names, (F.crc32(name.cast("binary")) % _BUCKETS).cast("int")), name)
 
@@ -92,19 +96,21 @@ def _ref_text(ref: Column, attribute: bool) -> Column:
             .otherwise(F.coalesce(F.when(F.endswith(ref, F.lit(";")), look_up(ref)), let(by_prefix, ref=ref))))
 
 
-def unescape_bound(s: Column, attribute: bool = False) -> Column:
+def unescape_bound(s: Column, attribute: bool = False, names: Column | None = None) -> Column:
     """``unescape_entities`` for a cheap-to-reference ``s`` (a column or a
     lambda variable): it is read more than once."""
+    if names is None:
+        return let(lambda v: unescape_bound(s, attribute, v["names"]), names=reference_names())
     pattern = _REF_RE + ("=?" if attribute else "")
 
     def decoded(m):
         if not attribute:
-            return _ref_text(m, False)
+            return _ref_text(m, False, names)
         # A name without ';' before '=' is no reference in an attribute.
         plain = F.endswith(m, F.lit("=")) & ~F.startswith(m, F.lit("#")) & ~F.endswith(m, F.lit(";="))
         tail = F.when(F.endswith(m, F.lit("=")), F.lit("=")).otherwise(F.lit(""))
         return F.when(plain, F.concat(F.lit("&"), m)).otherwise(
-            let(lambda v: F.concat(_ref_text(v["ref"], True), v["tail"]), ref=F.rtrim(m, F.lit("=")), tail=tail))
+            let(lambda v: F.concat(_ref_text(v["ref"], True, names), v["tail"]), ref=F.rtrim(m, F.lit("=")), tail=tail))
 
     def join(v):
         return F.array_join(F.transform(v["pieces"], lambda p, i: F.concat(p, F.coalesce(F.get(v["texts"], i), F.lit("")))), "")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions.patterns import FORUM_EXCLUDED
-from ..functions.text import contains_any, py_strip, unescape_bound
+from ..functions.text import contains_any, py_strip, reference_names, unescape_bound
 from ..session import scratch_path
 
 Selector = tuple[str, str | None]
@@ -23,12 +23,14 @@ Selector = tuple[str, str | None]
 REASONS = ("kept", "no_title", "no_link", "excluded")
 
 
-def _with_page(html, body, texts: bool = False):
-    """Bind the page's tokens, their tag names, their count and, if asked for,
-    each token's decoded text once and pass them to ``body`` as fields of two
-    structs."""
+def _with_page(html, body, references=None):
+    """Bind the page's tokens, their tag names, their count and, given the table
+    of references, each token's decoded text once and pass them to ``body`` as
+    fields of two structs."""
     def bind(v):
-        more = {"texts": F.transform(v["tokens"], lambda t: F.when(H.is_text(t), unescape_bound(t)).otherwise(F.lit("")))} if texts else {}
+        more = {}
+        if references is not None:
+            more["texts"] = F.transform(v["tokens"], lambda t: F.when(H.is_text(t), unescape_bound(t, names=references)).otherwise(F.lit("")))
         return H.let(lambda w: body(v, w), names=H.token_names(v["tokens"]), n=F.size(v["tokens"]), **more)
 
     return H.let(bind, tokens=H.page_tokens(html))
@@ -100,10 +102,12 @@ def items_column(html, item: Selector = ("li", None), title: Selector | None = N
 
     # Raw links are fields of an array of structs here, so the decoder may
     # read them more than once without recomputing them.
-    def decode(r):
-        return F.struct(r["item_pos"],
-                        py_strip(r["title"]).alias("title"),
-                        py_strip(unescape_bound(r["raw_link"], attribute=True)).alias("link"))
+    def decoded(n):
+        def decode(r):
+            return F.struct(r["item_pos"],
+                            py_strip(r["title"]).alias("title"),
+                            py_strip(unescape_bound(r["raw_link"], attribute=True, names=n["names"])).alias("link"))
+        return F.transform(_with_page(html, body, n["names"]), decode)
 
     def classify(x):
         reason = (F.when(x["title"].isNull(), F.lit("no_title"))
@@ -112,7 +116,7 @@ def items_column(html, item: Selector = ("li", None), title: Selector | None = N
                   .otherwise(F.lit("kept")))
         return F.struct(x["item_pos"], x["title"], x["link"], reason.alias("reason"))
 
-    return F.transform(F.transform(_with_page(html, body, texts=True), decode), classify)
+    return F.transform(H.let(decoded, names=reference_names()), classify)
 
 
 _BUILT: dict = {}
