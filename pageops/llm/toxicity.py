@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import mix, only, texts
@@ -37,6 +38,7 @@ from .common import mix, only, texts
 BUCKETS = 1 << 18
 DIM = 8
 MAX_ROWS = 6000
+MAX_BYTES = 64 << 20  # of training text on the driver
 EPOCHS = 8
 MIN_STEPS = 150      # batches at least: a small sample is gone through more often
 BATCH = 64
@@ -267,14 +269,19 @@ def fold(column: str, folds: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, learn, max_rows: int) -> tuple[list[bytes], np.ndarray]:
+def sample(docs: DataFrame, labels: DataFrame, label: str, learn, max_rows: int, max_bytes: int = MAX_BYTES) -> tuple[list[bytes], np.ndarray]:
     """The bounded training sample: texts and labels of the ``max_rows`` labelled
-    rows with the smallest id hash.  Only their ids, then their texts, move."""
+    rows with the smallest id hash, as many as ``max_bytes`` hold; texts of more
+    than a hundredth of that are not learnt from.  Only their ids, then their
+    texts, move."""
     keys = (labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).filter(learn)
             .select(F.col("doc_id").alias("_d"), F.col(label).cast("int").alias("_y"), F.xxhash64("doc_id").alias("_h"))
             .orderBy("_h", "_d", "_y").limit(max_rows))
-    picked = only(docs, "doc_id", "text").join(F.broadcast(keys), F.col("doc_id") == F.col("_d")).select("_h", "_d", "text", "_y")
-    rows = picked.orderBy("_h", "_d", "text", "_y").limit(max_rows).select("text", "_y").toArrow()
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    picked = (only(docs, "doc_id", "text").join(F.broadcast(keys), F.col("doc_id") == F.col("_d")).filter(size <= max_bytes // 100)
+              .select("_h", "_d", "text", "_y").orderBy("_h", "_d", "text", "_y").limit(max_rows))
+    so_far = F.sum(size).over(W.orderBy("_h", "_d", "text", "_y").rowsBetween(W.unboundedPreceding, W.currentRow))
+    rows = picked.withColumn("_size", so_far).filter(F.col("_size") <= max_bytes).orderBy("_h", "_d", "text", "_y").select("text", "_y").toArrow()
     return [(t or "").encode("utf-8") for t in rows.column(0).to_pylist()], np.array(rows.column(1).to_pylist(), dtype=np.int64)
 
 

@@ -2,6 +2,7 @@
 empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -357,3 +358,72 @@ def test_a_hot_key_is_joined_by_broadcast(spark, monkeypatch):
     right = left.groupBy("a").agg(F.count("*").alias("m"), F.max("b").alias("top")).filter("a <> 5")
     got = sorted(map(tuple, common.spread_join(left, right, ["a"], "m", 200).collect()))
     assert got == sorted(map(tuple, left.join(right.drop("m"), "a").collect())) and got
+
+
+def test_toxicity_scorer_is_the_plain_average():
+    """Folded tables and memo against words, n-grams and averages one by one."""
+    rnd = np.random.default_rng(2)
+    score = rnd.normal(0, 1, toxicity.BUCKETS).astype(np.float32)
+    ts = [b"", b"one", b"one two one", "\u00c9t\u00e9 bad,word BAD,WORD x".encode(), b" ".join(b"w%d" % (i % 9) for i in range(300)), b"y" * 90 + b" y"]
+
+    def plain(t):
+        total = weights = 0.0
+        for w, n in Counter(t.split()).items():
+            rows = [int(r) for _, part in toxicity.bags([w]) for r in part]
+            weight = math.log(1 + n)
+            total += weight * sum(float(score[r]) for r in rows) / len(rows)
+            weights += weight
+        return 0.25 + total / (weights + toxicity.PRIOR)
+
+    scorer = toxicity.Scorer(score, 0.25)
+    for _ in range(2):                                   # the second time from the memo
+        assert np.allclose(scorer.logits(ts), [plain(t) for t in ts], atol=1e-6)
+
+
+def _plain_net(p, text):
+    """The byte network's logit, position by position."""
+    b = bytecnn.padded(text)
+    n = (len(b) - bytecnn.WIDTH + bytecnn.STRIDE) // bytecnn.STRIDE
+    conv = np.array([p["emb"][b[i * bytecnn.STRIDE:i * bytecnn.STRIDE + bytecnn.WIDTH]].ravel() @ p["flt"] for i in range(n)])
+    chunks = [conv[a:a + bytecnn.CHUNK].max(0) for a in range(0, n - bytecnn.HALF, bytecnn.HALF)]
+    h = np.maximum(np.maximum(np.array(chunks) + p["fb"], 0) @ p["hid"] + p["hb"], 0)
+    return float(np.concatenate([h.max(0), h.mean(0)]) @ p["out"] + p["ob"][0])
+
+
+def test_byte_network_against_a_plain_pass_and_finite_differences():
+    rnd = np.random.default_rng(5)
+    net = bytecnn.Net()
+    for k in net.p:
+        net.p[k] = net.p[k].astype(np.float64) + (rnd.normal(0, 0.3, net.p[k].shape) if k in ("fb", "hb", "ob") else 0)
+    texts_ = [b"", b"ab", bytes(rnd.integers(32, 127, 300).tolist()), bytes(rnd.integers(0, 256, 1500).tolist())]
+    scorer = bytecnn.Scorer(net)
+    for t in texts_:
+        assert abs(scorer.text(t) - 1 / (1 + math.exp(-_plain_net(net.p, t)))) < 1e-4
+
+    def loss(t, y):
+        return math.log(1 + math.exp(-(1 if y else -1) * _plain_net(net.p, t))) * 0.7
+
+    for t, y in zip(texts_[1:], (1.0, 0.0, 1.0)):
+        grads = {k: np.zeros_like(v) for k, v in net.p.items()}
+        net.train_one(bytecnn.padded(t), y, grads, 0.7)
+        for k, v in net.p.items():
+            strong = np.argsort(-np.abs(grads[k]).ravel())[:4]
+            for at in [*strong.tolist(), *rnd.integers(0, v.size, 2).tolist()]:
+                flat, eps = v.reshape(-1), 1e-6
+                was = flat[at]
+                flat[at] = was + eps
+                up = loss(t, y)
+                flat[at] = was - eps
+                down = loss(t, y)
+                flat[at] = was
+                assert abs((up - down) / (2 * eps) - grads[k].reshape(-1)[at]) < 1e-4 * max(1, abs(grads[k]).max()), (k, at)
+
+
+def test_training_sample_is_bounded_in_bytes(spark):
+    docs = spark.createDataFrame([(i, "x" * (10 if i % 3 else 40)) for i in range(60)], "doc_id long, text string")
+    labels = docs.select("doc_id", F.lit(1).alias("toxic"))
+    got, y = toxicity.sample(docs, labels, "toxic", F.lit(True), 50, max_bytes=2000)
+    assert len(got) == len(y) and {len(t) for t in got} == {10} and sum(map(len, got)) <= 2000 and len(got) >= 30
+    got, _ = toxicity.sample(docs, labels, "toxic", F.lit(True), 50, max_bytes=1000)
+    assert {len(t) for t in got} == {10}
+    assert len(toxicity.sample(docs, labels, "toxic", F.lit(True), 50)[0]) == 50
