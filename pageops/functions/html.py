@@ -34,8 +34,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .patterns import (ATTRIBUTE_RE, ATTRIBUTE_VALUE_RE, END_SCOPES, RAWTEXT_RE, RCDATA_RE, SCOPE, START_ENDS,
-                       STRUCTURE, TOKEN_RE, VOID_ELEMENTS)
+from .patterns import (ATTRIBUTE_RE, ATTRIBUTE_VALUE_RE, END_SCOPES, RAWTEXT, RAWTEXT_RE, RCDATA, RCDATA_RE, SCOPE,
+                       START_ENDS, STRUCTURE, TOKEN_RE, VOID_ELEMENTS)
 
 _NAME_RE = r"^<(/?[A-Za-z][^\s/>]*)"
 # Same, but '' for script/style (those tokens are whole elements, never selected).
@@ -72,23 +72,28 @@ def prefix_sums(numbers: Column) -> Column:
 
 
 def page_tokens(html: Column) -> Column:
-    """The page as tokens (tags, text runs, whole comment/script/style).
+    """The page as tokens (tags, text runs, whole comment/script/style).  The open
+    tag of an element that holds text only (``title``, ``textarea``, ``iframe``
+    ...) and its content are one token; see ``open_tag`` and ``token_text``."""
+    return F.regexp_extract_all(html, F.lit(TOKEN_RE), F.lit(0))
 
-    The content of an element that holds text only (``title``, ``textarea``,
-    ``iframe`` ...) is one text token; what would be markup or a reference in it
-    and isn't, is written as a reference."""
-    def split(t):
-        def parts(pattern, text):
-            return F.array(F.regexp_extract(t, pattern, 1), text(F.regexp_extract(t, pattern, 2)))
 
-        def escaped(x):
-            return F.replace(x, F.lit("<"), F.lit("&lt;"))
+def open_tag(token: Column, tag: str) -> Column:
+    """A token of the given name without the content that comes with it."""
+    if tag in RCDATA:
+        return F.regexp_extract(token, RCDATA_RE, 1)
+    return F.regexp_extract(token, RAWTEXT_RE, 1) if tag in RAWTEXT else token
 
-        return (F.when(t.rlike(RCDATA_RE), parts(RCDATA_RE, escaped))
-                .when(t.rlike(RAWTEXT_RE), parts(RAWTEXT_RE, lambda x: escaped(F.replace(x, F.lit("&"), F.lit("&amp;")))))
-                .otherwise(F.array(t)))
 
-    return F.flatten(F.transform(F.regexp_extract_all(html, F.lit(TOKEN_RE), F.lit(0)), split))
+def token_text(token: Column, unescape: Callable[[Column], Column]) -> Column:
+    """The text of a token, decoded: a run of text, or the content of an element
+    that holds text only; '' for anything else."""
+    start = F.lower(F.substring(token, 1, 3))
+    rcdata, raw = ([f"<{n[:2]}" for n in names] for names in (RCDATA, RAWTEXT))
+    return (F.when(is_text(token), unescape(token))
+            .when(start.isin(rcdata), let(lambda v: unescape(v["t"]), t=F.regexp_extract(token, RCDATA_RE, 2)))
+            .when(start.isin(raw), F.regexp_extract(token, RAWTEXT_RE, 2))
+            .otherwise(F.lit("")))
 
 
 def token_names(tokens: Column) -> Column:
@@ -184,20 +189,25 @@ def _class(names) -> str:
     return "[^" + "".join(_code(n) for n in names) + "]*?" if names else ".*?"
 
 
-def _program(tag: str) -> tuple[list[str], list[tuple[str, str]]]:
-    """Tags that act on the stack, and for each the letter to push and the
-    pattern of what it pops (the top is first), '' for none."""
+def _program(tag: str) -> tuple[list[str], list[dict[str, str]]]:
+    """Tags that act on the stack, and for each: the letter to ``push``; the
+    pattern of what it ``pops`` (the top is first); a letter that this ``needs``
+    in the stack; and the letter that, on ``top``, is popped alone ('': none)."""
     names, rules = [], []
     for n in dict.fromkeys((*STRUCTURE, *START_ENDS[tag])):
         ends = START_ENDS[tag].get(n)
-        pops = "" if ends is None else f"^{_class(set(ends[1]) - set(ends[0]))}[{''.join(map(_code, ends[0]))}]"
-        if ends is not None and len(ends[0]) > 1:      # the farthest of them within reach
-            pops = pops.replace("*?", "*")
+        pops = needs = ""
+        if ends is not None:
+            pops = f"^{_class(set(ends[1]) - set(ends[0]))}[{''.join(map(_code, ends[0]))}]"
+            if len(ends[0]) > 1:      # the farthest of them within reach
+                pops = pops.replace("*?", "*")
+            else:
+                needs = _code(ends[0][0])
         names.append(n)
-        rules.append((_code(n) if n in STRUCTURE else "", pops))
+        rules.append({"push": _code(n) if n in STRUCTURE else "", "pops": pops, "needs": needs, "top": ""})
         if n in STRUCTURE:
             names.append("/" + n)
-            rules.append(("", f"^{_class(set(END_SCOPES.get(n, SCOPE)) - {n})}{_code(n)}"))
+            rules.append({"push": "", "pops": f"^{_class(set(END_SCOPES.get(n, SCOPE)) - {n})}{_code(n)}", "needs": _code(n), "top": _code(n)})
     return names, rules
 
 
@@ -215,7 +225,7 @@ def implied_elements(names: Column, n_tokens: Column, tag: str) -> Column:
     acting, rules = _program(tag)
     mine = _code(tag)
     # Constants as one literal each: hundreds of small ones take long to plan.
-    program = F.from_json(F.lit(json.dumps([{"push": push, "pops": pops} for push, pops in rules])), "array<struct<push:string,pops:string>>")
+    program = F.from_json(F.lit(json.dumps(rules)), "array<struct<push:string,pops:string,needs:string,top:string>>")
     names_of = F.from_json(F.lit(json.dumps(acting)), "array<string>")
     empty = F.array().cast(f"array<{_SPAN}>")
 
@@ -231,7 +241,10 @@ def implied_elements(names: Column, n_tokens: Column, tag: str) -> Column:
             places = F.when(t["push"] != "", F.concat(F.array(t["pos"]), stays)).otherwise(stays)
             return F.struct(F.concat(t["push"], F.substr(acc["stack"], k + 1)).alias("stack"), places.alias("places"), ended.alias("ended"))
 
-        popped = F.when(t["pops"] != "", F.call_function("regexp_extract", acc["stack"], t["pops"], F.lit(0))).otherwise(F.lit(""))
+        # Well-formed markup never gets to the pattern.
+        popped = (F.when((t["top"] != "") & F.startswith(acc["stack"], t["top"]), t["top"])
+                  .when((t["pops"] == "") | ~F.contains(acc["stack"], t["needs"]), F.lit(""))
+                  .otherwise(F.call_function("regexp_extract", acc["stack"], t["pops"], F.lit(0))))
         return let(body, popped=popped)
 
     def block(acc, b):
@@ -253,9 +266,9 @@ def implied_elements(names: Column, n_tokens: Column, tag: str) -> Column:
             return let(all_spans, s=F.aggregate(cut, start, block), n=v["n"])
 
         def tags(x, i):
-            return let(lambda p: F.when(p["at"] > 0, let(lambda w: F.struct(i.alias("pos"), w["r"]["push"].alias("push"), w["r"]["pops"].alias("pops")),
+            return let(lambda p: F.when(p["at"] > 0, let(lambda w: F.struct(i.alias("pos"), *[w["r"][c].alias(c) for c in ("push", "pops", "needs", "top")]),
                                                          r=F.element_at(v["program"], p["at"]))),
-                       at=F.when(x == "", 0).otherwise(F.array_position(v["names"], x)).cast("int"))
+                       at=F.when(x.isin(acting), F.array_position(v["names"], x)).otherwise(0).cast("int"))
 
         found = F.filter(F.transform(names, tags), lambda t: t.isNotNull())
         none = F.array().cast("array<struct<open:int,close:int,closed:boolean>>")
@@ -270,7 +283,7 @@ def select(names: Column, tokens: Column, n_tokens: Column, tag: str, cls: str |
     els = (implied_elements if tag.lower() in IMPLIED else elements)(names, n_tokens, tag.lower())
     if cls is None:
         return els
-    return F.filter(els, lambda e: has_class(F.get(tokens, e["open"]), cls))
+    return F.filter(els, lambda e: has_class(open_tag(F.get(tokens, e["open"]), tag.lower()), cls))
 
 
 def first_within(items: Column, cand_pos: Column, strict: bool) -> Column:
@@ -314,6 +327,6 @@ def first_within(items: Column, cand_pos: Column, strict: bool) -> Column:
 
 
 def inner_text(texts: Column, open_: Column, close: Column) -> Column:
-    """The texts strictly between token ``open`` and ``close``, as one; ``texts``
-    has each token's text, decoded ('' for what isn't text)."""
-    return F.array_join(F.slice(texts, open_ + 2, F.greatest(close - open_ - 1, F.lit(0))), "")
+    """The texts from token ``open`` (content that comes with a tag is its own
+    token's) up to ``close``, as one; ``texts`` has each token's ``token_text``."""
+    return F.array_join(F.slice(texts, open_ + 1, F.greatest(close - open_, F.lit(0))), "")

@@ -29,8 +29,10 @@ TOKEN_RE = (
 # Elements whose content is text (HTML standard): references count in the first
 # kind, nothing does in the second.  Their open tag and content are one match;
 # groups: the open tag, the content.
-RCDATA_RE = r"(?is)^(<(?:title|textarea)(?=[\s/>])" + _IN_TAG + r">)(.*)$"
-RAWTEXT_RE = r"(?is)^(<(?:xmp|iframe|noembed|noframes)(?=[\s/>])" + _IN_TAG + r">)(.*)$"
+RCDATA = ("title", "textarea")
+RAWTEXT = ("xmp", "iframe", "noembed", "noframes")
+RCDATA_RE = rf"(?is)^(<(?:{'|'.join(RCDATA)})(?=[\s/>])" + _IN_TAG + r">)(.*)$"
+RAWTEXT_RE = rf"(?is)^(<(?:{'|'.join(RAWTEXT)})(?=[\s/>])" + _IN_TAG + r">)(.*)$"
 # One attribute of a tag, after the tag's name; and a pattern that keeps its value.
 ATTRIBUTE_RE = r"""(?s)[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+))?+"""
 ATTRIBUTE_VALUE_RE = r"""(?s)^[^=]*+(?:=\s*+(?:"(.*)"|'(.*)'|(.*)))?$"""

@@ -30,7 +30,7 @@ def _with_page(html, body, references=None):
     def bind(v):
         more = {}
         if references is not None:
-            more["texts"] = F.transform(v["tokens"], lambda t: F.when(H.is_text(t), unescape_bound(t, names=references)).otherwise(F.lit("")))
+            more["texts"] = F.transform(v["tokens"], lambda t: H.token_text(t, lambda x: unescape_bound(x, names=references)))
         return H.let(lambda w: body(v, w), names=H.token_names(v["tokens"]), n=F.size(v["tokens"]), **more)
 
     return H.let(bind, tokens=H.page_tokens(html))
@@ -40,7 +40,7 @@ def element_open_tags(html, item: Selector = ("li", None)):
     """Column: the open tag of every element matching ``item``, in document order."""
     def body(v, w):
         els = H.select(w["names"], v["tokens"], w["n"], item[0], item[1])
-        return F.transform(els, lambda e: F.get(v["tokens"], e["open"]))
+        return F.transform(els, lambda e: H.open_tag(F.get(v["tokens"], e["open"]), item[0].lower()))
     return _with_page(html, body)
 
 
