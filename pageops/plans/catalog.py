@@ -17,7 +17,8 @@ from ..operators import entities as E
 from ..operators import links as L
 from ..operators import numbers as N
 from ..operators import records as R
-from ..sources.tables import read_table
+from ..session import scratch_path
+from ..sources.tables import read_table, write_table
 
 # Selectors and words used on the corpus pages: items are list entries, each
 # is its own title element; titles holding either word are dropped.
@@ -622,3 +623,21 @@ ORACLES["contact_records"] = f"""
 {_person_sql("a", "c_custkey % 6", "CASE WHEN c_custkey % 6 = 3 THEN 1 ELSE 0 END")}
 UNION ALL {_person_sql("b", "(c_custkey + 2) % 6", "CASE WHEN c_custkey % 6 = 3 THEN 2 ELSE 1 END")}
 UNION ALL SELECT c_custkey, 0, NULL, NULL, 'office' || {_KEY} || '@lab.example.org' FROM customer WHERE c_custkey % 6 = 3"""
+
+
+def q_links_written(spark, root):
+    """A10: the pairs written to a table and read back."""
+    path, links = scratch_path(spark, "links-written"), L.index_links(_pages(spark, root), ITEM, None, WORDS)
+    write_table(links, path)
+    return spark.read.schema(links.schema).parquet(path)
+
+
+def q_records_written(spark, root):
+    """The flattened records written by key, and read back."""
+    path, records = scratch_path(spark, "records-written"), q_keyed_flatten(spark, root)
+    write_table(records, path, ["key"])
+    return spark.read.schema(records.schema).parquet(path)
+
+
+QUERIES |= {"links_written": q_links_written, "records_written": q_records_written}
+ORACLES |= {"links_written": ORACLES["index_links"], "records_written": ORACLES["keyed_flatten"]}
