@@ -187,7 +187,8 @@ def estimates(passed: DataFrame) -> list[DataFrame]:
     """Per step the factor of each group (``g``) and start (``s``): 0 starts
     from medians and quartile widths, 1 from the mean and covariance of all.  A
     step takes the mean and covariance of the SHARE of vectors that are nearest
-    under the one before, which never makes the determinant larger."""
+    under the one before, which makes the determinant smaller but for ties within
+    a bin.  The number of steps is fixed; most groups stand still before."""
     first = keep(_start(passed).filter(F.col("n") >= MIN_GROUP), "start").drop("n")
     whole = _estimate(passed.join(_few(first.select("g")), "g", "left_semi").withColumn("s", F.lit(1)))
     est, found = first.unionByName(whole), []

@@ -427,3 +427,24 @@ def test_training_sample_is_bounded_in_bytes(spark):
     got, _ = toxicity.sample(docs, labels, "toxic", F.lit(True), 50, max_bytes=1000)
     assert {len(t) for t in got} == {10}
     assert len(toxicity.sample(docs, labels, "toxic", F.lit(True), 50)[0]) == 50
+
+
+def test_null_ids_in_the_mix_and_the_token_files(spark):
+    rows = [(None, "a b c", "en", "x"), (None, "a b c", "en", "x"), (None, None, "en", None), (3, "d e", "en", "x"), (1, "f", "en", "y")]
+    out = mixing.digest(documents(spark, rows)).collect()
+    assert sorted(r.size for r in out) == [0, 1, 2, 3, 3] and sum(r.doc_id is None for r in out) == 3
+    assert all(0 <= r.taken <= 2 * r.size for r in out)
+    got = idpack.digest(documents(spark, rows), vocabulary("byte_bpe_50k.json")).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, None, None, 1, 3]                  # null ids come first
+    assert [r.start for r in got] == [sum(x.n_tokens for x in got[:k]) for k in range(5)]
+
+
+def test_labels_with_clashing_columns(spark):
+    docs = documents(spark, [(i, ("bad awful nasty " if i % 2 else "fine good nice ") * (3 + i % 5)) for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2, 1 - i % 2, "bad", "en", 1, 2, 3) for i in range(60)] + [(None, 1, 1, "t", "l", 1, 2, 3), (61, None, None, "t", "l", 1, 2, 3)],
+                                   "doc_id long, toxic int, quality int, text string, lang string, _d int, _h int, score int")
+    for out, name in ((toxicity.toxicity(docs, labels), "toxic"), (bytecnn.quality(docs, labels), "quality")):
+        got = out.collect()
+        assert out.columns[:4] == ["doc_id", "held_out", "score", "predicted"] and len(got) == 60, name
+        right = sum(r.predicted == (r.doc_id % 2 if name == "toxic" else 1 - r.doc_id % 2) for r in got)
+        assert right >= 55, (name, right)
