@@ -32,7 +32,7 @@ from ..operators import links as L
 from ..operators import numbers as N
 from ..operators.scan import combine
 from ..sources.tables import SCHEMAS, table_path
-from .store import KeyStore, Levels
+from .store import KeyStore, Levels, earlier_garbage, leave_garbage, remove_garbage
 
 
 def read_stream(spark: SparkSession, root: str, table: str, max_files: int | None = None) -> DataFrame:
@@ -154,7 +154,8 @@ class History:
     few totals of its key, taken on read.  So an epoch rewrites the groups that
     its attempts fall into, late or not, and what comes after a late attempt
     changes by its group's total alone.  ``bucket`` is an int that never falls
-    along the order."""
+    along the order.  Folders whose groups have all been rewritten are removed an
+    epoch later."""
 
     attempts: T.StructType       # key, order columns, raw and target, others are dropped
     key: str
@@ -187,12 +188,19 @@ class History:
 
         return Levels(spark, f"{self.out}/totals", T.StructType(fields), merge)
 
-    def _rows(self, spark: SparkSession, groups: DataFrame) -> DataFrame:
-        """The stored rows of groups (key, _bucket, written)."""
-        where = [(r["written"], r["_bucket"]) for r in groups.select("written", "_bucket").distinct().collect()]
+    def _folder(self, epoch: int, bucket: int | None = None) -> str:
+        return f"{self.out}/rows/epoch={epoch}" + ("" if bucket is None else f"/_bucket={bucket}")
+
+    @staticmethod
+    def _places(groups: DataFrame) -> set[tuple[int, int]]:
+        """The (epoch, bucket) folders that hold groups (key, _bucket, written)."""
+        return {(r["written"], r["_bucket"]) for r in groups.select("written", "_bucket").distinct().collect()}
+
+    def _rows(self, spark: SparkSession, groups: DataFrame, where: set[tuple[int, int]]) -> DataFrame:
+        """The stored rows of groups (key, _bucket, written), in these folders."""
         if not where:
             return spark.createDataFrame([], self._schema)
-        read = [spark.read.schema(self._schema).option("basePath", f"{self.out}/rows/epoch={e}").parquet(*[f"{self.out}/rows/epoch={e}/_bucket={b}" for w, b in where if w == e])
+        read = [spark.read.schema(self._schema).option("basePath", self._folder(e)).parquet(*[self._folder(e, b) for w, b in sorted(where) if w == e])
                 .withColumn("written", F.lit(e)) for e in sorted({w for w, _ in where})]
         every = reduce(DataFrame.unionByName, read)
         wanted = groups.select(F.col(self.key).alias("_k"), F.col("_bucket").alias("_b"), F.col("written").alias("_w"))
@@ -207,17 +215,25 @@ class History:
         touched = new.select(F.col(key).alias("_k"), F.col("_bucket").alias("_b")).distinct()
         totals = self._totals(spark)
         before = totals.read(epoch).join(touched, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_bucket") == F.col("_b")), "left_semi")
-        rows = new.unionByName(self._rows(spark, before).select(new.columns))
+        replaced = self._places(before)
+        rows = new.unionByName(self._rows(spark, before, replaced).select(new.columns))
         val, t = F.col("value"), F.col(self.target_col).cast("decimal(38,0)")
         moves = N.moves(val, t, self.lo, self.hi)
         group = Window.partitionBy(key, "_bucket").orderBy(*self.order).rowsBetween(Window.unboundedPreceding, -1)
         fold = {"max": F.max, "min": F.min, "sum": F.sum}
-        here = f"{self.out}/rows/epoch={epoch}"
+        here = self._folder(epoch)
         local = rows.select("*", *[fold[kind](expr).over(group).cast(dict(_RUNNING)[n]).alias(n) for n, (kind, expr) in moves.items()])
         local.select(*self._schema.names).write.mode("overwrite").partitionBy("_bucket").parquet(here)
         written = spark.read.schema(self._schema).parquet(here)
+        # Folders whose groups have all been rewritten go when the next epoch is complete.
+        gone = earlier_garbage(spark, f"{self.out}/garbage", epoch)
         totals.commit(epoch, written.groupBy(key, "_bucket").agg(
             F.lit(epoch).cast("long").alias("written"), *[fold[kind](expr).cast(dict(_RUNNING)[n]).alias(f"_t_{n}") for n, (kind, expr) in moves.items()]))
+        remove_garbage(spark, f"{self.out}/garbage", gone)
+        if replaced:
+            touched_buckets = sorted({b for _, b in replaced})
+            still = self._places(totals.read().filter(F.col("_bucket").isin(touched_buckets)))
+            leave_garbage(spark, f"{self.out}/garbage", epoch, [self._folder(w, b) for w, b in sorted(replaced - still)])
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The rows of ``numbers.bracket_history`` over every attempt so far."""
@@ -226,7 +242,7 @@ class History:
         kinds = {n: kind for n, (kind, _) in N.moves(F.lit(0), F.lit(0), self.lo, self.hi).items()}
         fold = {"max": F.max, "min": F.min, "sum": F.sum}
         carry = totals.select(F.col(self.key).alias("_k"), F.col("_bucket").alias("_b"), *[fold[kinds[n]](f"_t_{n}").over(earlier).alias(f"_c_{n}") for n, _ in _RUNNING])
-        joined = self._rows(spark, totals).join(carry, F.col(self.key).eqNullSafe(F.col("_k")) & (F.col("_bucket") == F.col("_b")))
+        joined = self._rows(spark, totals, self._places(totals)).join(carry, F.col(self.key).eqNullSafe(F.col("_k")) & (F.col("_bucket") == F.col("_b")))
         run = joined.select(*self._columns, "_ok", "value", *[combine(kinds[n], F.col(f"_c_{n}"), F.col(n)).alias(n) for n, _ in _RUNNING])
         return N.told(run, self.target_col, self.lo, self.hi)
 

@@ -45,6 +45,24 @@ def pointers(spark: SparkSession, root: str, before: int | None = None) -> list[
     return done if before is None else [e for e in done if e < before]
 
 
+def leave_garbage(spark: SparkSession, root: str, epoch: int, paths: Sequence[str]) -> None:
+    """Note paths that nothing refers to as of an epoch."""
+    spark.createDataFrame([(p,) for p in paths], "path string").coalesce(1).write.mode("overwrite").parquet(f"{root}/epoch={epoch}")
+
+
+def earlier_garbage(spark: SparkSession, root: str, epoch: int) -> list[tuple[str, list[str]]]:
+    """(note, paths) of what earlier epochs have left."""
+    fs, at = _fs(spark, root)
+    notes = [f.getPath().toString() for f in fs.listStatus(at)] if fs.exists(at) else []
+    return [(n, [r[0] for r in spark.read.schema("path string").parquet(n).collect()]) for n in notes if int(n.rsplit("=", 1)[1]) < epoch]
+
+
+def remove_garbage(spark: SparkSession, root: str, found: list[tuple[str, list[str]]]) -> None:
+    for note, paths in found:
+        for path in (*paths, note):
+            _remove(spark, path)
+
+
 @dataclass(frozen=True)
 class Levels:
     """A table of partial rows: each epoch adds some, ``merge`` makes few of many.

@@ -144,6 +144,12 @@ def test_late_attempts_rewrite_their_groups_only(spark):
         got = sorted(map(repr, kept.read(spark).select(*cols).collect()))
         so_far = spark.createDataFrame(rows[:done + n], schema)
         assert got == sorted(map(repr, N.bracket_history(so_far, "user_id", ["ts", "event_id"]).select(*cols).collect())), epoch
+    # An epoch of all groups leaves the earlier folders to the next one.
+    kept.write(everything.withColumn("event_id", F.col("event_id") + 1000), len(sizes))
+    kept.write(everything.limit(1).withColumn("event_id", F.lit(5000).cast("long")), len(sizes) + 1)
+    import glob
+    assert not [f for e in range(len(sizes)) for f in glob.glob(f"{d}/rows/epoch={e}/_bucket=*")]
+    assert kept.read(spark).count() > 0
 
 
 def _sums(spark, root, fan=3):
