@@ -23,6 +23,8 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from operator import itemgetter
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ from pageops.session import scratch_path
 from .common import only
 
 BLOCK = 1024
-MEMO = 600_000
+MEMO = 700_000       # pieces that a task's memo takes before it starts again, and keeps aside then
 # Fixed values of Simple-8b: ids in a word and bits of each, by selector 1..14.
 COUNTS = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 1], dtype=np.int64)
 BITS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 60], dtype=np.int64)
@@ -171,14 +173,15 @@ def unpack(sizes: np.ndarray, block_ends: list[list[int]], payloads: list[bytes]
 _LETTER = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _NUMBER = r"0-9\xb2\xb3\xb9\xbc-\xbe"
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa0-\xff]*")
-_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+")
+_PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+")
 
 
 class Encoder(dict):
     """The tokenizers library's encoding with a byte-level vocabulary file.
     Plain Latin-1 texts are cut into the file's pieces here and each distinct
     piece goes to the library's model once; any other text goes to the library
-    whole.  The mapping itself is the memo, from pieces to their ids' bytes."""
+    whole.  The mapping itself is the memo, from pieces to their ids' bytes; when
+    it is full it starts again, and takes what it still needs from the last one."""
 
     def __init__(self, path: str) -> None:
         super().__init__()
@@ -190,19 +193,30 @@ class Encoder(dict):
         self.lib = Tokenizer.from_file(path)
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.alphabet = byte_alphabet()
+        self.space = self.alphabet[32]
+        self.tokenize = self.lib.model.tokenize
+        self.last: dict[str, bytes] = {}
 
     def __missing__(self, p: str) -> bytes:
-        spelt = "".join([self.alphabet[b] for b in p.encode("utf-8")])
-        got = np.array([t.id for t in self.lib.model.tokenize(spelt)], dtype="<u4").tobytes()
+        got = self.last.get(p)
+        if got is None:
+            if p.isascii() and p.isprintable():            # these bytes stand for themselves, but for the space
+                spelt = p.replace(" ", self.space)
+            else:
+                spelt = "".join([self.alphabet[b] for b in p.encode("utf-8")])
+            ids = [t.id for t in self.tokenize(spelt)]
+            got = pack_ids(f"<{len(ids)}I", *ids)
         if len(p) <= 64:
             if len(self) >= MEMO:
+                self.last = dict(self)
                 self.clear()
             self[p] = got
         return got
 
     def encode(self, text: str) -> bytes:
         if _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
-            return b"".join(map(self.__getitem__, _PIECES.findall(text)))
+            pieces = _PIECES.findall(text)
+            return b"".join(itemgetter(*pieces)(self)) if len(pieces) > 1 else b"".join(map(self.__getitem__, pieces))
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
