@@ -239,7 +239,7 @@ class History:
         """The rows of ``numbers.bracket_history`` over every attempt so far."""
         totals = self._totals(spark).read()
         earlier = Window.partitionBy(self.key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-        kinds = {n: kind for n, (kind, _) in N.moves(F.lit(0), F.lit(0), self.lo, self.hi).items()}
+        kinds = {n: kind for n, (kind, _) in N.moves(F.col("value"), F.col(self.target_col), self.lo, self.hi).items()}
         fold = {"max": F.max, "min": F.min, "sum": F.sum}
         carry = totals.select(F.col(self.key).alias("_k"), F.col("_bucket").alias("_b"), *[fold[kinds[n]](f"_t_{n}").over(earlier).alias(f"_c_{n}") for n, _ in _RUNNING])
         joined = self._rows(spark, totals, self._places(totals)).join(carry, F.col(self.key).eqNullSafe(F.col("_k")) & (F.col("_bucket") == F.col("_b")))
