@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +39,14 @@ def keep(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files of plans that nothing refers to any
+    more.  It does when the driver's garbage is collected, which a driver with
+    little to do may put off until the disks hold many such files."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """The column's texts as UTF-8 bytes; null is empty."""
     raw = batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()

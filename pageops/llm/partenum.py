@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, mix, only, texts, word_hashes, words
+from .common import keep, mix, only, release, texts, word_hashes, words
 from .components import components
 
 PIECES = 3
@@ -315,6 +315,7 @@ def _components(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataF
     copies = keep(heads.join(classes.select("node"), "node", "left_anti").select("node"), "copies")     # and empty sets
     slim = heads.join(classes.select("node"), "node", "left_semi")
     groups = keep(_groups(_without(docs, copies, "left_anti"), n, percent), "groups")
+    release(docs.sparkSession)
 
     small = groups.filter(F.col("m") <= LARGE)
     least = small.groupBy("sig").agg(F.min("node").alias("c"))
@@ -325,6 +326,7 @@ def _components(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataF
         known, more = _large(docs, large, n, percent)
         first = first.unionByName(more)
     links = keep(_verify(docs, slim, first.distinct(), n, percent).unionByName(known).distinct(), "links")
+    release(docs.sparkSession)
     comps = keep(components(links), "components")
     # Small groups in several components: the nodes outside the largest one meet
     # all nodes of other components.
