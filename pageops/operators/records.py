@@ -48,32 +48,39 @@ def _one(json: Column, kind: str) -> Column:
     return let(lambda v: F.when(F.size(v["l"]) == 1, F.get(v["l"], 0)), l=listed)
 
 
-def _record_ok(fields: Column) -> Column:
-    """A record's known fields have their types: text fields hold a plain value,
-    ``script`` an object; null is allowed anywhere."""
-    kind = F.transform_values(fields, lambda k, v: F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0))
-    text = [f.name for f in PORT_RECORD.fields if f.name != "script"]
-    return F.forall(F.map_entries(kind), lambda e: (
-        F.when(e["key"] == "script", e["value"].isin("OBJECT", "VOID"))
-        .when(e["key"].isin(*text), ~e["value"].isin("OBJECT", "ARRAY")).otherwise(F.lit(True))))
+_TEXT = [f.name for f in PORT_RECORD.fields if f.name != "script"]
+
+
+def _texts_plain(record: Column) -> Column:
+    """No text field's text looks like a list or an object; these may still be
+    plain texts that begin so."""
+    return F.forall(F.map_entries(record), lambda e: F.coalesce(
+        ~(e["key"].isin(*_TEXT) & (F.startswith(e["value"], F.lit("{")) | F.startswith(e["value"], F.lit("[")))), F.lit(True)))
+
+
+def _record_ok(fields: Column, names: list[str]) -> Column:
+    """Of a record's fields the named ones have their types: text fields hold a
+    plain value, ``script`` an object; null is allowed anywhere."""
+    return F.forall(F.map_entries(fields), lambda e: (
+        F.when(~e["key"].isin(*names), F.lit(True))
+        .when(e["key"] == "script", F.schema_of_variant(e["value"]).rlike("^(OBJECT|VOID)"))
+        .otherwise(~F.schema_of_variant(e["value"]).rlike("^(OBJECT|ARRAY)"))))
 
 
 def _record_reads_ok(record: Column) -> Column:
     """The same of a record's JSON text: no text field can be read as a list or
     an object, and ``script``, if it has a value, can be read as an object.  Of a
     repeated field every value counts."""
-    text = [f.name for f in PORT_RECORD.fields if f.name != "script"]
-
     def body(v: Column) -> Column:
         ok = v["objects"]["script"].isNotNull() | v["text"]["script"].isNull()
-        for name in text:
+        for name in _TEXT:
             ok = ok & v["lists"][name].isNull() & v["objects"][name].isNull()
         return ok
 
     def read(kind: str, names: list[str]) -> Column:
         return F.from_json(record, ", ".join(f"`{n}` {kind}" for n in names))
 
-    return let(body, lists=read("array<string>", text), objects=read("map<string,string>", [*text, "script"]), text=read("string", ["script"]))
+    return let(body, lists=read("array<string>", _TEXT), objects=read("map<string,string>", [*_TEXT, "script"]), text=read("string", ["script"]))
 
 
 def parse_scans(json: Column) -> Column:
@@ -88,22 +95,28 @@ def parse_scans(json: Column) -> Column:
 
     def record(k: Column, fields: Column) -> Column:
         def body(v: Column) -> Column:
-            def last(f: T.StructField) -> Column:
-                mine = F.filter(v["e"], lambda e: e["key"] == f.name)
-                text = F.get(mine, F.size(mine) - 1)["value"]
+            def value(f: T.StructField) -> Column:
+                text = F.element_at(v["last"], F.lit(f.name))
                 return F.from_json(text, "map<string,string>") if f.name == "script" else text
 
-            others = F.filter(v["e"], lambda e: ~e["key"].isin(*known, "port"))
-            return F.struct(*[last(f).alias(f.name) for f in PORT_RECORD.fields], F.map_from_entries(dedupe_entries(others)).alias("rest"))
+            others = F.map_filter(v["last"], lambda name, _: ~name.isin(*known, "port"))
+            return F.struct(*[value(f).alias(f.name) for f in PORT_RECORD.fields], others.alias("rest"))
 
-        return F.when(fields.isNotNull(), let(body, e=F.map_entries(fields)))
+        return F.when(fields.isNotNull(), let(body, last=F.map_from_entries(dedupe_keys(fields))))
 
     def whole(v: Column) -> Column:
-        typed = F.forall(F.map_values(v["k"]), lambda r: r.isNull() | _record_ok(r))
+        def typed(w: Column) -> Column:
+            def every(names: list[str]) -> Column:
+                return F.forall(F.map_values(w["k"]), lambda r: r.isNull() | _record_ok(r, names))
+
+            plain = F.forall(F.map_values(v["m"]), lambda r: r.isNull() | _texts_plain(r))
+            return F.when(plain, every(["script"])).otherwise(every([*_TEXT, "script"]))
+
         seen = let(lambda w: F.forall(F.map_values(w["r"]), lambda r: r.isNull() | _record_reads_ok(r)), r=_one(v["j"], "map<string,string>"))
-        return F.when(F.coalesce(typed, seen), F.transform_values(v["m"], record))
+        ok = F.coalesce(let(typed, k=_one(v["j"], "map<string,map<string,variant>>")), seen)
+        return F.when(v["m"].isNotNull() & ok, F.transform_values(v["m"], record))
 
-    return let(lambda j: let(whole, j=j["j"], m=_one(j["j"], "map<string,map<string,string>>"), k=_one(j["j"], "map<string,map<string,variant>>")), j=json)
+    return let(lambda j: let(whole, j=j["j"], m=_one(j["j"], "map<string,map<string,string>>")), j=json)
 
 
 def dedupe_entries(e: Column) -> Column:
@@ -188,7 +201,9 @@ def route_malformed(df: DataFrame, json_col: str, value_type: T.DataType = PORT_
     """Parse once, split into (parsed rows, rejected rows).  Rejected are
     rows whose text is present but isn't exactly one object of the schema; NULL
     text is neither (it yields nothing)."""
-    parsed = df.withColumn(parsed_col, _parsed(F.col(json_col), value_type))
+    # As a column of df, the filters below would parse each text once more.
+    kept = [c for c in df.columns if c != parsed_col]
+    parsed = df.select(*[F.col(f"`{c}`") for c in kept], F.explode(F.array(_parsed(F.col(json_col), value_type))).alias(parsed_col))
     good = parsed.where(F.col(parsed_col).isNotNull())
     bad = parsed.where(F.col(parsed_col).isNull() & F.col(json_col).isNotNull()).drop(parsed_col)
     return good, bad

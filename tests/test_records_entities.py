@@ -190,3 +190,12 @@ def test_records_of_the_hazards(spark):
                    (7, 0): ("+1 (555) 010-2030", None, None), (7, 1): ("+1 (555) 010-4050", None, None)}
     plan = E.contact_records(contact_docs(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_scan_text_is_parsed_once(spark):
+    rows = spark.sparkContext.parallelize([(1, '{"80": {"state": "{open", "script": {"a": "1"}}}')], 1)
+    good, _ = R.route_malformed(spark.createDataFrame(rows, "scan_id long, body string"), "body")
+    flat = R.flatten_keyed(good, "scan_id", "parsed")
+    plan = flat._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("from_json(" in line for line in plan.splitlines()) == 1
+    assert [(r.port, r.state, r.script) for r in flat.collect()] == [("80", "{open", {"a": "1"})]
