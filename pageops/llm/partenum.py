@@ -16,7 +16,8 @@ than ``LARGE`` nodes, nodes meet one typical node, and of other pairs only those
 that its distances leave possible and whose nodes are not in one component yet
 are made, once each (see ``_large``).  Candidates pass a
 parity sketch of a bit per element (its distance never exceeds the difference of the sets, so
-no link is lost) and then the exact count.
+no link is lost) and then the exact count: the texts of a pair meet, which are
+smaller than the sets, and these are made there.
 
 Null or wordless texts have the empty set: n_shingles 0, linked with nothing.
 Rows are judged one by one; rows that repeat a ``doc_id`` are separate rows with
@@ -38,6 +39,7 @@ from .components import components
 PIECES = 3
 LARGE = 16           # nodes of a signature beyond which its group is pruned by distance
 IDS_TO_BROADCAST = 1_000_000
+CHUNK = 64           # pairs of a node that meet its text in one group
 SAMPLE = 1024        # one node of as many is asked for hot signatures
 SHARE = 1e-5         # of a sample's signatures, from which one is hot
 SALT = 64
@@ -168,30 +170,19 @@ def _heads(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(node, sig) of every row."""
+    """(node, sig) of every row.  48 bits of a signature are told: unrelated sets
+    that agree in them by chance are candidates more, no links."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for at in range(0, batch.num_rows, 256):
                 b = batch.slice(at, 256)
-                sigs = [signatures(shingles(t, n), percent).view(np.int64) for t in texts(b)]
+                sigs = [(signatures(shingles(t, n), percent) >> np.uint64(16)).view(np.int64) for t in texts(b)]
                 nodes = b.column(0).take(pa.array(np.repeat(np.arange(len(sigs)), [len(s) for s in sigs])))
                 yield pa.RecordBatch.from_arrays([nodes, pa.array(np.concatenate(sigs))], names=["node", "sig"])
 
     return docs.select("node", "text").mapInArrow(run, "node long, sig long")
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """(node, x): the sets of some nodes, read again from their texts."""
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            for at in range(0, batch.num_rows, 1024):
-                b = batch.slice(at, 1024)
-                sets = [shingles(t, n).view(np.int64) for t in texts(b)]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "x"])
-
-    return _without(docs.select("node", "text"), nodes.select("node"), "left_semi").mapInArrow(run, "node long, x array<long>")
-
-
 def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (a < b: nodes) that link."""
     def side(s: str) -> DataFrame:
@@ -209,41 +200,80 @@ def _verify(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, percent
     near = keep(sized.mapInArrow(run, "a long, b long"), "near")
     if near.isEmpty():
         return near
-    ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = keep(_sets(docs, ends, n), "sets")
-    same = F.size(F.array_intersect("x_a", "x_b"))
-    either = F.size("x_a") + F.size("x_b") - same
-    return keep(near.join(sets.select(F.col("node").alias("a"), F.col("x").alias("x_a")), "a")
-                .join(sets.select(F.col("node").alias("b"), F.col("x").alias("x_b")), "b")
-                .filter(same * 100 >= either * percent).select("a", "b"), "links")
+    return keep(_count(docs, near, n).filter(F.col("same") * 100 >= (F.col("both") - F.col("same")) * percent).select("a", "b"), "links")
+
+
+def _count(docs: DataFrame, near: DataFrame, n: int) -> DataFrame:
+    """(a, b, both, same) of the pairs ``near``: the sum of the sizes of their
+    sets, read again from their texts, and how many elements they share.
+    Texts go where a is; its own goes to each chunk of its pairs, first."""
+    many = near.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks"))
+    dealt = near.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk"))
+    asked = keep(dealt.select("a", "chunk", F.col("b").alias("node")).unionByName(dealt.select("a", "chunk", F.col("a").alias("node")).distinct()), "asked")
+    few = F.broadcast(asked) if 3 * asked.count() <= IDS_TO_BROADCAST else asked
+    met = docs.select("node", "text").join(few, "node").select("a", "chunk", (F.col("a") != F.col("node")).alias("other"), "node", "text")
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = np.zeros(0, dtype=np.uint64)
+        for batch in it:
+            for at in range(0, batch.num_rows, 256):
+                rows, met, both, same = batch.slice(at, 256), [], [], []
+                for other, t in zip(rows.column(2).to_pylist(), texts(rows)):
+                    y = shingles(t, n)
+                    if not other:
+                        x = y
+                    met.append(other)
+                    both.append(len(x) + len(y))
+                    same.append(len(np.intersect1d(x, y, assume_unique=True)) if other else 0)
+                out = [rows.column(0), rows.column(3), pa.array(both, pa.int64()), pa.array(same, pa.int64())]
+                yield pa.RecordBatch.from_arrays(out, names=["a", "b", "both", "same"]).filter(pa.array(met, pa.bool_()))
+
+    return met.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "other").mapInArrow(run, "a long, b long, both long, same long")
+
+
+def _lone(docs: DataFrame, nodes: DataFrame, n: int, half: int) -> DataFrame:
+    """(node, more): how many n-grams of one half of the hash domain a node of
+    ``nodes`` has that no other has; less those that agree in 40 bits by chance."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for at in range(0, batch.num_rows, 256):
+                b = batch.slice(at, 256)
+                sets = [shingles(t, n) for t in texts(b)]
+                sets = [(x[(x & np.uint64(1)) == half] >> np.uint64(24)).view(np.int64) for x in sets]
+                of = b.column(0).take(pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in sets])))
+                yield pa.RecordBatch.from_arrays([of, pa.array(np.concatenate(sets))], names=["node", "x"])
+
+    every = _without(docs.select("node", "text"), nodes.select("node"), "left_semi").mapInArrow(run, "node long, x long")
+    own = every.groupBy("x").agg(F.min("node").alias("node"), F.count("*").alias("m")).filter("m = 1")
+    return own.groupBy("node").agg(F.count("*").alias("more"))
 
 
-def _large(docs: DataFrame, large: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def _large(docs: DataFrame, nodes: DataFrame, large: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(links, candidate pairs) of the large groups (sig, node): the pairs are
     all that can link besides the links.
 
     u counts the n-grams of a node that no other node of these groups has.  A
-    node with more of them than a link lets it lack is left out.  The rest meet
+    node with more of them than a link lets it lack is left out, where half of
+    them show it before the others are counted.  The rest meet
     their group's most typical node c (fewest u), at distance d.  The
     differences of x and y to c share at most d - u of either, so x and y are at
     least max(d_x - e_y, d_y - e_x) apart, with e = d - 2u: pairs for which that
     is beyond the bound are never made."""
     plus, minus = 100 + percent, 100 - percent
-    sets = keep(_sets(docs, large.select("node").distinct(), n), "sets")
-    own = sets.select("node", F.explode("x").alias("x")).groupBy("x").agg(F.min("node").alias("node"), F.count("*").alias("m")).filter("m = 1")
-    lone = own.groupBy("node").agg(F.count("*").alias("u"))
     may_lack = F.col("n") - F.floor((F.col("n") * percent + 99) / 100)
-    live = keep(sets.select("node", F.size("x").cast("long").alias("n")).join(lone, "node", "left").withColumn("u", F.coalesce("u", F.lit(0)))
-                .filter(F.col("u") <= may_lack), "live")
+    live = keep(nodes.select("node", "n").join(large.select("node").distinct(), "node").withColumn("u", F.lit(0).cast("long")), "live")
+    for half in (0, 1):
+        more = live.join(_lone(docs, live, n, half), "node", "left")
+        live = keep(more.select("node", "n", (F.col("u") + F.coalesce("more", F.lit(0))).alias("u")).filter(F.col("u") <= may_lack), "live")
+        release(docs.sparkSession)
     large = keep(large.join(live, "node"), "large")
     best = large.groupBy("sig").agg(F.min(F.struct("u", "node")).alias("best"))
     placed = keep(large.join(best.select("sig", F.col("best.node").alias("c")), "sig"), "placed")
     held = placed.select("c", "node", "n", "u").distinct()
     top = held.groupBy("c").agg(F.max("n").alias("top"))
-    same = F.size(F.array_intersect("x_c", "x"))
-    met = keep(held.filter("c <> node")
-               .join(sets.select(F.col("node").alias("c"), F.col("x").alias("x_c")), "c").join(sets, "node")
-               .select("c", "node", "n", "u", (F.size("x_c") + F.size("x") - 2 * same).alias("d"), (F.size("x_c") + F.size("x")).alias("both")), "met")
+    around = keep(held.filter("c <> node").select(F.col("c").alias("a"), F.col("node").alias("b")), "around")
+    met = keep(_count(docs, around, n).select(F.col("a").alias("c"), F.col("b").alias("node"), (F.col("both") - 2 * F.col("same")).alias("d"), "both")
+               .join(live, "node"), "met")
     linked = F.col("d") * plus <= F.col("both") * minus
     links = keep(met.filter(linked).select(F.least("c", "node").alias("a"), F.greatest("c", "node").alias("b")), "known")
     # Of a node: its component so far, its signatures and its centres.
@@ -272,7 +302,8 @@ def _hot(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def _groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(sig, node, m) of the signatures that m > 1 nodes have.  Signatures are
+    """(sig, node, m, c) of the signatures that m > 1 nodes have, c the smallest of
+    them (of up to LARGE; else any).  Signatures are
     more than the text, so they are made and shuffled once: rows of a signature
     meet sorted, and those that are alone go no further.  Hot signatures are
     dealt over several tasks; they are large in any case (m is LARGE + 1)."""
@@ -281,14 +312,15 @@ def _groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     dealt = own.select("sig", "node", F.when(F.col("hot"), F.pmod(F.xxhash64("node"), F.lit(SALT)) + 1).otherwise(0).cast("int").alias("salt"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["sig", "node", "m"]
+        names = ["sig", "node", "m", "c"]
 
         def told(sig: np.ndarray, node: np.ndarray, salt: np.ndarray) -> pa.RecordBatch:
             first = np.flatnonzero(np.concatenate([[True], (sig[1:] != sig[:-1]) | (salt[1:] != salt[:-1])]))
             m = np.diff(np.concatenate([first, [len(sig)]]))
             each = np.where(salt > 0, LARGE + 1, np.repeat(m, m))
+            least = np.repeat(np.minimum.reduceat(node, first), m)
             some = each > 1
-            return pa.RecordBatch.from_arrays([pa.array(sig[some]), pa.array(node[some]), pa.array(each[some])], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(v[some]) for v in (sig, node, each, least)], names=names)
 
         held = [np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.int32)]
         for batch in it:
@@ -304,7 +336,7 @@ def _groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
         if len(held[0]):
             yield told(*held)
 
-    return dealt.repartition("sig", "salt").sortWithinPartitions("sig", "salt").mapInArrow(run, "sig long, node long, m long")
+    return dealt.repartition("sig", "salt").sortWithinPartitions("sig", "salt").mapInArrow(run, "sig long, node long, m long, c long")
 
 
 def _components(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -318,19 +350,25 @@ def _components(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataF
     release(docs.sparkSession)
 
     small = groups.filter(F.col("m") <= LARGE)
-    least = small.groupBy("sig").agg(F.min("node").alias("c"))
-    first = small.join(least, "sig").filter("c <> node").select(F.col("c").alias("a"), F.col("node").alias("b"))
+    met = keep(small.filter("c <> node").select("c", "node").distinct(), "met")
+    first = met.select(F.col("c").alias("a"), F.col("node").alias("b"))
     large = groups.filter(F.col("m") > LARGE).select("sig", "node")
     known = first.limit(0)
     if not large.isEmpty():
-        known, more = _large(docs, large, n, percent)
+        known, more = _large(docs, slim, large, n, percent)
         first = first.unionByName(more)
     links = keep(_verify(docs, slim, first.distinct(), n, percent).unionByName(known).distinct(), "links")
     release(docs.sparkSession)
     comps = keep(components(links), "components")
-    # Small groups in several components: the nodes outside the largest one meet
-    # all nodes of other components.
-    left = small.select("sig", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    # Small groups in several components, which some pair of theirs shows: the
+    # nodes outside the largest one meet all nodes of other components.
+    of_c = comps.select(F.col("node").alias("c"), F.col("comp").alias("comp_c"))
+    parted = keep(met.join(comps, "node", "left").join(of_c, "c", "left")
+                  .filter(F.coalesce("comp", "node") != F.coalesce("comp_c", "c")).select("c", "node"), "parted")
+    few = F.broadcast(parted) if 2 * parted.count() <= IDS_TO_BROADCAST else parted
+    sigs = keep(small.join(few, ["c", "node"], "left_semi").select("sig").distinct(), "several")
+    few = F.broadcast(sigs) if sigs.count() <= IDS_TO_BROADCAST else sigs
+    left = small.select("sig", "node").join(few, "sig", "left_semi").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     by_comp = left.groupBy("sig", "comp").agg(F.count("*").alias("m"))
     per = (by_comp.groupBy("sig").agg(F.max(F.struct("m", "comp")).alias("top"), F.sum("m").alias("all"))
            .filter(F.col("all") > F.col("top.m")).select("sig", F.col("top.comp").alias("main")))

@@ -87,6 +87,22 @@ def test_jaccard_repeated_and_null_ids(spark):
     assert [r.component_id for r in out if r.doc_id is None] == [3]
 
 
+def test_pairs_meet_as_texts(spark, monkeypatch):
+    """No sets are written, and a node of many pairs meets them in chunks."""
+    monkeypatch.setattr(partenum, "CHUNK", 3)
+    written = []
+    write = partenum.keep
+    monkeypatch.setattr(partenum, "keep", lambda df, name, *by: written.append(name) or write(df, name, *by))
+    base = [f"word{k}" for k in range(60)]
+    rows = [(k, " ".join([*base, *(["new"] * (k % 2)), f"end{k}"])) for k in range(12)]
+    out = partenum.jaccard_components(documents(spark, rows), 3, 80)
+    assert {(r.doc_id, r.component_id) for r in out.collect()} == {(k, 0) for k in range(12)}
+    assert "near" in written and "sets" not in written
+    docs = documents(spark, rows).withColumn("node", F.col("doc_id"))
+    pairs = spark.createDataFrame([(0, k) for k in range(1, 12)], "a long, b long")
+    assert sorted(map(tuple, partenum._count(docs, pairs, 3).collect())) == [(0, k, 118 + k % 2, 58) for k in range(1, 12)]
+
+
 def test_one_row_of_each_near_copy_stays(spark):
     import corpus_pipeline
 
